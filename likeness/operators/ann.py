@@ -82,7 +82,7 @@ def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size:
     parts = np.ceil(sizes / trained_on * rows / per_file).astype(np.int64)
     (assign(usable, centres, dim, parts)
      .withColumn("part", F.pmod(F.xxhash64("image_id"), F.col("parts")))
-     .repartition("list_id", "part")
+     .repartition(max(tasks, min(int(parts.sum()), 100_000)), "list_id", "part")
      .select("list_id", "image_id", "vector")
      .write.partitionBy("list_id").mode("overwrite").parquet(f"{path}/lists"))
     (spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)],
