@@ -3,7 +3,7 @@
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Image extensions and folder names the catalogue knows.
 IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".webp")
@@ -62,7 +62,7 @@ def has_purge_mark(path: Column, marks=PURGE_MARKS) -> Column:
     return hit
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def image_id(path: pd.Series) -> pd.Series:
     """63-bit key from an 8-byte blake2b digest; never 0. Spark has no blake2b."""
     def key(text):

@@ -36,6 +36,12 @@ def to_bgr(data, height, width, channels):
     return pixels[:, :, :3]
 
 
+def unit(rows: np.ndarray, least: float = 0.0) -> np.ndarray:
+    """Rows at unit length; NaN where the norm is not above ``least``."""
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(length > least, length, np.nan)
+
+
 @lru_cache(maxsize=256)
 def axis_weights(source: int, target: int, how: str) -> np.ndarray:
     """(target x source) matrix that resamples one axis.
@@ -189,9 +195,9 @@ def hog_descriptors(images: np.ndarray) -> np.ndarray:
     blocks = blocks / (np.sqrt((blocks ** 2).sum(axis=2, keepdims=True)) + 3.6)
     blocks = np.minimum(blocks, HOG_CLIP)
     blocks = blocks / (np.sqrt((blocks ** 2).sum(axis=2, keepdims=True)) + 1e-3)
-    flat = blocks.reshape(n, -1).astype(np.float32)
+    flat = blocks.reshape(n, -1)
     length = np.linalg.norm(flat, axis=1, keepdims=True)
-    return flat / np.where(length > 0, length, 1.0)
+    return (flat / np.where(length > 0, length, 1.0)).astype(np.float32)
 
 
 def model_inputs(bgr: np.ndarray) -> np.ndarray:

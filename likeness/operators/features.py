@@ -1,156 +1,192 @@
 """Feature extraction as Arrow jobs over decoded images.
 
-Input is a DataFrame with ``image_id`` and an image struct. Every image gives one
-output row; where it could not be read or processed the vector is NULL, so that
-jobs can count failures and later runs try again.
+Input is a DataFrame with ``image_id``, an image struct in ``image`` and any other
+columns, which travel along. Every image gives one output row; where it could not
+be read the vector is NULL, so that jobs can count failures and later runs try
+again. Each image is unpacked once, however many features are asked for.
 """
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from likeness.functions import pixels as X
-from likeness.functions import vectors as V
+from likeness.schemas import FLOATS
+from likeness.sources.files import contents
+from likeness.sources.images import to_struct
 
-# Images taken through the kernels at once.
+# Images taken through a kernel at once.
 STEP = 64
 _models = {}
 
 
-def stacked(batch, size, how="area", to_grey=False):
-    """Pieces of a batch as (ids, stack of resized images, rows that were read)."""
-    for start in range(0, batch.num_rows, STEP):
-        piece = batch.slice(start, STEP)
-        images, rows = [], []
-        for row, image in enumerate(piece.column("image").to_pylist()):
-            if image is None or image["height"] is None or image["height"] <= 0:
-                continue
-            try:
-                bgr = X.to_bgr(image["data"], image["height"], image["width"], image["nChannels"])
-            except ValueError:  # bytes that do not fit the stated size
-                continue
-            images.append(X.resize(X.grey(bgr) if to_grey else bgr, size, how))
+@dataclass(frozen=True)
+class Extractor:
+    """How images are resized and which kernel turns a stack of them into rows.
+    ``load`` runs on the executor and returns the kernel."""
+    size: int
+    load: Callable
+    how: str = "area"
+    to_grey: bool = False
+
+
+def extract(images: DataFrame, extractors: dict, step: int = STEP) -> DataFrame:
+    """The input columns but ``image``, plus one vector column per extractor."""
+    return _extract(images, "image", lambda piece: unpack(piece.column("image")), extractors, step)
+
+
+def extract_files(files: DataFrame, extractors: dict, decode, step: int = STEP) -> DataFrame:
+    """The same for files named in ``path``: read, decoded and reduced to vectors in
+    one pass, so that neither file contents nor pixels travel."""
+    return _extract(files, None, lambda piece: decoded(piece.column("path"), decode), extractors, step)
+
+
+def _extract(table, consumed, load_images, extractors, step):
+    others = [c for c in table.columns if c != consumed]
+    schema = T.StructType([table.schema[c] for c in others]
+                          + [T.StructField(name, FLOATS) for name in extractors])
+
+    def run(batches):
+        kernels = {name: e.load() for name, e in extractors.items()}
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                piece = batch.slice(start, step)
+                read, rows = load_images(piece)
+                columns = [piece.column(c) for c in others]
+                for name, e in extractors.items():
+                    stack = [X.resize(X.grey(i) if e.to_grey else i, e.size, e.how) for i in read]
+                    vectors = kernels[name](np.stack(stack)) if stack else None
+                    columns.append(with_nulls(vectors, rows, piece.num_rows))
+                yield pa.RecordBatch.from_arrays(columns, names=[*others, *extractors])
+
+    return table.mapInArrow(run, schema)
+
+
+def decoded(paths, decode):
+    """(BGR arrays, their rows) of the files that can be read and decoded."""
+    images, rows = [], []
+    for row, (path, content) in enumerate(zip(paths.to_pylist(), contents(paths))):
+        image = to_struct(path, content, decode)
+        if image["height"] > 0:
+            images.append(X.to_bgr(image["data"], image["height"], image["width"], image["nChannels"]))
+            rows.append(row)
+    return images, rows
+
+
+def unpack(column):
+    """(BGR arrays, their rows) of the readable images of a struct column."""
+    images, rows = [], []
+    for row, image in enumerate(column.to_pylist()):
+        if image is None or image["height"] is None or image["height"] <= 0:
+            continue
+        try:
+            images.append(X.to_bgr(image["data"], image["height"], image["width"], image["nChannels"]))
             rows.append(row)
-        yield piece.column("image_id"), (np.stack(images) if images else None), rows
+        except ValueError:  # bytes that do not fit the stated size
+            continue
+    return images, rows
 
 
 def with_nulls(vectors, rows, count):
-    """List column of ``count`` rows with the vectors at ``rows`` and NULL elsewhere."""
+    """List column of ``count`` rows with the vectors at ``rows``, NULL elsewhere; a
+    vector that is not finite is NULL too."""
     filled = np.zeros(count, bool)
-    filled[rows] = True
-    width = 0 if vectors is None else vectors.shape[1]
+    flat, width = np.empty(0, np.float32), 0
+    if vectors is not None:
+        good = np.isfinite(vectors).all(axis=1)
+        filled[np.asarray(rows)[good]] = True
+        flat, width = vectors[good].astype(np.float32).ravel(), vectors.shape[1]
     ends = np.concatenate([[0], np.cumsum(filled * width)]).astype(np.int32)
-    flat = np.empty(0, np.float32) if vectors is None else vectors.astype(np.float32).ravel()
     return pa.ListArray.from_arrays(ends, pa.array(flat), mask=pa.array(~filled))
 
 
-def vector_job(images: DataFrame, size: int, kernel, how: str = "area", to_grey: bool = False) -> DataFrame:
-    """``image_id, vector``: ``kernel`` maps a stack of resized images to rows."""
-    def run(batches):
-        for batch in batches:
-            for ids, stack, rows in stacked(batch, size, how, to_grey):
-                vectors = None if stack is None else kernel(stack)
-                yield pa.RecordBatch.from_arrays([ids, with_nulls(vectors, rows, len(ids))],
-                                                 names=["image_id", "vector"])
+def hsv_extractor():
+    return Extractor(X.HSV_SIZE, lambda: X.hsv_descriptors)
+
 
-    return images.select("image_id", "image").mapInArrow(run, "image_id long, vector array<float>")
+def unit_hsv_extractor():
+    """The colour descriptor of a query: unit length over both parts together."""
+    return Extractor(X.HSV_SIZE, lambda: lambda bgr: X.unit(X.hsv_descriptors(bgr), 1e-12))
+
+
+def hog_extractor():
+    return Extractor(X.HOG_SIZE, lambda: X.hog_descriptors, to_grey=True)
+
+
+def signature_extractor(bins=(8, 8)):
+    return Extractor(X.HSV_SIZE, lambda: lambda bgr: X.colour_signatures(bgr, bins), how="linear")
+
+
+def model_extractor(make_predict_fn):
+    """Model output at unit length. The model is loaded once per worker process."""
+    key = uuid.uuid4().hex
+
+    def load():
+        if key not in _models:
+            _models.clear()
+            _models[key] = make_predict_fn()
+        predict = _models[key]
+        return lambda bgr: X.unit(np.asarray(predict(X.model_inputs(bgr)), dtype=np.float64))
+
+    return Extractor(X.MODEL_SIZE, load)
 
 
 def hsv_vectors(images: DataFrame) -> DataFrame:
     """176 values: hue/saturation histogram and brightness histogram."""
-    return vector_job(images, X.HSV_SIZE, X.hsv_descriptors)
+    return extract(images, {"vector": hsv_extractor()})
 
 
 def hog_vectors(images: DataFrame) -> DataFrame:
     """1764 values: histogram of oriented gradients at unit length."""
-    return vector_job(images, X.HOG_SIZE, X.hog_descriptors, to_grey=True)
+    return extract(images, {"vector": hog_extractor()})
 
 
 def colour_signatures(images: DataFrame, bins=(8, 8)) -> DataFrame:
     """64 values: the older unmasked hue/saturation histogram."""
-    return vector_job(images, X.HSV_SIZE, lambda bgr: X.colour_signatures(bgr, bins), how="linear")
+    return extract(images, {"vector": signature_extractor(bins)})
 
 
-def resized(images: DataFrame, size: int, how: str = "area") -> DataFrame:
-    """``image_id, height, width, data``: BGR bytes of the resized images."""
-    def run(batches):
-        for batch in batches:
-            for ids, stack, rows in stacked(batch, size, how):
-                data = [None] * len(ids)
-                for row, image in zip(rows, () if stack is None else stack):
-                    data[row] = image.tobytes()
-                side = pa.array([None if d is None else size for d in data], pa.int32())
-                yield pa.RecordBatch.from_arrays([ids, side, side, pa.array(data, pa.binary())],
-                                                 names=["image_id", "height", "width", "data"])
+def embeddings(images: DataFrame, make_predict_fn, batch_size: int = 384) -> DataFrame:
+    """Model output at unit length. Reading, preparing and predicting happen in one
+    pass through Python, so the large input tensors never travel."""
+    return extract(images, {"vector": model_extractor(make_predict_fn)}, batch_size)
 
-    return images.select("image_id", "image").mapInArrow(
-        run, "image_id long, height int, width int, data binary")
+
+def query_features(images: DataFrame, make_predict_fn) -> DataFrame:
+    """``query_id, embedding, hsv_vector, hog_vector`` of query images, each at unit
+    length or NULL, in one pass over the images."""
+    return extract(images.withColumnRenamed("image_id", "query_id"), {
+        "embedding": model_extractor(make_predict_fn),
+        "hsv_vector": unit_hsv_extractor(), "hog_vector": hog_extractor()})
 
 
 def grey_images(images: DataFrame, size: int = X.HOG_SIZE) -> DataFrame:
-    """``image_id, vector``: grey values of the resized images, row by row."""
-    return vector_job(images, size, lambda stack: stack.reshape(len(stack), -1), to_grey=True)
+    """Grey values of the resized images, row by row."""
+    flat = Extractor(size, lambda: lambda stack: stack.reshape(len(stack), -1), to_grey=True)
+    return extract(images, {"vector": flat})
+
+
+def resized(images: DataFrame, size: int, how: str = "area") -> DataFrame:
+    """BGR values of the resized images, row by row."""
+    flat = Extractor(size, lambda: lambda stack: stack.reshape(len(stack), -1), how)
+    return extract(images, {"vector": flat})
 
 
 def model_inputs(images: DataFrame) -> DataFrame:
-    """``image_id, vector``: standardised RGB planes, 3 x 224 x 224 values."""
-    return vector_job(images, X.MODEL_SIZE, lambda bgr: X.model_inputs(bgr).reshape(len(bgr), -1))
+    """Standardised RGB planes, 3 x 224 x 224 values."""
+    flat = Extractor(X.MODEL_SIZE, lambda: lambda bgr: X.model_inputs(bgr).reshape(len(bgr), -1))
+    return extract(images, {"vector": flat})
 
 
 def model_inference(inputs: Column, make_predict_fn, batch_size: int = 384) -> Column:
     """Raw model output for prepared inputs; ``make_predict_fn`` loads the model on
     the executor and returns a function of a (n, 3, 224, 224) batch."""
     predict = predict_batch_udf(
-        make_predict_fn, return_type="array<float>", batch_size=batch_size,
+        make_predict_fn, return_type=FLOATS, batch_size=batch_size,
         input_tensor_shapes=[[3, X.MODEL_SIZE, X.MODEL_SIZE]])
     return predict(inputs)
-
-
-def embeddings(images: DataFrame, make_predict_fn, batch_size: int = 384) -> DataFrame:
-    """``image_id, vector``: model output at unit length.
-
-    Reading, preparing and predicting happen in one pass through Python, so the
-    large input tensors never travel. The model is loaded once per worker process.
-    """
-    key = uuid.uuid4().hex
-
-    def run(batches):
-        if key not in _models:
-            _models.clear()
-            _models[key] = make_predict_fn()
-        predict = _models[key]
-        for batch in batches:
-            ids, stacks, rows = [], [], []
-            for piece_ids, stack, piece_rows in stacked(batch, X.MODEL_SIZE):
-                rows += [len(ids) + r for r in piece_rows]
-                ids += piece_ids.to_pylist()
-                if stack is not None:
-                    stacks.append(stack)
-                if sum(map(len, stacks)) >= batch_size:
-                    yield predicted(predict, ids, stacks, rows)
-                    ids, stacks, rows = [], [], []
-            if ids:
-                yield predicted(predict, ids, stacks, rows)
-
-    raw = images.select("image_id", "image").mapInArrow(run, "image_id long, vector array<float>")
-    return raw.withColumn("vector", V.storage_cast(V.unit_or_null(F.col("vector"))))
-
-
-def predicted(predict, ids, stacks, rows):
-    output = np.asarray(predict(X.model_inputs(np.concatenate(stacks)))) if stacks else None
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), with_nulls(output, rows, len(ids))],
-                                      names=["image_id", "vector"])
-
-
-def query_features(images: DataFrame, make_predict_fn) -> DataFrame:
-    """``query_id, embedding, hsv_vector, hog_vector`` of query images, each at unit
-    length or NULL. The images are read once per feature and joined by id."""
-    unit_hsv = hsv_vectors(images).select(
-        "image_id", V.storage_cast(V.unit_query(F.col("vector"))).alias("hsv_vector"))
-    hog = hog_vectors(images).select("image_id", F.col("vector").alias("hog_vector"))
-    model = embeddings(images, make_predict_fn).select("image_id", F.col("vector").alias("embedding"))
-    return (model.join(unit_hsv, "image_id").join(hog, "image_id")
-            .select(F.col("image_id").alias("query_id"), "embedding", "hsv_vector", "hog_vector"))

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from likeness.functions import vectors as V
 from likeness.operators.joins import lookup
@@ -46,7 +46,7 @@ def named_weights(metrics, weights) -> dict:
     return dict(zip(metrics, map(float, weights)))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def cosine(left: pa.Array, right: pa.Array) -> pa.Array:
     """Row-wise cosine of two list columns; NULL where a side is missing, has no
     direction or the lengths differ."""

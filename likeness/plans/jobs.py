@@ -1,5 +1,6 @@
 """Whole jobs as a user calls them: ingest a folder, purge, compute features."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from likeness.functions import paths as P
@@ -7,8 +8,8 @@ from likeness.operators import catalogue as C
 from likeness.operators import features as X
 from likeness.operators.selection import first_n
 from likeness.schemas import CATALOGUE, FEATURES
-from likeness.sources.files import list_files
-from likeness.sources.images import decode_files, decode_folder, library_decoder
+from likeness.sources.files import existing, list_files
+from likeness.sources.images import decode_folder, library_decoder
 from likeness.sources.vectors import append_features, read_features
 
 # Files handed to Spark's image source at once.
@@ -26,9 +27,11 @@ class Snapshots:
             self.latest += 1
 
     def _finished(self, number):
-        pattern = f"{self.path}/snapshot={number}/_SUCCESS"
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+        try:
+            self.spark.read.text(f"{self.path}/snapshot={number}/_SUCCESS")
+            return True
+        except AnalysisException:
+            return False
 
     def read(self) -> DataFrame:
         if not self.latest:
@@ -46,14 +49,9 @@ def ingest(spark: SparkSession, folder: str, snapshots: Snapshots, *, limit: int
     """List a folder and upsert it into the catalogue; returns the files listed."""
     scan = C.describe(list_files(spark, folder, extensions=extensions, skip=skip,
                                  hidden=hidden, limit=limit))
-    listed = Observation()
-    counted = scan.observe(listed, F.count(F.lit(1)).alias("files"))
     known = snapshots.read()
-    if snapshots.latest:
-        snapshots.write(C.upsert(known, scan))
-        return scan.count()
-    snapshots.write(C.insert_if_absent(known, counted))
-    return listed.get["files"]
+    snapshots.write(C.upsert(known, scan) if snapshots.latest else C.insert_if_absent(known, scan))
+    return scan.count()
 
 
 def purge(snapshots: Snapshots, marks=P.PURGE_MARKS) -> int:
@@ -65,16 +63,16 @@ def purge(snapshots: Snapshots, marks=P.PURGE_MARKS) -> int:
     return gone
 
 
-def compute_features(catalogue: DataFrame, path: str, vectors, *, decode=None,
-                     limit: int | None = None, page: int = PAGE, shards: int = 64) -> dict:
+def compute_features(catalogue: DataFrame, path: str, extractor: X.Extractor, *, decode=None,
+                     limit: int | None = None, page: int = PAGE, shards: int = 64,
+                     step: int = X.STEP) -> dict:
     """Compute a feature for every catalogued image that lacks it or whose file has
     changed, and append it to the feature table at ``path``.
 
-    ``vectors`` maps ``image_id, image`` to ``image_id, vector``. With a ``decode``
-    function (or an installed imaging library) each file is read in the task that
-    needs it. Otherwise Spark's image source decodes pages of at most ``page`` files.
-    Returns ``ok, failed, processed``. Feature rows of older file states stay in the
-    table; ``current_features`` leaves them out.
+    With a ``decode`` function (or an installed imaging library) each file is read
+    in the task that needs it. Otherwise Spark's image source decodes pages of at
+    most ``page`` files. Returns ``ok, failed, processed``. Rows of older file states
+    stay in the table; ``current_features`` leaves them out.
     """
     spark = catalogue.sparkSession
     decode = decode or library_decoder()
@@ -83,8 +81,8 @@ def compute_features(catalogue: DataFrame, path: str, vectors, *, decode=None,
     total = {"ok": 0, "failed": 0, "processed": 0}
     if decode:
         tasks = 4 * spark.sparkContext.defaultParallelism
-        images = decode_files(todo.repartition(tasks, "image_id"), decode)
-        return _append(images, vectors, path, shards, total)
+        done = X.extract_files(todo.repartition(tasks, "image_id"), {"vector": extractor}, decode, step)
+        return _append(done, path, shards, total)
     last = 0
     while True:
         rows = first_n(todo.where(F.col("image_id") > last), "image_id", page)
@@ -93,31 +91,29 @@ def compute_features(catalogue: DataFrame, path: str, vectors, *, decode=None,
             return total
         last = rows[-1].image_id
         part = spark.createDataFrame(rows, todo.schema)
-        found = decode_folder(spark, [r.path for r in rows])
-        images = F.broadcast(part).join(found, "path", "right").where(F.col("image_id").isNotNull())
-        _append(images, vectors, path, shards, total)
-
-
-def _append(images, vectors, path, shards, total):
-    stamps = images.select("image_id", F.struct("file_size", "mtime").alias("stamp"), "image")
+        gone = len(rows)
+        rows = existing(part).select("path").collect()
+        if rows:
+            found = decode_folder(spark, [r.path for r in rows])
+            images = found.join(F.broadcast(part), "path").drop("path")
+            _append(X.extract(images, {"vector": extractor}, step), path, shards, total)
+        gone -= len(rows)
+        total["failed"] += gone
+        total["processed"] += gone
+
+
+def _append(done, path, shards, total):
     counts = Observation()
-    done = stamped_vectors(stamps, vectors).observe(
-        counts, F.count_if(F.col("vector").isNotNull()).alias("ok"),
-        F.count_if(F.col("vector").isNull()).alias("failed"),
+    has = F.col("vector").isNotNull()
+    done = done.select(*FEATURES.names).observe(
+        counts, F.count_if(has).alias("ok"), F.count_if(~has).alias("failed"),
         F.count(F.lit(1)).alias("processed"))
-    append_features(done.where(F.col("vector").isNotNull()), path, shards)
+    append_features(done.where(has), path, shards)
     for name, value in counts.get.items():
         total[name] += value
     return total
 
 
-def stamped_vectors(images: DataFrame, vectors) -> DataFrame:
-    """Feature rows with the file state they were made from."""
-    stamps = images.select("image_id", "stamp.*")
-    return (vectors(images.select("image_id", "image")).join(stamps, "image_id")
-            .select(*FEATURES.names))
-
-
 def current_features(catalogue: DataFrame, features: DataFrame, name: str) -> DataFrame:
     """``image_id, <name>`` made from the catalogued file states."""
     same = ((F.col("f.image_id") == F.col("c.image_id"))
@@ -127,17 +123,17 @@ def current_features(catalogue: DataFrame, features: DataFrame, name: str) -> Da
 
 
 def compute_hsv(catalogue, path, **options):
-    return compute_features(catalogue, path, X.hsv_vectors, **options)
+    return compute_features(catalogue, path, X.hsv_extractor(), **options)
 
 
 def compute_hog(catalogue, path, **options):
-    return compute_features(catalogue, path, X.hog_vectors, **options)
+    return compute_features(catalogue, path, X.hog_extractor(), **options)
 
 
 def compute_signatures(catalogue, path, **options):
-    return compute_features(catalogue, path, X.colour_signatures, **options)
+    return compute_features(catalogue, path, X.signature_extractor(), **options)
 
 
 def compute_embeddings(catalogue, path, make_predict_fn, batch_size=384, **options):
-    return compute_features(
-        catalogue, path, lambda images: X.embeddings(images, make_predict_fn, batch_size), **options)
+    return compute_features(catalogue, path, X.model_extractor(make_predict_fn),
+                            step=batch_size, **options)

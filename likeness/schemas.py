@@ -30,11 +30,11 @@ FEATURES = T.StructType([
 
 IMAGE = T.StructType([
     T.StructField("origin", T.StringType()),
-    T.StructField("height", T.IntegerType(), False),
-    T.StructField("width", T.IntegerType(), False),
-    T.StructField("nChannels", T.IntegerType(), False),
-    T.StructField("mode", T.IntegerType(), False),
-    T.StructField("data", T.BinaryType(), False),
+    T.StructField("height", T.IntegerType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("nChannels", T.IntegerType()),
+    T.StructField("mode", T.IntegerType()),
+    T.StructField("data", T.BinaryType()),
 ])
 
 HITS = T.StructType([

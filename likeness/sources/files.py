@@ -87,25 +87,35 @@ def list_files(spark: SparkSession, folder: str, *, extensions=P.IMAGE_EXTENSION
     return first_n(files, "path", limit)
 
 
-def read_bytes(files: DataFrame) -> DataFrame:
-    """Adds ``content``: the bytes of each path, NULL when unreadable. Only the
-    files asked for are opened, in the tasks that hold their rows."""
-    schema = files.schema.add("content", "binary")
-
+def contents(paths):
+    """The bytes of each path of an Arrow column, None where it cannot be read."""
+    for path in paths.to_pylist():
+        try:
+            filesystem, inner = open_filesystem(path)
+            with filesystem.open_input_stream(inner) as stream:
+                yield stream.readall()
+        except OSError:
+            yield None
+
+
+def existing(files: DataFrame) -> DataFrame:
+    """The rows whose ``path`` names a file that is still there."""
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                piece = batch.slice(start, 64)
-                contents = []
-                for path in piece.column("path").to_pylist():
-                    try:
-                        filesystem, inner = open_filesystem(path)
-                        with filesystem.open_input_stream(inner) as stream:
-                            contents.append(stream.readall())
-                    except OSError:
-                        contents.append(None)
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(contents, pa.binary())],
-                    names=[*piece.schema.names, "content"])
+            there = []
+            for path in batch.column("path").to_pylist():
+                try:
+                    filesystem, inner = open_filesystem(path)
+                    there.append(filesystem.get_file_info(inner).type == pafs.FileType.File)
+                except OSError:
+                    there.append(False)
+            yield batch.filter(pa.array(there, pa.bool_()))
+
+    return files.mapInArrow(run, files.schema)
+
 
-    return files.mapInArrow(run, schema)
+def file_state(files: DataFrame) -> DataFrame:
+    """``path, file_size, mtime`` (epoch seconds) from rows of a Spark file source."""
+    return files.select(P.canonical_path(F.col("path")).alias("path"),
+                        F.col("length").alias("file_size"),
+                        (F.unix_micros("modificationTime") / 1e6).alias("mtime"))

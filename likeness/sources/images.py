@@ -1,20 +1,29 @@
 """Decoded images as rows of Spark's image struct (BGR bytes)."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from likeness.functions import paths as P
 from likeness.schemas import IMAGE
-from likeness.sources.files import read_bytes
+from likeness.sources.files import contents
 
+# Images held in Python at once.
+STEP = 64
 # Type codes of 8-bit images with 1, 3 and 4 channels.
 MODES = {1: 0, 3: 16, 4: 24}
 
 
 def decode_folder(spark: SparkSession, folder, modified_after: str | None = None) -> DataFrame:
     """``path, image`` through Spark's image source (JPEG, PNG, BMP, GIF). Files it
-    cannot decode have height -1. ``folder`` may be a list of paths."""
+    cannot decode have height -1. ``folder`` may be a list of paths; they are taken
+    literally."""
+    def literal(path):
+        return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+    folder = [literal(f) for f in ([folder] if isinstance(folder, str) else folder)]
     reader = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
@@ -26,22 +35,21 @@ def decode_files(files: DataFrame, decode) -> DataFrame:
     """Adds ``image``: each path read and decoded in its task by a function
     ``bytes -> uint8 array (height, width, channels) in BGR``. A file that cannot be
     read or decoded gets height -1."""
-    schema = files.schema.add("image", IMAGE)
-    names = files.columns
+    schema = T.StructType([*files.schema.fields, T.StructField("image", IMAGE)])
     kind = pa.struct([("origin", pa.string()), ("height", pa.int32()), ("width", pa.int32()),
                       ("nChannels", pa.int32()), ("mode", pa.int32()), ("data", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            images = []
-            for path, content in zip(batch.column("path").to_pylist(),
-                                     batch.column("content").to_pylist()):
-                images.append(to_struct(path, content, decode))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(images, kind)],
-                names=[*names, "image"])
-
-    return read_bytes(files).mapInArrow(run, schema)
+            for start in range(0, batch.num_rows, STEP):
+                piece = batch.slice(start, STEP)
+                paths = piece.column("path")
+                images = [to_struct(path, content, decode)
+                          for path, content in zip(paths.to_pylist(), contents(paths))]
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(images, kind)],
+                                                 names=[*piece.schema.names, "image"])
+
+    return files.mapInArrow(run, schema)
 
 
 def to_struct(path, content, decode):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from likeness.functions import paths as P
 from likeness.operators import catalogue as C
 from likeness.plans.jobs import Snapshots
+from likeness.sources.files import file_state
 
 # Fixed schema of the binary file source.
 BINARY_FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -21,9 +22,7 @@ def watch_folder(spark: SparkSession, folder: str, files_per_batch: int = 50_000
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILES)
              .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
              .load(folder))
-    return files.select(P.canonical_path(F.col("path")).alias("path"),
-                        F.col("length").alias("file_size"),
-                        (F.unix_millis("modificationTime") / 1000.0).alias("mtime"))
+    return file_state(files)
 
 
 def stream_ingest(spark: SparkSession, folder: str, snapshots: Snapshots, checkpoint: str, *,
