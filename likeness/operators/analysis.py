@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from likeness.functions.blocks import dense
 from likeness.operators.ann import IvfIndex, search_ivf
@@ -20,10 +20,9 @@ def dimension_audit(vectors: DataFrame) -> DataFrame:
     sizes = (vectors.where(F.col("vector").isNotNull())
              .groupBy(F.size("vector").alias("dim"))
              .agg(F.count(F.lit(1)).alias("rows"), F.min("image_id").alias("_lowest")))
-    # One row per length, so the cross-check below is tiny.
-    reference = sizes.agg(F.min_by("dim", "_lowest").alias("_reference"))
-    return (sizes.join(F.broadcast(reference), F.lit(True))
-            .select("dim", "rows", (F.col("dim") == F.col("_reference")).alias("is_reference")))
+    # One row per length is left, so one group for all of them is tiny.
+    reference = F.min_by("dim", "_lowest").over(Window.partitionBy(F.lit(0)))
+    return sizes.select("dim", "rows", (F.col("dim") == reference).alias("is_reference"))
 
 
 def bad_examples(vectors: DataFrame, dim: int, n: int = 3) -> DataFrame:

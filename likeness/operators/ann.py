@@ -55,17 +55,20 @@ def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size:
         raise ValueError("no vectors to index")
     if 8 * nlist * dim > BROADCAST_BYTES:
         raise ValueError(f"{nlist} centres of {dim} values are too many to broadcast")
-    usable = vectors.where((F.size("vector") == dim) & V.is_usable(F.col("vector")))
-    sample = uniform_sample(usable, "image_id", sample_size, seed)
+    # Only sampled rows are checked here; a uniform sample of all rows without its
+    # unusable ones is a uniform sample of the usable ones.
+    sample = uniform_sample(vectors, "image_id", sample_size, seed).where(F.size("vector") == dim)
     # A fixed order makes the training repeatable.
     tasks = spark.sparkContext.defaultParallelism
     training = (sample.repartition(tasks, "image_id").sortWithinPartitions("image_id")
-                .select(array_to_vector(V.unit_or_null(F.col("vector"))).alias("features")))
+                .select(V.unit_or_null(F.col("vector")).alias("unit"))
+                .where(F.col("unit").isNotNull())
+                .select(array_to_vector("unit").alias("features")))
     training.persist()
     try:
         trained_on = training.count()
         if trained_on == 0:
-            raise ValueError("no usable vectors to index")
+            raise ValueError("no usable vectors to index, or none in the sample")
         model = KMeans(k=max(2, min(nlist, trained_on)), seed=seed, maxIter=iterations,
                        distanceMeasure="cosine").fit(training) if trained_on > 1 else None
         centres = (np.array(model.clusterCenters()) if model
@@ -77,10 +80,10 @@ def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size:
                 sizes[row.prediction] = row["count"]
     finally:
         training.unpersist()
-    rows = usable.count() if trained_on >= sample_size else trained_on
+    rows = vectors.count()
     per_file = max(1, FILE_BYTES // (4 * dim))
     parts = np.ceil(sizes / trained_on * rows / per_file).astype(np.int64)
-    (assign(usable, centres, dim, parts)
+    (assign(vectors, centres, dim, parts)
      .withColumn("part", F.pmod(F.xxhash64("image_id"), F.col("parts")))
      .repartition(max(tasks, min(int(parts.sum()), 100_000)), "list_id", "part")
      .select("list_id", "image_id", "vector")

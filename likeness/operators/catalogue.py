@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from likeness.functions import paths as P
 from likeness.operators.joins import lookup
 from likeness.operators.selection import first_n
-from likeness.session import broadcast_if_small
+from likeness.session import broadcast_if_small, materialise
 
 SCAN_COLUMNS = ("image_id", "path", "file_name", "directory", "file_size", "mtime")
 
@@ -143,7 +143,7 @@ def missing_features(catalogue: DataFrame, features: DataFrame, limit: int | Non
 
 def fetch(catalogue: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
     """The catalogue rows of an id set."""
-    wanted = broadcast_if_small(ids.select("image_id").distinct(), 64)
+    wanted = broadcast_if_small(materialise(ids.select("image_id").distinct(), "ids"), 64)
     return catalogue.join(wanted, "image_id", "left_semi").select("image_id", *columns)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from likeness.functions import vectors as V
 from likeness.operators.joins import lookup
 from likeness.operators.nearest import nearest
-from likeness.session import broadcast_if_small
+from likeness.session import broadcast_if_small, materialise
 
 METRICS = ("embed", "hsv", "hog")
 
@@ -32,7 +32,9 @@ def combined_search(queries: DataFrame, embeddings: DataFrame, features: DataFra
     wanted = max(k, candidates)
     found = (retrieve(asked, wanted) if retrieve
              else nearest(asked, embeddings, wanted, dim=dim))
-    cands = found.select("query_id", "image_id", F.col("score").alias("s_embed"))
+    # Several steps below read the candidates; the search runs once.
+    cands = materialise(
+        found.select("query_id", "image_id", F.col("score").alias("s_embed")), "candidates")
     raw = candidate_scores(cands, queries, features, [m for m in METRICS[1:] if m in used],
                            hsv_dim, legacy_dim)
     return fuse(raw, used, k)

@@ -16,7 +16,8 @@ def lookup(facts: DataFrame, table: DataFrame, key: str, spread: str, how: str =
     is reduced where it lies. Otherwise both sides are shuffled; a key that holds
     more than ``hot_rows`` facts is cut by the hash of ``spread`` into parts and
     its single table row copied to each part. At most facts / hot_rows keys can be
-    that hot, so the table of hot keys stays small.
+    that hot, so the table of hot keys stays small. The facts are read several
+    times and should be a table.
     """
     asked = broadcast_if_small(facts.select(key).distinct(), 64)
     needed = table.join(asked, key, "left_semi")

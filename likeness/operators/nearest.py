@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from likeness.functions.blocks import BestK, load_units
 from likeness.schemas import HITS
-from likeness.session import broadcast_if_small
+from likeness.session import broadcast_if_small, materialise
 
 # A query set below this size is broadcast.
 QUERY_BYTES = 32 * 1024 * 1024
@@ -52,13 +52,11 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, dim: int | None =
     columns = ["list_id"] if lists else []
     queries = queries.select("query_id", "vector", *columns)
     corpus = corpus.select("image_id", "vector", *columns)
-    most = query_bytes // (8 * dim)
-    few = queries.limit(most + 1).toArrow()
-    if few.num_rows <= most:
-        hits = _scan(few, corpus, k * copies, dim, exclude_self, keep_zero, lists)
+    asked = queries.count()
+    if asked * 8 * dim <= query_bytes:
+        hits = _scan(queries.toArrow(), corpus, k * copies, dim, exclude_self, keep_zero, lists)
     else:
-        del few
-        hits = _grid(queries, corpus, k, dim, exclude_self, keep_zero, lists, block_bytes)
+        hits = _grid(queries, asked, corpus, k, dim, exclude_self, keep_zero, lists, block_bytes)
     if copies > 1:
         hits = hits.groupBy("query_id", "image_id").agg(F.max("score").alias("score"))
     return best(hits, k)
@@ -120,17 +118,18 @@ def _scan(table, corpus, k, dim, exclude_self, keep_zero, lists):
     return corpus.coalesce(tasks).mapInArrow(run, HITS)
 
 
-def _grid(queries, corpus, k, dim, exclude_self, keep_zero, lists, block_bytes):
+def _grid(queries, asked, corpus, k, dim, exclude_self, keep_zero, lists, block_bytes):
     """Both sides cut into blocks; each block pair is one group."""
     spark = corpus.sparkSession
     block_rows = max(LEAST_BLOCK_ROWS, block_bytes // (4 * dim))
     if lists:
-        plan = broadcast_if_small(list_blocks(queries, corpus, block_rows), 64)
+        plan = broadcast_if_small(
+            materialise(list_blocks(queries, corpus, block_rows), "blocks"), 64)
         queries, corpus = queries.join(plan, "list_id"), corpus.join(plan, "list_id")
         q_blocks, c_blocks = F.col("q_blocks"), F.col("c_blocks")
     else:
         q_blocks, c_blocks = map(F.lit, square_blocks(
-            queries.count(), corpus.count(), block_rows, spark.sparkContext.defaultParallelism))
+            asked, corpus.count(), block_rows, spark.sparkContext.defaultParallelism))
     keys = ["list_id", "q_block", "c_block"] if lists else ["q_block", "c_block"]
     first = F.lit(0).cast("long")
     left = (queries.withColumn("q_block", F.pmod(F.xxhash64("query_id"), q_blocks))

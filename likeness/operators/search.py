@@ -6,6 +6,7 @@ from likeness.functions import vectors as V
 from likeness.operators.joins import lookup
 from likeness.operators.nearest import nearest
 from likeness.operators.selection import first_n
+from likeness.session import materialise
 
 
 def search_embeddings(queries: DataFrame, embeddings: DataFrame, k: int = 5, *,
@@ -36,6 +37,7 @@ def search_hog(queries: DataFrame, vectors: DataFrame, k: int = 5, *, dim: int =
 
 def with_paths(hits: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Hits with the path of each image; unknown ids are dropped."""
+    hits = materialise(hits, "hits")
     return lookup(hits, catalogue.select("image_id", "path"), "image_id", spread="query_id")
 
 

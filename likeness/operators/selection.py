@@ -31,17 +31,17 @@ def uniform_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame
     pairs = df.select(sample_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
     cut = HASH_RANGE if rows <= SMALL_TABLE else min(
         HASH_RANGE, int(HASH_RANGE * (1.2 * n + 1000) / rows))
-    last = _nth(pairs.where(F.col("h") < cut), n)
+    last = _nth(pairs.where(F.col("h") < cut), n, "h", "k")
     if last is None:
-        last = _nth(pairs, n)
+        last = _nth(pairs, n, "h", "k")
     h = sample_hash(F.col(key), seed)
     return df.where((h < last.h) | ((h == last.h) & (F.col(key) <= last.k)))
 
 
-def _nth(pairs: DataFrame, n: int):
-    """The n-th smallest (h, k) pair, or None when there are fewer."""
-    head = pairs.orderBy("h", "k").limit(n)
-    row = head.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("h", "k")).alias("last")).first()
+def _nth(keys: DataFrame, n: int, *order):
+    """The n-th smallest key, or None when there are fewer rows."""
+    head = keys.orderBy(*order).limit(n)
+    row = head.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*order)).alias("last")).first()
     return row["last"] if row["n"] == n else None
 
 
@@ -55,12 +55,16 @@ def first_n(df: DataFrame, key: str, n: int | None) -> DataFrame:
     if rows <= n:
         return df
     keys = df.select(F.col(key).alias("k"))
-    if rows > SMALL_TABLE and dict(df.dtypes)[key] in ("bigint", "int"):
-        share = min(1.0, n / rows + 0.002)
-        cut = keys.approxQuantile("k", [share], 0.001)[0]
-        keys = keys.where(F.col("k") <= F.ceil(F.lit(cut)))
-    last = keys.orderBy("k").limit(n).agg(F.max("k").alias("k")).first().k
-    return df.where(F.col(key) <= F.lit(last))
+    last = None
+    if rows > SMALL_TABLE:
+        # About 10,000 sampled keys tell below which key n rows surely lie.
+        seen = [r.k for r in keys.sample(10_000 / rows, seed=1).orderBy("k").collect()]
+        place = int(1.2 * n / rows * len(seen)) + 100
+        if place < len(seen):
+            last = _nth(keys.where(F.col("k") <= F.lit(seen[place])), n, "k")
+    if last is None:
+        last = _nth(keys, n, "k")
+    return df.where(F.col(key) <= F.lit(last.k))
 
 
 def number_rows(df: DataFrame, key: str, name: str = "row_number",

@@ -40,8 +40,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after counting that the rows fit the limit."""
-    most = limit // row_bytes
-    if df.select(F.lit(1)).limit(most + 1).count() <= most:
-        return F.broadcast(df)
-    return df
+    """Hint a broadcast only after counting that the rows fit the limit. The count
+    runs ``df`` once; hand in tables, or plans that are cheap to run."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
