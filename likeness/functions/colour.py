@@ -6,9 +6,12 @@ no hot spot. The mask of an image is chosen afterwards from three counts kept pe
 bin; pixels are never joined with anything.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from likeness.functions.pixels import HS_BINS, LEAST_SHARE, LOW_S, LOW_V, V_BINS
+from likeness.schemas import FLOATS
 
 HS_TOTAL = HS_BINS[0] * HS_BINS[1]
 
@@ -18,8 +21,10 @@ def hsv_pixels(pixels: DataFrame) -> DataFrame:
     b, g, r = (F.col(c).cast("long") for c in "bgr")
     v = F.greatest(b, g, r)
     span = v - F.least(b, g, r)
-    s_unit = F.round(F.lit(float(255 << 12)) / F.nullif(v, F.lit(0))).cast("long")
-    h_unit = F.round(F.lit(float(180 << 12)) / F.nullif(span * 6.0, F.lit(0.0))).cast("long")
+    # Neither quotient is ever half-way between integers; round() would go through
+    # decimals.
+    s_unit = F.floor(F.lit(float(255 << 12)) / F.nullif(v, F.lit(0)) + 0.5)
+    h_unit = F.floor(F.lit(float(180 << 12)) / F.nullif(span * 6.0, F.lit(0.0)) + 0.5)
     side = F.when(v == r, g - b).when(v == g, b - r + span * 2).otherwise(r - g + span * 4)
     h = F.when(span > 0, F.shiftright(side * h_unit + 2048, 12)).otherwise(0)
     s = F.when(v > 0, F.shiftright(span * s_unit + 2048, 12)).otherwise(0)
@@ -85,11 +90,19 @@ def histograms(pixels: DataFrame) -> DataFrame:
 
 def dense(bins: DataFrame, total: int) -> DataFrame:
     """``image_id, vector`` from ``image_id, bin, value``; empty bins become 0."""
-    entries = F.map_from_entries(F.collect_list(F.struct("bin", "value")))
-    held = bins.groupBy("image_id").agg(entries.alias("held"))
-    value = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(total - 1).cast("long")),
-                        lambda i: F.coalesce(F.element_at("held", i), F.lit(0.0)))
-    return held.select("image_id", value.cast("array<float>").alias("vector"))
+    held = bins.groupBy("image_id").agg(
+        F.collect_list(F.struct("bin", "value")).alias("entries"))
+
+    @F.arrow_udf(FLOATS)
+    def scatter(entries: pa.Array) -> pa.Array:
+        rows = np.repeat(np.arange(len(entries)), entries.value_lengths().to_numpy())
+        flat = entries.flatten()
+        out = np.zeros((len(entries), total), np.float32)
+        out[rows, flat.field("bin").to_numpy()] = flat.field("value").to_numpy()
+        ends = np.arange(len(entries) + 1, dtype=np.int32) * total
+        return pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
+
+    return held.select("image_id", scatter("entries").alias("vector"))
 
 
 def descriptors(pixels: DataFrame) -> DataFrame:

@@ -42,13 +42,14 @@ def unit(rows: np.ndarray, least: float = 0.0) -> np.ndarray:
     return rows / np.where(length > least, length, np.nan)
 
 
-@lru_cache(maxsize=256)
-def axis_weights(source: int, target: int, how: str) -> np.ndarray:
-    """(target x source) matrix that resamples one axis.
-
-    ``area``: overlap of each target cell with the source cells. ``near``: what
-    area averaging becomes for enlargement, a blend only where a target cell crosses
-    a source border. ``linear``: between the two nearest centres.
+@lru_cache(maxsize=64)
+def axis_weights(source: int, target: int, how: str):
+    """Bands of the (target x source) matrix that resamples one axis.
+
+    ``area``: overlap of each target cell with the source cells. ``linear``: between
+    the two nearest centres. ``near``: what area averaging becomes for enlargement, a
+    blend only where a target cell crosses a source border. Each band covers some
+    target cells and just the source rows they need.
     """
     step = source / target
     at = np.arange(target)
@@ -57,20 +58,33 @@ def axis_weights(source: int, target: int, how: str) -> np.ndarray:
         low, high = at[:, None] * step, (at[:, None] + 1) * step
         cell = np.arange(source)[None, :]
         weights = np.clip(np.minimum(high, cell + 1) - np.maximum(low, cell), 0.0, None) / step
-        return weights
-    if how == "near":
-        left = np.floor(at * step).astype(int)
-        share = np.maximum((at + 1) - (left + 1) / step, 0.0)
-        share -= np.floor(share)
     else:
-        centre = (at + 0.5) * step - 0.5
-        left = np.floor(centre).astype(int)
-        share = np.where((left < 0) | (left >= source - 1), 0.0, centre - left)
-    left = np.clip(left, 0, source - 1)
-    right = np.minimum(left + 1, source - 1)
-    np.add.at(weights, (at, left), 1.0 - share)
-    np.add.at(weights, (at, right), share)
-    return weights
+        if how == "near":
+            left = np.floor(at * step).astype(int)
+            share = np.maximum((at + 1) - (left + 1) / step, 0.0)
+            share -= np.floor(share)
+        else:
+            centre = (at + 0.5) * step - 0.5
+            left = np.floor(centre).astype(int)
+            share = np.where((left < 0) | (left >= source - 1), 0.0, centre - left)
+        left = np.clip(left, 0, source - 1)
+        np.add.at(weights, (at, left), 1.0 - share)
+        np.add.at(weights, (at, np.minimum(left + 1, source - 1)), share)
+    bands = []
+    for start in range(0, target, 8):
+        used = np.flatnonzero(weights[start:start + 8].any(axis=0))
+        rows = slice(used[0], used[-1] + 1)
+        bands.append((slice(start, start + 8), rows, np.ascontiguousarray(weights[start:start + 8, rows])))
+    return bands
+
+
+def resample(image: np.ndarray, target: int, how: str) -> np.ndarray:
+    """Axis 0 of an image resampled to ``target`` rows."""
+    flat = image.reshape(len(image), -1)
+    out = np.empty((target, flat.shape[1]))
+    for place, rows, weights in axis_weights(len(image), target, how):
+        np.matmul(weights, flat[rows].astype(np.float64), out=out[place])
+    return out.reshape((target,) + image.shape[1:])
 
 
 def resize(image: np.ndarray, size: int, how: str = "area") -> np.ndarray:
@@ -80,30 +94,36 @@ def resize(image: np.ndarray, size: int, how: str = "area") -> np.ndarray:
     sides averages four pixels under either method.
     """
     height, width = image.shape[:2]
+    if height == size and width == size:
+        return image
     halved = height == 2 * size and width == 2 * size
-    if halved or (how == "area" and height >= size and width >= size):
-        kind = "area"
-    else:
-        kind = "near" if how == "area" else "linear"
-    rows, cols = axis_weights(height, size, kind), axis_weights(width, size, kind)
-    planes = image.reshape(height, width, -1).transpose(2, 0, 1).astype(np.float64)
-    mixed = np.round(rows @ planes @ cols.T, 9)
+    area = halved or (how == "area" and height >= size and width >= size)
+
+    kind = "area" if area else "near" if how == "area" else "linear"
+    turned = resample(image, size, kind).swapaxes(0, 1)
+    mixed = np.round(resample(turned, size, kind).swapaxes(0, 1), 9)
     # Area means round half to even, blends and four-pixel means half up.
-    whole = np.rint(mixed) if kind == "area" and not halved else np.floor(mixed + 0.5)
-    return np.clip(whole, 0, 255).astype(np.uint8).transpose(1, 2, 0).reshape(
-        (size, size) + image.shape[2:])
+    whole = np.rint(mixed) if area and not halved else np.floor(mixed + 0.5)
+    return np.clip(whole, 0, 255).astype(np.uint8)
+
+
+@lru_cache(maxsize=1)
+def fixed_point_units():
+    """12-bit reciprocals for saturation and hue by brightness or channel span."""
+    at = np.maximum(np.arange(256), 1)
+    return (np.rint((255 << 12) / at).astype(np.int32),
+            np.rint((180 << 12) / (6.0 * at)).astype(np.int32))
 
 
 def bgr_to_hsv(bgr: np.ndarray):
     """(h, s, v) as int arrays; hue 0..179 in two-degree steps, in 12-bit fixed point."""
-    b, g, r = (bgr[..., i].astype(np.int64) for i in range(3))
+    b, g, r = (bgr[..., i].astype(np.int32) for i in range(3))
     v = np.maximum(np.maximum(b, g), r)
     span = v - np.minimum(np.minimum(b, g), r)
-    s_unit = np.rint((255 << 12) / np.maximum(v, 1)).astype(np.int64)
-    h_unit = np.rint((180 << 12) / (6.0 * np.maximum(span, 1))).astype(np.int64)
-    s = np.where(v > 0, (span * s_unit + 2048) >> 12, 0)
+    s_unit, h_unit = fixed_point_units()
+    s = (span * s_unit[v] + 2048) >> 12
     side = np.where(v == r, g - b, np.where(v == g, b - r + 2 * span, r - g + 4 * span))
-    h = np.where(span > 0, (side * h_unit + 2048) >> 12, 0)
+    h = (side * h_unit[span] + 2048) >> 12
     return np.where(h < 0, h + 180, h), s, v
 
 
@@ -148,8 +168,8 @@ def colour_signatures(bgr: np.ndarray, bins=(8, 8)) -> np.ndarray:
 
 def grey(bgr: np.ndarray) -> np.ndarray:
     """Luma in 15-bit fixed point (weights .114, .587, .299)."""
-    weights = np.array([3735, 19235, 9798], dtype=np.int64)
-    return ((bgr.astype(np.int64) @ weights + (1 << 14)) >> 15).astype(np.uint8)
+    b, g, r = (bgr[..., i].astype(np.int32) for i in range(3))
+    return ((3735 * b + 19235 * g + 9798 * r + (1 << 14)) >> 15).astype(np.uint8)
 
 
 @lru_cache(maxsize=1)
