@@ -102,7 +102,7 @@ def with_nulls(vectors, rows, count):
         filled[np.asarray(rows)[good]] = True
         flat, width = vectors[good].astype(np.float32).ravel(), vectors.shape[1]
     ends = np.concatenate([[0], np.cumsum(filled * width)]).astype(np.int32)
-    return pa.ListArray.from_arrays(ends, pa.array(flat), mask=pa.array(~filled))
+    return pa.ListArray.from_arrays(ends, pa.array(flat), mask=pa.array(~filled, pa.bool_()))
 
 
 def hsv_extractor():

@@ -1,7 +1,7 @@
 """Whole jobs as a user calls them: ingest a folder, purge, compute features."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likeness.functions import paths as P
 from likeness.operators import catalogue as C
@@ -76,42 +76,36 @@ def compute_features(catalogue: DataFrame, path: str, extractor: X.Extractor, *,
     """
     spark = catalogue.sparkSession
     decode = decode or library_decoder()
-    todo = C.missing_features(catalogue, read_features(spark, path, FEATURES), limit)
-    todo = todo.select("image_id", "path", "file_size", "mtime")
-    total = {"ok": 0, "failed": 0, "processed": 0}
+    held = read_features(spark, path, FEATURES)
+    before = held.count()
+    todo = C.missing_features(catalogue, held, limit).select("image_id", "path", "file_size", "mtime")
     if decode:
+        processed = todo.count()
         tasks = 4 * spark.sparkContext.defaultParallelism
-        done = X.extract_files(todo.repartition(tasks, "image_id"), {"vector": extractor}, decode, step)
-        return _append(done, path, shards, total)
-    last = 0
-    while True:
-        rows = first_n(todo.where(F.col("image_id") > last), "image_id", page)
-        rows = rows.orderBy("image_id").collect()  # at most one page of paths
-        if not rows:
-            return total
-        last = rows[-1].image_id
-        part = spark.createDataFrame(rows, todo.schema)
-        gone = len(rows)
-        rows = existing(part).select("path").collect()
-        if rows:
-            found = decode_folder(spark, [r.path for r in rows])
-            images = found.join(F.broadcast(part), "path").drop("path")
-            _append(X.extract(images, {"vector": extractor}, step), path, shards, total)
-        gone -= len(rows)
-        total["failed"] += gone
-        total["processed"] += gone
-
-
-def _append(done, path, shards, total):
-    counts = Observation()
-    has = F.col("vector").isNotNull()
-    done = done.select(*FEATURES.names).observe(
-        counts, F.count_if(has).alias("ok"), F.count_if(~has).alias("failed"),
-        F.count(F.lit(1)).alias("processed"))
-    append_features(done.where(has), path, shards)
-    for name, value in counts.get.items():
-        total[name] += value
-    return total
+        files = todo.repartition(tasks, "image_id")
+        _append(X.extract_files(files, {"vector": extractor}, decode, step), path, shards)
+    else:
+        processed = sum(len(rows) for rows in _decode_pages(todo, page, lambda images: _append(
+            X.extract(images, {"vector": extractor}, step), path, shards)))
+    ok = read_features(spark, path, FEATURES).count() - before
+    return {"ok": ok, "failed": processed - ok, "processed": processed}
+
+
+def _decode_pages(todo, page, work):
+    """Hand the images of each page of files, in id order, to ``work``."""
+    spark, last = todo.sparkSession, 0
+    while rows := first_n(todo.where(F.col("image_id") > last), "image_id", page).collect():
+        # At most one page of paths is held here.
+        last = max(r.image_id for r in rows)
+        listed = spark.createDataFrame(rows, todo.schema)
+        there = [r.path for r in existing(listed).select("path").collect()]
+        if there:
+            work(decode_folder(spark, there).join(F.broadcast(listed), "path").drop("path"))
+        yield rows
+
+
+def _append(done, path, shards):
+    append_features(done.where(F.col("vector").isNotNull()).select(*FEATURES.names), path, shards)
 
 
 def current_features(catalogue: DataFrame, features: DataFrame, name: str) -> DataFrame:

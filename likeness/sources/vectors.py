@@ -17,7 +17,7 @@ def _lists(vectors):
     present = [v for v in vectors if v is not None]
     flat = np.concatenate(present) if present else np.empty(0, np.float32)
     return pa.ListArray.from_arrays(ends, pa.array(flat.astype(np.float32)),
-                                    mask=pa.array([v is None for v in vectors]))
+                                    mask=pa.array([v is None for v in vectors], pa.bool_()))
 
 
 def from_blobs(table: DataFrame, column: str, dtype: str = "float32") -> DataFrame:
