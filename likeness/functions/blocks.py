@@ -5,8 +5,9 @@ import pyarrow as pa
 
 # Score matrices are built in pieces of at most this many cells.
 PIECE_CELLS = 2_000_000
-# Scores closer than this count as tied and are ordered by id.
+# Scores equal to this many digits count as tied and are ordered by id.
 TIE_DIGITS = 12
+LAST_ID = np.iinfo(np.int64).max
 
 
 def dense(column, dim):
@@ -48,55 +49,72 @@ def load_units(column, dim, keep_zero):
 class BestK:
     """The k best (score, id) per query over all blocks seen so far.
 
-    Ties are ordered by smaller id. ``offer`` costs one matrix product and one
-    comparison pass; once the lists are full, few cells pass the comparison.
+    Ties are ordered by smaller id. A block is first scored in single precision.
+    Only cells that can reach the list, given the rounding error of that product,
+    are scored again in double precision; once the lists are full these are few.
     """
 
     def __init__(self, count, k):
         self.k = k
         self.scores = np.full((count, k), -np.inf)
-        self.ids = np.full((count, k), np.iinfo(np.int64).max, dtype=np.int64)
+        self.ids = np.full((count, k), LAST_ID, dtype=np.int64)
 
     def offer(self, queries, units, ids, rows=None, own=None):
-        """``rows`` names the lists the given queries belong to; ``own`` holds
-        for each of them an id that must not be offered."""
+        """``rows`` names the lists the given queries belong to; ``own`` holds for each
+        of them an id that must not be offered. Rows must be distinct."""
         if not len(units) or not len(queries):
             return
         rows = np.arange(len(queries)) if rows is None else rows
+        light = units.astype(np.float32)
         step = max(1, PIECE_CELLS // len(units))
         for start in range(0, len(queries), step):
             part = slice(start, start + step)
-            self._piece(queries[part] @ units.T, ids, rows[part],
+            self._piece(queries[part], units, light, ids, rows[part],
                         None if own is None else own[part])
 
-    def _piece(self, scores, ids, rows, own):
+    def _piece(self, queries, units, light, ids, rows, own):
+        rough = queries.astype(np.float32) @ light.T
         if own is not None:
             order = np.argsort(ids, kind="stable")
             low = np.searchsorted(ids[order], own, "left")
             high = np.searchsorted(ids[order], own, "right")
             for i in np.flatnonzero(high > low):
-                scores[i, order[low[i]:high[i]]] = -np.inf
-        bound = self.scores[rows, -1]
-        slack = 10.0 ** -(TIE_DIGITS - 1)
-        if scores.shape[1] > 4 * self.k and np.isneginf(bound).any():
-            kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, -self.k]
-            bound = np.maximum(bound, kth)
-        hit_row, hit_col = np.nonzero((scores >= (bound - slack)[:, None]) & (scores > -np.inf))
-        if not len(hit_row):
+                rough[i, order[low[i]:high[i]]] = -np.inf
+        # No product of two unit rows is further off than this.
+        error = (units.shape[1] + 8) * 2.0 ** -23
+        worst, worst_id = self.scores[rows, -1], self.ids[rows, -1]
+        bound = worst - error
+        if rough.shape[1] > 4 * self.k and np.isneginf(worst).any():
+            kth = np.partition(rough, rough.shape[1] - self.k, axis=1)[:, -self.k]
+            bound = np.maximum(bound, kth - 2 * error)
+        near, col = np.nonzero((rough >= bound[:, None]) & (rough > -np.inf))
+        if not len(near):
             return
-        touched = np.unique(hit_row)
-        old = self.k * len(touched)
-        lists = np.concatenate([np.repeat(touched, self.k), hit_row])
-        value = np.concatenate([self.scores[rows[touched]].ravel(),
-                                np.round(scores[hit_row, hit_col], TIE_DIGITS)])
-        name = np.concatenate([self.ids[rows[touched]].ravel(), ids[hit_col]])
-        assert len(lists) >= old
+        if len(near) > rough.size // 20:
+            value = (queries @ units.T)[near, col]
+        else:
+            value = np.einsum("ij,ij->i", queries[near], units[col])
+        value, name = np.round(value, TIE_DIGITS), ids[col]
+        better = (value > worst[near]) | ((value == worst[near]) & (name < worst_id[near]))
+        self._merge(rows, near[better], value[better], name[better])
+
+    def _merge(self, rows, lists, value, name):
+        """Put new entries for ``rows[lists]`` into their lists."""
+        touched = np.unique(lists)
+        held = self.scores[rows[touched]]
+        old_list, old_place = np.nonzero(held > -np.inf)
+        lists = np.concatenate([touched[old_list], lists])
+        value = np.concatenate([held[old_list, old_place], value])
+        name = np.concatenate([self.ids[rows[touched]][old_list, old_place], name])
         order = np.lexsort((name, -value, lists))
         first = np.searchsorted(lists[order], touched)
-        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-        kept = order[rank < self.k]
-        self.scores[rows[touched]] = value[kept].reshape(len(touched), self.k)
-        self.ids[rows[touched]] = name[kept].reshape(len(touched), self.k)
+        counts = np.diff(np.append(first, len(order)))
+        rank = np.arange(len(order)) - np.repeat(first, counts)
+        kept = rank < self.k
+        place, order = rank[kept], order[kept]
+        target = rows[lists[order]]
+        self.scores[target, place] = value[order]
+        self.ids[target, place] = name[order]
 
     def batch(self, query_ids):
         filled = self.scores > -np.inf

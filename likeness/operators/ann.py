@@ -41,7 +41,7 @@ class IvfIndex:
 
 
 def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size: int = 200_000,
-              dim: int | None = None, seed: int = 42, iterations: int = 20,
+              dim: int | None = None, seed: int = 42, iterations: int = 10,
               limit: int | None = None) -> IvfIndex:
     """Train the centres on a uniform sample, assign every usable vector to its
     nearest centre and write the lists.

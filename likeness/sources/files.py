@@ -18,6 +18,7 @@ from likeness.functions import paths as P
 from likeness.operators.selection import first_n
 from likeness.session import fresh_dir
 
+ROWS = 10_000
 ENTRIES = "path string, is_folder boolean, file_size long, mtime double"
 
 
@@ -43,17 +44,21 @@ def walk_level(folders: DataFrame) -> DataFrame:
                     continue
                 prefix = f"{scheme}://" if mark and scheme != "file" else ""
                 infos = [i for i in infos if i.type in (pafs.FileType.File, pafs.FileType.Directory)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([prefix + i.path for i in infos], pa.string()),
-                     pa.array([i.type == pafs.FileType.Directory for i in infos], pa.bool_()),
-                     pa.array([i.size for i in infos], pa.int64()),
-                     pa.array([None if i.mtime_ns is None else i.mtime_ns / 1e9 for i in infos],
-                              pa.float64())],
-                    names=["path", "is_folder", "file_size", "mtime"])
+                for start in range(0, len(infos), ROWS):
+                    yield entry_batch(infos[start:start + ROWS], prefix)
 
     return folders.select("path").mapInArrow(run, ENTRIES)
 
 
+def entry_batch(infos, prefix):
+    times = [None if i.mtime_ns is None else i.mtime_ns / 1e9 for i in infos]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([prefix + i.path for i in infos], pa.string()),
+         pa.array([i.type == pafs.FileType.Directory for i in infos], pa.bool_()),
+         pa.array([i.size for i in infos], pa.int64()), pa.array(times, pa.float64())],
+        names=["path", "is_folder", "file_size", "mtime"])
+
+
 def list_files(spark: SparkSession, folder: str, *, extensions=P.IMAGE_EXTENSIONS,
                skip=P.SKIP_NAMES, hidden: bool = False, limit: int | None = None) -> DataFrame:
     """``path, file_size, mtime`` of the image files below ``folder``.

@@ -291,7 +291,7 @@ def test_combined_search_through_an_index(spark, index):
     vectors, table, ivf = index
     parts = features(spark, vectors)
     asked = parts.withColumnRenamed("image_id", "query_id").join(
-        frame(spark, vectors, "query_id").withColumnRenamed("vector", "embedding"), "query_id").limit(20)
+        frame(spark, vectors, "query_id").withColumnRenamed("vector", "embedding"), "query_id").where("query_id < 20")
     exact = fusion.combined_search(asked, table, parts, 5, candidates=30, hsv_dim=8, legacy_dim=6)
     through = fusion.combined_search(asked, table, parts, 5, candidates=30, hsv_dim=8, legacy_dim=6,
                                      retrieve=lambda q, k: ann.search_ivf(ivf, q, k, nprobe=12))

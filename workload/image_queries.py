@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from likeness.functions import colour, vectors as V
 from likeness.operators import features as X
-from likeness.plans import jobs
+from likeness.plans import find, jobs
 from likeness.schemas import FEATURES
 from likeness.session import fresh_dir
 from likeness.sources.vectors import read_features
@@ -292,3 +292,38 @@ def query_features(spark, sf):
     columns = {"embed": "embedding", "hsv": "hsv_vector", "hog": "hog_vector"}
     return rows.select("query_id", *[F.size(c).alias(f"{n}_dim") for n, c in columns.items()],
                        *[F.round(V.norm(F.col(c)), 5).alias(f"{n}_length") for n, c in columns.items()])
+
+
+@query("find_similar_images", LARGE_HSV.rstrip() + """, unit AS (
+  SELECT image_id, bin, value / sqrt(sum(value * value) OVER (PARTITION BY image_id)) AS value FROM filled),
+pairs AS (
+  SELECT q.image_id AS query_id, c.image_id, sum(q.value * c.value) AS score
+  FROM unit q JOIN unit c ON q.bin = c.bin GROUP BY q.image_id, c.image_id)
+SELECT query_id, CAST(place AS INTEGER) AS "rank", round(score, 4) + 0.0 AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS place FROM pairs)
+WHERE place <= 5 AND image_id IN (SELECT doc_id FROM documents)""")
+def find_similar_images(spark, sf):
+    """Images to similar images by colour, features computed on both sides."""
+    rows = I.images(spark, sf)
+    known = I.files(spark, sf).withColumnRenamed("doc_id", "image_id")
+    held = X.hsv_vectors(rows)
+    hits = find.find_similar(rows.withColumnRenamed("image_id", "query_id"), held, known, 5)
+    return hits.select("query_id", "rank", (F.round("score", 4) + 0.0).alias("score"))
+
+
+@query("find_combined_images", """
+SELECT vec_id AS query_id, CAST(1 AS INTEGER) AS "rank", vec_id AS image_id, 1::DOUBLE AS score FROM embeddings
+WHERE vec_id IN (SELECT doc_id FROM documents)""")
+def find_combined_images(spark, sf):
+    """Images to similar images by all three features; each finds itself first."""
+    rows = I.images(spark, sf)
+    known = I.files(spark, sf).withColumnRenamed("doc_id", "image_id")
+    held = X.query_features(rows, I.pooled_model).withColumnRenamed("query_id", "image_id")
+    path = fresh_dir(spark, "held")
+    held.write.parquet(path)
+    held = spark.read.parquet(path)
+    hits = find.find_combined(
+        rows.withColumnRenamed("image_id", "query_id"),
+        held.select("image_id", F.col("embedding").alias("vector")), held, known, I.pooled_model, 3, candidates=50)
+    first = hits.where(F.col("rank") == 1)
+    return first.select("query_id", "rank", "image_id", F.round("score", 6).alias("score"))

@@ -232,12 +232,13 @@ def _planes(vectors: pd.Series) -> pd.Series:
 
 
 def images(spark, sf) -> DataFrame:
-    """One 8 x 8 colour image per embedding."""
-    data = _planes("embedding")
+    """One 8 x 8 colour image per embedding. The small vectors are spread over all
+    tasks before the costly work on images begins."""
     parts = [F.lit("").alias("origin"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"),
-             F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data")]
-    return table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("image_id"), F.struct(*parts).cast(IMAGE).alias("image"))
+             F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), _planes("embedding").alias("data")]
+    spread = table(spark, sf, "embeddings").select("vec_id", "embedding").repartition(
+        spark.sparkContext.defaultParallelism, "vec_id")
+    return spread.select(F.col("vec_id").alias("image_id"), F.struct(*parts).cast(IMAGE).alias("image"))
 
 
 IMAGES = f"""
