@@ -46,6 +46,28 @@ def load_units(column, dim, keep_zero):
     return units, rows[kept]
 
 
+def thin_copies(units, ids, keep):
+    """(units, ids) without copies of one vector beyond its ``keep`` smallest ids.
+
+    Equal vectors have equal scores, so under ties by id no other copy can be among
+    the best. This keeps a block that is full of copies as cheap as any other. Rows
+    are grouped by one projection; only rows found equal in full are dropped.
+    """
+    if len(units) <= keep:
+        return units, ids
+    mark = units @ np.cos(np.arange(units.shape[1]) + 1.0)
+    order = np.lexsort((ids, mark))
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(mark[order]) != 0]))
+    ends = np.append(starts[1:], len(order))
+    drop = np.zeros(len(units), bool)
+    for start, end in zip(starts, ends):
+        if end - start > keep:
+            group = order[start:end]
+            same = group[(units[group] == units[group[0]]).all(axis=1)]
+            drop[same[keep:]] = True
+    return (units[~drop], ids[~drop]) if drop.any() else (units, ids)
+
+
 class BestK:
     """The k best (score, id) per query over all blocks seen so far.
 

@@ -186,8 +186,8 @@ def search_ivf(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int =
         probed = [row.list_id for row in probes.select("list_id").distinct().toLocalIterator()]
         if len(probed) < len(index.centres):
             lists = lists.where(F.col("list_id").isin(probed))
-    return nearest(probes, lists.withColumn("list_id", F.col("list_id").cast("long")), k,
-                   dim=index.dim, exclude_self=exclude_self, lists=True, **sizes)
+    return nearest(queries, lists.withColumn("list_id", F.col("list_id").cast("long")), k,
+                   dim=index.dim, exclude_self=exclude_self, probes=probes, **sizes)
 
 
 def hash_buckets(vectors: DataFrame, id_column: str, dim: int, tables: int, bits: int,
@@ -219,9 +219,9 @@ def search_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, tables: int
     dim = dim or common_dim(queries)
     if dim is None:
         return nearest(queries, corpus, 0)
-    return nearest(hash_buckets(queries, "query_id", dim, tables, bits, seed),
-                   hash_buckets(corpus, "image_id", dim, tables, bits, seed), k, dim=dim,
-                   exclude_self=exclude_self, lists=True, copies=tables, **sizes)
+    return nearest(queries, hash_buckets(corpus, "image_id", dim, tables, bits, seed), k, dim=dim,
+                   probes=hash_buckets(queries, "query_id", dim, tables, bits, seed),
+                   exclude_self=exclude_self, copies=tables, **sizes)
 
 
 def search_ann(queries: DataFrame, corpus: DataFrame | IvfIndex, k: int = 5, *,

@@ -9,8 +9,9 @@ inside Arrow batches and only the k best per query and block leave a task:
   block pair that can hold an answer is scored by one task. A list that holds
   far more rows than the others is simply cut into more blocks.
 
-``lists`` restricts the pairs: a query only meets corpus rows that share a value
-of ``list_id`` with it (inverted-file cells or hash buckets).
+``probes`` restricts the pairs: a query only meets corpus rows that share a value
+of ``list_id`` with it (inverted-file cells or hash buckets). Copies of one vector
+are thinned out inside each block before scoring, which changes no result.
 """
 
 import math
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from likeness.functions.blocks import BestK, load_units
+from likeness.functions.blocks import BestK, load_units, thin_copies
 from likeness.schemas import HITS
 from likeness.session import broadcast_if_small, materialise
 
@@ -27,36 +28,44 @@ from likeness.session import broadcast_if_small, materialise
 QUERY_BYTES = 32 * 1024 * 1024
 # One block of one side stays below this size.
 BLOCK_BYTES = 32 * 1024 * 1024
+# Nor does it hold more rows than this, which bounds the work on one block pair.
+MOST_BLOCK_ROWS = 8192
 # Blocks are not cut below this many rows for the sake of parallel tasks.
 LEAST_BLOCK_ROWS = 256
+# Block pairs are spread over at most this many tasks.
+MOST_PARTS = 50_000
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, dim: int | None = None,
-            exclude_self: bool = False, keep_zero: bool = False, lists: bool = False,
+            exclude_self: bool = False, keep_zero: bool = False, probes: DataFrame | None = None,
             copies: int = 1, query_bytes: int = QUERY_BYTES,
             block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(query_id, rank, image_id, score)``, at most ``k`` rows per query.
 
-    queries: ``query_id, vector`` (and ``list_id``, one row per list);
-    corpus: ``image_id, vector`` (and ``list_id``). Rows whose vector is NULL, of
-    another length than ``dim`` or not finite are left out, zero vectors too
-    unless ``keep_zero`` (they then score 0). ``exclude_self`` drops the corpus
-    row whose id equals the query's. ``copies`` says in how many lists one corpus
-    row may appear. Ties go to the smaller id.
+    queries: ``query_id, vector``; corpus: ``image_id, vector``, ids unique on both
+    sides. Rows whose vector is NULL, of another length than ``dim`` or not finite are
+    left out, zero vectors too unless ``keep_zero`` (they then score 0).
+    ``exclude_self`` drops the corpus row whose id equals the query's. Ties go to the
+    smaller id.
+
+    ``probes`` (``query_id, vector, list_id``) names the lists each query looks into;
+    the corpus then has a ``list_id`` too. ``copies`` says in how many lists one
+    corpus row may appear.
     """
     if dim is None:
         dim = common_dim(queries)
     if dim is None or k <= 0:
         return queries.sparkSession.createDataFrame([], HITS).select(
             "query_id", F.lit(0).alias("rank"), "image_id", "score")
-    columns = ["list_id"] if lists else []
-    queries = queries.select("query_id", "vector", *columns)
-    corpus = corpus.select("image_id", "vector", *columns)
+    queries = queries.select("query_id", "vector")
+    corpus = corpus.select("image_id", "vector", *(["list_id"] if probes is not None else []))
     asked = queries.count()
-    if asked * 8 * dim <= query_bytes:
-        hits = _scan(queries.toArrow(), corpus, k * copies, dim, exclude_self, keep_zero, lists)
+    probed = 0 if probes is None else probes.count()
+    if asked * 8 * dim + probed * 16 <= query_bytes:
+        lists = None if probes is None else probes.select("query_id", "list_id").toArrow()
+        hits = _scan(queries.toArrow(), lists, corpus, k, copies, dim, exclude_self, keep_zero)
     else:
-        hits = _grid(queries, asked, corpus, k, dim, exclude_self, keep_zero, lists, block_bytes)
+        hits = _grid(queries, asked, probes, corpus, k, dim, exclude_self, keep_zero, block_bytes)
     if copies > 1:
         hits = hits.groupBy("query_id", "image_id").agg(F.max("score").alias("score"))
     return best(hits, k)
@@ -77,7 +86,7 @@ def common_dim(vectors: DataFrame) -> int | None:
     return row.n if row else None
 
 
-def _scan(table, corpus, k, dim, exclude_self, keep_zero, lists):
+def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero):
     """Corpus scanned in place against a broadcast query matrix."""
     units, rows = load_units(table["vector"], dim, True)
     # A query without direction scores 0 everywhere; it only has hits where the
@@ -85,32 +94,38 @@ def _scan(table, corpus, k, dim, exclude_self, keep_zero, lists):
     if not keep_zero:
         alive = np.einsum("ij,ij->i", units, units) > 0
         units, rows = units[alive], rows[alive]
-    names = table["query_id"].to_numpy()[rows].astype(np.int64)
-    ids, owner = np.unique(names, return_inverse=True)
+    ids = table["query_id"].to_numpy()[rows].astype(np.int64)
+    order = np.argsort(ids)
+    ids, units = ids[order], units[order]
     groups = None
-    if lists:
-        cells = table["list_id"].to_numpy()[rows].astype(np.int64)
-        groups = {int(c): np.flatnonzero(cells == c) for c in np.unique(cells)}
+    if lists is not None:
+        place = np.searchsorted(ids, lists["query_id"].to_numpy())
+        known = np.flatnonzero(np.append(ids, -1)[place] == lists["query_id"].to_numpy())
+        cells, place = lists["list_id"].to_numpy()[known], place[known]
+        by_cell = np.argsort(cells, kind="stable")
+        names, starts = np.unique(cells[by_cell], return_index=True)
+        groups = dict(zip(names.tolist(), np.split(place[by_cell], starts[1:])))
     spark = corpus.sparkSession
-    shared = spark.sparkContext.broadcast((ids, owner, units, groups))
+    shared = spark.sparkContext.broadcast((ids, units, groups))
+    spare = k + exclude_self
 
     def run(batches):
-        ids, owner, units, groups = shared.value
-        found = BestK(len(ids), k)
+        ids, units, groups = shared.value
+        # A row found in several lists may hold that many places for now.
+        found = BestK(len(ids), k * copies)
         for batch in batches:
             block, kept = load_units(batch.column("vector"), dim, keep_zero)
             names = batch.column("image_id").to_numpy(zero_copy_only=False)[kept]
             if groups is None:
-                found.offer(units, block, names, owner, ids[owner] if exclude_self else None)
+                found.offer(units, *thin_copies(block, names, spare), None, ids if exclude_self else None)
                 continue
             cells = batch.column("list_id").to_numpy(zero_copy_only=False)[kept]
             for cell in np.unique(cells):
                 asking = groups.get(int(cell))
                 if asking is not None:
                     inside = cells == cell
-                    who = owner[asking]
-                    found.offer(units[asking], block[inside], names[inside], who,
-                                ids[who] if exclude_self else None)
+                    found.offer(units[asking], *thin_copies(block[inside], names[inside], spare), asking,
+                                ids[asking] if exclude_self else None)
         yield found.batch(ids)
 
     # Fewer, longer tasks: each hands on k rows per query however much it read.
@@ -118,26 +133,33 @@ def _scan(table, corpus, k, dim, exclude_self, keep_zero, lists):
     return corpus.coalesce(tasks).mapInArrow(run, HITS)
 
 
-def _grid(queries, asked, corpus, k, dim, exclude_self, keep_zero, lists, block_bytes):
+def _grid(queries, asked, probes, corpus, k, dim, exclude_self, keep_zero, block_bytes):
     """Both sides cut into blocks; each block pair is one group."""
     spark = corpus.sparkSession
-    block_rows = max(LEAST_BLOCK_ROWS, block_bytes // (4 * dim))
-    if lists:
-        plan = broadcast_if_small(
-            materialise(list_blocks(queries, corpus, block_rows), "blocks"), 64)
-        queries, corpus = queries.join(plan, "list_id"), corpus.join(plan, "list_id")
+    tasks = spark.sparkContext.defaultParallelism
+    block_rows = max(LEAST_BLOCK_ROWS, min(MOST_BLOCK_ROWS, block_bytes // (4 * dim)))
+    if probes is not None:
+        plan = materialise(list_blocks(probes, corpus, block_rows), "blocks")
+        cells, moved = plan.agg(F.sum("cells"), F.sum("moved")).first()
+        plan = broadcast_if_small(plan.select("list_id", "q_blocks", "c_blocks"), 64)
+        queries, corpus = probes.join(plan, "list_id"), corpus.join(plan, "list_id")
         q_blocks, c_blocks = F.col("q_blocks"), F.col("c_blocks")
     else:
-        q_blocks, c_blocks = map(F.lit, square_blocks(
-            asked, corpus.count(), block_rows, spark.sparkContext.defaultParallelism))
-    keys = ["list_id", "q_block", "c_block"] if lists else ["q_block", "c_block"]
+        held = corpus.count()
+        sides = square_blocks(asked, held, block_rows, 4 * tasks)
+        cells, moved = asked * held, asked * sides[1] + held * sides[0]
+        q_blocks, c_blocks = map(F.lit, sides)
+    keys = ["q_block", "c_block"] if probes is None else ["list_id", "q_block", "c_block"]
+    parts = max((cells or 0) // MOST_BLOCK_ROWS ** 2, (moved or 0) * 4 * dim // (2 * BLOCK_BYTES))
+    parts = max(4 * tasks if probes is None else tasks, min(int(parts), MOST_PARTS))
     first = F.lit(0).cast("long")
     left = (queries.withColumn("q_block", F.pmod(F.xxhash64("query_id"), q_blocks))
             .withColumn("c_block", F.explode(F.sequence(first, c_blocks - 1)))
-            .select(*keys, "query_id", "vector"))
+            .select(*keys, "query_id", "vector").repartition(parts, *keys))
     right = (corpus.withColumn("c_block", F.pmod(F.xxhash64("image_id"), c_blocks))
              .withColumn("q_block", F.explode(F.sequence(first, q_blocks - 1)))
-             .select(*keys, "image_id", "vector"))
+             .select(*keys, "image_id", "vector").repartition(parts, *keys))
+    spare = k + exclude_self
 
     def score(asked: pa.Table, held: pa.Table) -> pa.Table:
         units, kept = load_units(asked["vector"], dim, True)
@@ -148,7 +170,7 @@ def _grid(queries, asked, corpus, k, dim, exclude_self, keep_zero, lists, block_
         block, rows = load_units(held["vector"], dim, keep_zero)
         names = held["image_id"].to_numpy()[rows].astype(np.int64)
         found = BestK(len(ids), k)
-        found.offer(units, block, names, None, ids if exclude_self else None)
+        found.offer(units, *thin_copies(block, names, spare), None, ids if exclude_self else None)
         return pa.Table.from_batches([found.batch(ids)])
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, HITS)
@@ -163,11 +185,13 @@ def square_blocks(asked, held, block_rows, tasks):
 
 
 def list_blocks(queries, corpus, block_rows):
-    """Into how many blocks each list is cut on both sides, from its row counts.
-    Lists only one side has fall out."""
+    """Into how many blocks each list is cut on both sides, from its row counts, and
+    what that costs in scored cells and moved rows. Lists only one side has fall out."""
     asked = queries.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_asked"))
     held = corpus.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_held"))
-    return (asked.join(held, "list_id")
-            .select("list_id",
-                    F.ceil(F.col("n_asked") / block_rows).alias("q_blocks"),
-                    F.ceil(F.col("n_held") / block_rows).alias("c_blocks")))
+    both = asked.join(held, "list_id").withColumns({
+        "q_blocks": F.ceil(F.col("n_asked") / block_rows), "c_blocks": F.ceil(F.col("n_held") / block_rows)})
+    return both.select(
+        "list_id", "q_blocks", "c_blocks",
+        (F.col("n_asked").cast("double") * F.col("n_held")).alias("cells"),
+        (F.col("n_asked").cast("double") * F.col("c_blocks") + F.col("n_held") * F.col("q_blocks")).alias("moved"))

@@ -346,3 +346,18 @@ def test_knn_graph(spark):
     edges = rows(analysis.knn_graph(frame(spark, vectors), 4), "src", "rank")
     expected = slow_top(vectors, vectors, 4, own=True)
     assert [(s, d) for s, _, d, _ in edges] == [(q, i) for q in sorted(expected) for i, _ in expected[q]]
+
+
+def test_copies_are_thinned_without_loss():
+    from likeness.functions.blocks import thin_copies
+    rng = np.random.default_rng(1)
+    units = rng.standard_normal((500, 8))
+    units[100:400] = units[0]
+    units[450:] = 0.0
+    ids = rng.permutation(500)
+    kept, names = thin_copies(units, ids, 6)
+    copies = sorted([ids[0], *ids[100:400]])[:6]
+    zeros = sorted(ids[450:])[:6]
+    rest = [*ids[1:100], *ids[400:450]]
+    assert sorted(names) == sorted([*copies, *zeros, *rest])
+    assert all((kept[i] == units[list(ids).index(n)]).all() for i, n in enumerate(names))
