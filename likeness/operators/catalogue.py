@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from likeness.functions import paths as P
 from likeness.operators.joins import lookup
 from likeness.operators.selection import first_n
-from likeness.session import broadcast_if_small, materialise
+from likeness.session import broadcast_if_small, materialise, reduce_to
 
 SCAN_COLUMNS = ("image_id", "path", "file_name", "directory", "file_size", "mtime")
 
@@ -40,13 +40,15 @@ def differs(old_size: Column, new_size: Column, old_time: Column, new_time: Colu
 def new_files(catalogue: DataFrame, scan: DataFrame) -> DataFrame:
     """Scan rows to insert: path and id both unknown; of several new files with one
     id the lowest path. The choice is an aggregate, so many claims to one id are
-    reduced before they are shuffled."""
-    unknown = one_per_path(scan).join(catalogue.select("path"), "path", "left_anti")
+    reduced before they are shuffled. A small scan never shuffles the catalogue."""
+    known = reduce_to(catalogue.select("path"), scan, "path")
+    unknown = one_per_path(scan).join(known, "path", "left_anti")
     rest = [c for c in SCAN_COLUMNS if c not in ("image_id", "path")]
     firsts = (unknown.groupBy("image_id")
               .agg(F.min_by(F.struct("path", *rest), "path").alias("first"))
               .select("image_id", "first.*"))
-    return firsts.join(catalogue.select("image_id"), "image_id", "left_anti").select(*SCAN_COLUMNS)
+    taken = reduce_to(catalogue.select("image_id"), scan, "image_id", 64)
+    return firsts.join(taken, "image_id", "left_anti").select(*SCAN_COLUMNS)
 
 
 def insert_if_absent(catalogue: DataFrame, scan: DataFrame) -> DataFrame:
@@ -72,7 +74,8 @@ def changed_files(catalogue: DataFrame, scan: DataFrame) -> DataFrame:
     """Known paths whose size or time changed, with old and new values."""
     new = one_per_path(scan).select(
         "path", F.col("file_size").alias("new_size"), F.col("mtime").alias("new_mtime"))
-    return (catalogue.select("image_id", "path", "file_size", "mtime").join(new, "path")
+    known = reduce_to(catalogue.select("image_id", "path", "file_size", "mtime"), scan, "path")
+    return (known.join(new, "path")
             .where(differs(F.col("file_size"), F.col("new_size"), F.col("mtime"), F.col("new_mtime"))))
 
 

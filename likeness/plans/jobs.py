@@ -1,6 +1,6 @@
 """Whole jobs as a user calls them: ingest a folder, purge, compute features."""
 
-from pyspark.errors import AnalysisException
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likeness.functions import paths as P
@@ -8,7 +8,7 @@ from likeness.operators import catalogue as C
 from likeness.operators import features as X
 from likeness.operators.selection import first_n
 from likeness.schemas import CATALOGUE, FEATURES
-from likeness.sources.files import existing, list_files
+from likeness.sources.files import existing, list_files, open_filesystem
 from likeness.sources.images import decode_folder, library_decoder
 from likeness.sources.vectors import append_features, read_features
 
@@ -18,20 +18,23 @@ PAGE = 50_000
 
 class Snapshots:
     """A catalogue as numbered Parquet snapshots below one folder. A new snapshot is
-    written next to the one being read; readers take the highest finished number."""
+    written next to the one being read; readers take the highest finished number. Older ones
+    may be deleted."""
 
     def __init__(self, spark: SparkSession, path: str, schema=CATALOGUE):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.latest = 0
-        while self._finished(self.latest + 1):
-            self.latest += 1
-
-    def _finished(self, number):
-        try:
-            self.spark.read.text(f"{self.path}/snapshot={number}/_SUCCESS")
-            return True
-        except AnalysisException:
-            return False
+        self.latest = self._highest_finished()
+
+    def _highest_finished(self) -> int:
+        filesystem, inner = open_filesystem(self.path)
+        found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+        numbers = [int(i.base_name.removeprefix("snapshot=")) for i in found
+                   if i.base_name.startswith("snapshot=")]
+        for number in sorted(numbers, reverse=True):
+            mark = filesystem.get_file_info(f"{inner}/snapshot={number}/_SUCCESS")
+            if mark.type == pafs.FileType.File:
+                return number
+        return 0
 
     def read(self) -> DataFrame:
         if not self.latest:
@@ -43,6 +46,11 @@ class Snapshots:
             f"{self.path}/snapshot={self.latest + 1}")
         self.latest += 1
 
+    def append(self, rows: DataFrame) -> None:
+        """Add rows to the latest snapshot; nothing already there is rewritten."""
+        rows.select(*self.schema.names).write.mode("append").parquet(
+            f"{self.path}/snapshot={self.latest}")
+
 
 def ingest(spark: SparkSession, folder: str, snapshots: Snapshots, *, limit: int | None = None,
            extensions=P.IMAGE_EXTENSIONS, skip=P.SKIP_NAMES, hidden: bool = False) -> int:

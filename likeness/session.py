@@ -39,6 +39,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def reduce_to(table: DataFrame, keys: DataFrame, key: str, row_bytes: int = 256,
+              limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``table`` cut down, where it lies, to the rows a join by ``key`` with ``keys`` can
+    meet. Only done when the counted keys fit a broadcast; otherwise the whole table."""
+    wanted = keys.select(key).distinct()
+    if wanted.count() * row_bytes > limit:
+        return table
+    return table.join(F.broadcast(wanted), key, "left_semi")
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after counting that the rows fit the limit. The count
     runs ``df`` once; hand in tables, or plans that are cheap to run."""

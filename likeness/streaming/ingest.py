@@ -2,8 +2,10 @@
 
 The file stream remembers which files it has seen, so each run picks up new files
 only. A changed file has a known path and is not seen again: the batch ``ingest``
-compares sizes and times. Every micro-batch is an upsert keyed by path, so a batch
-that is run twice after a failure changes nothing.
+compares sizes and times. Nor does it see names that start with "_". Every
+micro-batch is an upsert keyed by path, so a batch that is run twice after a failure
+changes nothing; new files are appended, and only a batch with changed files writes
+the catalogue anew.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,7 +37,11 @@ def stream_ingest(spark: SparkSession, folder: str, snapshots: Snapshots, checkp
         listed = listed.where(~P.in_skipped_folder(path, skip))
 
     def upsert(batch: DataFrame, _number: int) -> None:
-        snapshots.write(C.upsert(snapshots.read(), C.describe(batch, image_id)))
+        known, scan = snapshots.read(), C.describe(batch, image_id)
+        if snapshots.latest and C.changed_files(known, scan).isEmpty():
+            snapshots.append(C.new_files(known, scan))
+        else:
+            snapshots.write(C.upsert(known, scan))
 
     query = (listed.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

@@ -306,6 +306,31 @@ def lsh_search(spark, sf):
     return rounded(ann.search_ann(I.as_queries(rows), rows, 5, method="lsh", tables=12, bits=6), "score")
 
 
+EXACT = """
+SELECT vec_id AS query_id, CAST(unnest(range(1, 6)) AS INTEGER) AS "rank", true AS exact FROM embeddings"""
+
+
+def _rescored(hits, rows):
+    """Whether each hit's score is the cosine of its two vectors and each query finds
+    itself first."""
+    a = rows.select(F.col("image_id").alias("query_id"), F.col("vector").alias("a"))
+    pairs = hits.join(a, "query_id").join(rows.withColumnRenamed("vector", "b"), "image_id")
+    cosine = V.dot(V.unit_or_null(F.col("a")), V.unit_or_null(F.col("b")))
+    exact = (F.abs(cosine - F.col("score")) < 1e-6) & (
+        (F.col("rank") > 1) | (F.col("query_id") == F.col("image_id")))
+    return pairs.select("query_id", "rank", exact.alias("exact"))
+
+
+@query("ivf_scores", EXACT)
+def ivf_scores(spark, sf):
+    return _rescored(ivf_search(spark, sf), I.vectors(spark, sf))
+
+
+@query("lsh_scores", EXACT)
+def lsh_scores(spark, sf):
+    return _rescored(lsh_search(spark, sf), I.vectors(spark, sf))
+
+
 @query("lsh_one_bucket", ctes(EMBED, ranked_sql("e", "e", 5)) + HITS)
 def lsh_one_bucket(spark, sf):
     """Without hash bits all vectors share one bucket per table: equals exact search,
