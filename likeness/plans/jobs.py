@@ -8,7 +8,8 @@ from likeness.operators import catalogue as C
 from likeness.operators import features as X
 from likeness.operators.selection import first_n
 from likeness.schemas import CATALOGUE, FEATURES
-from likeness.sources.files import existing, list_files, open_filesystem
+from likeness.session import open_filesystem
+from likeness.sources.files import existing, list_files
 from likeness.sources.images import decode_folder, library_decoder
 from likeness.sources.vectors import append_features, read_features
 

@@ -8,29 +8,18 @@ Levels are written to the shared folder, so no part of the tree is held by the
 driver and a lost executor costs one folder listing again.
 """
 
-import urllib.parse
-
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likeness.functions import paths as P
 from likeness.operators.selection import first_n
-from likeness.session import fresh_dir
+from likeness.session import fresh_dir, open_filesystem
 
 ROWS = 10_000
 ENTRIES = "path string, is_folder boolean, file_size long, mtime double"
 
 
-def open_filesystem(location: str):
-    """(file system, path inside it) of a plain path or a URI."""
-    if "://" in location:
-        return pafs.FileSystem.from_uri(location)
-    if location.startswith("file:"):
-        location = urllib.parse.unquote(location[len("file:"):])
-    return pafs.LocalFileSystem(), location
-
-
 def walk_level(folders: DataFrame) -> DataFrame:
     """The entries of each folder in column ``path``; unreadable folders give none."""
     def run(batches):

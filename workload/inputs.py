@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from likeness.functions import paths as P
 from likeness.operators import catalogue as C
 from likeness.schemas import IMAGE
-from likeness.session import fresh_dir
-from likeness.sources.files import open_filesystem
+from likeness.session import fresh_dir, open_filesystem
 
 FOLDERS = ("photos", ".git", "Trash", "Recycled", "summer 2024", "_raw", ".cache",
            "System Volume Information")
