@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, functions as F
 from likeness.llm.text import map_text, raw_bytes
 from likeness.session import materialise
 
-STATISTICS = ("log_words", "word_length", "upper", "symbols", "marks", "bars", "digits", "distinct", "lines", "accents",
+STATISTICS = ("word_length", "upper", "symbols", "marks", "bars", "digits", "distinct", "lines", "accents",
               "long_words")
 POOL, RIDGE = 0.1, 1e-4
+# Usual words that every text is thought to hold besides its own, so that very short ones aren't extreme.
+PRIOR_WORDS = 20
 LOWER, UPPER, DIGIT, BLANK, NEWLINE, SYMBOL, MARK, BAR, REST, HIGH = range(10)
 
 
@@ -38,7 +40,7 @@ KINDS = byte_kinds()
 
 
 def statistics(data: np.ndarray, limits: np.ndarray) -> np.ndarray:
-    """One row of STATISTICS a text; a text without words has zeros but for its lines."""
+    """One row of STATISTICS a text, its own words and PRIOR_WORDS usual ones taken together."""
     n = len(limits) - 1
     row = np.repeat(np.arange(n), np.diff(limits))
     kind = KINDS[data]
@@ -64,18 +66,18 @@ def statistics(data: np.ndarray, limits: np.ndarray) -> np.ndarray:
         distinct = np.bincount((unique >> np.uint64(40)).astype(np.int64), minlength=n).astype(np.float64)
         length = np.add.reduceat(inside.astype(np.int64), starts)
     long_ = np.bincount(row[starts], weights=length > 12, minlength=n) if len(starts) else np.zeros(n)
-    bytes_ = np.maximum(counts.sum(axis=1), 1)
-    letters = np.maximum(counts[:, [LOWER, UPPER, HIGH]].sum(axis=1), 1)
-    some = np.maximum(words, 1)
+    bytes_ = counts.sum(axis=1) + 5 * PRIOR_WORDS
+    letters = counts[:, [LOWER, UPPER, HIGH]].sum(axis=1) + 5 * PRIOR_WORDS
+    some = words + PRIOR_WORDS  # shares are those of the text and of some usual words
 
     def spread(share):  # square roots hold rare and common characters apart alike
         return np.sqrt(share)
 
     return np.stack([
-        np.log1p(words), np.log1p((bytes_ - counts[:, BLANK] - counts[:, NEWLINE]) / some), spread(counts[:, UPPER] / letters),
-        spread(counts[:, SYMBOL] / bytes_), spread(counts[:, MARK] / some), spread(counts[:, BAR] / some),
-        spread(counts[:, DIGIT] / bytes_), np.log((distinct + 1) / (words + 1)) / np.log(words + 8),
-        np.log1p(counts[:, NEWLINE] / some * 20), spread(counts[:, HIGH] / bytes_), spread(long_ / some)], axis=1)
+        np.log((counts.sum(axis=1) - counts[:, BLANK] - counts[:, NEWLINE] + 5 * PRIOR_WORDS) / some),
+        spread(counts[:, UPPER] / letters), spread(counts[:, SYMBOL] / bytes_), spread(counts[:, MARK] / some), spread(counts[:, BAR] / some),
+        spread(counts[:, DIGIT] / bytes_), np.log((distinct + PRIOR_WORDS) / some) / np.log(words + 8),
+        np.log1p((counts[:, NEWLINE] + 1) / some * 20), spread(counts[:, HIGH] / bytes_), spread(long_ / some)], axis=1)
 
 
 def described(docs: DataFrame, text: str = "text", keep=None) -> DataFrame:
@@ -125,7 +127,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, training, id_: str = "doc_
 
     ``training`` is the condition on ``docs`` that marks the rows whose label may be learnt; a row
     with two labels counts once for each. Labels, ids and other columns are no input of a score;
-    null and empty texts are scored by their statistics, which are zeros. Without rows of both
+    null and empty texts are scored by their statistics, those of the usual words alone. Without rows of both
     classes every score is 0.5. Repeated rows stay.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted", *STATISTICS)]
