@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from likeness.llm import curriculum, language, piece_codec, quality_classifier, quality_rules, secrets, sharding, simhash, token_counts
+from likeness.llm import curriculum, embedding_dedup, language, piece_codec, quality_classifier, quality_rules, secrets, sharding, simhash, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash_near_dedup": simhash.op4,
     "op5_quality_rules": quality_rules.op5,
     "op6_secret_scan": secrets.op6,
+    "op7_embedding_near_dedup": embedding_dedup.op7,
     "op8_quality_classifier": quality_classifier.op8,
     "op9_curriculum_mix": curriculum.op9,
     "op10_sharding": sharding.op10,
