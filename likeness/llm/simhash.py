@@ -139,6 +139,14 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wi
     return prints.join(named, "fp", "left").select(id_, "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, id_: str = "doc_id", text: str = "text", width: int = 3, most: int = 2) -> DataFrame:
+    """The rows of ``docs`` whose id names their component; one row where that id is repeated."""
+    kept = materialise(near_duplicates(docs, id_, text, width, most).where(
+        F.col(id_).eqNullSafe(F.col("component_id"))).groupBy(id_).agg(F.count(F.lit(1)).alias("__n")), "kept")
+    out = docs.join(kept.select(F.col(id_).alias("__kept")), F.col(id_).eqNullSafe(F.col("__kept")), "left_semi")
+    return out if kept.where("__n > 1").isEmpty() else out.dropDuplicates([id_])
+
+
 def op4(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs).select(
