@@ -41,7 +41,7 @@ def contracted(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of the links (a, b): root is the smallest node it reaches.
+    """(node, root) for every node of the links (a, b) but the roots: root is the smallest node it reaches.
 
     Nodes are integers. Links with a null end or both ends equal count for nothing, repeated
     links once. A round links every neighbour of a node to the node's smallest one, first

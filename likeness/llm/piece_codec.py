@@ -24,21 +24,26 @@ from likeness.llm.text import code_points, map_text
 from likeness.llm.token_counts import default_model
 
 
-def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=None) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=None, verify: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array of piece ids, as the library gives them) and ``n_ids``.
 
-    Null and empty texts have an empty array. Rows, repeated ones included, map one to
-    one; columns of the two names are replaced.
+    With ``verify`` also ``round_trip``: the ids were decoded and gave the text back (with
+    blanks for space marks). Null and empty texts have an empty array. Rows, repeated
+    ones included, map one to one; columns of these names are replaced.
     """
     def make():
         machine = pieces.machine(model or default_model())
 
         def kernel(texts):
             ids, rows = machine.encode(*code_points(texts))
-            return [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32())), np.diff(rows)]
+            out = [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32())), np.diff(rows)]
+            if verify:
+                plain = pc.replace_substring(texts, pieces.SPACE, " ")
+                out.append(pc.equal(spell(machine, ids, rows), plain))
+            return out
         return kernel
 
-    return map_text(docs, make, "ids array<int>, n_ids bigint", text, keep)
+    return map_text(docs, make, "ids array<int>, n_ids bigint" + ", round_trip boolean" * verify, text, keep)
 
 
 def spell(machine, ids: np.ndarray, rows: np.ndarray) -> pa.Array:
@@ -94,8 +99,6 @@ def decode(coded: DataFrame, model: str | None = None, ids: str = "ids", name: s
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_ids and whether decoding gives the text back (with blanks for space marks)."""
+    """doc_id, n_ids, ids and whether decoding the ids gives the text back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = decode(encode(docs))
-    plain = F.translate(F.coalesce("text", F.lit("")), pieces.SPACE, " ")
-    return coded.select("doc_id", "n_ids", "ids", (F.col("decoded") == plain).alias("round_trip"))
+    return encode(docs, keep=["doc_id"], verify=True).select("doc_id", "n_ids", "ids", "round_trip")
