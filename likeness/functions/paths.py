@@ -54,6 +54,12 @@ def is_hidden(path: Column, root: str = "") -> Column:
     return F.exists(F.split(below, "/"), lambda part: part.startswith("."))
 
 
+def hidden_by_spark(path: Column, root: str = "") -> Column:
+    """A component below ``root`` that Spark's file sources leave out: it starts with "_"."""
+    below = F.substring(path, len(root.rstrip("/")) + 1, 1 << 30)
+    return F.exists(F.split(below, "/"), lambda part: part.startswith("_"))
+
+
 def has_purge_mark(path: Column, marks=PURGE_MARKS) -> Column:
     """The lower-cased path contains one of the marks, also inside a name."""
     hit = F.lit(False)

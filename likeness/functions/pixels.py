@@ -197,8 +197,7 @@ def hog_descriptors(images: np.ndarray) -> np.ndarray:
     Votes of all pixels are laid out as one plane per orientation; both axes are
     then reduced to cells by the same small matrix.
     """
-    root = np.sqrt(images.astype(np.float64))
-    wide = np.pad(root, ((0, 0), (1, 1), (1, 1)), mode="reflect")
+    wide = np.pad(images.astype(np.float64), ((0, 0), (1, 1), (1, 1)), mode="reflect")
     dx = wide[:, 1:-1, 2:] - wide[:, 1:-1, :-2]
     dy = wide[:, 2:, 1:-1] - wide[:, :-2, 1:-1]
     strength = np.hypot(dx, dy)

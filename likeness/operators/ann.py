@@ -120,6 +120,8 @@ def load_ivf(spark: SparkSession, path: str) -> IvfIndex:
     try:
         table = spark.read.parquet(f"{path}/centres").orderBy("list_id").collect()
     except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no finished index at {path}") from missing
     centres = np.array([row.centre for row in table])
     return IvfIndex(spark, path, centres.shape[1], centres)

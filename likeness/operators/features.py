@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from likeness.functions import pixels as X
 from likeness.schemas import FLOATS
+from likeness.sources import images as source
 from likeness.sources.files import contents
-from likeness.sources.images import to_struct
 
 # Images taken through a kernel at once.
 STEP = 64
@@ -28,68 +28,77 @@ _models = {}
 @dataclass(frozen=True)
 class Extractor:
     """How images are resized and which kernel turns a stack of them into rows.
-    ``load`` runs on the executor and returns the kernel."""
+    ``load`` runs on the executor and returns the kernel; ``dim`` is about how many values
+    a vector has, for the size of output files."""
     size: int
     load: Callable
     how: str = "area"
     to_grey: bool = False
+    dim: int = 1280
 
 
 def extract(images: DataFrame, extractors: dict, step: int = STEP) -> DataFrame:
     """The input columns but ``image``, plus one vector column per extractor."""
-    return _extract(images, "image", lambda piece: unpack(piece.column("image")), extractors, step)
+    return _extract(images, "image", lambda piece: unpacked(piece.column("image")), extractors, step, False)
 
 
 def extract_files(files: DataFrame, extractors: dict, decode, step: int = STEP) -> DataFrame:
-    """The same for files named in ``path``: read, decoded and reduced to vectors in
-    one pass, so that neither file contents nor pixels travel."""
-    return _extract(files, None, lambda piece: decoded(piece.column("path"), decode), extractors, step)
+    """The same for files named in ``path``, with the class of the error in ``error`` where a file
+    cannot be read or decoded. Files are read, decoded and reduced to vectors in one
+    pass, one image at a time, so that neither file contents nor pixels travel and only one
+    whole image is in memory."""
+    return _extract(files, None, lambda piece: opened(piece.column("path"), decode), extractors, step, True)
 
 
-def _extract(table, consumed, load_images, extractors, step):
+def _extract(table, consumed, load_images, extractors, step, with_error):
     others = [c for c in table.columns if c != consumed]
     schema = T.StructType([table.schema[c] for c in others]
-                          + [T.StructField(name, FLOATS) for name in extractors])
+                          + [T.StructField(name, FLOATS) for name in extractors]
+                          + [T.StructField("error", T.StringType())] * with_error)
 
     def run(batches):
         kernels = {name: e.load() for name, e in extractors.items()}
         for batch in batches:
             for start in range(0, batch.num_rows, step):
                 piece = batch.slice(start, step)
-                read, rows = load_images(piece)
+                stacks, rows, errors = {name: [] for name in extractors}, [], []
+                for row, (image, error) in enumerate(load_images(piece)):
+                    errors.append(error)
+                    if image is None:
+                        continue
+                    rows.append(row)
+                    for name, e in extractors.items():
+                        stacks[name].append(X.resize(X.grey(image) if e.to_grey else image, e.size, e.how))
                 columns = [piece.column(c) for c in others]
-                for name, e in extractors.items():
-                    stack = [X.resize(X.grey(i) if e.to_grey else i, e.size, e.how) for i in read]
-                    vectors = kernels[name](np.stack(stack)) if stack else None
+                for name in extractors:
+                    vectors = kernels[name](np.stack(stacks[name])) if rows else None
                     columns.append(with_nulls(vectors, rows, piece.num_rows))
-                yield pa.RecordBatch.from_arrays(columns, names=[*others, *extractors])
+                columns += [pa.array(errors, pa.string())] * with_error
+                yield pa.RecordBatch.from_arrays(columns, names=[*others, *extractors, *["error"] * with_error])
 
     return table.mapInArrow(run, schema)
 
 
-def decoded(paths, decode):
-    """(BGR arrays, their rows) of the files that can be read and decoded."""
-    images, rows = [], []
-    for row, (path, content) in enumerate(zip(paths.to_pylist(), contents(paths))):
-        image = to_struct(path, content, decode)
-        if image["height"] > 0:
-            images.append(X.to_bgr(image["data"], image["height"], image["width"], image["nChannels"]))
-            rows.append(row)
-    return images, rows
+def opened(paths, decode):
+    """(BGR array or None, error class or None) of each file, one after another."""
+    for content in contents(paths):
+        pixels, error = source.decoded(content, decode)
+        if pixels is None:
+            yield None, error
+        else:
+            yield X.to_bgr(pixels.tobytes(), *pixels.shape), None
 
 
-def unpack(column):
-    """(BGR arrays, their rows) of the readable images of a struct column."""
-    images, rows = [], []
-    for row, image in enumerate(column.to_pylist()):
+def unpacked(column):
+    """The same of each image of a struct column."""
+    for image in column.to_pylist():
         if image is None or image["height"] is None or image["height"] <= 0:
+            yield None, "undecodable"
             continue
         try:
-            images.append(X.to_bgr(image["data"], image["height"], image["width"], image["nChannels"]))
-            rows.append(row)
+            yield X.to_bgr(image["data"], image["height"], image["width"], image["nChannels"]), None
         except ValueError:  # bytes that do not fit the stated size
-            continue
-    return images, rows
+            yield None, "ValueError"
 
 
 def with_nulls(vectors, rows, count):
@@ -106,7 +115,7 @@ def with_nulls(vectors, rows, count):
 
 
 def hsv_extractor():
-    return Extractor(X.HSV_SIZE, lambda: X.hsv_descriptors)
+    return Extractor(X.HSV_SIZE, lambda: X.hsv_descriptors, dim=176)
 
 
 def unit_hsv_extractor():
@@ -115,7 +124,7 @@ def unit_hsv_extractor():
 
 
 def hog_extractor():
-    return Extractor(X.HOG_SIZE, lambda: X.hog_descriptors, to_grey=True)
+    return Extractor(X.HOG_SIZE, lambda: X.hog_descriptors, to_grey=True, dim=1764)
 
 
 def signature_extractor(bins=(8, 8)):

@@ -1,37 +1,42 @@
 """Whole jobs as a user calls them: ingest a folder, purge, compute features."""
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from likeness.functions import paths as P
 from likeness.operators import catalogue as C
 from likeness.operators import features as X
-from likeness.operators.selection import first_n
 from likeness.schemas import CATALOGUE, FEATURES
-from likeness.session import open_filesystem
-from likeness.sources.files import existing, list_files
-from likeness.sources.images import decode_folder, library_decoder
-from likeness.sources.vectors import append_features, read_features
+from likeness.session import materialise, open_filesystem
+from likeness.sources.files import list_files
+from likeness.sources.images import library_decode
+from likeness.sources.vectors import by_shard, files_per_shard, read_features
 
-# Files handed to Spark's image source at once.
-PAGE = 50_000
+
+class Conflict(RuntimeError):
+    """Another job wrote the catalogue since it was read."""
 
 
 class Snapshots:
     """A catalogue as numbered Parquet snapshots below one folder. A new snapshot is
     written next to the one being read; readers take the highest finished number. Older ones
-    may be deleted."""
+    may be deleted. A writer whose snapshot is no longer the latest, or whose number another
+    writer has begun, gets a ``Conflict``: read again and repeat."""
 
     def __init__(self, spark: SparkSession, path: str, schema=CATALOGUE):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.latest = self._highest_finished()
 
-    def _highest_finished(self) -> int:
+    def _numbers(self) -> list[int]:
         filesystem, inner = open_filesystem(self.path)
         found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
-        numbers = [int(i.base_name.removeprefix("snapshot=")) for i in found
-                   if i.base_name.startswith("snapshot=")]
-        for number in sorted(numbers, reverse=True):
+        return [int(i.base_name.removeprefix("snapshot=")) for i in found
+                if i.base_name.startswith("snapshot=")]
+
+    def _highest_finished(self) -> int:
+        filesystem, inner = open_filesystem(self.path)
+        for number in sorted(self._numbers(), reverse=True):
             mark = filesystem.get_file_info(f"{inner}/snapshot={number}/_SUCCESS")
             if mark.type == pafs.FileType.File:
                 return number
@@ -42,10 +47,21 @@ class Snapshots:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={self.latest}")
 
+    def refresh(self) -> None:
+        self.latest = self._highest_finished()
+
     def write(self, table: DataFrame) -> None:
-        table.select(*self.schema.names).write.mode("overwrite").parquet(
-            f"{self.path}/snapshot={self.latest + 1}")
-        self.latest += 1
+        """Write the next snapshot. Numbers that crashed jobs have begun are passed over."""
+        if self._highest_finished() != self.latest:
+            raise Conflict(f"snapshot {self.latest} of {self.path} is no longer the latest")
+        number = max([self.latest, *self._numbers()]) + 1
+        try:
+            table.select(*self.schema.names).write.mode("error").parquet(f"{self.path}/snapshot={number}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise Conflict(f"snapshot {number} of {self.path} was begun by another job") from error
+        self.latest = number
 
     def append(self, rows: DataFrame) -> None:
         """Add rows to the latest snapshot; nothing already there is rewritten."""
@@ -54,13 +70,21 @@ class Snapshots:
 
 
 def ingest(spark: SparkSession, folder: str, snapshots: Snapshots, *, limit: int | None = None,
-           extensions=P.IMAGE_EXTENSIONS, skip=P.SKIP_NAMES, hidden: bool = False) -> int:
-    """List a folder and upsert it into the catalogue; returns the files listed."""
-    scan = C.describe(list_files(spark, folder, extensions=extensions, skip=skip,
-                                 hidden=hidden, limit=limit))
-    known = snapshots.read()
-    snapshots.write(C.upsert(known, scan) if snapshots.latest else C.insert_if_absent(known, scan))
-    return scan.count()
+           extensions=P.IMAGE_EXTENSIONS, skip=P.SKIP_NAMES, hidden: bool = False, attempts: int = 3) -> int:
+    """List a folder and upsert it into the catalogue; returns the files listed. When
+    another job wrote the catalogue meanwhile, the upsert is repeated on what it wrote."""
+    # ids are computed once, however many branches of the upsert read the scan
+    scan = materialise(C.describe(list_files(spark, folder, extensions=extensions, skip=skip,
+                                             hidden=hidden, limit=limit)), "scan")
+    for left in reversed(range(attempts)):
+        known = snapshots.read()
+        try:
+            snapshots.write(C.upsert(known, scan) if snapshots.latest else C.insert_if_absent(known, scan))
+            return scan.count()
+        except Conflict:
+            if not left:
+                raise
+            snapshots.refresh()
 
 
 def purge(snapshots: Snapshots, marks=P.PURGE_MARKS) -> int:
@@ -72,49 +96,30 @@ def purge(snapshots: Snapshots, marks=P.PURGE_MARKS) -> int:
     return gone
 
 
-def compute_features(catalogue: DataFrame, path: str, extractor: X.Extractor, *, decode=None,
-                     limit: int | None = None, page: int = PAGE, shards: int = 64,
-                     step: int = X.STEP) -> dict:
+def compute_features(catalogue: DataFrame, path: str, extractor: X.Extractor, *, decode=library_decode,
+                     limit: int | None = None, shards: int = 64, step: int = X.STEP) -> dict:
     """Compute a feature for every catalogued image that lacks it or whose file has
-    changed, and append it to the feature table at ``path``.
-
-    With a ``decode`` function (or an installed imaging library) each file is read
-    in the task that needs it. Otherwise Spark's image source decodes pages of at
-    most ``page`` files. Returns ``ok, failed, processed``. Rows of older file states
-    stay in the table; ``current_features`` leaves them out.
+    changed, and append it to the feature table at ``path``, in one job.
+
+    ``decode`` turns a file's bytes into a BGR array; by default the imaging library of
+    the executors does. Each file is read in the task that writes its vector: the narrow
+    rows are dealt to the output files beforehand, and their number follows from rows and
+    vector length. Returns ``ok, failed, processed`` and ``errors``, the classes of the
+    errors met. Rows of older file states stay in the table; ``current_features`` leaves
+    them out.
     """
     spark = catalogue.sparkSession
-    decode = decode or library_decoder()
     held = read_features(spark, path, FEATURES)
-    before = held.count()
-    todo = C.missing_features(catalogue, held, limit).select("image_id", "path", "file_size", "mtime")
-    if decode:
-        processed = todo.count()
-        tasks = 4 * spark.sparkContext.defaultParallelism
-        files = todo.repartition(tasks, "image_id")
-        _append(X.extract_files(files, {"vector": extractor}, decode, step), path, shards)
-    else:
-        processed = sum(len(rows) for rows in _decode_pages(todo, page, lambda images: _append(
-            X.extract(images, {"vector": extractor}, step), path, shards)))
-    ok = read_features(spark, path, FEATURES).count() - before
-    return {"ok": ok, "failed": processed - ok, "processed": processed}
-
-
-def _decode_pages(todo, page, work):
-    """Hand the images of each page of files, in id order, to ``work``."""
-    spark, last = todo.sparkSession, 0
-    while rows := first_n(todo.where(F.col("image_id") > last), "image_id", page).collect():
-        # At most one page of paths is held here.
-        last = max(r.image_id for r in rows)
-        listed = spark.createDataFrame(rows, todo.schema)
-        there = [r.path for r in existing(listed).select("path").collect()]
-        if there:
-            work(decode_folder(spark, there).join(F.broadcast(listed), "path").drop("path"))
-        yield rows
-
-
-def _append(done, path, shards):
-    append_features(done.where(F.col("vector").isNotNull()).select(*FEATURES.names), path, shards)
+    todo = materialise(C.missing_features(catalogue, held, limit).select(
+        "image_id", "path", "file_size", "mtime"), "todo")
+    files = files_per_shard(todo.count(), extractor.dim, shards)
+    done = X.extract_files(by_shard(todo, shards, files), {"vector": extractor}, decode, step)
+    seen, good = Observation("feature job"), F.col("vector").isNotNull()
+    done = done.observe(seen, F.count_if(good).alias("ok"), F.count_if(~good).alias("failed"),
+                        F.count(F.lit(1)).alias("processed"),
+                        F.sort_array(F.collect_set("error")).alias("errors"))
+    done.where(good).select(*FEATURES.names, "shard").write.partitionBy("shard").mode("append").parquet(path)
+    return dict(seen.get)
 
 
 def current_features(catalogue: DataFrame, features: DataFrame, name: str) -> DataFrame:
@@ -137,6 +142,6 @@ def compute_signatures(catalogue, path, **options):
     return compute_features(catalogue, path, X.signature_extractor(), **options)
 
 
-def compute_embeddings(catalogue, path, make_predict_fn, batch_size=384, **options):
+def compute_embeddings(catalogue, path, make_predict_fn, batch_size=64, **options):
     return compute_features(catalogue, path, X.model_extractor(make_predict_fn),
                             step=batch_size, **options)

@@ -4,12 +4,6 @@ from pyspark.sql import types as T
 
 FLOATS = T.ArrayType(T.FloatType())
 
-LISTING = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("file_size", T.LongType()),
-    T.StructField("mtime", T.DoubleType()),
-])
-
 CATALOGUE = T.StructType([
     T.StructField("image_id", T.LongType(), False),
     T.StructField("path", T.StringType(), False),

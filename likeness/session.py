@@ -3,7 +3,6 @@
 import hashlib
 import io
 import pathlib
-import tempfile
 import urllib.parse
 import uuid
 import zipfile
@@ -26,20 +25,14 @@ def open_filesystem(location: str):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it.
-
-    Only a local session may fall back to a folder of its own machine.
-    """
+    """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if named:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(named)
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="likeness-"))
-    return sc.getCheckpointDir().rstrip("/")
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

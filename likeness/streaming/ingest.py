@@ -2,10 +2,10 @@
 
 The file stream remembers which files it has seen, so each run picks up new files
 only. A changed file has a known path and is not seen again: the batch ``ingest``
-compares sizes and times. Nor does it see names that start with "_". Every
-micro-batch is an upsert keyed by path, so a batch that is run twice after a failure
-changes nothing; new files are appended, and only a batch with changed files writes
-the catalogue anew.
+compares sizes and times. Spark's stream hides names that start with "_"; files below
+such names are listed by the walk at the end of each run. Every micro-batch is an upsert
+keyed by path, so a batch that is run twice after a failure changes nothing; new files
+are appended, and only a batch with changed files writes the catalogue anew.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from likeness.functions import paths as P
 from likeness.operators import catalogue as C
 from likeness.plans.jobs import Snapshots
-from likeness.sources.files import file_state
+from likeness.sources.files import absolute, file_state, list_files
 
 # Fixed schema of the binary file source.
 BINARY_FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -46,4 +46,8 @@ def stream_ingest(spark: SparkSession, folder: str, snapshots: Snapshots, checkp
     query = (listed.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    unseen = list_files(spark, folder, extensions=extensions, skip=skip).where(
+        P.hidden_by_spark(path, absolute(folder)))
+    if not unseen.isEmpty():
+        upsert(unseen, -1)
     return query

@@ -109,9 +109,10 @@ def scan_folder(spark, sf):
 SELECT image_id, 8 AS height, 8 AS width, CAST(sum(b) AS BIGINT) AS blue, CAST(sum(g) AS BIGINT) AS green,
        CAST(sum(r) AS BIGINT) AS red FROM image_pixels GROUP BY image_id""")
 def decode_images(spark, sf):
-    """Image files decoded by Spark's image source."""
-    root = I.image_folder(spark, sf, ("photos", "raw", "summer 2024"))
-    decoded = images_source.readable(images_source.decode_folder(spark, root)).select(
+    """Image files listed and decoded in their tasks by a decode function."""
+    root = I.image_folder(spark, sf, ("photos", "_raw", "summer 2024"))
+    listed = files_source.list_files(spark, root).select("path")
+    decoded = images_source.readable(images_source.decode_files(listed, I.unpng)).select(
         F.regexp_extract("path", r"(\d+)\.png$", 1).cast("long").alias("image_id"),
         F.col("image.height").alias("height"), F.col("image.width").alias("width"), "image")
     values = resized(decoded, I.SIDE)
@@ -126,17 +127,35 @@ def decode_images(spark, sf):
 
 @query("stream_ingest", f"""
 SELECT CAST(vec_id AS VARCHAR) || '.png' AS file_name,
-       {I._sql_list(('photos', 'raw', 'Trash', 'summer 2024'))}[label % 4 + 1] AS folder
+       {I._sql_list(('photos', '_raw', 'Trash', 'summer 2024'))}[label % 4 + 1] AS folder
 FROM embeddings WHERE label % 4 <> 2""")
 def ingest_stream(spark, sf):
     """Image files taken in by the file stream in several micro-batches."""
-    root = I.image_folder(spark, sf, ("photos", "raw", "Trash", "summer 2024"))
+    root = I.image_folder(spark, sf, ("photos", "_raw", "Trash", "summer 2024"))
     snapshots = Snapshots(spark, fresh_dir(spark, "catalogue"))
     few = max(1, I.table(spark, sf, "embeddings").count() // 2)
     stream_ingest(spark, root, snapshots, fresh_dir(spark, "stream"), files_per_batch=few)
     return snapshots.read().select("file_name", F.substring_index("directory", "/", -1).alias("folder"))
 
 
+@query("stream_then_batch", f"""
+SELECT CAST(count(*) AS BIGINT) AS files, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS new, CAST(0 AS BIGINT) AS gone
+FROM embeddings WHERE {_FOLDER} NOT IN ('Trash', '.hidden')""")
+def stream_then_batch(spark, sf):
+    """An untouched folder taken in by the stream, then listed: the same files in the same state."""
+    root = I.image_folder(spark, sf)
+    snapshots = Snapshots(spark, fresh_dir(spark, "catalogue"))
+    stream_ingest(spark, root, snapshots, fresh_dir(spark, "stream"))
+    known, scan = snapshots.read(), C.describe(files_source.list_files(spark, root))
+    counts = [(known, "files"), (C.changed_files(known, scan), "changed"), (C.new_files(known, scan), "new"),
+              (C.missing_files(known, scan), "gone")]
+    out = None
+    for rows, name in counts:
+        one = rows.agg(F.count(F.lit(1)).alias(name))
+        out = one if out is None else out.crossJoin(one)  # one row each
+    return out
+
+
 @F.pandas_udf(T.BinaryType())
 def _npy(vectors: pd.Series) -> pd.Series:
     def save(v):
@@ -230,14 +249,18 @@ def upsert_catalogue(spark, sf):
         F.col("hsv_vector").isNotNull().alias("has_hsv"), F.col("hog_vector").isNotNull().alias("has_hog"))
 
 
-@query("id_collisions", ctes(I.SCAN) + """
-SELECT image_id, path, first AS kept_path
-FROM (SELECT file_size AS image_id, path, min(path) OVER (PARTITION BY file_size) AS first FROM scan)
-WHERE path <> first""")
+@query("id_collisions", ctes(I.SCAN, """
+holders AS (SELECT file_size AS image_id, max(path) AS holder FROM scan WHERE file_size % 2 = 0 GROUP BY file_size),
+unknown AS (SELECT file_size AS image_id, path FROM scan WHERE path NOT IN (SELECT holder FROM holders)),
+kept AS (
+  SELECT u.image_id, u.path, coalesce(h.holder, min(u.path) OVER (PARTITION BY u.image_id)) AS kept_path
+  FROM unknown u LEFT JOIN holders h ON h.image_id = u.image_id)""") + """
+SELECT image_id, path, kept_path FROM kept WHERE path <> kept_path""")
 def id_collisions(spark, sf):
-    """File sizes as ids make many files claim the same one."""
+    """File sizes as ids make many files claim the same one; even sizes have a holder already."""
     claims = I.scan(spark, sf).withColumn("image_id", F.col("file_size"))
-    return C.id_collisions(claims.limit(0), claims)
+    held = claims.where("file_size % 2 = 0").groupBy("image_id").agg(F.max("path").alias("path"))
+    return C.id_collisions(held, claims)
 
 
 @query("purge", ctes(I.CATALOGUE) + f"SELECT image_id, path FROM catalogue WHERE NOT {I.SQL_PURGE}")

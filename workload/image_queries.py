@@ -149,12 +149,12 @@ def hsv_vectors(spark, sf):
 
 def _job(spark, sf, compute, *options, **named):
     """Ingest a folder of image files, then run a feature job on what is missing."""
-    root = I.image_folder(spark, sf, ("photos", "raw", "summer 2024"))
+    root = I.image_folder(spark, sf, ("photos", "_raw", "summer 2024"))
     snapshots = jobs.Snapshots(spark, fresh_dir(spark, "catalogue"))
     jobs.ingest(spark, root, snapshots)
     path = fresh_dir(spark, "features")
     known = snapshots.read()
-    compute(known, path, *options, shards=8, **named)
+    compute(known, path, *options, decode=I.unpng, shards=8, **named)
     current = jobs.current_features(known, read_features(spark, path, FEATURES), "vector")
     number = F.regexp_extract("file_name", r"^(\d+)", 1).cast("long").alias("number")
     return current.join(known.select("image_id", number), "image_id").select(
@@ -184,17 +184,17 @@ def grey_images(spark, sf):
 
 # Every grey value covers 8 x 8 pixels of the 64 x 64 image.
 HOG = ctes(I.IMAGES, GREY, """
-roots AS (SELECT image_id, y, x, sqrt(grey::DOUBLE) AS root FROM greys),
+shades AS (SELECT image_id, y, x, grey::DOUBLE AS shade FROM greys),
 near AS (
   SELECT i, CASE WHEN i = 0 THEN 1 ELSE i - 1 END // 8 AS before, i // 8 AS here,
          CASE WHEN i = 63 THEN 62 ELSE i + 1 END // 8 AS after FROM range(64) t(i)),
 slopes AS (
-  SELECT e.image_id, v.i AS y, h.i AS x, e.root - w.root AS dx, s.root - n.root AS dy
+  SELECT e.image_id, v.i AS y, h.i AS x, e.shade - w.shade AS dx, s.shade - n.shade AS dy
   FROM near v, near h
-  JOIN roots e ON e.y = v.here AND e.x = h.after
-  JOIN roots w ON w.image_id = e.image_id AND w.y = v.here AND w.x = h.before
-  JOIN roots s ON s.image_id = e.image_id AND s.y = v.after AND s.x = h.here
-  JOIN roots n ON n.image_id = e.image_id AND n.y = v.before AND n.x = h.here
+  JOIN shades e ON e.y = v.here AND e.x = h.after
+  JOIN shades w ON w.image_id = e.image_id AND w.y = v.here AND w.x = h.before
+  JOIN shades s ON s.image_id = e.image_id AND s.y = v.after AND s.x = h.here
+  JOIN shades n ON n.image_id = e.image_id AND n.y = v.before AND n.x = h.here
   WHERE h.before <> h.after OR v.before <> v.after),
 turned AS (
   SELECT image_id, y, x, sqrt(dx * dx + dy * dy) AS strength,
@@ -283,15 +283,27 @@ def embed_images(spark, sf):
     return exploded(rows, "vector", "image_id")
 
 
-@query("query_features", """
-SELECT vec_id AS query_id, CAST(192 AS INTEGER) AS embed_dim, CAST(176 AS INTEGER) AS hsv_dim,
-       CAST(1764 AS INTEGER) AS hog_dim, 1::DOUBLE AS embed_length, 1::DOUBLE AS hsv_length, 1::DOUBLE AS hog_length
-FROM embeddings""")
+@query("query_features", f"""
+SELECT h.image_id AS query_id, e.mark AS embed_mark, c.mark AS hsv_mark, h.mark AS hog_mark, h.length AS hog_length
+FROM ({HOG}) h
+JOIN (SELECT image_id, round(sum(val * (pos + 1)), 3) + 0.0 AS mark FROM ({EMBEDDED}) GROUP BY image_id) e USING (image_id)
+JOIN (SELECT image_id, round(sum(unit * (bin + 1)), 3) + 0.0 AS mark FROM (
+        SELECT image_id, bin, value / sqrt(sum(value * value) OVER (PARTITION BY image_id)) AS unit
+        FROM ({LARGE_HSV} SELECT image_id, bin, value FROM filled))
+      GROUP BY image_id) c USING (image_id)""")
 def query_features(spark, sf):
+    """All three features of query images by value: sums that weigh each value by its place."""
     rows = X.query_features(I.images(spark, sf), I.pooled_model)
-    columns = {"embed": "embedding", "hsv": "hsv_vector", "hog": "hog_vector"}
-    return rows.select("query_id", *[F.size(c).alias(f"{n}_dim") for n, c in columns.items()],
-                       *[F.round(V.norm(F.col(c)), 5).alias(f"{n}_length") for n, c in columns.items()])
+
+    def mark(column, digits=None):
+        values = V.doubles(F.col(column))
+        values = F.transform(values, lambda x: F.round(x, digits)) if digits else values
+        placed = F.transform(values, lambda x, i: x * (i + 1))
+        return F.aggregate(placed, F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        "query_id", (F.round(mark("embedding", 6), 3) + 0.0).alias("embed_mark"),
+        (F.round(mark("hsv_vector"), 3) + 0.0).alias("hsv_mark"), F.round(mark("hog_vector"), 4).alias("hog_mark"),
+        F.round(V.squared_norm(F.col("hog_vector")), 6).alias("hog_length"))
 
 
 @query("find_similar_images", LARGE_HSV.rstrip() + """, unit AS (
