@@ -287,9 +287,9 @@ def embed_images(spark, sf):
 SELECT h.image_id AS query_id, e.mark AS embed_mark, c.mark AS hsv_mark, h.mark AS hog_mark, h.length AS hog_length
 FROM ({HOG}) h
 JOIN (SELECT image_id, round(sum(val * (pos + 1)), 3) + 0.0 AS mark FROM ({EMBEDDED}) GROUP BY image_id) e USING (image_id)
-JOIN (SELECT image_id, round(sum(unit * (bin + 1)), 3) + 0.0 AS mark FROM (
-        SELECT image_id, bin, value / sqrt(sum(value * value) OVER (PARTITION BY image_id)) AS unit
-        FROM ({LARGE_HSV} SELECT image_id, bin, value FROM filled))
+JOIN (SELECT image_id, round(sum(unit * (bin + 1)), 2) + 0.0 AS mark FROM (
+        SELECT image_id, bin, CAST(value / sqrt(sum(value * value) OVER (PARTITION BY image_id)) AS FLOAT)::DOUBLE AS unit
+        FROM ({LARGE_HSV} SELECT image_id, bin, CAST(value AS FLOAT)::DOUBLE AS value FROM filled))
       GROUP BY image_id) c USING (image_id)""")
 def query_features(spark, sf):
     """All three features of query images by value: sums that weigh each value by its place."""
@@ -302,7 +302,7 @@ def query_features(spark, sf):
         return F.aggregate(placed, F.lit(0.0), lambda a, x: a + x)
     return rows.select(
         "query_id", (F.round(mark("embedding", 6), 3) + 0.0).alias("embed_mark"),
-        (F.round(mark("hsv_vector"), 3) + 0.0).alias("hsv_mark"), F.round(mark("hog_vector"), 4).alias("hog_mark"),
+        (F.round(mark("hsv_vector"), 2) + 0.0).alias("hsv_mark"), F.round(mark("hog_vector"), 4).alias("hog_mark"),
         F.round(V.squared_norm(F.col("hog_vector")), 6).alias("hog_length"))
 
 
