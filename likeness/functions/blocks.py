@@ -60,11 +60,10 @@ def thin_copies(units, ids, keep):
     starts = np.flatnonzero(np.concatenate([[True], np.diff(mark[order]) != 0]))
     ends = np.append(starts[1:], len(order))
     drop = np.zeros(len(units), bool)
-    for start, end in zip(starts, ends):
-        if end - start > keep:
-            group = order[start:end]
-            same = group[(units[group] == units[group[0]]).all(axis=1)]
-            drop[same[keep:]] = True
+    for g in np.flatnonzero(ends - starts > keep):  # groups of copies only
+        group = order[starts[g]:ends[g]]
+        same = group[(units[group] == units[group[0]]).all(axis=1)]
+        drop[same[keep:]] = True
     return (units[~drop], ids[~drop]) if drop.any() else (units, ids)
 
 

@@ -42,9 +42,10 @@ class IvfIndex:
 
 def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size: int = 200_000,
               dim: int | None = None, seed: int = 42, iterations: int = 10,
-              limit: int | None = None) -> IvfIndex:
-    """Train the centres on a uniform sample, assign every usable vector to its
-    nearest centre and write the lists.
+              limit: int | None = None, centres: np.ndarray | None = None) -> IvfIndex:
+    """Train the centres on a uniform sample of the usable vectors, assign every usable
+    vector to its nearest centre and write the lists. Given ``centres`` (directions) are
+    taken as they are.
 
     vectors: ``image_id, vector``. Raises ValueError when none is usable.
     """
@@ -55,34 +56,16 @@ def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size:
         raise ValueError("no vectors to index")
     if 8 * nlist * dim > BROADCAST_BYTES:
         raise ValueError(f"{nlist} centres of {dim} values are too many to broadcast")
-    # Only sampled rows are checked here; a uniform sample of all rows without its
-    # unusable ones is a uniform sample of the usable ones.
-    sample = uniform_sample(vectors, "image_id", sample_size, seed).where(F.size("vector") == dim)
-    # A fixed order makes the training repeatable.
-    tasks = spark.sparkContext.defaultParallelism
-    training = (sample.repartition(tasks, "image_id").sortWithinPartitions("image_id")
-                .select(V.unit_or_null(F.col("vector")).alias("unit"))
-                .where(F.col("unit").isNotNull())
-                .select(array_to_vector("unit").alias("features")))
-    training.persist()
-    try:
-        trained_on = training.count()
-        if trained_on == 0:
-            raise ValueError("no usable vectors to index, or none in the sample")
-        model = KMeans(k=max(2, min(nlist, trained_on)), seed=seed, maxIter=iterations,
-                       distanceMeasure="cosine").fit(training) if trained_on > 1 else None
-        centres = (np.array(model.clusterCenters()) if model
-                   else np.array([training.first().features.toArray()]))
-        centres /= np.linalg.norm(centres, axis=1, keepdims=True)
-        sizes = np.ones(len(centres))
-        if model:
-            for row in model.transform(training).groupBy("prediction").count().toLocalIterator():
-                sizes[row.prediction] = row["count"]
-    finally:
-        training.unpersist()
+    if centres is None:
+        centres, shares = train_centres(vectors, dim, nlist, sample_size, seed, iterations)
+    else:
+        centres = np.asarray(centres, np.float64)
+        centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
+        shares = np.full(len(centres), 1 / len(centres))
     rows = vectors.count()
     per_file = max(1, FILE_BYTES // (4 * dim))
-    parts = np.ceil(sizes / trained_on * rows / per_file).astype(np.int64)
+    parts = np.ceil(shares * rows / per_file).astype(np.int64)
+    tasks = spark.sparkContext.defaultParallelism
     (assign(vectors, centres, dim, parts)
      .withColumn("part", F.pmod(F.xxhash64("image_id"), F.col("parts")))
      .repartition(max(tasks, min(int(parts.sum()), 100_000)), "list_id", "part")
@@ -94,6 +77,33 @@ def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size:
     return IvfIndex(spark, path, dim, centres)
 
 
+def train_centres(vectors, dim, nlist, sample_size, seed, iterations):
+    """(centres, share of the sample nearest to each). Unusable rows are left out before the
+    sample is drawn, so it is full whenever enough usable vectors exist."""
+    usable = vectors.where((F.size("vector") == dim) & V.is_usable(F.col("vector")))
+    sample = uniform_sample(usable, "image_id", sample_size, seed)
+    # A fixed order makes the training repeatable.
+    tasks = vectors.sparkSession.sparkContext.defaultParallelism
+    training = (sample.repartition(tasks, "image_id").sortWithinPartitions("image_id")
+                .select(array_to_vector(V.unit_or_null(F.col("vector"))).alias("features")))
+    training.persist()
+    try:
+        trained_on = training.count()
+        if trained_on == 0:
+            raise ValueError("no usable vectors to index")
+        if trained_on == 1:
+            return training.first().features.toArray()[None], np.ones(1)
+        model = KMeans(k=max(2, min(nlist, trained_on)), seed=seed, maxIter=iterations,
+                       distanceMeasure="cosine").fit(training)
+        centres = np.array(model.clusterCenters())
+        sizes = np.ones(len(centres))
+        for row in model.transform(training).groupBy("prediction").count().toLocalIterator():
+            sizes[row.prediction] = row["count"]
+    finally:
+        training.unpersist()
+    return centres / np.linalg.norm(centres, axis=1, keepdims=True), sizes / trained_on
+
+
 def assign(vectors: DataFrame, centres: np.ndarray, dim: int, parts: np.ndarray) -> DataFrame:
     """Each usable vector with the list of its nearest centre and the number of
     parts that list is written in."""
@@ -193,11 +203,14 @@ def search_ivf(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int =
 
 
 def hash_buckets(vectors: DataFrame, id_column: str, dim: int, tables: int, bits: int,
-                 seed: int) -> DataFrame:
+                 seed: int, planes: np.ndarray | None = None) -> DataFrame:
     """One row per vector and table: ``list_id`` holds the table number and the
-    signs of ``bits`` random projections (Charikar 2002)."""
+    signs of ``bits`` random projections (Charikar 2002). Given ``planes`` (dim rows,
+    tables * bits columns) replace the random ones."""
+    given = planes
+
     def run(batches):
-        planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+        planes = np.random.default_rng(seed).standard_normal((dim, tables * bits)) if given is None else given
         place = (1 << np.arange(bits, dtype=np.int64))
         for batch in batches:
             units, rows = load_units(batch.column("vector"), dim, False)
@@ -215,14 +228,14 @@ def hash_buckets(vectors: DataFrame, id_column: str, dim: int, tables: int, bits
 
 
 def search_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, tables: int = 8,
-               bits: int = 8, dim: int | None = None, seed: int = 42,
+               bits: int = 8, dim: int | None = None, seed: int = 42, planes: np.ndarray | None = None,
                exclude_self: bool = False, **sizes) -> DataFrame:
     """Exact scores among vectors that share a hash bucket in some table."""
     dim = dim or common_dim(queries)
     if dim is None:
         return nearest(queries, corpus, 0)
-    return nearest(queries, hash_buckets(corpus, "image_id", dim, tables, bits, seed), k, dim=dim,
-                   probes=hash_buckets(queries, "query_id", dim, tables, bits, seed),
+    return nearest(queries, hash_buckets(corpus, "image_id", dim, tables, bits, seed, planes), k, dim=dim,
+                   probes=hash_buckets(queries, "query_id", dim, tables, bits, seed, planes),
                    exclude_self=exclude_self, copies=tables, **sizes)
 
 

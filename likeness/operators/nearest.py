@@ -20,12 +20,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from likeness.functions import vectors as V
 from likeness.functions.blocks import BestK, load_units, thin_copies
 from likeness.schemas import HITS
 from likeness.session import broadcast_if_small, materialise
 
 # A query set below this size is broadcast.
 QUERY_BYTES = 32 * 1024 * 1024
+# ... unless its tasks together would hand on more rows than this, or one keep more than that.
+SCAN_HITS, TASK_HITS = 1_000_000_000, 16_000_000
+# Tasks of a scan for each core.
+SCAN_TASKS = 8
 # One block of one side stays below this size.
 BLOCK_BYTES = 32 * 1024 * 1024
 # Nor does it hold more rows than this, which bounds the work on one block pair.
@@ -57,11 +62,14 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, dim: int | None =
     if dim is None or k <= 0:
         return queries.sparkSession.createDataFrame([], HITS).select(
             "query_id", F.lit(0).alias("rank"), "image_id", "score")
-    queries = queries.select("query_id", "vector")
+    queries = queries.select("query_id", "vector").where(F.size("vector") == dim)
     corpus = corpus.select("image_id", "vector", *(["list_id"] if probes is not None else []))
     asked = queries.count()
     probed = 0 if probes is None else probes.count()
-    if asked * 8 * dim + probed * 16 <= query_bytes:
+    # Every scanning task hands on k rows per query and list, however little it read.
+    kept = asked * k * copies
+    tasks = SCAN_TASKS * queries.sparkSession.sparkContext.defaultParallelism
+    if asked * 8 * dim + probed * 16 <= query_bytes and kept <= TASK_HITS and kept * tasks <= SCAN_HITS:
         lists = None if probes is None else probes.select("query_id", "list_id").toArrow()
         hits = _scan(queries.toArrow(), lists, corpus, k, copies, dim, exclude_self, keep_zero)
     else:
@@ -81,9 +89,10 @@ def best(hits: DataFrame, k: int) -> DataFrame:
 
 
 def common_dim(vectors: DataFrame) -> int | None:
-    """Length of some present vector; one row is read."""
-    row = vectors.where(F.size("vector") > 0).select(F.size("vector").alias("n")).first()
-    return row.n if row else None
+    """Length of the usable vector with the lowest id (the first column), however the rows
+    are stored; None when no vector is usable."""
+    usable = vectors.where(V.is_usable(F.col("vector")))
+    return usable.agg(F.min_by(F.size("vector"), vectors.columns[0]).alias("n")).first().n
 
 
 def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero):
@@ -129,7 +138,7 @@ def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero):
         yield found.batch(ids)
 
     # Fewer, longer tasks: each hands on k rows per query however much it read.
-    tasks = 8 * spark.sparkContext.defaultParallelism
+    tasks = SCAN_TASKS * spark.sparkContext.defaultParallelism
     return corpus.coalesce(tasks).mapInArrow(run, HITS)
 
 

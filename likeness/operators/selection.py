@@ -5,8 +5,12 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from likeness.session import materialise
+
 # Below this many rows the smallest keys are picked without a first cut.
 SMALL_TABLE = 1_000_000
+# So many keys may be sorted in one task.
+HEAD_ROWS = 200_000
 HASH_RANGE = 1 << 60
 
 
@@ -39,7 +43,18 @@ def uniform_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame
 
 
 def _nth(keys: DataFrame, n: int, *order):
-    """The n-th smallest key, or None when there are fewer rows."""
+    """The n-th smallest key, or None when there are fewer rows. Beyond HEAD_ROWS the keys
+    are range-partitioned and only the part that holds the n-th one is searched."""
+    if n > HEAD_ROWS:
+        rows = keys.count()
+        if rows < n:
+            return None
+        parts = max(2, min(10_000, -(-rows // HEAD_ROWS) * 2))
+        ranged = materialise(keys.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "keys")
+        for row in sorted(ranged.groupBy("_part").count().collect()):  # one row a part
+            if n <= row["count"]:
+                return _nth(ranged.where(F.col("_part") == row["_part"]).drop("_part"), n, *order)
+            n -= row["count"]
     head = keys.orderBy(*order).limit(n)
     row = head.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*order)).alias("last")).first()
     return row["last"] if row["n"] == n else None

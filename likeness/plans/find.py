@@ -1,9 +1,11 @@
 """From query images to similar catalogued images."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from likeness.functions import paths as P
 from likeness.operators import ann, features as X, fusion, search
 from likeness.operators.ann import IvfIndex
+from likeness.operators.joins import lookup
 from likeness.session import materialise
 
 _SEARCHES = {"hsv": search.search_hsv, "hog": search.search_hog, "embedding": search.search_embeddings}
@@ -26,17 +28,29 @@ def find_similar(images: DataFrame, vectors: DataFrame, catalogue: DataFrame, k:
 
     ``vectors`` holds the catalogued images' feature; with an ``index`` its lists are
     searched instead. A query that cannot be read has no hits. By default only the
-    exact shape search leaves the query's own image out.
+    exact shape search leaves the query's own image out. An image is a query's own when
+    its path is the one in the optional column ``path`` of ``images``: query ids are
+    numbers of their own and name no catalogued image. Queries without a path have none.
     """
-    asked = X.extract(images.select("query_id", "image"),
+    own = exclude_self if exclude_self is not None else feature == "hog" and not index
+    named = own and "path" in images.columns
+    asked = X.extract(images.select("query_id", "image", *["path"] * named),
                       {"vector": _extractor(feature, make_predict_fn)})
     asked = materialise(asked.where(F.col("vector").isNotNull()), "queries")
+    # a path is catalogued once, so one more hit than asked for makes up for it
+    more = k + 1 if named else k
     if index:
-        hits = ann.search_ivf(index, asked, k, nprobe=nprobe, exclude_self=bool(exclude_self))
+        hits = ann.search_ivf(index, asked, more, nprobe=nprobe)
     else:
-        own = feature == "hog" if exclude_self is None else exclude_self
-        hits = _SEARCHES[feature](asked, vectors, k, exclude_self=own)
-    return search.with_paths(hits, catalogue)
+        hits = _SEARCHES[feature](asked, vectors, more, exclude_self=False)
+    hits = search.with_paths(hits, catalogue)
+    if not named:
+        return hits
+    paths = asked.select("query_id", P.canonical_path(F.col("path")).alias("own_path"))
+    others = lookup(hits, paths, "query_id", spread="image_id").where(~F.col("path").eqNullSafe(F.col("own_path")))
+    order = Window.partitionBy("query_id").orderBy("rank")
+    return (others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select(*hits.columns))
 
 
 def find_combined(images: DataFrame, embeddings: DataFrame, features: DataFrame, catalogue: DataFrame,

@@ -1,13 +1,14 @@
 """Corpus analysis queries."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from likeness.functions import vectors as V
-from likeness.operators import analysis as A, ann
+from likeness.operators import analysis as A
 from likeness.session import fresh_dir
 from workload import inputs as I
 from workload.registry import ctes, query
-from workload.search_queries import EMBED, ranked_sql, rounded
+from workload.search_queries import CENTRES, EMBED, NPROBE, PROBED, _centred_index, ranked_sql, rounded
 
 
 @query("dimension_audit", ctes(I.ODD_VECTORS) + """
@@ -36,53 +37,92 @@ def covariance(spark, sf):
     return result.withColumns({c: F.round(c, 9) + 0.0 for c in ("mean_i", "mean_j", "cov")})
 
 
-@query("pca_fit", """
+# The covariance matrix; what the axes must add up to follows from it.
+COVARIANCE = """
 WITH parts AS (
-  SELECT generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS x FROM embeddings)
-SELECT CAST(i AS INTEGER) AS i, round(avg(x), 9) + 0.0 AS mean, 1::DOUBLE AS loading, 1::DOUBLE AS explained
-FROM parts GROUP BY i""")
-def pca_fit(spark, sf):
-    """All axes together are orthonormal and explain the whole variance."""
-    fitted = A.fit_pca(I.vectors(spark, sf), 64)
-    loading = (fitted.components ** 2).sum(axis=0)
-    rows = [(i, float(fitted.mean[i]), float(loading[i]), float(fitted.explained_ratio.sum()))
-            for i in range(len(fitted.mean))]
-    out = spark.createDataFrame(rows, "i int, mean double, loading double, explained double")
-    return out.select("i", (F.round("mean", 9) + 0.0).alias("mean"), F.round("loading", 6).alias("loading"),
-                      F.round("explained", 6).alias("explained"))
+  SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+means AS (SELECT i, avg(x) AS mean FROM parts GROUP BY i),
+cov AS (
+  SELECT a.i, b.i AS j, covar_samp(a.x, b.x) AS c FROM parts a JOIN parts b ON a.vec_id = b.vec_id GROUP BY a.i, b.i)"""
 
 
-@query("pca_project", """
-WITH parts AS (
-  SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
-centred AS (SELECT vec_id, x - avg(x) OVER (PARTITION BY i) AS x FROM parts)
-SELECT vec_id AS image_id, CAST(64 AS INTEGER) AS dims, round(sum(x * x), 3) + 0.0 AS square FROM centred GROUP BY vec_id""")
+def _variances(rows, fitted):
+    """Variance of the projected rows along each axis."""
+    parts = A.project(rows, fitted).select(F.posexplode("scores").alias("axis", "score"))
+    found = parts.groupBy("axis").agg(F.var_samp(F.col("score").cast("double")).alias("v")).orderBy("axis").collect()
+    return np.array([r.v for r in found])  # one number an axis
+
+
+@query("pca_fit", COVARIANCE + """
+SELECT CAST(m.i AS INTEGER) AS i, round(mean, 9) + 0.0 AS mean, round(d.c, 6) AS variance, round(s.energy, 6) AS energy
+FROM means m JOIN cov d ON d.i = m.i AND d.j = m.i JOIN (SELECT i, sum(c * c) AS energy FROM cov GROUP BY i) s ON s.i = m.i""")
+def pca_fit(spark, sf):
+    """All axes with their variances put together give the covariance matrix back: the diagonals
+    of it and of its square."""
+    rows = I.vectors(spark, sf)
+    fitted = A.fit_pca(rows, 64)
+    spread, square = _variances(rows, fitted), fitted.components ** 2
+    out = spark.createDataFrame(
+        [(i, float(fitted.mean[i]), float(spread @ square[:, i]), float(spread ** 2 @ square[:, i]))
+         for i in range(len(fitted.mean))], "i int, mean double, variance double, energy double")
+    return out.select("i", (F.round("mean", 9) + 0.0).alias("mean"), F.round("variance", 6).alias("variance"),
+                      F.round("energy", 6).alias("energy"))
+
+
+@query("pca_project", COVARIANCE + """,
+centred AS (SELECT vec_id, p.i, x - mean AS x FROM parts p JOIN means m ON m.i = p.i)
+SELECT a.vec_id AS image_id, CAST(64 AS INTEGER) AS dims, round(sum(CASE WHEN a.i = b.i THEN a.x * a.x END), 3) + 0.0 AS square,
+       round(sum(a.x * c * b.x), 4) + 0.0 AS energy
+FROM centred a JOIN centred b ON a.vec_id = b.vec_id JOIN cov ON cov.i = a.i AND cov.j = b.i GROUP BY a.vec_id""")
 def pca_project(spark, sf):
-    """All axes kept, the projection preserves each centred length."""
+    """All axes kept, the projection preserves each centred length, and the length that the
+    covariance matrix gives it; a mere rotation would not."""
     rows = I.vectors(spark, sf)
-    scores = A.project(rows, A.fit_pca(rows, 64))
+    fitted = A.fit_pca(rows, 64)
+    scores, spread = A.project(rows, fitted), F.array(*[F.lit(float(v)) for v in _variances(rows, fitted)])
+    weighed = F.zip_with(V.doubles(F.col("scores")), spread, lambda s, v: s * s * v)
+    energy = F.aggregate(weighed, F.lit(0.0), lambda a, x: a + x)
     return scores.select("image_id", F.size("scores").alias("dims"),
-                         (F.round(V.squared_norm(F.col("scores")), 3) + 0.0).alias("square"))
+                         (F.round(V.squared_norm(F.col("scores")), 3) + 0.0).alias("square"),
+                         (F.round(energy, 4) + 0.0).alias("energy"))
 
 
-@query("pca_axes")
+@query("pca_axes", COVARIANCE + """
+SELECT (SELECT round(sum(c), 5) FROM cov WHERE i = j) AS total, (SELECT round(sum(c * c), 5) FROM cov) AS squares,
+       0::DOUBLE AS mixed, true AS descending, true AS shares""")
 def pca_axes(spark, sf):
-    """Variance along each axis from the projected rows, next to the fitted share."""
+    """Variances along all axes: their sums are those of the covariance matrix, no two axes vary
+    together, they descend, and the fitted shares are theirs."""
     rows = I.vectors(spark, sf)
-    fitted = A.fit_pca(rows, 16)
-    parts = A.project(rows, fitted).select(F.posexplode("scores").alias("axis", "score"))
-    share = F.element_at(F.array(*[F.lit(float(x)) for x in fitted.explained_ratio]), F.col("axis") + 1)
-    return (parts.groupBy("axis").agg(F.round(F.var_samp("score"), 6).alias("variance"))
-            .select("axis", "variance", F.round(share, 6).alias("explained")))
-
-
-@query("coords_csv", "SELECT vec_id AS id, true AS placed FROM embeddings")
+    fitted = A.fit_pca(rows, 64)
+    spread = _variances(rows, fitted)
+    scores = A.project(rows, fitted).withColumnRenamed("scores", "vector")
+    mixed = A.covariance(scores, 64).where("i < j").agg(F.round(F.max(F.abs("cov")), 5).alias("mixed"))
+    shares = bool(np.allclose(spread / spread.sum(), fitted.explained_ratio, atol=1e-5))
+    return mixed.select(F.lit(round(float(spread.sum()), 5)).alias("total"),
+                        F.lit(round(float((spread ** 2).sum()), 5)).alias("squares"), (F.col("mixed") + 0.0).alias("mixed"),
+                        F.lit(bool((np.diff(spread) <= 1e-6).all())).alias("descending"), F.lit(shares).alias("shares"))
+
+
+@query("coords_csv", COVARIANCE + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM embeddings) AS placed, 1::DOUBLE AS x_axis, 1::DOUBLE AS y_axis, 0::DOUBLE AS mixed,
+       true AS widest""")
 def coords_csv(spark, sf):
-    """Two-dimensional coordinates written as CSV and read back."""
+    """Two-dimensional coordinates written as CSV and read back. Along a principal axis the
+    covariances with the vectors' own values have the length of the variance; along no other."""
     path = fresh_dir(spark, "coordinates")
     A.export_coordinates(A.coordinates(I.vectors(spark, sf)), path)
     back = spark.read.csv(path, header=True, schema="x double, y double, id long")
-    return back.select("id", (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("placed"))
+    rows = back.join(I.vectors(spark, sf).withColumnRenamed("image_id", "id"), "id")
+    each = rows.select("id", "x", "y", F.posexplode("vector").alias("i", "e")).withColumn("e", F.col("e").cast("double"))
+    sums = each.groupBy("i").agg(F.covar_samp("x", "e").alias("cx"), F.covar_samp("y", "e").alias("cy"),
+                                 F.var_samp("e").alias("own"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"),
+                                 F.covar_samp("x", "y").alias("xy"), F.count("x").alias("n"))
+    top = sums.agg(F.max("n").alias("placed"), F.sum(F.col("cx") ** 2).alias("cx"), F.sum(F.col("cy") ** 2).alias("cy"),
+                   F.max("vx").alias("vx"), F.max("vy").alias("vy"), F.max(F.abs("xy")).alias("xy"), F.max("own").alias("own"))
+    return top.select("placed", F.round(F.sqrt("cx") / F.col("vx"), 3).alias("x_axis"),
+                      F.round(F.sqrt("cy") / F.col("vy"), 3).alias("y_axis"), (F.round("xy", 5) + 0.0).alias("mixed"),
+                      ((F.col("vx") >= F.col("vy")) & (F.col("vx") >= F.col("own"))).alias("widest"))
 
 
 KNN = ctes(EMBED, ranked_sql("e", "e", 15, "q.image_id <> c.image_id")) + """
@@ -94,8 +134,8 @@ def knn_graph(spark, sf):
     return rounded(A.knn_graph(I.vectors(spark, sf)), "sim")
 
 
-@query("knn_graph_ivf")
+@query("knn_graph_ivf", ctes(EMBED, CENTRES, ranked_sql("e", "e", 15, "q.image_id <> c.image_id AND " + PROBED)) + """
+SELECT query_id AS src, "rank", image_id AS dst, round(score, 6) + 0.0 AS sim FROM hits""")
 def knn_graph_ivf(spark, sf):
-    rows = I.vectors(spark, sf)
-    index = ann.build_ivf(rows, fresh_dir(spark, "ivf"), nlist=32)
-    return rounded(A.knn_graph(rows, index=index, nprobe=8), "sim")
+    """Through the lists around given centres: the same edges as in SQL."""
+    return rounded(A.knn_graph(I.vectors(spark, sf), index=_centred_index(spark, sf), nprobe=NPROBE), "sim")

@@ -86,9 +86,16 @@ def image_id_md5(spark, sf):
     return I.files(spark, sf).select("path", P.image_id_md5(at()).alias("image_id"))
 
 
-@query("image_id_blake2b")
+@query("image_id_blake2b", ctes(I.FILES) + """
+SELECT path, true AS positive, CAST(1 AS BIGINT) AS holders, true AS same FROM files""")
 def image_id_blake2b(spark, sf):
-    return I.files(spark, sf).select("path", P.image_id(at()).alias("image_id"))
+    """Ids are positive, differ between all paths of the table, and depend on the path alone. (Their
+    values are held against golden ones in the tests; SQL has no such digest.)"""
+    ids = I.files(spark, sf).select("path", P.image_id(at()).alias("image_id"))
+    again = I.files(spark, sf).repartition(3, "path").select("path", P.image_id(at()).alias("other"))
+    holders = ids.groupBy("image_id").agg(F.countDistinct("path").alias("holders"))
+    return ids.join(holders, "image_id").join(again, "path").select(
+        "path", (F.col("image_id") > 0).alias("positive"), "holders", (F.col("image_id") == F.col("other")).alias("same"))
 
 
 _FOLDER = f"{I._sql_list(I.IMAGE_FOLDERS)}[label % {len(I.IMAGE_FOLDERS)} + 1]"

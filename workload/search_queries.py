@@ -1,6 +1,7 @@
 """Vector expressions, searches, fusion and indexes."""
 
-from pyspark.sql import functions as F
+import numpy as np
+from pyspark.sql import Window, functions as F
 
 from likeness.functions import vectors as V
 from likeness.operators import ann, catalogue as C, fusion, search, selection
@@ -283,8 +284,38 @@ def ivf_full_probe(spark, sf):
     return rounded(ann.search_ivf(index, I.as_queries(rows), 5, nprobe=_lists(spark, sf)), "score")
 
 
-@query("ivf_search")
+# Given centres: the first vectors of each label. Lists and probes are then plain SQL.
+PER_LABEL, NPROBE = 3, 8
+CENTRES = f"""
+centres AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS list_id, embedding::DOUBLE[] AS c,
+         sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS cn
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS nth FROM embeddings) t WHERE nth <= {PER_LABEL}),
+near AS (
+  SELECT image_id, list_id, row_number() OVER (
+    PARTITION BY image_id
+    ORDER BY round(list_inner_product(v::DOUBLE[], c) / cn / sqrt(list_inner_product(v::DOUBLE[], v::DOUBLE[])), 12) DESC, list_id) AS place
+  FROM e, centres)"""
+PROBED = f"""EXISTS (
+  SELECT 1 FROM near a JOIN near b ON a.list_id = b.list_id AND b.place = 1
+  WHERE a.image_id = q.image_id AND a.place <= {NPROBE} AND b.image_id = c.image_id)"""
+
+
+def _centred_index(spark, sf):
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))
+    chosen = I.table(spark, sf, "embeddings").withColumn("nth", nth).where(F.col("nth") <= PER_LABEL).orderBy("vec_id")
+    centres = np.array([r.embedding for r in chosen.select("embedding").collect()])  # a few rows a label
+    return ann.build_ivf(I.vectors(spark, sf), fresh_dir(spark, "ivf"), centres=centres)
+
+
+@query("ivf_search", ctes(EMBED, CENTRES, ranked_sql("e", "e", 5, PROBED)) + HITS)
 def ivf_search(spark, sf):
+    """Some lists probed, around given centres: the same neighbours as in SQL."""
+    rows = I.vectors(spark, sf)
+    return rounded(ann.search_ann(I.as_queries(rows), _centred_index(spark, sf), 5, method="ivf", nprobe=NPROBE), "score")
+
+
+def trained_search(spark, sf):
     rows = I.vectors(spark, sf)
     index = ann.build_ivf(rows, fresh_dir(spark, "ivf"), nlist=_lists(spark, sf))
     return rounded(ann.search_ann(I.as_queries(rows), index, 5, method="ivf", nprobe=8), "score")
@@ -300,8 +331,29 @@ def ivf_build(spark, sf):
     return index.lists.select("image_id", (F.round(total, 6) + 0.0).alias("total"))
 
 
-@query("lsh_search")
+# Given planes: the first vectors of the table. Buckets are then plain SQL.
+TABLES, BITS = 12, 6
+PLANES = f"""
+planes AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS nth, embedding::DOUBLE[] AS p FROM embeddings
+  QUALIFY nth < {TABLES * BITS}),
+buckets AS (
+  SELECT image_id, nth // {BITS} AS tab, sum(CASE WHEN list_inner_product(v::DOUBLE[], p) > 0 THEN 1 << (nth % {BITS}) ELSE 0 END) AS cell
+  FROM e, planes GROUP BY image_id, nth // {BITS})"""
+MET = """EXISTS (SELECT 1 FROM buckets a JOIN buckets b ON a.tab = b.tab AND a.cell = b.cell
+  WHERE a.image_id = q.image_id AND b.image_id = c.image_id)"""
+
+
+@query("lsh_search", ctes(EMBED, PLANES, ranked_sql("e", "e", 5, MET)) + HITS)
 def lsh_search(spark, sf):
+    """Hash buckets of given planes: the same neighbours as in SQL."""
+    rows = I.vectors(spark, sf)
+    first = I.table(spark, sf, "embeddings").orderBy("vec_id").limit(TABLES * BITS).select("embedding").collect()
+    planes = np.array([r.embedding for r in first]).T
+    return rounded(ann.search_ann(I.as_queries(rows), rows, 5, method="lsh", tables=TABLES, bits=BITS, planes=planes), "score")
+
+
+def random_search(spark, sf):
     rows = I.vectors(spark, sf)
     return rounded(ann.search_ann(I.as_queries(rows), rows, 5, method="lsh", tables=12, bits=6), "score")
 
@@ -323,12 +375,12 @@ def _rescored(hits, rows):
 
 @query("ivf_scores", EXACT)
 def ivf_scores(spark, sf):
-    return _rescored(ivf_search(spark, sf), I.vectors(spark, sf))
+    return _rescored(trained_search(spark, sf), I.vectors(spark, sf))
 
 
 @query("lsh_scores", EXACT)
 def lsh_scores(spark, sf):
-    return _rescored(lsh_search(spark, sf), I.vectors(spark, sf))
+    return _rescored(random_search(spark, sf), I.vectors(spark, sf))
 
 
 @query("lsh_one_bucket", ctes(EMBED, ranked_sql("e", "e", 5)) + HITS)
