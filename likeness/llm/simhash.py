@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from likeness.llm.components import components
 from likeness.llm.text import map_text
-from likeness.session import materialise
+from likeness.session import broadcast_if_small, materialise
 
 LOW = 0x5555555555555555
 GROUPS = ((0, 7), (7, 14), (14, 20), (20, 26), (26, 32))  # of segments
@@ -140,11 +140,17 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wi
 
 
 def one_of_each(docs: DataFrame, id_: str = "doc_id", text: str = "text", width: int = 3, most: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; one row where that id is repeated."""
-    kept = materialise(near_duplicates(docs, id_, text, width, most).where(
-        F.col(id_).eqNullSafe(F.col("component_id"))).groupBy(id_).agg(F.count(F.lit(1)).alias("__n")), "kept")
-    out = docs.join(kept.select(F.col(id_).alias("__kept")), F.col(id_).eqNullSafe(F.col("__kept")), "left_semi")
-    return out if kept.where("__n > 1").isEmpty() else out.dropDuplicates([id_])
+    """The rows of ``docs`` whose id names their component; one row where that id is repeated.
+
+    The ids to drop, fewer than those to keep, are sent to the texts when their counted size
+    allows; otherwise both sides are shuffled by id.
+    """
+    found = near_duplicates(docs, id_, text, width, most)
+    kept = F.col(id_).eqNullSafe(F.col("component_id"))
+    marks = materialise(found.groupBy(id_).agg(F.max(kept).alias("kept"), F.count_if(kept).alias("n")), "kept")
+    dropped = marks.where(~F.col("kept")).select(F.col(id_).alias("__dropped"))
+    out = docs.join(broadcast_if_small(dropped, 24), F.col(id_).eqNullSafe(F.col("__dropped")), "left_anti")
+    return out if marks.where("n > 1").isEmpty() else out.dropDuplicates([id_])
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
