@@ -33,7 +33,8 @@ def share(*parts):
 def propagate(rows: DataFrame, shards: int, rounds: int, slack: float) -> DataFrame:
     """``rows`` (id, size, crc, twin, ...) with ``label``, after ``rounds`` of moves."""
     labelled = rows.withColumn("label", F.pmod(F.xxhash64("id", "crc", F.lit(SEED_LABEL)), F.lit(shards)).cast("int"))
-    twins = rows.groupBy("twin").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("twin")
+    # written, so that the join with a hot text's rows is of two plain shuffles, which Spark can split
+    twins = materialise(rows.groupBy("twin").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("twin"), "twins")
     total = rows.agg(F.sum("size")).first()[0] or 0
     quota = total * (1 + slack) / shards
     linked = materialise(labelled.join(twins, "twin", "left_semi"), "linked")
