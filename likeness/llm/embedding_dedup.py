@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 from likeness.llm.components import components, contract
 from likeness.session import materialise
 
-# Vectors that centres are fitted on, at most: those with the smallest hashes.
-SAMPLE_ROWS = 20_000
-MOST_CENTRES = 4096
+# Vectors that centres are fitted on, at most: those with the smallest hashes, within so many bytes.
+SAMPLE_ROWS, SAMPLE_BYTES = 100_000, 64 << 20
+# Centres at most, within the same bytes; a shard that grows beyond a block is cut into blocks.
+MOST_CENTRES = 20_000
 OVERLAP = 3
 SHARD_ROWS, BLOCK_ROWS = 1000, 2500
 DEGREE, NEAREST, CANDIDATES, ALPHA = 20, 8, 48, 1.2
@@ -211,10 +212,10 @@ def near_duplicates(vectors: DataFrame, id_: str = "vec_id", vector: str = "embe
         return vectors.select(id_, F.lit(0).cast("bigint").alias("n_links"), F.col(id_).cast("bigint").alias("component_id"),
                               F.lit(True).alias("kept"))
     dim, n = int(size["dim"]), int(size["n"])
-    k = int(min(max(1, -(-n * OVERLAP // SHARD_ROWS)), MOST_CENTRES))
+    k = int(min(max(1, -(-n * OVERLAP // SHARD_ROWS)), MOST_CENTRES, max(1, SAMPLE_BYTES // (8 * dim))))
     if n <= BLOCK_ROWS:
         k = 1
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).select("vec").toArrow()
+    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(max(k, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dim)))).select("vec").toArrow()
     centres = centres_of(unit(matrix(sample.column(0), dim)), min(k, len(sample)))
     found = search(materialise(placed(reps, centres, dim), "placed"), dim, radius)
     return joined(vectors, reps, found, id_, vector)
@@ -255,7 +256,7 @@ def search(rows: DataFrame, dim: int, radius: float) -> DataFrame:
         return pa.table({"rep": rep[order][a], "near": rep[order][b]})
 
     edges = rows.select("shard", "block", "rep", "vec").groupBy("shard", "block").applyInArrow(build, "rep bigint, near bigint")
-    lists = edges.groupBy("rep").agg(F.collect_set("near").alias("near"))  # at most the lists of OVERLAP shards
+    lists = edges.groupBy("rep").agg(F.sort_array(F.collect_set("near")).alias("near"))  # at most the lists of OVERLAP shards
     rows = materialise(rows.join(lists, "rep", "left"), "graph")
     # block i asks block j, i <= j
     last = F.col("blocks") - 1
