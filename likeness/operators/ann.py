@@ -155,13 +155,20 @@ def fingerprint(count, highest, dim, feature: str = "hsv"):
 
 def content_name(vectors: DataFrame, feature: str = "ivf") -> str:
     """Fingerprint that also changes when any vector does: the sum of row hashes
-    stands in for the row count next to it. One pass over the table."""
-    usable = vectors.where(V.is_usable(F.col("vector")))
-    marks = usable.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max("image_id"), F.lit(0)).alias("high"),
-        F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("dim"),
-        F.coalesce(F.sum(F.xxhash64("image_id", "vector").cast("decimal(38,0)")),
-                   F.lit(0)).alias("mark"))
+    stands in for the row count next to it. One pass over the table.
+
+    A vector is made from one state of its file. Where the table says which (``file_size,
+    mtime``, as feature tables do), only that is hashed and no vector is read.
+    """
+    stamped = {"file_size", "mtime"} <= set(vectors.columns)
+    if stamped:
+        rows, marked, dim = vectors, ["image_id", "file_size", "mtime"], F.lit(0)
+    else:
+        rows, marked = vectors.where(V.is_usable(F.col("vector"))), ["image_id", "vector"]
+        dim = F.coalesce(F.max(F.size("vector")), F.lit(0))
+    marks = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max("image_id"), F.lit(0)).alias("high"), dim.alias("dim"),
+        F.coalesce(F.sum(F.xxhash64(*marked).cast("decimal(38,0)")), F.lit(0)).alias("mark"))
     return marks.select(F.concat_ws("-", fingerprint(F.col("n"), F.col("high"), F.col("dim"), feature),
                                     F.substring(F.sha1(F.col("mark").cast("string").cast("binary")), 1, 12))
                         .alias("name")).first().name

@@ -2,14 +2,16 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from likeness.functions import vectors as V
-from likeness.operators.joins import lookup
 from likeness.operators.nearest import nearest
-from likeness.session import broadcast_if_small, materialise
+from likeness.session import materialise
 
 METRICS = ("embed", "hsv", "hog")
+# Vectors that one block of queries gathers, at most, and pairs scored at once.
+BLOCK_BYTES, PAIRS = 128 * 1024 * 1024, 8192
 
 
 def combined_search(queries: DataFrame, embeddings: DataFrame, features: DataFrame, k: int = 10, *,
@@ -48,9 +50,8 @@ def named_weights(metrics, weights) -> dict:
     return dict(zip(metrics, map(float, weights)))
 
 
-@F.arrow_udf(T.DoubleType())
-def cosine(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Row-wise cosine of two list columns; NULL where a side is missing, has no
+def row_cosine(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Row-wise cosine of two list columns; NaN where a side is missing, has no
     direction or the lengths differ."""
     n_left = left.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
     n_right = right.value_lengths().fill_null(-2).to_numpy(zero_copy_only=False)
@@ -65,6 +66,13 @@ def cosine(left: pa.Array, right: pa.Array) -> pa.Array:
             aa, bb, ab = (np.add.reduceat(x, starts) for x in (a * a, b * b, a * b))
             result[rows] = np.where((aa > 0) & (bb > 0), ab / np.sqrt(aa * bb), np.nan)
             result[rows[~(np.isfinite(aa) & np.isfinite(bb))]] = np.nan
+    return result
+
+
+@F.arrow_udf(T.DoubleType())
+def cosine(left: pa.Array, right: pa.Array) -> pa.Array:
+    """The same as a column; NULL where it is NaN."""
+    result = row_cosine(left, right)
     return pa.array(result, mask=np.isnan(result))
 
 
@@ -80,17 +88,45 @@ def candidate_scores(cands: DataFrame, queries: DataFrame, features: DataFrame,
             return df
         return df.withColumn("hsv_vector", V.pad_legacy(F.col("hsv_vector"), legacy_dim, hsv_dim))
 
+    # A block of queries gathers each image its candidates name once; only scores leave it.
     row_bytes = 8 + 4 * (V.HSV_DIM + V.HOG_DIM)
+    blocks = max(4, -(-cands.count() * row_bytes // BLOCK_BYTES))
+
+    def block(column):
+        return F.pmod(F.xxhash64(column), F.lit(blocks)).alias("block")
+
+    asked = cands.select(block("query_id"), "query_id", "image_id", "s_embed")
+    wanted = asked.select("block", "image_id").distinct()
+    # an image is wanted once a block at most, so no key is hot
+    held = full(features.select("image_id", *columns)).join(wanted, "image_id")
     own = full(queries.select("query_id", *columns))
-    own = broadcast_if_small(
-        own.withColumnsRenamed({c: f"q_{c}" for c in columns}), row_bytes)
-    held = full(features.select("image_id", *columns))
-    pairs = lookup(cands, held, "image_id", spread="query_id", how="left").join(own, "query_id")
-    scores = {}
-    for m in METRICS[1:]:
-        scores[f"s_{m}"] = (F.coalesce(cosine(f"q_{m}_vector", f"{m}_vector"), F.lit(0.0))
-                            if m in metrics else F.lit(0.0))
-    return pairs.select("query_id", "image_id", "s_embed", *[c.alias(n) for n, c in scores.items()])
+    vectors = held.select(F.col("block").alias("part"), F.lit(False).alias("is_query"), F.col("image_id").alias("id"), *columns).union(
+        own.select(block("query_id"), F.lit(True), "query_id", *columns))
+
+    def score(pairs: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.combine_chunks()
+        is_query = found["is_query"].to_numpy()
+        sides = []
+        for kind, name in ((True, "query_id"), (False, "image_id")):
+            some = found.filter(pa.array(is_query == kind))
+            some = some.take(pc.sort_indices(some["id"]))
+            ids, asked_ids = some["id"].to_numpy(), pairs[name].to_numpy()
+            at = np.searchsorted(ids, asked_ids)
+            known = at < len(ids)
+            known[known] = ids[at[known]] == asked_ids[known]
+            held = {m: some[f"{m}_vector"].combine_chunks() for m in metrics}
+            sides.append((held, pa.array(at, mask=~known)))
+        out = {c: pairs[c] for c in ("query_id", "image_id", "s_embed")}
+        for m in METRICS[1:]:
+            value = np.zeros(pairs.num_rows)
+            for start in range(0, pairs.num_rows if m in metrics else 0, PAIRS):
+                left, right = (held[m].take(at.slice(start, PAIRS)) for held, at in sides)
+                value[start:start + PAIRS] = np.nan_to_num(row_cosine(left, right), nan=0.0)
+            out[f"s_{m}"] = pa.array(value)
+        return pa.table(out)
+
+    kinds = "query_id long, image_id long, s_embed double, s_hsv double, s_hog double"
+    return asked.groupBy("block").cogroup(vectors.groupBy("part")).applyInArrow(score, kinds)
 
 
 def rescaled(raw: DataFrame, columns) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from likeness.session import broadcast_if_small
+from likeness.session import broadcast_if_small, reduce_to
 
 # A key with more rows than this on the many side is cut into parts.
 HOT_ROWS = 1_000_000
@@ -13,14 +13,13 @@ def lookup(facts: DataFrame, table: DataFrame, key: str, spread: str, how: str =
     """``facts`` with the columns of ``table`` for their key.
 
     When the keys asked for are few (checked), they are broadcast and the table
-    is reduced where it lies. Otherwise both sides are shuffled; a key that holds
+    is reduced where it lies. Otherwise both sides are shuffled once; a key that holds
     more than ``hot_rows`` facts is cut by the hash of ``spread`` into parts and
     its single table row copied to each part. At most facts / hot_rows keys can be
     that hot, so the table of hot keys stays small. The facts are read several
     times and should be a table.
     """
-    asked = broadcast_if_small(facts.select(key).distinct(), 64)
-    needed = table.join(asked, key, "left_semi")
+    needed = reduce_to(table, facts, key, 64)
     hot = broadcast_if_small(
         facts.groupBy(key).count().where(F.col("count") > hot_rows)
         .select(key, F.ceil(F.col("count") / hot_rows).alias("_parts")), 64)

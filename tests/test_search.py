@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from likeness.operators import analysis, ann, fusion, joins, search, selection
-from likeness.operators.nearest import nearest, square_blocks
+from likeness.operators.nearest import common_dim, nearest, square_blocks
 from likeness.session import fresh_dir
 from tests.conftest import rows
 from tests.helpers import slow_top
@@ -361,3 +361,60 @@ def test_copies_are_thinned_without_loss():
     rest = [*ids[1:100], *ids[400:450]]
     assert sorted(names) == sorted([*copies, *zeros, *rest])
     assert all((kept[i] == units[list(ids).index(n)]).all() for i, n in enumerate(names))
+
+
+# ---- order of rows, unusable rows, large limits ----------------------------
+
+def test_dimension_is_that_of_the_lowest_usable_id(spark):
+    """However the rows are stored, the same length decides and the same hits come back."""
+    data = [(1, None), (2, [0.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.5]), (5, [0.9, 0.1, 0.0]), (6, [0.0, 1.0])]
+    found = []
+    for order in (data, data[::-1], data[3:] + data[:3]):
+        df = spark.createDataFrame(order, "image_id long, vector array<float>").coalesce(1)
+        assert common_dim(df) == 3
+        found.append(rows(nearest(df.withColumnRenamed("image_id", "query_id"), df, 2), "query_id", "rank"))
+    assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == {3, 5}
+    assert common_dim(spark.createDataFrame([(1, None)], "image_id long, vector array<float>")) is None
+
+
+def test_training_sample_skips_unusable_rows(spark):
+    draw = np.random.default_rng(11)
+    data = [(i, draw.normal(size=4).tolist() if i % 10 == 0 else [None, [0.0] * 4, [1.0]][i % 3]) for i in range(400)]
+    df = spark.createDataFrame(data, "image_id long, vector array<float>")
+    index = ann.build_ivf(df, fresh_dir(spark, "ivf"), nlist=4, sample_size=20, dim=4)
+    assert len(index.centres) == 4 and index.lists.count() == 40
+
+
+def test_large_limits_are_not_sorted_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(selection, "HEAD_ROWS", 7)
+    df = spark.range(200).select((F.col("id") * 37 % 200).alias("k")).repartition(5)
+    for n in (1, 7, 8, 63, 199, 200, 201):
+        assert sorted(r.k for r in selection.first_n(df, "k", n).collect()) == list(range(min(n, 200)))
+
+
+def test_many_rows_handed_on_choose_blocks(spark, monkeypatch):
+    """A scan whose tasks would hand on too many rows gives way to blocks; the hits stay the same."""
+    draw = np.random.default_rng(12)
+    df = spark.createDataFrame([(i, draw.normal(size=6).tolist()) for i in range(80)], "image_id long, vector array<float>")
+    asked = df.withColumnRenamed("image_id", "query_id")
+    scanned = rows(nearest(asked, df, 5), "query_id", "rank")
+    from likeness.operators import nearest as module
+    monkeypatch.setattr(module, "SCAN_HITS", 10)
+    assert rows(nearest(asked, df, 5), "query_id", "rank") == scanned
+
+
+def test_own_image_is_left_out_by_its_path(spark):
+    """The query's id says nothing: it equals that of another image, while its file is catalogued under a third."""
+    from likeness.plans import find
+    from likeness.operators import features as X
+    from likeness.schemas import IMAGE
+    from tests.helpers import shapes, struct_of
+    pictures = {11: shapes((30, 60, 90)), 12: shapes((200, 10, 60)), 13: shapes((90, 90, 200))}
+    kind = f"image_id long, image {IMAGE.simpleString()}"
+    held = X.hog_vectors(spark.createDataFrame([(i, struct_of(p)) for i, p in pictures.items()], kind))
+    known = spark.createDataFrame([(i, f"/pics/{i}.png") for i in pictures], "image_id long, path string")
+    asked = spark.createDataFrame([(12, "file:/pics/11.png", struct_of(pictures[11])), (5, None, struct_of(pictures[13]))],
+                                  f"query_id long, path string, image {IMAGE.simpleString()}")
+    hits = rows(find.find_similar(asked, held, known, 2, feature="hog").select("query_id", "rank", "image_id"), "query_id", "rank")
+    assert [h[:2] for h in hits] == [(5, 1), (5, 2), (12, 1), (12, 2)]
+    assert {h[2] for h in hits if h[0] == 12} == {12, 13} and hits[0][2] == 13

@@ -392,17 +392,24 @@ def lsh_one_bucket(spark, sf):
                                   block_bytes=0), "score")
 
 
-@query("index_reuse", """SELECT true AS same_path, true AS changed_path, count(*) AS rows FROM embeddings""")
+@query("index_reuse", """SELECT true AS same_path, true AS changed_path, true AS restated_path, count(*) AS rows FROM embeddings""")
 def index_reuse(spark, sf):
-    """A second call opens the saved index; changed vectors get one of their own."""
+    """A second call opens the saved index without reading a vector; changed vectors, or a changed
+    file, get an index of their own."""
     rows, base = I.vectors(spark, sf), fresh_dir(spark, "indexes")
     lists = _lists(spark, sf)
     first = ann.load_or_build(rows, base, nlist=lists)
     again = ann.load_or_build(rows, base, nlist=lists)
     other = rows.withColumn("vector", F.reverse("vector"))
     changed = ann.content_name(other) != ann.content_name(rows)
+    stamped = rows.withColumns({"file_size": F.col("image_id") * 3, "mtime": F.col("image_id").cast("double")})
+    touched = stamped.withColumn("mtime", F.col("mtime") + F.when(F.col("image_id") % 7 == 0, 0.001).otherwise(0.0))
+    opened = ann.load_or_build(stamped, base, nlist=lists)
+    restated = (ann.load_or_build(stamped, base, nlist=lists).path == opened.path
+                and ann.content_name(touched) != ann.content_name(stamped))
     return again.lists.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(first.path == again.path).alias("same_path"), F.lit(changed).alias("changed_path"), "rows")
+        F.lit(first.path == again.path).alias("same_path"), F.lit(changed).alias("changed_path"),
+        F.lit(restated).alias("restated_path"), "rows")
 
 
 # ---- samples ---------------------------------------------------------------
