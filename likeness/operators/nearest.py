@@ -71,7 +71,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, dim: int | None =
     tasks = SCAN_TASKS * queries.sparkSession.sparkContext.defaultParallelism
     if asked * 8 * dim + probed * 16 <= query_bytes and kept <= TASK_HITS and kept * tasks <= SCAN_HITS:
         lists = None if probes is None else probes.select("query_id", "list_id").toArrow()
-        hits = _scan(queries.toArrow(), lists, corpus, k, copies, dim, exclude_self, keep_zero)
+        hits = _scan(queries.toArrow(), lists, corpus, k, copies, dim, exclude_self, keep_zero, block_bytes)
     else:
         hits = _grid(queries, asked, probes, corpus, k, dim, exclude_self, keep_zero, block_bytes)
     if copies > 1:
@@ -95,7 +95,7 @@ def common_dim(vectors: DataFrame) -> int | None:
     return usable.agg(F.min_by(F.size("vector"), vectors.columns[0]).alias("n")).first().n
 
 
-def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero):
+def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero, block_bytes):
     """Corpus scanned in place against a broadcast query matrix."""
     units, rows = load_units(table["vector"], dim, True)
     # A query without direction scores 0 everywhere; it only has hits where the
@@ -117,11 +117,26 @@ def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero):
     spark = corpus.sparkSession
     shared = spark.sparkContext.broadcast((ids, units, groups))
     spare = k + exclude_self
+    lists_asked = None if groups is None else np.array(list(groups), np.int64)
 
     def run(batches):
         ids, units, groups = shared.value
         # A row found in several lists may hold that many places for now.
         found = BestK(len(ids), k * copies)
+        waiting, size = [], 0
+
+        def offer_lists():
+            """The rows gathered so far, list by list: the more of them, the fewer small products."""
+            block, names, cells = (np.concatenate(c) for c in zip(*waiting))
+            order = np.argsort(cells, kind="stable")
+            block, names, cells = block[order], names[order], cells[order]
+            lists, starts = np.unique(cells, return_index=True)
+            for cell, start, end in zip(lists.tolist(), starts, np.append(starts[1:], len(cells))):
+                asking = groups.get(cell)
+                if asking is not None:
+                    found.offer(units[asking], *thin_copies(block[start:end], names[start:end], spare), asking,
+                                ids[asking] if exclude_self else None)
+
         for batch in batches:
             block, kept = load_units(batch.column("vector"), dim, keep_zero)
             names = batch.column("image_id").to_numpy(zero_copy_only=False)[kept]
@@ -129,12 +144,14 @@ def _scan(table, lists, corpus, k, copies, dim, exclude_self, keep_zero):
                 found.offer(units, *thin_copies(block, names, spare), None, ids if exclude_self else None)
                 continue
             cells = batch.column("list_id").to_numpy(zero_copy_only=False)[kept]
-            for cell in np.unique(cells):
-                asking = groups.get(int(cell))
-                if asking is not None:
-                    inside = cells == cell
-                    found.offer(units[asking], *thin_copies(block[inside], names[inside], spare), asking,
-                                ids[asking] if exclude_self else None)
+            asked_for = np.isin(cells, lists_asked)
+            waiting.append((block[asked_for], names[asked_for], cells[asked_for]))
+            size += waiting[-1][0].nbytes
+            if size > block_bytes:
+                offer_lists()
+                waiting, size = [], 0
+        if waiting:
+            offer_lists()
         yield found.batch(ids)
 
     # Fewer, longer tasks: each hands on k rows per query however much it read.
