@@ -26,7 +26,7 @@ SPACE = "▁"
 UNKNOWN, LONE, FIRST = 0, 4, 5
 # A chunk of text between two cuts; the map of a chunk without a hard limit takes its entry state.
 CHUNK = 256
-MAX_STATES, MAX_FOLLOWERS = 1 << 16, 1 << 17
+MAX_STATES, MAX_FOLLOWERS = 1 << 16, 1 << 15
 NEVER = -1e30  # below every score
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,7 +11,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Texts a kernel works on at a time; one longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+
+# Where the C library has it (glibc).
+MALLOC_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    if MALLOC_TRIM is not None:
+        MALLOC_TRIM(0)
 
 
 def whole(column: pa.Array) -> pa.Array:
@@ -66,7 +79,11 @@ def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) ->
     """
     new = T.StructType.fromDDL(fields)
     kept = [c for c in (df.columns if keep is None else keep) if c not in new.names]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
+    if text in kept and dict(df.dtypes)[text] == "string":  # a text that is handed on travels once
+        source, at = df.select(*[F.col(f"`{c}`") for c in kept]), kept.index(text)
+    else:
+        source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
+        at = len(kept)
     schema = T.StructType([source.schema[c] for c in kept] + new.fields)
     n_kept, n_new = len(kept), len(new.fields)
 
@@ -75,7 +92,7 @@ def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) ->
         kernel = make()
         for batch in batches:
             columns = batch.columns
-            texts = whole(columns[n_kept])
+            texts = whole(columns[at])
             for start, stop in slices(texts):
                 made = kernel(texts.slice(start, stop - start))
                 assert len(made) == n_new
@@ -83,5 +100,7 @@ def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) ->
                 arrays += [m if isinstance(m, pa.Array) else pa.array(m) for m in made]
                 yield pa.RecordBatch.from_arrays(
                     [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, out, strict=True)], schema=out)
+            del columns, texts, batch
+            give_back()
 
     return source.mapInArrow(run, schema)
