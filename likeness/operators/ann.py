@@ -17,7 +17,7 @@ from likeness.functions import vectors as V
 from likeness.functions.blocks import load_units
 from likeness.operators.nearest import common_dim, nearest
 from likeness.operators.selection import first_n, uniform_sample
-from likeness.session import BROADCAST_BYTES
+from likeness.session import BROADCAST_BYTES, materialise
 
 # Vectors per file of one list; a larger list is spread over several tasks.
 FILE_BYTES = 256 * 1024 * 1024
@@ -175,7 +175,7 @@ def content_name(vectors: DataFrame, feature: str = "ivf") -> str:
 
 
 def probe(queries: DataFrame, index: IvfIndex, nprobe: int) -> DataFrame:
-    """``query_id, vector, list_id``: the ``nprobe`` nearest centres per query."""
+    """``query_id, list_id``: the ``nprobe`` nearest centres per query."""
     shared = queries.sparkSession.sparkContext.broadcast(index.centres)
     dim, wanted = index.dim, min(nprobe, len(index.centres))
 
@@ -185,20 +185,17 @@ def probe(queries: DataFrame, index: IvfIndex, nprobe: int) -> DataFrame:
             units, rows = load_units(batch.column("vector"), dim, False)
             if len(rows):
                 cells = np.argsort(-(units @ centres.T), axis=1, kind="stable")[:, :wanted]
-                kept = batch.take(pa.array(np.repeat(rows, wanted)))
-                yield pa.RecordBatch.from_arrays(
-                    [kept.column("query_id"), kept.column("vector"),
-                     pa.array(cells.ravel(), pa.int64())],
-                    names=["query_id", "vector", "list_id"])
+                kept = batch.column("query_id").take(pa.array(np.repeat(rows, wanted)))
+                yield pa.RecordBatch.from_arrays([kept, pa.array(cells.ravel(), pa.int64())],
+                                                 names=["query_id", "list_id"])
 
-    return queries.select("query_id", "vector").mapInArrow(
-        run, "query_id long, vector array<float>, list_id long")
+    return queries.select("query_id", "vector").mapInArrow(run, "query_id long, list_id long")
 
 
 def search_ivf(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 32,
                exclude_self: bool = False, **sizes) -> DataFrame:
     """Exact scores inside the probed lists; all lists probed equals exact search."""
-    probes = probe(queries, index, nprobe)
+    probes = materialise(probe(queries, index, nprobe), "probes")
     lists = index.lists
     if nprobe < len(index.centres):
         # At most one number per list comes back; unprobed lists are not read.
@@ -213,8 +210,9 @@ def hash_buckets(vectors: DataFrame, id_column: str, dim: int, tables: int, bits
                  seed: int, planes: np.ndarray | None = None) -> DataFrame:
     """One row per vector and table: ``list_id`` holds the table number and the
     signs of ``bits`` random projections (Charikar 2002). Given ``planes`` (dim rows,
-    tables * bits columns) replace the random ones."""
-    given = planes
+    tables * bits columns) replace the random ones. The vectors travel along for
+    the corpus only (``id_column`` image_id)."""
+    given, held = planes, ["vector"] if id_column == "image_id" else []
 
     def run(batches):
         planes = np.random.default_rng(seed).standard_normal((dim, tables * bits)) if given is None else given
@@ -224,14 +222,13 @@ def hash_buckets(vectors: DataFrame, id_column: str, dim: int, tables: int, bits
             if len(rows):
                 signs = (units @ planes > 0).reshape(len(rows), tables, bits)
                 cells = (signs @ place) + (np.arange(tables, dtype=np.int64) << bits)
-                kept = batch.take(pa.array(np.repeat(rows, tables)))
+                at = pa.array(np.repeat(rows, tables))
                 yield pa.RecordBatch.from_arrays(
-                    [kept.column(id_column), kept.column("vector"),
-                     pa.array(cells.ravel(), pa.int64())],
-                    names=[id_column, "vector", "list_id"])
+                    [*[batch.column(c).take(at) for c in (id_column, *held)], pa.array(cells.ravel(), pa.int64())],
+                    names=[id_column, *held, "list_id"])
 
     return vectors.select(id_column, "vector").mapInArrow(
-        run, f"{id_column} long, vector array<float>, list_id long")
+        run, f"{id_column} long, {'vector array<float>, ' * len(held)}list_id long")
 
 
 def search_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, tables: int = 8,
@@ -242,7 +239,7 @@ def search_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, tables: int
     if dim is None:
         return nearest(queries, corpus, 0)
     return nearest(queries, hash_buckets(corpus, "image_id", dim, tables, bits, seed, planes), k, dim=dim,
-                   probes=hash_buckets(queries, "query_id", dim, tables, bits, seed, planes),
+                   probes=materialise(hash_buckets(queries, "query_id", dim, tables, bits, seed, planes), "probes"),
                    exclude_self=exclude_self, copies=tables, **sizes)
 
 

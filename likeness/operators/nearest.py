@@ -53,8 +53,8 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, dim: int | None =
     ``exclude_self`` drops the corpus row whose id equals the query's. Ties go to the
     smaller id.
 
-    ``probes`` (``query_id, vector, list_id``) names the lists each query looks into;
-    the corpus then has a ``list_id`` too. ``copies`` says in how many lists one
+    ``probes`` (``query_id, list_id``, best a written table) names the lists each query looks
+    into; the corpus then has a ``list_id`` too. ``copies`` says in how many lists one
     corpus row may appear.
     """
     if dim is None:
@@ -168,7 +168,9 @@ def _grid(queries, asked, probes, corpus, k, dim, exclude_self, keep_zero, block
         plan = materialise(list_blocks(probes, corpus, block_rows), "blocks")
         cells, moved = plan.agg(F.sum("cells"), F.sum("moved")).first()
         plan = broadcast_if_small(plan.select("list_id", "q_blocks", "c_blocks"), 64)
-        queries, corpus = probes.join(plan, "list_id"), corpus.join(plan, "list_id")
+        # a query looks into a bounded number of lists, so its vector meets them by its id
+        queries = queries.join(probes.join(plan, "list_id"), "query_id")
+        corpus = corpus.join(plan, "list_id")
         q_blocks, c_blocks = F.col("q_blocks"), F.col("c_blocks")
     else:
         held = corpus.count()

@@ -123,11 +123,14 @@ def compute_features(catalogue: DataFrame, path: str, extractor: X.Extractor, *,
 
 
 def current_features(catalogue: DataFrame, features: DataFrame, name: str) -> DataFrame:
-    """``image_id, <name>`` made from the catalogued file states."""
+    """``image_id, <name>`` made from the catalogued file states. A job appends only what is
+    missing, so ids are unique unless two jobs ran at once; only then vectors are shuffled."""
     same = ((F.col("f.image_id") == F.col("c.image_id"))
             & ~C.differs(F.col("c.file_size"), F.col("f.file_size"), F.col("c.mtime"), F.col("f.mtime")))
-    return (features.alias("f").join(catalogue.alias("c"), same, "left_semi")
-            .dropDuplicates(["image_id"]).select("image_id", F.col("vector").alias(name)))
+    current = features.alias("f").join(catalogue.alias("c"), same, "left_semi")
+    if not current.groupBy("image_id").count().where(F.col("count") > 1).isEmpty():
+        current = current.dropDuplicates(["image_id"])
+    return current.select("image_id", F.col("vector").alias(name))
 
 
 def compute_hsv(catalogue, path, **options):
