@@ -152,3 +152,12 @@ def test_recall_audit(spark):
     vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
     out = embedding_dedup.near_duplicates(vectors)
     assert embedding_dedup.audit(vectors, out, asked=500) >= 0.9
+
+
+def test_audit_counts_what_was_missed(spark):
+    vectors = spark.createDataFrame(cases(), "vec_id bigint, embedding array<float>").where("vec_id BETWEEN 0 AND 299")
+    out = embedding_dedup.near_duplicates(vectors)
+    assert embedding_dedup.audit(vectors, out) == 1.0
+    blind = out.withColumn("n_links", F.lit(0).cast("bigint"))
+    assert embedding_dedup.audit(vectors, blind) == 0.0
+    assert embedding_dedup.audit(vectors.limit(0), out) == 1.0
