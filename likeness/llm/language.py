@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from likeness.llm.text import code_points, map_text, slices, whole
+from likeness.llm.text import code_points, give_back, map_text, only, slices, small_batches, whole
 from likeness.session import materialise
 
 ORDER, BITS = 4, 6
@@ -66,6 +66,7 @@ def sequences(sign: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 def sequence_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """(lang, hash, n) over all texts, added up per task before the shuffle."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
@@ -98,6 +99,7 @@ def sequence_counts(docs: DataFrame, lang: str = "lang", text: str = "text") ->
                     if size > FLUSH_ROWS // 2:
                         yield from rows()
                         parts, size = [], 0
+            give_back()
         if parts:
             yield from rows()
 
@@ -169,9 +171,8 @@ class Scorer:
         return n, letters, -sums
 
 
-@functools.lru_cache(maxsize=1)
 def scorer_of(mark: str, shipped) -> Scorer:
-    return Scorer([Model(h, c) for h, c in shipped.value[1]])
+    return only(("languages", mark), lambda: Scorer([Model(h, c) for h, c in shipped.value[1]]))
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text"):

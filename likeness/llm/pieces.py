@@ -17,10 +17,11 @@ Transitions are compiled when a text first asks for them and kept for later text
 from __future__ import annotations
 
 import bisect
-import functools
 
 import numpy as np
 
+from likeness.llm.text import only
+
 SPACE = "▁"
 # Characters without a piece, by their UTF-8 length, then characters in no longer piece.
 UNKNOWN, LONE, FIRST = 0, 4, 5
@@ -30,10 +31,9 @@ MAX_STATES, MAX_FOLLOWERS = 1 << 16, 1 << 15
 NEVER = -1e30  # below every score
 
 
-@functools.lru_cache(maxsize=4)
 def machine(path: str) -> "Machine":
-    """One machine per model file and worker process."""
-    return Machine(path)
+    """One machine per worker process."""
+    return only(("pieces", path), lambda: Machine(path))
 
 
 class Machine:

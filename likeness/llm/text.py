@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 # Texts a kernel works on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+# Bytes of an Arrow batch of texts, and what Spark says where none are set.
+BATCH_BYTES, DEFAULT_BATCH = 8 << 20, "67108864b"
 
 
 # Where the C library has it (glibc).
@@ -25,6 +27,29 @@ def give_back() -> None:
         MALLOC_TRIM(0)
 
 
+_held: dict = {}
+_asked = [False]
+
+
+def small_batches(spark) -> None:
+    """Let the session hand texts to workers in batches of BATCH_BYTES, unless it sets a size of its
+    own: several copies of a batch are in memory at once, outside the heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, "") == DEFAULT_BATCH:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def only(key, build):
+    """``build()``, kept in this worker process until another operator's tasks run in it: of the
+    large models of all operators a worker holds one."""
+    _asked[0] = True
+    if key not in _held:
+        _held.clear()
+        give_back()
+        _held[key] = build()
+    return _held[key]
+
+
 def whole(column: pa.Array) -> pa.Array:
     """The texts as 64-bit strings that start at offset 0; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -77,6 +102,7 @@ def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) ->
     over slices of bounded size. Null texts are handed over as empty. ``keep`` names the
     columns to hand on (all by default); a column whose name is among ``fields`` is replaced.
     """
+    small_batches(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     kept = [c for c in (df.columns if keep is None else keep) if c not in new.names]
     if text in kept and dict(df.dtypes)[text] == "string":  # a text that is handed on travels once
@@ -89,7 +115,11 @@ def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) ->
 
     def run(batches):
         out = to_arrow_schema(schema)
+        _asked[0] = False
         kernel = make()
+        if not _asked[0] and _held:
+            _held.clear()
+            give_back()
         for batch in batches:
             columns = batch.columns
             texts = whole(columns[at])
