@@ -35,7 +35,7 @@ def small_batches(spark) -> None:
     """Let the session hand texts to workers in batches of BATCH_BYTES, unless it sets a size of its
     own: several copies of a batch are in memory at once, outside the heap."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(name, "") == DEFAULT_BATCH:
+    if spark.conf.get(name) == DEFAULT_BATCH:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
