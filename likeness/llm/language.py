@@ -5,8 +5,9 @@ Characters are folded to 64 signs: a run of non-letters is one sign, a to z one
 other letters share 37 by their code point; so a sequence is a 24-bit hash, and a model has
 at most 64**4 sequences however large the corpus is. Each order is stored as a sorted array
 of hashes with its values. The language with the lowest cross-entropy per sign wins; a text
-is rejected when it has no letter, or when its cross-entropy, standardised by its length, is
-worse than what the training texts of that language show.
+is rejected when it has no letter, or when its cross-entropy, plain and standardised by its
+length, is worse than what the training texts of that language show. Training texts are dealt
+to two halves by a hash of the text, and scored by the models of the half they are not in.
 """
 
 from __future__ import annotations
@@ -171,30 +172,55 @@ class Scorer:
         return n, letters, -sums
 
 
+def half_of(text: str = "text"):
+    """0 or 1 by the text, so that copies are in one half."""
+    return F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(2)).cast("int")
+
+
+def model_sets(counts) -> list[Model]:
+    """The models of all training texts, of the first half and of the second, by language in each;
+    a language without a text in a half has the model of all there."""
+    sets = [[], [], []]
+    for hashes, first, second in counts:
+        everything = Model(hashes, first + second)
+        sets[0].append(everything)
+        for k, n in ((1, first), (2, second)):
+            some = n > 0
+            sets[k].append(Model(hashes[some], n[some]) if some.any() else everything)
+    return [m for s in sets for m in s]
+
+
 def scorer_of(mark: str, shipped) -> Scorer:
-    return only(("languages", mark), lambda: Scorer([Model(h, c) for h, c in shipped.value[1]]))
+    return only(("languages", mark), lambda: Scorer(model_sets(shipped.value[1])))
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text"):
-    """(languages in order, their (hashes, counts)) from all rows whose language is not null."""
-    counted = materialise(sequence_counts(docs.where(F.col(lang).isNotNull()), lang, text), "sequences")
+    """(languages in order, their (hashes, counts in either half)) from all rows whose language is not null."""
+    known = docs.where(F.col(lang).isNotNull()).select(
+        F.concat(half_of(text).cast("string"), F.col(lang).cast("string")).alias("lang"), F.col(text).alias("text"))
+    half = F.col("lang").substr(1, 1)
+    counts = sequence_counts(known).groupBy(F.expr("substring(lang, 2)").alias("lang"), "hash").agg(
+        *[F.sum(F.when(half == str(k), F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)])
+    counted = materialise(counts, "sequences")
     rows = counted.count()
     if rows > MOST_ROWS:
         raise ValueError(f"the models have {rows} sequences; more languages than fit {MOST_ROWS} rows")
     table = counted.toPandas()
     names = sorted(table["lang"].unique())
     by = dict(tuple(table.groupby("lang")))
-    return names, [(by[x]["hash"].to_numpy(), by[x]["n"].to_numpy()) for x in names]
+    return names, [tuple(by[x][c].to_numpy() for c in ("hash", "n0", "n1")) for x in names]
 
 
-def scored(docs: DataFrame, trained, text: str = "text", keep=None) -> DataFrame:
+def scored(docs: DataFrame, trained, text: str = "text", keep=None, training=None) -> DataFrame:
     """``docs`` with ``lang_pred``, ``n_signs``, ``entropy`` (nats a sign) and ``score``.
 
     ``score`` is the winner's share when each language weighs exp(-entropy * min(n, 64)), from
     0 to 1; ties go to the smaller name. Null, empty and letterless texts: und, 0 signs, score 0.
+    Rows where ``training`` holds are scored by the models of the half they are not in.
     """
     import uuid
     shipped, mark = docs.sparkSession.sparkContext.broadcast(trained), uuid.uuid4().hex
+    fields = ("lang_pred string", "entropy double", "score double")
 
     def make():
         names = [*shipped.value[0], "und"]
@@ -202,40 +228,57 @@ def scored(docs: DataFrame, trained, text: str = "text", keep=None) -> DataFrame
 
         def kernel(texts):
             if scorer is None:
-                return [pa.array(["und"] * len(texts)), np.zeros(len(texts), np.int64), np.zeros(len(texts)),
-                        np.zeros(len(texts))]
+                nothing = np.zeros(len(texts))
+                return [nothing.astype(np.int64)] + [pa.array(["und"] * len(texts)), nothing, nothing] * 3
             n, letters, bits = scorer(*code_points(texts))
-            mean = bits / np.maximum(n, 1)[:, None]
-            best = mean.argmin(axis=1)
-            low = mean[np.arange(len(n)), best]
-            score = 1 / np.exp((low[:, None] - mean) * np.minimum(n, 64)[:, None]).sum(axis=1)
-            best[letters == 0] = len(names) - 1
             known = letters > 0
-            return [pa.array(names).take(pa.array(best)), np.where(known, n, 0), np.where(known, low, 0.0),
-                    np.where(known, score, 0.0)]
+            out = [np.where(known, n, 0)]
+            for own in np.split(bits, 3, axis=1):
+                mean = own / np.maximum(n, 1)[:, None]
+                best = mean.argmin(axis=1)
+                low = mean[np.arange(len(n)), best]
+                score = 1 / np.exp((low[:, None] - mean) * np.minimum(n, 64)[:, None]).sum(axis=1)
+                best[~known] = len(names) - 1
+                out += [pa.array(names).take(pa.array(best)), np.where(known, low, 0.0), np.where(known, score, 0.0)]
+            return out
         return kernel
 
-    return map_text(docs, make, "lang_pred string, n_signs bigint, entropy double, score double", text, keep)
+    by = F.lit(0) if training is None else F.when(F.coalesce(training, F.lit(False)), 2 - half_of(text)).otherwise(0)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "n_signs", "entropy", "score")]
+    made = map_text(docs.withColumn("__by", by), make, "n_signs bigint, " + ", ".join(
+        f"__{k}_{f}" for k in range(3) for f in fields), text, [*kept, "__by"])
 
+    def chosen(name):
+        return F.when(F.col("__by") == 0, F.col(f"__0_{name}")).when(
+            F.col("__by") == 1, F.col(f"__1_{name}")).otherwise(F.col(f"__2_{name}")).alias(name)
 
-def calibrated(marks: DataFrame, slack: float = 1.25):
+    return made.select(*[F.col(f"`{c}`") for c in kept], chosen("lang_pred"), "n_signs", chosen("entropy"), chosen("score"))
+
+
+def calibrated(marks: DataFrame, slack: float = 4.0, share: float = 0.95):
     """``marks`` (lang_pred, n_signs, entropy, __training, __lang) with ``rejected``.
 
-    Per language: mean entropy and its deviation scaled by the root of the length, over the
-    training rows it won rightly. A row is rejected when it lies above ``slack`` times the
-    worst of them and nearer to chance (all signs alike) than to the language's mean: the
-    training rows helped to make their model, so their deviations alone are too strict for
-    others. Rows without a letter are rejected; a language won by no training row
-    rejects none of its rows.
+    Per language: median entropy and, over the training rows it won rightly, the quantiles
+    ``share`` of the entropy and of its deviation scaled by the root of the length. A row,
+    of the training too, is rejected when it lies above ``slack`` times both: a few noisy
+    training rows do not move the quantiles, and none was scored by a model it helped to
+    make. Rows without a letter are rejected; a language won by no training row rejects
+    none of its rows.
     """
     mine = marks.where("__training AND __lang = lang_pred AND n_signs > 0")
-    mean = mine.groupBy("lang_pred").agg((F.sum(F.col("entropy") * F.col("n_signs")) / F.sum("n_signs")).alias("mean"))
+
+    def quantile(x, q):
+        return F.percentile_approx(x, F.lit(q), F.lit(10_000))
+
+    middle = mine.groupBy("lang_pred").agg(quantile(F.col("entropy"), 0.5).alias("mean"),
+                                           quantile(F.col("entropy"), share).alias("high"))
     z = (F.col("entropy") - F.col("mean")) * F.sqrt("n_signs")
-    worst = mine.join(F.broadcast(mean), "lang_pred").groupBy("lang_pred").agg(
-        F.max("mean").alias("mean"), (F.lit(slack) * F.greatest(F.max(z), F.lit(1.0))).alias("most"))
+    worst = mine.join(F.broadcast(middle), "lang_pred").groupBy("lang_pred").agg(
+        F.max("mean").alias("mean"), F.max(F.col("mean") + F.lit(slack) * (F.col("high") - F.col("mean"))).alias("top"),
+        (F.lit(slack) * F.greatest(quantile(z, share), F.lit(1.0))).alias("most"))
     return marks.join(F.broadcast(worst), "lang_pred", "left").withColumn(
         "rejected", (F.col("lang_pred") == "und") | F.coalesce(
-            (z > F.col("most")) & (F.col("entropy") > (F.col("mean") + float(np.log(SIGNS))) / 2), F.lit(False))).drop("mean", "most")
+            (z > F.col("most")) & (F.col("entropy") > F.col("top")), F.lit(False))).drop("mean", "top", "most")
 
 
 def identify(docs: DataFrame, training, lang: str = "lang", text: str = "text", keep=None) -> DataFrame:
@@ -250,7 +293,8 @@ def identify(docs: DataFrame, training, lang: str = "lang", text: str = "text",
             if c not in ("lang_pred", "score", "rejected", "n_signs", "entropy")]
     trained = train(docs.where(training), lang, text)
     inner = docs.withColumn("__training", F.coalesce(training, F.lit(False))).withColumn("__lang", F.col(lang))
-    marks = materialise(scored(inner, trained, text, keep=[*keep, "__training", "__lang"]), "languages")
+    marks = materialise(scored(inner, trained, text, keep=[*keep, "__training", "__lang"],
+                               training=F.col("__training")), "languages")
     return calibrated(marks).select(*keep, "lang_pred", "score", "rejected")
 
 

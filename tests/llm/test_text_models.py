@@ -114,6 +114,16 @@ def test_languages_odd_texts(spark):
     assert {(r["lang_pred"], r["rejected"]) for r in nothing} == {("und", True)}
 
 
+def test_noise_with_a_training_label_is_rejected(spark):
+    docs = spark.read.parquet(f"{SF1}/documents.parquet")
+    draw = np.random.default_rng(2)
+    noise = spark.createDataFrame([(20_000 + i, "".join(draw.choice(list("bcdfghjkmpqvwxz "), 600)), "en", None, 0)
+                                   for i in range(4)], docs.schema)
+    out = texts(language.identify(docs.union(noise), ~language.held_out() | (F.col("doc_id") >= 20_000), keep=["doc_id"]))
+    assert all(r["rejected"] for r in out if r["doc_id"] >= 20_000)
+    assert sum(r["rejected"] for r in out if r["doc_id"] < 20_000) <= 0.01 * len(out)
+
+
 def slow_base(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
