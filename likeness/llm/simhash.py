@@ -118,6 +118,15 @@ def near_links(values: DataFrame, most: int = 2, cell_rows: int = CELL_ROWS) ->
     return links.union(stars).distinct()
 
 
+def with_roots(prints: DataFrame, least, most: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(fp, least, root) of every distinct fingerprint; ``least`` is aggregated over its rows."""
+    if not 0 <= most <= 2:
+        raise ValueError("the five groups of segments prove links of at most two bits")
+    values = materialise(prints.groupBy("fp").agg(least.alias("least")), "values")
+    roots = components(near_links(values.select("fp"), most, cell_rows))
+    return values.join(roots, values.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", width: int = 3,
                     most: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(id, fp, component_id) per row of ``docs``; component_id is the smallest id reachable
@@ -127,30 +136,34 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wi
     link and get the component of their fingerprint, but are never its name; a component of
     such rows alone is named null. Repeated rows stay.
     """
-    if not 0 <= most <= 2:
-        raise ValueError("the five groups of segments prove links of at most two bits")
     prints = materialise(fingerprints(docs, text, width, keep=[id_]), "prints")
-    values = materialise(prints.groupBy("fp").agg(F.min(id_).alias("least")), "values")
-    roots = components(near_links(values.select("fp"), most, cell_rows))
-    rooted = values.join(roots, values.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = with_roots(prints, F.min(id_), most, cell_rows)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp", "left").select(id_, "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_: str = "doc_id", text: str = "text", width: int = 3, most: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; one row where that id is repeated.
+    """One row of ``docs`` per component: that of the smallest id, null last, then of the smallest text hash.
 
-    The ids to drop, fewer than those to keep, are sent to the texts when their counted size
-    allows; otherwise both sides are shuffled by id.
+    A row is known by its id and a 64-bit hash of its text, so rows that share an id or have none
+    are told apart; of rows alike in both one stays. The rows to drop, fewer than those to keep,
+    are sent to the texts when their counted size allows; otherwise both sides are shuffled.
     """
-    found = near_duplicates(docs, id_, text, width, most)
-    kept = F.col(id_).eqNullSafe(F.col("component_id"))
-    marks = materialise(found.groupBy(id_).agg(F.max(kept).alias("kept"), F.count_if(kept).alias("n")), "kept")
-    dropped = marks.where(~F.col("kept")).select(F.col(id_).alias("__dropped"))
-    out = docs.join(broadcast_if_small(dropped, 24), F.col(id_).eqNullSafe(F.col("__dropped")), "left_anti")
-    return out if marks.where("n > 1").isEmpty() else out.dropDuplicates([id_])
+    own = F.xxhash64(F.col(text).cast("string"))
+    prints = materialise(fingerprints(docs.select(F.col(id_).alias("__id"), F.col(text), own.alias("__own")), text, width,
+                                      keep=["__id", "__own"]), "prints")
+    rooted = with_roots(prints, F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__own")), most)
+    names = rooted.groupBy("root").agg(F.min("least").alias("name"))
+    named = rooted.join(names, "root").select("fp", "name")
+    kept = F.col("__id").eqNullSafe(F.col("name.__id")) & (F.col("__own") == F.col("name.__own"))
+    marks = materialise(prints.join(named, "fp").withColumn("kept", kept).groupBy("__id", "__own").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "kept")
+    dropped = marks.where(~F.col("kept")).select(F.col("__id").alias("__dropped"), F.col("__own").alias("__text"))
+    out = docs.withColumn("__own", own).join(broadcast_if_small(dropped, 32), F.col(id_).eqNullSafe(F.col("__dropped")) & (
+        F.col("__own") == F.col("__text")), "left_anti")
+    repeated = not marks.where("kept AND n > 1").isEmpty()
+    return (out.dropDuplicates([id_, "__own"]) if repeated else out).drop("__own")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -91,6 +91,15 @@ def test_one_of_each(spark):
     assert simhash.one_of_each(no_docs(spark)).count() == 0
 
 
+def test_one_of_each_tells_rows_without_own_id_apart(spark):
+    far = ["the quick brown fox jumps over the lazy dog", "completely other words stand in this long line here",
+           "nothing of the above is found in what follows now", "a fourth text of its very own kind and making"]
+    rows = [(None, far[0]), (None, far[1]), (None, far[1]), (7, far[2]), (7, far[3]), (8, far[3]), (6, far[3])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = [(r["doc_id"], r["text"]) for r in texts(simhash.one_of_each(docs))]
+    assert sorted(out, key=str) == sorted([(None, far[0]), (None, far[1]), (7, far[2]), (6, far[3])], key=str)
+
+
 def brute(rows, radius=0.95):
     """{row: (links, component)} of (id, vector) rows."""
     good = [i for i, (k, v) in enumerate(rows) if k is not None and v and all(
