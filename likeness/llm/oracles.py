@@ -55,3 +55,25 @@ ends AS (
   JOIN subroots s ON s.grp = l.grp CROSS JOIN (SELECT node FROM outer_tree WHERE n = 1) r)
 SELECT *, folded_root = root AS verified FROM ends
 """
+
+DECONTAMINATION = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS k FROM item WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n)),
+found AS (SELECT doc_id, k, n, item_id FROM places JOIN phrases USING (n, phrase)),
+hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS word FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
