@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from likeness.llm import curriculum, decontamination, embedding_dedup, language, merkle, oracles, piece_codec, quality_classifier, quality_rules, secrets, sharding, simhash, token_counts
+from likeness.llm import alignment, curriculum, decontamination, embedding_dedup, language, merkle, oracles, piece_codec, quality_classifier, quality_rules, secrets, sharding, simhash, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_curriculum_mix": curriculum.op9,
     "op10_sharding": sharding.op10,
     "op11_decontamination": decontamination.op11,
+    "op12_token_alignment": alignment.op12,
     "op13_merkle_manifest": merkle.op13,
 }
 ORACLE: dict[str, str] = {"op11_decontamination": oracles.DECONTAMINATION, "op13_merkle_manifest": oracles.MERKLE}
