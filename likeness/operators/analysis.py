@@ -10,7 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from likeness.functions.blocks import dense
-from likeness.operators.ann import IvfIndex, search_ivf
+from likeness.operators.ann import ListIndex, search_ivf
 from likeness.operators.nearest import common_dim, nearest
 
 
@@ -150,7 +150,7 @@ def export_coordinates(points: DataFrame, path: str) -> None:
     points.write.csv(path, header=True)
 
 
-def knn_graph(vectors: DataFrame, neighbours: int = 15, *, index: IvfIndex | None = None,
+def knn_graph(vectors: DataFrame, neighbours: int = 15, *, index: ListIndex | None = None,
               nprobe: int = 32, dim: int | None = None, **sizes) -> DataFrame:
     """``src, rank, dst, sim``: edges to the most similar other images. Exact, or
     through an index for corpora too large to compare all blocks."""

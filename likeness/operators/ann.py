@@ -1,26 +1,12 @@
-"""Approximate search: inverted lists around k-means centres, and hash buckets.
-
-An index is a folder of Parquet tables: the vectors, partitioned by list, and the
-centres, written last so that their presence marks a finished index.
-"""
-
-from dataclasses import dataclass
+"""Approximate search by index: inverted lists (``list_index``) or hash lists (``hash_index``)."""
 
 import numpy as np
-import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from likeness.functions import vectors as V
-from likeness.functions.blocks import load_units
+from likeness.operators.hash_index import HashIndex, hash_lists, search_hash
+from likeness.operators.list_index import ListIndex, build_lists, open_lists, search_lists, update
 from likeness.operators.nearest import common_dim, nearest
-from likeness.operators.selection import first_n, uniform_sample
-from likeness.session import BROADCAST_BYTES, materialise
-
-# Vectors per file of one list; a larger list is spread over several tasks.
-FILE_BYTES = 256 * 1024 * 1024
 
 
 def hsv_list_count(rows: int) -> int:
@@ -28,122 +14,25 @@ def hsv_list_count(rows: int) -> int:
     return min(1024, max(32, int(rows ** 0.5)))
 
 
-@dataclass
-class IvfIndex:
-    spark: SparkSession
-    path: str
-    dim: int
-    centres: np.ndarray
-
-    @property
-    def lists(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/lists")
+build_ivf, load_ivf, search_ivf = build_lists, open_lists, search_lists
 
 
-def build_ivf(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size: int = 200_000,
-              dim: int | None = None, seed: int = 42, iterations: int = 10,
-              limit: int | None = None, centres: np.ndarray | None = None) -> IvfIndex:
-    """Train the centres on a uniform sample of the usable vectors, assign every usable
-    vector to its nearest centre and write the lists. Given ``centres`` (directions) are
-    taken as they are.
-
-    vectors: ``image_id, vector``. Raises ValueError when none is usable.
-    """
-    spark = vectors.sparkSession
-    vectors = first_n(vectors, "image_id", limit).select("image_id", "vector")
-    dim = dim or common_dim(vectors)
-    if dim is None:
-        raise ValueError("no vectors to index")
-    if 8 * nlist * dim > BROADCAST_BYTES:
-        raise ValueError(f"{nlist} centres of {dim} values are too many to broadcast")
-    if centres is None:
-        centres, shares = train_centres(vectors, dim, nlist, sample_size, seed, iterations)
-    else:
-        centres = np.asarray(centres, np.float64)
-        centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-        shares = np.full(len(centres), 1 / len(centres))
-    rows = vectors.count()
-    per_file = max(1, FILE_BYTES // (4 * dim))
-    parts = np.ceil(shares * rows / per_file).astype(np.int64)
-    tasks = spark.sparkContext.defaultParallelism
-    (assign(vectors, centres, dim, parts)
-     .withColumn("part", F.pmod(F.xxhash64("image_id"), F.col("parts")))
-     .repartition(max(tasks, min(int(parts.sum()), 100_000)), "list_id", "part")
-     .select("list_id", "image_id", "vector")
-     .write.partitionBy("list_id").mode("overwrite").parquet(f"{path}/lists"))
-    (spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)],
-                           "list_id long, centre array<double>")
-     .coalesce(1).write.mode("overwrite").parquet(f"{path}/centres"))
-    return IvfIndex(spark, path, dim, centres)
-
-
-def train_centres(vectors, dim, nlist, sample_size, seed, iterations):
-    """(centres, share of the sample nearest to each). Unusable rows are left out before the
-    sample is drawn, so it is full whenever enough usable vectors exist."""
-    usable = vectors.where((F.size("vector") == dim) & V.is_usable(F.col("vector")))
-    sample = uniform_sample(usable, "image_id", sample_size, seed)
-    # A fixed order makes the training repeatable.
-    tasks = vectors.sparkSession.sparkContext.defaultParallelism
-    training = (sample.repartition(tasks, "image_id").sortWithinPartitions("image_id")
-                .select(array_to_vector(V.unit_or_null(F.col("vector"))).alias("features")))
-    training.persist()
-    try:
-        trained_on = training.count()
-        if trained_on == 0:
-            raise ValueError("no usable vectors to index")
-        if trained_on == 1:
-            return training.first().features.toArray()[None], np.ones(1)
-        model = KMeans(k=max(2, min(nlist, trained_on)), seed=seed, maxIter=iterations,
-                       distanceMeasure="cosine").fit(training)
-        centres = np.array(model.clusterCenters())
-        sizes = np.ones(len(centres))
-        for row in model.transform(training).groupBy("prediction").count().toLocalIterator():
-            sizes[row.prediction] = row["count"]
-    finally:
-        training.unpersist()
-    return centres / np.linalg.norm(centres, axis=1, keepdims=True), sizes / trained_on
-
-
-def assign(vectors: DataFrame, centres: np.ndarray, dim: int, parts: np.ndarray) -> DataFrame:
-    """Each usable vector with the list of its nearest centre and the number of
-    parts that list is written in."""
-    shared = vectors.sparkSession.sparkContext.broadcast((centres, parts))
-
-    def run(batches):
-        centres, parts = shared.value
-        for batch in batches:
-            units, rows = load_units(batch.column("vector"), dim, False)
-            if len(rows):
-                own = np.argmax(units @ centres.T, axis=1)
-                kept = batch.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [kept.column("image_id"), kept.column("vector"),
-                     pa.array(own, pa.int64()), pa.array(parts[own], pa.int64())],
-                    names=["image_id", "vector", "list_id", "parts"])
-
-    return vectors.select("image_id", "vector").mapInArrow(
-        run, "image_id long, vector array<float>, list_id long, parts long")
-
-
-def load_ivf(spark: SparkSession, path: str) -> IvfIndex:
-    """Open a finished index; FileNotFoundError when there is none."""
+def load_or_build(vectors: DataFrame, base: str, **options) -> ListIndex:
+    """Reuse the index of exactly these vectors below ``base`` or build it."""
+    path = f"{base}/{content_name(vectors)}"
     try:
-        table = spark.read.parquet(f"{path}/centres").orderBy("list_id").collect()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"no finished index at {path}") from missing
-    centres = np.array([row.centre for row in table])
-    return IvfIndex(spark, path, centres.shape[1], centres)
+        return open_lists(vectors.sparkSession, path)
+    except FileNotFoundError:
+        return build_lists(vectors, path, **options)
 
 
-def load_or_build(vectors: DataFrame, base: str, **options) -> IvfIndex:
-    """Reuse the index of exactly these vectors below ``base`` or build it."""
-    path = f"{base}/{content_name(vectors)}"
+def load_or_update(vectors: DataFrame, path: str, **options) -> ListIndex:
+    """The index at ``path`` brought to the state of ``vectors``, or built there: of an index that exists
+    only new, changed and vanished rows are written."""
     try:
-        return load_ivf(vectors.sparkSession, path)
+        return update(open_lists(vectors.sparkSession, path), vectors)
     except FileNotFoundError:
-        return build_ivf(vectors, path, **options)
+        return build_lists(vectors, path, **options)
 
 
 def fingerprint(count, highest, dim, feature: str = "hsv"):
@@ -174,76 +63,20 @@ def content_name(vectors: DataFrame, feature: str = "ivf") -> str:
                         .alias("name")).first().name
 
 
-def probe(queries: DataFrame, index: IvfIndex, nprobe: int) -> DataFrame:
-    """``query_id, list_id``: the ``nprobe`` nearest centres per query."""
-    shared = queries.sparkSession.sparkContext.broadcast(index.centres)
-    dim, wanted = index.dim, min(nprobe, len(index.centres))
-
-    def run(batches):
-        centres = shared.value
-        for batch in batches:
-            units, rows = load_units(batch.column("vector"), dim, False)
-            if len(rows):
-                cells = np.argsort(-(units @ centres.T), axis=1, kind="stable")[:, :wanted]
-                kept = batch.column("query_id").take(pa.array(np.repeat(rows, wanted)))
-                yield pa.RecordBatch.from_arrays([kept, pa.array(cells.ravel(), pa.int64())],
-                                                 names=["query_id", "list_id"])
-
-    return queries.select("query_id", "vector").mapInArrow(run, "query_id long, list_id long")
-
-
-def search_ivf(index: IvfIndex, queries: DataFrame, k: int = 5, *, nprobe: int = 32,
-               exclude_self: bool = False, **sizes) -> DataFrame:
-    """Exact scores inside the probed lists; all lists probed equals exact search."""
-    probes = materialise(probe(queries, index, nprobe), "probes")
-    lists = index.lists
-    if nprobe < len(index.centres):
-        # At most one number per list comes back; unprobed lists are not read.
-        probed = [row.list_id for row in probes.select("list_id").distinct().toLocalIterator()]
-        if len(probed) < len(index.centres):
-            lists = lists.where(F.col("list_id").isin(probed))
-    return nearest(queries, lists.withColumn("list_id", F.col("list_id").cast("long")), k,
-                   dim=index.dim, exclude_self=exclude_self, probes=probes, **sizes)
-
-
-def hash_buckets(vectors: DataFrame, id_column: str, dim: int, tables: int, bits: int,
-                 seed: int, planes: np.ndarray | None = None) -> DataFrame:
-    """One row per vector and table: ``list_id`` holds the table number and the
-    signs of ``bits`` random projections (Charikar 2002). Given ``planes`` (dim rows,
-    tables * bits columns) replace the random ones. The vectors travel along for
-    the corpus only (``id_column`` image_id)."""
-    given, held = planes, ["vector"] if id_column == "image_id" else []
-
-    def run(batches):
-        planes = np.random.default_rng(seed).standard_normal((dim, tables * bits)) if given is None else given
-        place = (1 << np.arange(bits, dtype=np.int64))
-        for batch in batches:
-            units, rows = load_units(batch.column("vector"), dim, False)
-            if len(rows):
-                signs = (units @ planes > 0).reshape(len(rows), tables, bits)
-                cells = (signs @ place) + (np.arange(tables, dtype=np.int64) << bits)
-                at = pa.array(np.repeat(rows, tables))
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c).take(at) for c in (id_column, *held)], pa.array(cells.ravel(), pa.int64())],
-                    names=[id_column, *held, "list_id"])
-
-    return vectors.select(id_column, "vector").mapInArrow(
-        run, f"{id_column} long, {'vector array<float>, ' * len(held)}list_id long")
-
-
-def search_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, tables: int = 8,
+def search_lsh(queries: DataFrame, corpus: DataFrame | HashIndex, k: int = 5, *, tables: int = 8,
                bits: int = 8, dim: int | None = None, seed: int = 42, planes: np.ndarray | None = None,
-               exclude_self: bool = False, **sizes) -> DataFrame:
-    """Exact scores among vectors that share a hash bucket in some table."""
-    dim = dim or common_dim(queries)
-    if dim is None:
-        return nearest(queries, corpus, 0)
-    return nearest(queries, hash_buckets(corpus, "image_id", dim, tables, bits, seed, planes), k, dim=dim,
-                   probes=materialise(hash_buckets(queries, "query_id", dim, tables, bits, seed, planes), "probes"),
-                   exclude_self=exclude_self, copies=tables, **sizes)
-
-
-def search_ann(queries: DataFrame, corpus: DataFrame | IvfIndex, k: int = 5, *,
+               **options) -> DataFrame:
+    """Exact scores among vectors that share a hash list in some table: of a stored index, or
+    of a table whose lists are made for this search."""
+    if not isinstance(corpus, HashIndex):
+        dim = dim or common_dim(queries)
+        corpus = None if dim is None else hash_lists(corpus, tables=tables, bits=bits, dim=dim, seed=seed, planes=planes)
+        if corpus is None:
+            return nearest(queries, queries.withColumnRenamed("query_id", "image_id"), 0)
+    return search_hash(corpus, queries, k, **options)
+
+
+def search_ann(queries: DataFrame, corpus: DataFrame | ListIndex | HashIndex, k: int = 5, *,
                method: str = "ivf", **options) -> DataFrame:
     """Approximate nearest images by embedding, by index or by hashing."""
     if method == "ivf":

@@ -79,9 +79,8 @@ def changed_files(catalogue: DataFrame, scan: DataFrame) -> DataFrame:
             .where(differs(F.col("file_size"), F.col("new_size"), F.col("mtime"), F.col("new_mtime"))))
 
 
-def upsert(catalogue: DataFrame, scan: DataFrame, features=("hsv_vector", "hog_vector")) -> DataFrame:
-    """Insert new files and refresh changed ones, whose feature columns become
-    NULL. Unchanged rows and rows of vanished files stay as they are."""
+def refreshed(catalogue: DataFrame, scan: DataFrame, features=("hsv_vector", "hog_vector")) -> DataFrame:
+    """The catalogue with the state of changed files, whose feature columns become NULL; every row stays."""
     held = [c for c in features if c in catalogue.columns]
     metadata = ["file_name", "directory", "file_size", "mtime"]
     new = one_per_path(scan).select("path", F.lit(True).alias("_seen"),
@@ -90,10 +89,14 @@ def upsert(catalogue: DataFrame, scan: DataFrame, features=("hsv_vector", "hog_v
         F.col("file_size"), F.col("_file_size"), F.col("mtime"), F.col("_mtime")), F.lit(False))
     updates = {c: F.when(changed, F.col(f"_{c}")).otherwise(F.col(c)) for c in metadata}
     updates |= {c: F.when(~changed, F.col(c)) for c in held}
-    refreshed = (catalogue.join(new, "path", "left")
-                 .select(*[updates[c].alias(c) if c in updates else F.col(c)
-                           for c in catalogue.columns]))
-    return refreshed.unionByName(new_files(catalogue, scan), allowMissingColumns=True)
+    return catalogue.join(new, "path", "left").select(
+        *[updates[c].alias(c) if c in updates else F.col(c) for c in catalogue.columns])
+
+
+def upsert(catalogue: DataFrame, scan: DataFrame, features=("hsv_vector", "hog_vector")) -> DataFrame:
+    """Insert new files and refresh changed ones, whose feature columns become
+    NULL. Unchanged rows and rows of vanished files stay as they are."""
+    return refreshed(catalogue, scan, features).unionByName(new_files(catalogue, scan), allowMissingColumns=True)
 
 
 def missing_files(catalogue: DataFrame, scan: DataFrame) -> DataFrame:

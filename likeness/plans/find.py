@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from likeness.functions import paths as P
 from likeness.operators import ann, features as X, fusion, search
-from likeness.operators.ann import IvfIndex
+from likeness.operators.ann import ListIndex
 from likeness.operators.joins import lookup
 from likeness.session import materialise
 
@@ -22,7 +22,7 @@ def _extractor(feature, make_predict_fn):
 
 
 def find_similar(images: DataFrame, vectors: DataFrame, catalogue: DataFrame, k: int = 5, *,
-                 feature: str = "hsv", make_predict_fn=None, index: IvfIndex | None = None,
+                 feature: str = "hsv", make_predict_fn=None, index: ListIndex | None = None,
                  nprobe: int = 32, exclude_self: bool | None = None) -> DataFrame:
     """``query_id, rank, image_id, score, path`` for ``query_id, image`` rows.
 

@@ -1,7 +1,8 @@
 """Whole jobs as a user calls them: ingest a folder, purge, compute features."""
 
+import uuid
+
 import pyarrow.fs as pafs
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from likeness.functions import paths as P
@@ -9,64 +10,111 @@ from likeness.operators import catalogue as C
 from likeness.operators import features as X
 from likeness.schemas import CATALOGUE, FEATURES
 from likeness.session import materialise, open_filesystem
+from likeness.sources.commits import CommitLog, Conflict
 from likeness.sources.files import list_files
 from likeness.sources.images import library_decode
 from likeness.sources.vectors import by_shard, files_per_shard, read_features
 
-
-class Conflict(RuntimeError):
-    """Another job wrote the catalogue since it was read."""
+# A shard of more layers than this is rewritten as one.
+MOST_LAYERS = 8
 
 
 class Snapshots:
-    """A catalogue as numbered Parquet snapshots below one folder. A new snapshot is
-    written next to the one being read; readers take the highest finished number. Older ones
-    may be deleted. A writer whose snapshot is no longer the latest, or whose number another
-    writer has begun, gets a ``Conflict``: read again and repeat."""
+    """A catalogue in shards of its paths, as layers below one folder.
+
+    A layer holds rows of some shards and is never changed. A commit record names the layers
+    that make up each shard (``sources.commits``); readers merge them. New rows are a layer
+    more, changed ones rewrite their shards only, and a shard of too many layers is made one
+    again. Every writer, appending ones too, gets a ``Conflict`` when another committed since
+    it read: refresh and repeat. ``vacuum`` deletes what no recent record names.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, schema=CATALOGUE):
+    def __init__(self, spark: SparkSession, path: str, schema=CATALOGUE, shards: int = 64):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.latest = self._highest_finished()
+        self.log, self.default_shards = CommitLog(self.path), shards
+        self.refresh()
 
-    def _numbers(self) -> list[int]:
-        filesystem, inner = open_filesystem(self.path)
-        found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
-        return [int(i.base_name.removeprefix("snapshot=")) for i in found
-                if i.base_name.startswith("snapshot=")]
+    def refresh(self) -> None:
+        self.latest, self.record = self.log.latest()
+        self.record = self.record or {"shards": self.default_shards, "layers": {}}
+
+    def shard(self):
+        """The shard of a row, as a column."""
+        return F.pmod(F.xxhash64("path"), F.lit(self.record["shards"])).cast("int")
+
+    def read(self, shards=None) -> DataFrame:
+        """All rows, or those of the given shards."""
+        wanted = None if shards is None else set(map(str, shards))
+        folders = [f"{self.path}/{layer}/shard={shard}" for shard, layers in self.record["layers"].items()
+                   if wanted is None or shard in wanted for layer in layers]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*folders)
+
+    def put(self, rows: DataFrame, replaced=()) -> None:
+        """Commit ``rows`` as a layer: in the ``replaced`` shards they are all rows from now on, in
+        others they are added. Nothing is committed where nothing changes."""
+        if self.log.latest()[0] != self.latest:
+            raise Conflict(f"commit {self.latest} of {self.path} is no longer the latest")
+        layer, replaced = f"layer-{uuid.uuid4().hex}", set(map(str, replaced))
+        (rows.select(*self.schema.names).withColumn("shard", self.shard()).repartition("shard")
+         .write.partitionBy("shard").parquet(f"{self.path}/{layer}"))
+        filesystem, inner = open_filesystem(f"{self.path}/{layer}")
+        written = {f.base_name.removeprefix("shard=") for f in filesystem.get_file_info(pafs.FileSelector(inner))
+                   if f.base_name.startswith("shard=")}
+        held = self.record["layers"]
+        layers = {s: l for s, l in held.items() if s not in replaced}
+        layers |= {s: [*layers.get(s, []), layer] for s in written}
+        if layers == held:
+            return
+        record = self.record | {"layers": layers}
+        self.latest, self.record = self.log.commit(self.latest, record), record
+        deep = [s for s, l in layers.items() if len(l) > MOST_LAYERS]
+        if deep:
+            try:
+                self.put(self.read(deep), deep)
+            except Conflict:
+                self.refresh()  # another writer came first; a later one will do it
 
-    def _highest_finished(self) -> int:
+    def write(self, table: DataFrame) -> None:
+        """Make ``table`` the whole catalogue."""
+        self.put(table, range(self.record["shards"]))
+
+    def append(self, rows: DataFrame) -> None:
+        """Add rows; nothing already there is rewritten."""
+        self.put(rows)
+
+    def upsert(self, scan: DataFrame) -> None:
+        """Insert new files and refresh changed ones; only shards that hold a changed file are rewritten."""
+        known = self.read()
+        changed = materialise(C.changed_files(known, scan).select(self.shard().alias("shard")).distinct(), "changed")
+        new, shards = C.new_files(known, scan), [row.shard for row in changed.collect()]  # a number a shard
+        if shards:
+            mine = scan.where(self.shard().isin(shards))
+            new = C.refreshed(self.read(shards), mine).unionByName(new, allowMissingColumns=True)
+        self.put(new, shards)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete the layers that none of the last ``keep`` commits names; returns how many. Not to be run
+        beside a writer whose layer is not committed yet."""
+        named = {layer for number in self.log.numbers()[-keep:] for layers in self.log.record(number)["layers"].values() for layer in layers}
         filesystem, inner = open_filesystem(self.path)
-        for number in sorted(self._numbers(), reverse=True):
-            mark = filesystem.get_file_info(f"{inner}/snapshot={number}/_SUCCESS")
-            if mark.type == pafs.FileType.File:
-                return number
-        return 0
-
-    def read(self) -> DataFrame:
-        if not self.latest:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={self.latest}")
+        old = [f.path for f in filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+               if f.base_name.startswith("layer-") and f.base_name not in named]
+        for folder in old:
+            filesystem.delete_dir(folder)
+        return len(old)
 
-    def refresh(self) -> None:
-        self.latest = self._highest_finished()
 
-    def write(self, table: DataFrame) -> None:
-        """Write the next snapshot. Numbers that crashed jobs have begun are passed over."""
-        if self._highest_finished() != self.latest:
-            raise Conflict(f"snapshot {self.latest} of {self.path} is no longer the latest")
-        number = max([self.latest, *self._numbers()]) + 1
+def repeated(snapshots: Snapshots, work, attempts: int = 3) -> None:
+    """Run ``work()`` on the catalogue; when another job wrote it meanwhile, again on what it wrote."""
+    for left in reversed(range(attempts)):
         try:
-            table.select(*self.schema.names).write.mode("error").parquet(f"{self.path}/snapshot={number}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
+            return work()
+        except Conflict:
+            if not left:
                 raise
-            raise Conflict(f"snapshot {number} of {self.path} was begun by another job") from error
-        self.latest = number
-
-    def append(self, rows: DataFrame) -> None:
-        """Add rows to the latest snapshot; nothing already there is rewritten."""
-        rows.select(*self.schema.names).write.mode("append").parquet(
-            f"{self.path}/snapshot={self.latest}")
+            snapshots.refresh()
 
 
 def ingest(spark: SparkSession, folder: str, snapshots: Snapshots, *, limit: int | None = None,
@@ -76,24 +124,19 @@ def ingest(spark: SparkSession, folder: str, snapshots: Snapshots, *, limit: int
     # ids are computed once, however many branches of the upsert read the scan
     scan = materialise(C.describe(list_files(spark, folder, extensions=extensions, skip=skip,
                                              hidden=hidden, limit=limit)), "scan")
-    for left in reversed(range(attempts)):
-        known = snapshots.read()
-        try:
-            snapshots.write(C.upsert(known, scan) if snapshots.latest else C.insert_if_absent(known, scan))
-            return scan.count()
-        except Conflict:
-            if not left:
-                raise
-            snapshots.refresh()
+    repeated(snapshots, lambda: snapshots.upsert(scan), attempts)
+    return scan.count()
 
 
 def purge(snapshots: Snapshots, marks=P.PURGE_MARKS) -> int:
     """Drop rows whose path holds a mark; returns how many."""
     known = snapshots.read()
-    gone = C.purged_rows(known, marks).count()
-    if gone:
-        snapshots.write(C.purge(known, marks))
-    return gone
+    gone = C.purged_rows(known, marks)
+    shards = materialise(gone.groupBy(snapshots.shard().alias("shard")).agg(F.count(F.lit(1)).alias("n")), "gone").collect()
+    if shards:  # a row a shard; the others stay as they are
+        touched = [row.shard for row in shards]
+        snapshots.put(C.purge(snapshots.read(touched), marks), touched)
+    return sum(row.n for row in shards)
 
 
 def compute_features(catalogue: DataFrame, path: str, extractor: X.Extractor, *, decode=library_decode,

@@ -4,15 +4,17 @@ The file stream remembers which files it has seen, so each run picks up new file
 only. A changed file has a known path and is not seen again: the batch ``ingest``
 compares sizes and times. Spark's stream hides names that start with "_"; files below
 such names are listed by the walk at the end of each run. Every micro-batch is an upsert
-keyed by path, so a batch that is run twice after a failure changes nothing; new files
-are appended, and only a batch with changed files writes the catalogue anew.
+keyed by path, so a batch that is run twice after a failure changes nothing, and it is
+repeated when another job wrote the catalogue meanwhile; new files become a layer, changed
+files rewrite the shards of the catalogue that hold them.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likeness.functions import paths as P
 from likeness.operators import catalogue as C
-from likeness.plans.jobs import Snapshots
+from likeness.plans.jobs import Snapshots, repeated
+from likeness.session import materialise
 from likeness.sources.files import absolute, file_state, list_files
 
 # Fixed schema of the binary file source.
@@ -37,11 +39,8 @@ def stream_ingest(spark: SparkSession, folder: str, snapshots: Snapshots, checkp
         listed = listed.where(~P.in_skipped_folder(path, skip))
 
     def upsert(batch: DataFrame, _number: int) -> None:
-        known, scan = snapshots.read(), C.describe(batch, image_id)
-        if snapshots.latest and C.changed_files(known, scan).isEmpty():
-            snapshots.append(C.new_files(known, scan))
-        else:
-            snapshots.write(C.upsert(known, scan))
+        scan = materialise(C.describe(batch, image_id), "scan")
+        repeated(snapshots, lambda: snapshots.upsert(scan))
 
     query = (listed.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

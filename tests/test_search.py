@@ -168,6 +168,149 @@ def test_hash_search(spark, index):
         assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in e}) / 5 for q, e in exact.items()]) > 0.5
 
 
+def test_stored_hash_index(spark, index, monkeypatch):
+    """The stored index finds what the lists made for one search find, in pairs and in blocks; more probes find more."""
+    from likeness.operators import hash_index as H
+    vectors, table, _ = index
+    asked = {i: vectors[i] for i in range(1, 500, 5)}
+    exact, queries = slow_top(asked, vectors, 5), frame(spark, asked, "query_id")
+    stored = H.build_hash_index(table, fresh_dir(spark, "hash"), tables=4, bits=6)
+    assert stored.entries.count() == 4 * stored.vectors.count() and "vector" not in stored.entries.columns
+    want = found(ann.search_lsh(queries, table, 5, tables=4, bits=6))
+    opened = H.load_hash_index(spark, stored.entries.inputFiles()[0].rsplit("/entries/", 1)[0])
+    recalls = []
+    for flips in (0, 1, 3):
+        got = found(ann.search_lsh(queries, opened, 5, flips=flips))
+        recalls.append(np.mean([len({i for i, _ in got[q]} & {i for i, _ in e}) / 5 for q, e in exact.items()]))
+        if not flips:
+            assert got == want
+        for options in ({"list_pairs": 50}, {"list_pairs": 0, "query_bytes": 0}, {"query_bytes": 0}, {"query_bytes": 2000}):
+            assert found(ann.search_lsh(queries, opened, 5, flips=flips, **options)) == got
+    assert recalls == sorted(recalls) and recalls[0] < recalls[-1] and recalls[-1] > 0.8
+    alone = found(ann.search_lsh(queries, opened, 5, flips=2, exclude_self=True))
+    assert all(q not in {i for i, _ in best} for q, best in alone.items())
+    with pytest.raises(FileNotFoundError):
+        H.load_hash_index(spark, fresh_dir(spark, "nowhere"))
+
+
+def above_scan(frame_, column):
+    """The operators above the scan that reads ``column``, from the top of the plan."""
+    path = []
+    for line in frame_._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [p for p in path if p[0] < depth] + [(depth, line.strip(" :+-"))]
+        if "FileScan" in line and column in line.split("[", 1)[1].split("]")[0]:
+            return [p for _, p in path]
+
+
+def test_lists_are_searched_without_a_shuffle(spark, index):
+    """No exchange stands above the stored blocks; unprobed groups are left out at run time."""
+    vectors, _, ivf = index
+    queries = frame(spark, {i: vectors[i] for i in range(0, 60, 7)}, "query_id")
+    from likeness.operators import list_index as L
+    probes = L.probe(queries, ivf, 2)
+    gone = spark.sparkContext.broadcast(np.zeros(0, np.int64))
+    [layer] = ivf.layers
+    pruned = L.pruned(layer, probes)
+    for found_, joins in ((L._join_lists(ivf, pruned, queries, probes, 3, False, gone, 4), True),
+                          (L._scan_lists(ivf, pruned, queries.toArrow(), probes.toArrow(), 3, False, gone), False)):
+        path = above_scan(found_, "vectors")
+        assert not any(p.startswith("Exchange") for p in path) and any("SortMergeJoin" in p for p in path) == joins
+        assert "dynamicpruning" in path[-1]
+
+
+def two_level(spark, vectors, monkeypatch, limit=None, **options):
+    from likeness.operators import list_index as L
+    if limit is not None:
+        monkeypatch.setattr(L, "BROADCAST_BYTES", limit)
+    return L.build_lists(frame(spark, vectors), fresh_dir(spark, "ivf"), levels=2, sample_size=400, **options)
+
+
+@pytest.mark.parametrize("limit", [None, 4000])
+def test_two_levels(spark, index, monkeypatch, limit):
+    """Centres beyond a broadcast are met in a grouped join; every list probed equals exact search."""
+    vectors, _, _ = index
+    ivf = two_level(spark, vectors, monkeypatch, limit, nlist=60)
+    assert (ivf.centres is None) == (limit is not None) and ivf.nlist > 40 and len(ivf.tops) >= 7
+    assert sorted(r.image_id for r in ivf.lists.select("image_id").collect()) == sorted(vectors)
+    asked = {i: vectors[i] for i in range(0, 800, 13)}
+    exact = slow_top(asked, vectors, 5)
+    for options in ({}, {"query_bytes": 0}):
+        agree(ann.search_ivf(ivf, frame(spark, asked, "query_id"), 5, nprobe=10_000, **options), exact)
+    some = found(ann.search_ivf(ivf, frame(spark, asked, "query_id"), 5, nprobe=12))
+    assert np.mean([len({i for i, _ in some.get(q, [])} & {i for i, _ in e}) / 5 for q, e in exact.items()]) > 0.5
+
+
+def test_every_vector_is_in_its_nearest_list(spark, index, monkeypatch):
+    vectors, _, _ = index
+    for limit in (None, 4000):
+        ivf = two_level(spark, vectors, monkeypatch, limit, nlist=60)
+        centres = {}
+        for r in ivf.centre_table.collect():
+            centres.setdefault(r.cell, []).append((r.list_id, np.array(r.centre)))
+        for r in ivf.lists.collect():
+            unit = np.array(r.vector) / np.linalg.norm(r.vector)
+            cell = int(np.argmax(np.round(ivf.tops @ unit, 9)))
+            near = [round(float(c @ unit), 6) for _, c in centres[cell]]
+            assert round(float(dict(centres[cell])[r.list_id] @ unit), 6) == max(near)
+
+
+def test_index_that_grows(spark, index):
+    """Appended, replaced and removed rows: the search equals one over an index of the final rows, the mark too."""
+    from likeness.operators import list_index as L
+    vectors, _, _ = index
+    ids = sorted(vectors)
+    draw = np.random.default_rng(3)
+    base = {i: vectors[i] for i in ids[:500]}
+    grown = L.build_lists(frame(spark, base), fresh_dir(spark, "ivf"), nlist=8, sample_size=400)
+    first_layer = grown.record["layers"][0]["name"]
+    grown = L.append(grown, frame(spark, {i: vectors[i] for i in ids[500:520]}))
+    changed = {i: draw.normal(size=len(vectors[ids[0]])) for i in ids[:5]}
+    grown = L.replace(grown, frame(spark, changed), spark.createDataFrame([(i,) for i in [*changed, 10 ** 9]], "image_id long"))
+    grown = L.remove(grown, spark.createDataFrame([(ids[510],), (ids[7],)], "image_id long"))
+    want = {**{i: vectors[i] for i in ids[:520]}, **changed}
+    del want[ids[510]], want[ids[7]]
+    assert grown.record["layers"][0]["name"] == first_layer and len(grown.record["layers"]) == 3
+    centres = grown.centres
+    rebuilt = L.build_lists(frame(spark, want), fresh_dir(spark, "ivf"), centres=centres)
+    assert (grown.record["rows"], grown.record["mark"]) == (rebuilt.record["rows"], rebuilt.record["mark"]) == (len(want), rebuilt.record["mark"])
+    asked = frame(spark, {i: want[i] for i in sorted(want)[::9]}, "query_id")
+    for options in ({"nprobe": 2}, {"nprobe": 8, "query_bytes": 0, "exclude_self": True}):
+        expected = rows(ann.search_ivf(rebuilt, asked, 4, **options), "query_id", "rank")
+        opened = L.open_lists(spark, grown.path)
+        assert rows(ann.search_ivf(opened, asked, 4, **options), "query_id", "rank") == expected
+        assert rows(ann.search_ivf(L.compact(opened), asked, 4, **options), "query_id", "rank") == expected
+    with pytest.raises(Exception, match="no longer the latest"):
+        L.remove(grown, spark.createDataFrame([(ids[20],)], "image_id long"))
+
+
+def test_update_writes_what_changed(spark, index):
+    from likeness.operators import list_index as L
+    vectors, _, _ = index
+    path = fresh_dir(spark, "ivf")
+    base = {i: vectors[i] for i in list(vectors)[:300]}
+    one = ann.load_or_update(frame(spark, base), path, nlist=6, sample_size=200)
+    assert ann.load_or_update(frame(spark, base), path).number == one.number == 1
+    later = {**{i: v for i, v in base.items() if i % 50}, 10 ** 6: vectors[next(iter(vectors))] + 1, **{5: -np.asarray(base[5])}}
+    two = ann.load_or_update(frame(spark, later), path)
+    assert two.number == 2 and two.record["layers"][1]["rows"] == 2
+    assert sorted(r.image_id for r in two.lists.select("image_id").collect()) == sorted(later)
+    assert two.record["mark"] == L.build_lists(frame(spark, later), fresh_dir(spark, "ivf"), centres=two.centres).record["mark"]
+
+
+def test_large_list_is_many_parts(spark, monkeypatch):
+    from likeness.operators import list_index as L
+    monkeypatch.setattr(L, "PART_BYTES", 2000)
+    monkeypatch.setattr(L, "BLOCK_BYTES", 400)
+    draw = np.random.default_rng(4)
+    vectors = {i: draw.normal(size=8).astype(np.float32) for i in range(300)}
+    ivf = L.build_lists(frame(spark, vectors), fresh_dir(spark, "ivf"), centres=np.eye(8)[:2])
+    parts = ivf.layers[0].groupBy("list_id").agg(F.countDistinct("part").alias("n"), F.max(F.size("ids")).alias("most")).collect()
+    assert all(p.n > 1 and p.most <= 12 for p in parts)
+    for options in ({}, {"query_bytes": 0, "block_bytes": 256}):
+        agree(ann.search_ivf(ivf, frame(spark, vectors, "query_id"), 3, nprobe=2, **options), slow_top(vectors, vectors, 3))
+
+
 def test_unknown_method(spark, index):
     with pytest.raises(ValueError):
         ann.search_ann(None, None, method="other")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from likeness.functions import paths as P
 from likeness.operators import ann, catalogue as C, search, selection
+from likeness.plans import jobs
 from likeness.plans.jobs import Snapshots
 from likeness.session import fresh_dir
 from likeness.sources import files as files_source, images as images_source, vectors as vector_source
@@ -256,6 +257,22 @@ def upsert_catalogue(spark, sf):
         F.col("hsv_vector").isNotNull().alias("has_hsv"), F.col("hog_vector").isNotNull().alias("has_hog"))
 
 
+@query("catalogue_layers", ctes(I.CATALOGUE, _NEW) + f"""
+SELECT c.image_id, c.path, c.file_name, c.directory,
+       CASE WHEN s.path IS NOT NULL THEN s.file_size ELSE c.file_size END AS file_size,
+       CASE WHEN s.path IS NOT NULL THEN s.mtime ELSE c.mtime END AS mtime
+FROM catalogue c LEFT JOIN scan s ON s.path = c.path WHERE NOT {I.SQL_PURGE.replace("path", "c.path")}
+UNION ALL SELECT image_id, path, file_name, directory, file_size, mtime FROM fresh WHERE NOT {I.SQL_PURGE}""")
+def catalogue_layers(spark, sf):
+    """The stored catalogue after an upsert and a purge: layers that rewrote the touched shards only, opened again."""
+    path = fresh_dir(spark, "catalogue")
+    snapshots = Snapshots(spark, path, shards=16)
+    snapshots.append(I.catalogue(spark, sf))
+    snapshots.upsert(I.scan(spark, sf))
+    jobs.purge(snapshots)
+    return Snapshots(spark, path).read()
+
+
 @query("id_collisions", ctes(I.SCAN, """
 holders AS (SELECT file_size AS image_id, max(path) AS holder FROM scan WHERE file_size % 2 = 0 GROUP BY file_size),
 unknown AS (SELECT file_size AS image_id, path FROM scan WHERE path NOT IN (SELECT holder FROM holders)),

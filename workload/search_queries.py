@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Window, functions as F
 
 from likeness.functions import vectors as V
-from likeness.operators import ann, catalogue as C, fusion, search, selection
+from likeness.operators import ann, catalogue as C, fusion, hash_index, list_index, search, selection
 from likeness.operators.nearest import nearest
 from likeness.session import fresh_dir
 from workload import inputs as I
@@ -315,6 +315,81 @@ def ivf_search(spark, sf):
     return rounded(ann.search_ann(I.as_queries(rows), _centred_index(spark, sf), 5, method="ivf", nprobe=NPROBE), "score")
 
 
+@query("ivf_lists", ctes(EMBED, CENTRES) + "SELECT image_id, list_id FROM near WHERE place = 1")
+def ivf_lists(spark, sf):
+    """Every vector lies in the list of its nearest centre."""
+    return _centred_index(spark, sf).lists.select("image_id", "list_id")
+
+
+# Two levels: the first vector of each label is a cell, CENTRES are the lists.
+CELLS = f"""
+cells AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell, embedding::DOUBLE[] AS t,
+         sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS tn
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS nth FROM embeddings) x WHERE nth = 1),
+homes AS (
+  SELECT list_id AS nth, c, cn, cell FROM (
+    SELECT list_id, c, cn, cell, row_number() OVER (
+      PARTITION BY list_id ORDER BY round(list_inner_product(c, t) / cn / tn, 12) DESC, cell) AS place FROM centres, cells) WHERE place = 1),
+named AS (SELECT *, cell * {1 << 16} + row_number() OVER (PARTITION BY cell ORDER BY nth) - 1 AS list_id FROM homes),
+entered AS (
+  SELECT image_id, v, cell FROM (
+    SELECT image_id, v, cell, row_number() OVER (
+      PARTITION BY image_id ORDER BY round(list_inner_product(v::DOUBLE[], t) / tn / sqrt(list_inner_product(v::DOUBLE[], v::DOUBLE[])), 12) DESC, cell) AS place
+    FROM e, cells WHERE cell IN (SELECT cell FROM named)) WHERE place = 1)"""
+
+
+def _two_level_index(spark, sf):
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))
+    chosen = I.table(spark, sf, "embeddings").withColumn("nth", nth).where(F.col("nth") <= PER_LABEL).orderBy("vec_id")
+    rows = chosen.select("embedding", "nth").collect()  # a few rows a label
+    return ann.build_ivf(I.vectors(spark, sf), fresh_dir(spark, "ivf"), centres=np.array([r.embedding for r in rows]),
+                         cells=np.array([r.embedding for r in rows if r.nth == 1]))
+
+
+@query("ivf_two_levels", ctes(EMBED, CENTRES, CELLS) + """
+SELECT image_id, list_id FROM (
+  SELECT image_id, list_id, row_number() OVER (
+    PARTITION BY image_id ORDER BY round(list_inner_product(v::DOUBLE[], c) / cn / sqrt(list_inner_product(v::DOUBLE[], v::DOUBLE[])), 12) DESC, list_id) AS place
+  FROM entered JOIN named USING (cell)) WHERE place = 1""")
+def ivf_two_levels(spark, sf):
+    """Vectors descend to the nearest cell and to the nearest list of that cell."""
+    return _two_level_index(spark, sf).lists.select("image_id", "list_id")
+
+
+GROWN = """, g AS (
+  SELECT image_id, CASE WHEN label = 2 THEN list_reverse(vector) ELSE vector END AS v FROM vectors WHERE label <> 3)"""
+
+
+@query("ivf_grown", ctes(I.VECTORS + GROWN, ranked_sql("g", "g", 5)) + HITS)
+def ivf_grown(spark, sf):
+    """An index that lacked label 1 and then gained it, with label 2 replaced and label 3 removed: all
+    lists probed equals exact search over the final rows."""
+    rows = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("vector"), "label")
+    index = ann.build_ivf(rows.where("label <> 1"), fresh_dir(spark, "ivf"), nlist=_lists(spark, sf))
+    turned = rows.withColumn("vector", F.when(F.col("label") == 2, F.reverse("vector")).otherwise(F.col("vector")))
+    index = list_index.append(index, rows.where("label = 1").select("image_id", "vector"))
+    index = list_index.replace(index, turned.where("label = 2").select("image_id", "vector"), rows.where("label IN (2, 3)"))
+    final = turned.where("label <> 3").select("image_id", "vector")
+    return rounded(ann.search_ivf(index, I.as_queries(final), 5, nprobe=index.nlist), "score")
+
+
+@query("ivf_update", """
+SELECT 3 AS commits, CAST(count(*) AS BIGINT) AS appended, CAST((SELECT count(*) FROM embeddings WHERE label <> 4) AS BIGINT) AS rows
+FROM embeddings WHERE label = 5""")
+def ivf_update(spark, sf):
+    """An index brought to the state of its table three times: new rows alone become a layer, vanished
+    ones leave no vector behind, and an unchanged table writes nothing."""
+    rows, path = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("vector"), "label"), fresh_dir(spark, "ivf")
+    plain = rows.select("image_id", "vector")
+    ann.load_or_update(rows.where("label <> 5").select("image_id", "vector"), path, nlist=_lists(spark, sf))
+    grown = ann.load_or_update(plain, path)
+    ann.load_or_update(rows.where("label <> 4").select("image_id", "vector"), path)
+    index = ann.load_or_update(rows.where("label <> 4").select("image_id", "vector"), path)
+    return index.lists.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(index.number).alias("commits"), F.lit(grown.record["layers"][1]["rows"]).cast("bigint").alias("appended"), "rows")
+
+
 def trained_search(spark, sf):
     rows = I.vectors(spark, sf)
     index = ann.build_ivf(rows, fresh_dir(spark, "ivf"), nlist=_lists(spark, sf))
@@ -353,6 +428,26 @@ def lsh_search(spark, sf):
     return rounded(ann.search_ann(I.as_queries(rows), rows, 5, method="lsh", tables=TABLES, bits=BITS, planes=planes), "score")
 
 
+MULTI = f"""
+signs AS (
+  SELECT image_id, nth // {BITS} AS tab, nth % {BITS} AS bit, list_inner_product(v::DOUBLE[], p) AS side
+  FROM e, planes),
+turned AS (
+  SELECT image_id, tab, cell, xor(CAST(cell AS BIGINT), CAST(1 << weak AS BIGINT)) AS other FROM buckets JOIN (
+    SELECT image_id, tab, arg_min(bit, abs(side)) AS weak FROM signs GROUP BY image_id, tab) USING (image_id, tab))"""
+MET_MULTI = """EXISTS (SELECT 1 FROM turned a JOIN buckets b ON a.tab = b.tab AND b.cell IN (a.cell, a.other)
+  WHERE a.image_id = q.image_id AND b.image_id = c.image_id)"""
+
+
+@query("lsh_stored", ctes(EMBED, PLANES, MULTI, ranked_sql("e", "e", 5, MET_MULTI)) + HITS)
+def lsh_stored(spark, sf):
+    """A stored hash index, opened again, with the least certain sign turned in every table."""
+    rows, path = I.vectors(spark, sf), fresh_dir(spark, "hash")
+    first = I.table(spark, sf, "embeddings").orderBy("vec_id").limit(TABLES * BITS).select("embedding").collect()
+    hash_index.build_hash_index(rows, path, tables=TABLES, bits=BITS, planes=np.array([r.embedding for r in first]).T)
+    return rounded(ann.search_ann(I.as_queries(rows), hash_index.load_hash_index(spark, path), 5, method="lsh", flips=1), "score")
+
+
 def random_search(spark, sf):
     rows = I.vectors(spark, sf)
     return rounded(ann.search_ann(I.as_queries(rows), rows, 5, method="lsh", tables=12, bits=6), "score")
