@@ -1,39 +1,40 @@
 """Approximate search by stored hash lists.
 
 A vector's list in each of some hash tables is the signs of its random projections (Charikar
-2002). The index is a narrow table ``list_id, image_id`` bucketed by list, next to the vectors
-themselves, stored once and bucketed by image. A search looks into its own list of every
-table and into those that differ in the least certain signs (multi-probe). Its lists meet
-the stored ones by number, candidates meet their vectors by image, so a vector is read once
-a search however many lists name it. Lists that hold a large share of the images, asked by
-many queries, are compared as blocks instead of pairs of ids.
+2002). The index deals the images to buckets and stores each bucket's vectors once, and beside
+them a narrow table ``bucket, list_id, ids``. A search looks into its own list of every table
+and into those that differ in the least certain signs (multi-probe). The queries of a list meet
+its ids in the bucket, and ids meet vectors there: nothing of a stored index is shuffled, no vector is
+copied per table, and each is read once a search however many lists name it. A list that
+very many queries share with very many images is compared as matrix blocks instead of pairs.
 """
 
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likeness.functions.blocks import TIE_DIGITS, load_units
 from likeness.operators.nearest import QUERY_BYTES, best, common_dim, nearest
 from likeness.schemas import HITS
-from likeness.session import broadcast_if_small, materialise
+from likeness.session import BROADCAST_BYTES, broadcast_if_small, materialise
 from likeness.sources.bucketed import read_bucketed, write_bucketed
 
 # A list with more (query, image) pairs than this is compared as blocks.
 LIST_PAIRS = 1 << 22
-# Pairs scored at once, and kept before a task cuts them to k a query.
-PIECE_PAIRS, HELD_PAIRS = 1 << 14, 1 << 20
+# Pairs scored at once, and gathered before they are cut to k a query.
+PIECE_PAIRS, HELD_PAIRS = 1 << 14, 1 << 21
 # Bytes of vectors of one bucket, about.
-BUCKET_BYTES = 128 * 1024 * 1024
-ENTRIES, VECTORS = "list_id bigint, image_id bigint", "image_id bigint, vector array<float>"
+BUCKET_BYTES = 64 * 1024 * 1024
+ENTRIES, VECTORS = "bucket int, list_id bigint, ids array<bigint>", "bucket int, image_id bigint, vector array<float>"
 
 
 @dataclass
 class HashIndex:
-    """``entries`` (list_id, image_id), ``sizes`` (list_id, n), ``vectors`` (image_id, vector)."""
+    """``entries`` (bucket, list_id, ids), ``sizes`` (list_id, n), ``vectors`` (bucket, image_id, vector)."""
     dim: int
     tables: int
     bits: int
@@ -41,7 +42,7 @@ class HashIndex:
     entries: DataFrame
     sizes: DataFrame
     vectors: DataFrame
-    buckets: int = 0
+    buckets: int
 
 
 def random_planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
@@ -59,10 +60,9 @@ def _lists(units: np.ndarray, planes: np.ndarray, tables: int, bits: int, flips:
     return np.concatenate([own[:, :, None], own[:, :, None] ^ place[weak]], axis=2).reshape(len(units), -1)
 
 
-def list_entries(vectors: DataFrame, id_column: str, dim: int, planes: np.ndarray, tables: int, bits: int,
-                 flips: int = 0) -> DataFrame:
-    """``list_id, <id>``; only ids leave the tasks. Unusable vectors are in no list."""
-    shared = vectors.sparkSession.sparkContext.broadcast(planes)
+def probed_lists(queries: DataFrame, index: HashIndex, flips: int) -> DataFrame:
+    """``query_id, list_id``: ``flips`` + 1 lists in every table."""
+    shared, dim, tables, bits = queries.sparkSession.sparkContext.broadcast(index.planes), index.dim, index.tables, index.bits
     flips = min(flips, bits)
 
     def run(batches):
@@ -70,39 +70,61 @@ def list_entries(vectors: DataFrame, id_column: str, dim: int, planes: np.ndarra
             units, rows = load_units(batch.column("vector"), dim, False)
             if len(rows):
                 lists = _lists(units, shared.value, tables, bits, flips)
-                ids = batch.column(id_column).take(pa.array(np.repeat(rows, lists.shape[1])))
-                yield pa.RecordBatch.from_arrays([pa.array(lists.ravel()), ids], names=["list_id", id_column])
+                ids = batch.column("query_id").take(pa.array(np.repeat(rows, lists.shape[1])))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(lists.ravel())], names=["query_id", "list_id"])
 
-    return vectors.select(id_column, "vector").mapInArrow(run, f"list_id bigint, {id_column} bigint")
+    return queries.select("query_id", "vector").mapInArrow(run, "query_id bigint, list_id bigint")
+
+
+def bucket_of(column: str, buckets: int):
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+
+def list_entries(dealt: DataFrame, dim: int, planes: np.ndarray, tables: int, bits: int) -> DataFrame:
+    """The entries of ``bucket, image_id, vector``, bucket by bucket. Unusable vectors are in no list."""
+    shared = dealt.sparkSession.sparkContext.broadcast(planes)
+
+    def run(table: pa.Table) -> pa.Table:
+        units, rows = load_units(table["vector"], dim, False)
+        lists = _lists(units, shared.value, tables, bits).ravel()
+        ids = np.repeat(table["image_id"].to_numpy()[rows].astype(np.int64), tables)
+        order = np.argsort(lists, kind="stable")
+        names, starts = np.unique(lists[order], return_index=True)
+        ends = pa.array(np.append(starts, len(order)), pa.int32())
+        return pa.table({"bucket": pa.array(np.full(len(names), table["bucket"][0].as_py()), pa.int32()), "list_id": pa.array(names, pa.int64()),
+                         "ids": pa.ListArray.from_arrays(ends, pa.array(ids[order], pa.int64()))})
+
+    return dealt.groupBy("bucket").applyInArrow(run, ENTRIES)
 
 
 def hash_lists(vectors: DataFrame, *, tables: int = 8, bits: int = 8, dim: int | None = None, seed: int = 42,
-               planes: np.ndarray | None = None) -> HashIndex | None:
-    """An index for one search: the entries are written, the vectors stay where they are. None
-    where no vector is usable. Given ``planes`` (dim rows, tables * bits columns) replace the random ones."""
-    dim = dim or common_dim(vectors)
+               planes: np.ndarray | None = None, path: str | None = None) -> HashIndex | None:
+    """An index for one search: the entries are written, the vectors stay where they are, or are written
+    below ``path``. None where no vector is usable. Given ``planes`` (dim rows, tables * bits columns) replace
+    the random ones."""
+    spark, dim = vectors.sparkSession, dim or common_dim(vectors)
     if dim is None:
         return None
     planes = random_planes(dim, tables, bits, seed) if planes is None else np.asarray(planes, np.float64)
-    entries = materialise(list_entries(vectors, "image_id", dim, planes, tables, bits), "entries")
-    return HashIndex(dim, tables, bits, planes, entries, entries.groupBy("list_id").agg(F.count(F.lit(1)).alias("n")),
-                     vectors.select("image_id", "vector"))
-
-
-def build_hash_index(vectors: DataFrame, path: str, *, buckets: int | None = None, **options) -> HashIndex:
-    """``hash_lists`` stored below ``path``: entries bucketed by list, vectors by image."""
+    buckets = int(max(spark.sparkContext.defaultParallelism, min(vectors.count() * 4 * dim // BUCKET_BYTES, 1_000_000)))
+    dealt = vectors.select(bucket_of("image_id", buckets).alias("bucket"), "image_id", F.col("vector").cast("array<float>").alias("vector"))
+    if path is not None:
+        dealt = write_bucketed(dealt, f"{path}/vectors", ["bucket"], buckets)
+    entries = list_entries(dealt, dim, planes, tables, bits)
+    entries = materialise(entries, "entries") if path is None else write_bucketed(entries, f"{path}/entries", ["bucket"], buckets)
+    sizes = entries.groupBy("list_id").agg(F.sum(F.size("ids").cast("bigint")).alias("n"))
+    return HashIndex(dim, tables, bits, planes, entries, sizes, dealt, buckets)
+
+
+def build_hash_index(vectors: DataFrame, path: str, **options) -> HashIndex:
+    """``hash_lists`` stored below ``path``, entries and vectors bucketed alike."""
     spark = vectors.sparkSession
-    made = hash_lists(vectors, **options)
+    made = hash_lists(vectors, path=path, **options)
     if made is None:
         raise ValueError("no usable vectors to index")
-    if buckets is None:
-        size = vectors.count() * 4 * made.dim
-        buckets = max(spark.sparkContext.defaultParallelism, min(size // BUCKET_BYTES, 50_000))
-    write_bucketed(made.vectors, f"{path}/vectors", ["image_id"], buckets)
-    write_bucketed(made.entries, f"{path}/entries", ["list_id"], buckets)
     made.sizes.coalesce(1).write.parquet(f"{path}/sizes")
     # written last: its presence marks a finished index
-    spark.createDataFrame([(made.dim, made.tables, made.bits, buckets, made.planes.ravel().tolist())],
+    spark.createDataFrame([(made.dim, made.tables, made.bits, made.buckets, made.planes.ravel().tolist())],
                           "dim int, tables int, bits int, buckets int, planes array<double>").coalesce(1).write.parquet(f"{path}/planes")
     return load_hash_index(spark, path)
 
@@ -116,9 +138,9 @@ def load_hash_index(spark: SparkSession, path: str) -> HashIndex:
             raise
         raise FileNotFoundError(f"no finished index at {path}") from missing
     return HashIndex(told.dim, told.tables, told.bits, np.array(told.planes).reshape(told.dim, -1),
-                     read_bucketed(spark, f"{path}/entries", ENTRIES, ["list_id"], told.buckets),
+                     read_bucketed(spark, f"{path}/entries", ENTRIES, ["bucket"], told.buckets),
                      spark.read.parquet(f"{path}/sizes"),
-                     read_bucketed(spark, f"{path}/vectors", VECTORS, ["image_id"], told.buckets), told.buckets)
+                     read_bucketed(spark, f"{path}/vectors", VECTORS, ["bucket"], told.buckets), told.buckets)
 
 
 def search_hash(index: HashIndex, queries: DataFrame, k: int = 5, *, flips: int = 0, exclude_self: bool = False,
@@ -127,112 +149,123 @@ def search_hash(index: HashIndex, queries: DataFrame, k: int = 5, *, flips: int
 
     ``flips`` more lists are probed in every table. Ties go to the smaller id; rows of unusable
     vectors are left out on both sides."""
-    probes = materialise(list_entries(queries, "query_id", index.dim, index.planes, index.tables, index.bits, flips), "probes")
-    asked = probes.groupBy("list_id").agg(F.count(F.lit(1)).alias("asked"))
-    large = index.sizes.join(broadcast_if_small(asked, 16), "list_id").where(F.col("asked") * F.col("n") > list_pairs)
-    large = materialise(large.select("list_id"), "large")
-    hits = [_scored_pairs(index, queries, _pairs(index, probes, large), k, exclude_self, query_bytes)]
-    if not large.isEmpty():
-        heavy = broadcast_if_small(large, 16)
-        held = index.vectors.join(index.entries.join(heavy, "list_id", "left_semi"), "image_id")
-        hits.append(nearest(queries, held, k, dim=index.dim, exclude_self=exclude_self, copies=index.tables,
-                            probes=materialise(probes.join(heavy, "list_id", "left_semi"), "probes"), **sizes)
-                    .select("query_id", "image_id", "score"))
-    both = hits[0] if len(hits) == 1 else hits[0].union(hits[1]).groupBy("query_id", "image_id").agg(F.max("score").alias("score"))
-    return best(both, k)
-
-
-def _pairs(index: HashIndex, probes: DataFrame, large: DataFrame) -> DataFrame:
-    """``query_id, image_id`` that share a list, once for each list they share."""
-    small = probes.join(broadcast_if_small(large, 16), "list_id", "left_anti")
-    return index.entries.join(broadcast_if_small(small, 32), "list_id").select("query_id", "image_id")
-
-
-def _scored_pairs(index, queries, pairs, k, exclude_self, query_bytes):
-    """``query_id, image_id, score``: the best of each task."""
+    queries = queries.select("query_id", "vector").where(F.size("vector") == index.dim)
+    size = queries.count() * 8 * index.dim
+    turns = 0 if size <= query_bytes else -(-size // (query_bytes or QUERY_BYTES))
+    probes = materialise(probed_lists(queries, index, flips), "probes")
+    # the queries of every list, in turns of bounded size, and what its ids and theirs amount to
+    turn = [] if not turns else [bucket_of("query_id", turns).alias("turn")]
+    asking = probes.groupBy("list_id", *turn).agg(F.collect_list("query_id").alias("asking"))
+    met = materialise(asking.join(broadcast_if_small(index.sizes, 32), "list_id")
+                      .withColumn("large", F.size("asking") * F.col("n") > list_pairs), "asking")
+    told = met.agg(F.sum("n").alias("images"), F.max("large").alias("large")).first()
+    small = met.where("NOT large").drop("large", "n") if told.large else met.drop("large", "n")
+    hits = _listed_pairs(index, queries, small, turns, told.images or 0, k, exclude_self)
+    if told.large:
+        heavy = materialise(met.where("large").select("list_id", F.explode("asking").alias("query_id")), "heavy")
+        lists = broadcast_if_small(heavy.select("list_id").distinct(), 16)
+        held = index.entries.join(lists, "list_id", "left_semi").select("list_id", F.explode("ids").alias("image_id"))
+        held = index.vectors.select("image_id", "vector").join(held, "image_id")
+        more = nearest(queries, held, k, dim=index.dim, exclude_self=exclude_self, copies=index.tables, probes=heavy, **sizes)
+        hits = hits.union(more.select("query_id", "image_id", "score")).groupBy("query_id", "image_id").agg(F.max("score").alias("score"))
+    return best(hits, k)
+
+
+def _listed_pairs(index, queries, asking, turns, images, k, exclude_self):
+    """``query_id, image_id, score``: the best of each bucket of images (and turn of queries)."""
     spark, dim = queries.sparkSession, index.dim
-    queries = queries.select("query_id", "vector").where(F.size("vector") == dim)
-    if exclude_self:
-        pairs = pairs.where("query_id <> image_id")
-    size = queries.count() * 8 * dim
-    blocks = -(-size // (query_bytes or QUERY_BYTES))
-
-    def grouped(*more):
-        """Each image once a block of queries, with those that ask for it: no more ids than a block has queries."""
-        where = [F.col("image_id")] if not index.buckets or more else [index.buckets, F.col("image_id")]
-        dealt = pairs.withColumns(dict(more)).repartition(*where)
-        return dealt.groupBy("image_id", *[c for c, _ in more]).agg(F.collect_set("query_id").alias("asking")).join(
-            index.vectors, "image_id")
-
-    if size <= query_bytes:
+    lists = index.entries.join(broadcast_if_small(asking, 8 * 64), "list_id")
+    vectors = index.vectors
+    if images * 64 <= BROADCAST_BYTES and images * 8 <= vectors.count():  # few images are named: the others stay unread
+        named = lists.select(F.explode("ids").alias("image_id")).distinct()
+        vectors = vectors.join(F.broadcast(named), "image_id", "left_semi").select("bucket", "image_id", "vector")
+    if not turns:
         table = queries.toArrow()
-        units, rows = load_units(table["vector"], dim, False)
-        ids = table["query_id"].to_numpy()[rows].astype(np.int64)
-        order = np.argsort(ids)
-        shared = spark.sparkContext.broadcast((ids[order], units[order]))
-
-        def run(batches):
-            kept = Pairs(*shared.value, dim, k)
-            for batch in batches:
-                kept.offer(batch.column("asking"), batch.column("image_id"), batch.column("vector"))
-            yield kept.batch()
-
-        return grouped().select("asking", "image_id", "vector").mapInArrow(run, HITS)
-    # a block of queries meets its images in as many parts as keep a part small
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("q_block")
-    held = materialise(grouped(("q_block", block)), "candidates")
-    parts = max(1, -(-held.count() * 4 * dim // (blocks * (query_bytes or QUERY_BYTES))))
-    held = held.withColumn("part", F.pmod(F.xxhash64("image_id"), F.lit(parts)))
-    asked = queries.select(block, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"), "query_id", "vector")
-
-    def score(asked: pa.Table, held: pa.Table) -> pa.Table:
-        units, rows = load_units(asked["vector"], dim, False)
-        ids = asked["query_id"].to_numpy()[rows].astype(np.int64)
-        order = np.argsort(ids)
-        kept = Pairs(ids[order], units[order], dim, k)
-        for batch in held.to_batches():
-            kept.offer(batch.column("asking"), batch.column("image_id"), batch.column("vector"))
-        return pa.Table.from_batches([kept.batch()])
-
-    keys = ["q_block", "part"]
-    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(score, HITS)
-
-
-class Pairs:
-    """The k best images of every query among the pairs offered."""
-
-    def __init__(self, ids: np.ndarray, units: np.ndarray, dim: int, k: int):
-        self.ids, self.units, self.dim, self.k = ids, units, dim, k
-        self.parts, self.size = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
-
-    def offer(self, asking: pa.Array, image_ids: pa.Array, vectors: pa.Array) -> None:
-        units, rows = load_units(vectors, self.dim, False)
-        asking = asking.take(pa.array(rows))
-        of = np.repeat(np.arange(len(rows)), asking.value_lengths().to_numpy(zero_copy_only=False))
-        wanted = asking.flatten().to_numpy(zero_copy_only=False)
-        at = np.minimum(np.searchsorted(self.ids, wanted), max(len(self.ids) - 1, 0))
-        known = self.ids[at] == wanted if len(self.ids) else np.zeros(len(wanted), bool)
-        of, at = of[known], at[known]
-        names = image_ids.to_numpy(zero_copy_only=False)[rows]
-        for start in range(0, len(of), PIECE_PAIRS):
-            a, b = at[start:start + PIECE_PAIRS], of[start:start + PIECE_PAIRS]
-            score = np.round(np.einsum("ij,ij->i", self.units[a], units[b]), TIE_DIGITS)
-            self.parts.append((a, names[b], score))
-        self.size += len(of)
-        if self.size > HELD_PAIRS:
-            self.cut()
-
-    def cut(self) -> None:
-        query, image, score = (np.concatenate(c) for c in zip(*self.parts))
-        order = np.lexsort((image, -score, query))
-        query, image, score = query[order], image[order], score[order]
-        first = np.searchsorted(query, query)
-        kept = np.arange(len(query)) - first < self.k
-        self.parts, self.size = [(query[kept], image[kept], score[kept])], 0
-
-    def batch(self) -> pa.RecordBatch:
-        self.cut()
-        query, image, score = self.parts[0]
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[query] if len(query) else query, pa.int64()),
-                                           pa.array(image, pa.int64()), pa.array(score, pa.float64())],
-                                          names=["query_id", "image_id", "score"])
+        shared = spark.sparkContext.broadcast(_sorted_units(table["query_id"], table["vector"], dim))
+
+        def score(lists: pa.Table, held: pa.Table) -> pa.Table:
+            return _best_pairs(lists, *shared.value, *_sorted_units(held["image_id"], held["vector"], dim), k, exclude_self)
+
+        return lists.groupBy("bucket").cogroup(vectors.groupBy("bucket")).applyInArrow(score, HITS)
+    # queries travel to the buckets with a candidate of theirs
+    lists, keys = materialise(lists, "lists"), ["bucket", "turn"]
+    asked = lists.select(*keys, F.explode("asking").alias("query_id")).distinct().join(queries, "query_id")
+    turned = vectors.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    held = turned.select(*keys, F.lit(False).alias("asks"), F.col("image_id").alias("id"), "vector").union(
+        asked.select(*keys, F.lit(True), "query_id", F.col("vector").cast("array<float>")))
+
+    def score_turn(lists: pa.Table, held: pa.Table) -> pa.Table:
+        held = held.combine_chunks()
+        sides = [held.filter(pc.equal(held["asks"], asks)) for asks in (True, False)]
+        return _best_pairs(lists, *[x for side in sides for x in _sorted_units(side["id"], side["vector"], dim)], k, exclude_self)
+
+    return lists.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(score_turn, HITS)
+
+
+def _sorted_units(ids, vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids in order, their unit vectors) of the usable rows."""
+    units, rows = load_units(vectors, dim, False)
+    ids = ids.to_numpy()[rows].astype(np.int64)
+    order = np.argsort(ids)
+    return ids[order], units[order]
+
+
+def _places(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted id among the sorted ids, -1 where it isn't."""
+    if not len(ids):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+    return np.where(ids[at] == wanted, at, -1)
+
+
+def _best_pairs(lists: pa.Table, query_ids, queries, image_ids, images, k: int, exclude_self: bool) -> pa.Table:
+    """The k best images of every query over the pairs (asking, ids) of all lists, each pair counted once."""
+    sides = []
+    for name, ids in (("asking", query_ids), ("ids", image_ids)):
+        column = lists[name].combine_chunks()
+        size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        sides.append((_places(ids, column.flatten().to_numpy(zero_copy_only=False)), size, np.concatenate(([0], np.cumsum(size)))))
+    (asking, n_asking, a_limits), (held, n_held, h_limits) = sides
+    light = [queries.astype(np.float32), images.astype(np.float32)]
+    pairs = np.cumsum(n_asking * n_held)
+    best_keys, best_scores = np.zeros(0, np.int64), np.zeros(0)
+    width, start = max(len(image_ids), 1), 0
+    while start < lists.num_rows:
+        stop = max(start + 1, int(np.searchsorted(pairs, (pairs[start - 1] if start else 0) + HELD_PAIRS, "right")))
+        row = np.repeat(np.arange(start, stop), (n_asking * n_held)[start:stop])
+        nth = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum((n_asking * n_held)[start:stop])[:-1])), (n_asking * n_held)[start:stop])
+        q, i = asking[a_limits[row] + nth // n_held[row]], held[h_limits[row] + nth % n_held[row]]
+        known = (q >= 0) & (i >= 0)
+        if exclude_self:
+            known &= query_ids[q] != image_ids[i]
+        keys = np.sort(q[known] * width + i[known])
+        keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+        rough = np.empty(len(keys), np.float32)
+        for at in range(0, len(keys), PIECE_PAIRS):
+            q, i = np.divmod(keys[at:at + PIECE_PAIRS], width)
+            rough[at:at + PIECE_PAIRS] = np.einsum("ij,ij->i", light[0][q], light[1][i])
+        # only pairs that can be among the best, given the rounding of single precision, are scored again
+        keys = keys[_near_best(keys // width, rough, k, (queries.shape[1] + 8) * 2.0 ** -23 if len(queries) else 0.0)]
+        q, i = np.divmod(keys, width)
+        keys = np.concatenate([best_keys, keys])
+        scores = np.concatenate([best_scores, np.round(np.einsum("ij,ij->i", queries[q], images[i]), TIE_DIGITS)])
+        keys, first = np.unique(keys, return_index=True)
+        order = np.lexsort((keys % width, -scores[first], keys // width))
+        owner = keys[order] // width
+        kept = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < k]
+        best_keys, best_scores, start = keys[kept], scores[first][kept], stop
+    q, i = np.divmod(best_keys, width)
+    return pa.table({"query_id": pa.array(query_ids[q], pa.int64()), "image_id": pa.array(image_ids[i], pa.int64()),
+                     "score": pa.array(best_scores, pa.float64())})
+
+
+def _near_best(query: np.ndarray, rough: np.ndarray, k: int, error: float) -> np.ndarray:
+    """Which pairs, sorted by query, come within twice ``error`` of their query's k-th best."""
+    if not len(query):
+        return np.zeros(0, bool)
+    starts = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+    size = np.diff(np.append(starts, len(query)))
+    nth = np.repeat(np.arange(len(starts)), size)
+    ranked = np.sort(4.0 * nth - rough)  # by query, then from the best on
+    kth = 4.0 * np.arange(len(starts)) - ranked[starts + np.minimum(size, k) - 1]
+    return rough >= kth[nth] - 2 * error - 1e-8
