@@ -27,6 +27,8 @@ from likeness.sources.bucketed import read_bucketed, write_bucketed
 LIST_PAIRS = 1 << 22
 # Pairs scored at once, and gathered before they are cut to k a query.
 PIECE_PAIRS, HELD_PAIRS = 1 << 14, 1 << 21
+# A bucket whose pairs are more than a part of all its cells is scored as one product, if that is not too large.
+DENSE_CELLS, DENSE_SHARE = 1 << 27, 32
 # Bytes of vectors of one bucket, about.
 BUCKET_BYTES = 64 * 1024 * 1024
 ENTRIES, VECTORS = "bucket int, list_id bigint, ids array<bigint>", "bucket int, image_id bigint, vector array<float>"
@@ -226,34 +228,59 @@ def _best_pairs(lists: pa.Table, query_ids, queries, image_ids, images, k: int,
         size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         sides.append((_places(ids, column.flatten().to_numpy(zero_copy_only=False)), size, np.concatenate(([0], np.cumsum(size)))))
     (asking, n_asking, a_limits), (held, n_held, h_limits) = sides
-    light = [queries.astype(np.float32), images.astype(np.float32)]
-    pairs = np.cumsum(n_asking * n_held)
-    best_keys, best_scores = np.zeros(0, np.int64), np.zeros(0)
-    width, start = max(len(image_ids), 1), 0
-    while start < lists.num_rows:
-        stop = max(start + 1, int(np.searchsorted(pairs, (pairs[start - 1] if start else 0) + HELD_PAIRS, "right")))
-        row = np.repeat(np.arange(start, stop), (n_asking * n_held)[start:stop])
-        nth = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum((n_asking * n_held)[start:stop])[:-1])), (n_asking * n_held)[start:stop])
-        q, i = asking[a_limits[row] + nth // n_held[row]], held[h_limits[row] + nth % n_held[row]]
-        known = (q >= 0) & (i >= 0)
-        if exclude_self:
-            known &= query_ids[q] != image_ids[i]
-        keys = np.sort(q[known] * width + i[known])
-        keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
-        rough = np.empty(len(keys), np.float32)
-        for at in range(0, len(keys), PIECE_PAIRS):
-            q, i = np.divmod(keys[at:at + PIECE_PAIRS], width)
-            rough[at:at + PIECE_PAIRS] = np.einsum("ij,ij->i", light[0][q], light[1][i])
-        # only pairs that can be among the best, given the rounding of single precision, are scored again
-        keys = keys[_near_best(keys // width, rough, k, (queries.shape[1] + 8) * 2.0 ** -23 if len(queries) else 0.0)]
+    light, width = [queries.astype(np.float32), images.astype(np.float32)], max(len(image_ids), 1)
+    cells, error = len(query_ids) * width, (queries.shape[1] + 8) * 2.0 ** -23 if len(queries) else 0.0
+    n_pairs = n_asking * n_held
+
+    def listed():
+        """Pairs as query place * width + image place, some lists at a time; a pair of several lists repeats."""
+        ends, start = np.cumsum(n_pairs), 0
+        while start < lists.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + HELD_PAIRS, "right")))
+            size = n_pairs[start:stop]
+            row = np.repeat(np.arange(start, stop), size)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            q, i = asking[a_limits[row] + nth // n_held[row]], held[h_limits[row] + nth % n_held[row]]
+            known = (q >= 0) & (i >= 0)
+            if exclude_self:
+                known &= query_ids[q] != image_ids[i]
+            yield q[known] * width + i[known]
+            start = stop
+
+    def exact(keys, rough):
+        """(keys, scores) of the pairs that can be among the best, given the rounding of single precision."""
+        keys = keys[_near_best(keys // width, rough, k, error)]
         q, i = np.divmod(keys, width)
-        keys = np.concatenate([best_keys, keys])
-        scores = np.concatenate([best_scores, np.round(np.einsum("ij,ij->i", queries[q], images[i]), TIE_DIGITS)])
+        return keys, np.round(np.einsum("ij,ij->i", queries[q], images[i]), TIE_DIGITS)
+
+    def cut(keys, scores):
         keys, first = np.unique(keys, return_index=True)
         order = np.lexsort((keys % width, -scores[first], keys // width))
         owner = keys[order] // width
         kept = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < k]
-        best_keys, best_scores, start = keys[kept], scores[first][kept], stop
+        return keys[kept], scores[first][kept]
+
+    best_keys, best_scores = np.zeros(0, np.int64), np.zeros(0)
+    if cells <= DENSE_CELLS and cells <= DENSE_SHARE * n_pairs.sum():  # most cells are asked for: score them all
+        asked = np.zeros(cells, bool)
+        for keys in listed():
+            asked[keys] = True
+        step = max(1, HELD_PAIRS // width)
+        for start in range(0, len(query_ids), step):
+            rough = (light[0][start:start + step] @ light[1].T).ravel()
+            keys = np.flatnonzero(asked[start * width:(start + step) * width])
+            found = cut(*exact(keys + start * width, rough[keys]))
+            best_keys, best_scores = np.append(best_keys, found[0]), np.append(best_scores, found[1])
+    else:
+        for keys in listed():
+            keys = np.sort(keys)
+            keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+            rough = np.empty(len(keys), np.float32)
+            for at in range(0, len(keys), PIECE_PAIRS):
+                q, i = np.divmod(keys[at:at + PIECE_PAIRS], width)
+                rough[at:at + PIECE_PAIRS] = np.einsum("ij,ij->i", light[0][q], light[1][i])
+            keys, scores = exact(keys, rough)
+            best_keys, best_scores = cut(np.append(best_keys, keys), np.append(best_scores, scores))
     q, i = np.divmod(best_keys, width)
     return pa.table({"query_id": pa.array(query_ids[q], pa.int64()), "image_id": pa.array(image_ids[i], pa.int64()),
                      "score": pa.array(best_scores, pa.float64())})

@@ -310,22 +310,20 @@ def build_lists(vectors: DataFrame, path: str, *, nlist: int = 4096, sample_size
         n_cells = max(2, min(math.isqrt(nlist), BROADCAST_BYTES // (8 * dim)))
         tops, shares = train_centres(vectors, dim, n_cells, sample_size, seed, iterations)
         made = train_cells(usable, dim, tops, shares, nlist, sample_size, seed, iterations)
-    made.write.parquet(f"{path}/centres")
+    made.coalesce(1).write.parquet(f"{path}/centres") if centres is not None or tops is None else made.write.parquet(f"{path}/centres")
     if tops is not None:
         spark.createDataFrame([(k, c) for k, c in enumerate(tops.tolist())], "cell int, centre array<double>").coalesce(
             1).write.parquet(f"{path}/cells")
     held = spark.read.parquet(f"{path}/centres").agg(F.count(F.lit(1)).alias("n"), F.max("list_id").alias("high")).first()
-    size = vectors.count() * 4 * dim
-    buckets = int(max(spark.sparkContext.defaultParallelism, min(size // BUCKET_BYTES, 50_000)))
-    record = {"dim": dim, "lists": held.n, "buckets": buckets, "layers": [], "removed": [], "mark": 0, "rows": 0,
+    if not held.n:
+        raise ValueError("no usable vectors to index")
+    record = {"dim": dim, "lists": held.n, "layers": [], "removed": [], "mark": 0, "rows": 0,
               "group_lists": CELL_LISTS if tops is not None else max(1, math.isqrt(held.high + 1))}
     return _with_rows(_opened(spark, path, 0, record), vectors)
 
 
 def _opened(spark: SparkSession, path: str, number: int, record: dict) -> ListIndex:
     tops = list_ids = centres = cells = None
-    if spark.read.parquet(f"{path}/centres").limit(1).isEmpty():
-        raise ValueError("no usable vectors to index")
     if record["group_lists"] == CELL_LISTS:
         table = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
         tops = np.array([row.centre for row in table])
@@ -350,14 +348,20 @@ def _layer(index: ListIndex, placed: DataFrame) -> tuple[dict | None, int, int]:
     name = f"layer-{uuid.uuid4().hex}"
     sizes = placed.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("mark"))
     sizes = materialise(sizes.withColumn("parts", F.ceil(F.col("n") * 4 * dim / PART_BYTES).cast("int")), "sizes")
-    told = sizes.agg(F.sum("n").alias("n"), F.sum("mark").alias("mark")).first()
+    told = sizes.agg(F.sum("n").alias("n"), F.sum("mark").alias("mark"), F.max("parts").alias("parts")).first()
     if not told.n:
         return None, 0, 0
-    large = broadcast_if_small(sizes.where("parts > 1").select("list_id", "parts"), 16)
-    part = F.pmod(F.xxhash64("image_id"), F.coalesce("parts", F.lit(1))).cast("int")
+    if told.parts > 1:
+        large = broadcast_if_small(sizes.where("parts > 1").select("list_id", "parts"), 16)
+        placed = placed.join(large, "list_id", "left").withColumn(
+            "part", F.pmod(F.xxhash64("image_id"), F.coalesce("parts", F.lit(1))).cast("int"))
+    else:
+        placed = placed.withColumn("part", F.lit(0))
+    # the base sets the number of buckets for all layers
+    index.record.setdefault("buckets", int(max(spark.sparkContext.defaultParallelism, min(told.n * 4 * dim // BUCKET_BYTES, 50_000))))
     keys, buckets, most = ["list_id", "part"], index.record["buckets"], max(1, BLOCK_BYTES // (4 * dim))
-    dealt = (placed.join(large, "list_id", "left").withColumn("part", part).repartition(buckets, *keys)
-             .sortWithinPartitions(*keys, "image_id").select("list_id", "part", "list_group", "image_id", "mark", "vector"))
+    dealt = (placed.repartition(buckets, *keys).sortWithinPartitions(*keys, "image_id")
+             .select("list_id", "part", "list_group", "image_id", "mark", "vector"))
 
     def blocks(batches):
         waiting, kept = [], None
@@ -393,10 +397,10 @@ def _layer(index: ListIndex, placed: DataFrame) -> tuple[dict | None, int, int]:
 
 def _with_rows(index: ListIndex, rows: DataFrame, removed: tuple | None = None) -> ListIndex:
     """Commit a layer of new rows, and a table of removed ones (name, rows, sum of marks)."""
-    record = dict(index.record)
     rows = rows.withColumn("mark", row_mark(rows)).withColumn("vector", F.col("vector").cast("array<float>"))
     placed = materialise(nearest_lists(index, rows, "image_id", 1, 1, ["mark", "vector"]), "placed")
     layer, n, mark = _layer(index, placed)
+    record = dict(index.record)
     if removed:
         record["removed"] = [*record["removed"], {"name": removed[0], "before": len(record["layers"]), "rows": removed[1]}]
         n, mark = n - removed[1], mark - removed[2]
@@ -494,7 +498,7 @@ def search_lists(index: ListIndex, queries: DataFrame, k: int = 5, *, nprobe: in
         return nearest(queries, queries.withColumnRenamed("query_id", "image_id"), 0)
     probes = materialise(probe(queries, index, nprobe, cells), "probes")
     queries = queries.select("query_id", "vector").where(F.size("vector") == index.dim)
-    size = queries.count() * 8 * index.dim + probes.count() * 16
+    size = queries.count() * (8 * index.dim + 16 * min(nprobe, index.nlist))
     hits = None
     for n, layer in enumerate(index.layers):
         layer = pruned(layer, probes)
