@@ -2,6 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. The
 first four return the columns of ``documents``, the last one piece ids in training order.
+Every stage takes null and empty texts, null or repeated ids, equal rows, empty tables and columns of
+any name, which it hands on; the functions say what becomes of them.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from likeness.session import materialise, ship
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a rejected language stay; models learn from the op2 training fold of ``docs``."""
+    """Documents without a rejected language stay; models learn from the op2 training fold of ``docs``.
+    Null, empty and letterless texts go; rows of equal texts stay or go together."""
     ship(spark, likeness)
     found = language.identify(docs, ~language.held_out())
     return found.where(~F.col("rejected")).select(*docs.columns)
@@ -22,7 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies stays (fingerprints of
-    three-word shingles within two bits, as for op4)."""
+    three-word shingles within two bits, as for op4). Texts without a word are copies of each other;
+    of equal rows one stays; null ids are rows like others."""
     ship(spark, likeness)
     return simhash.one_of_each(docs)
 
@@ -35,16 +39,24 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, range-sorted by training position."""
+    """Documents as often as the mix takes them; a null source is a source, documents without words weigh
+    nothing. The columns of ``documents`` cannot tell an order: ``encoding`` finds it from the rows."""
     ship(spark, likeness)
-    mixed = curriculum.mixture(docs)
-    return curriculum.ordered(mixed, docs.columns).select(*docs.columns)
+    columns = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]  # names that no operator makes
+    roles = {name: f"c{docs.columns.index(name)}" for name in ("doc_id", "source", "text")}
+    mixed = curriculum.mixture(docs.select(*columns), roles["doc_id"], roles["source"], roles["text"])
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return mixed.where("copies > 0").select("*", copies.alias("copy")).select(
+        *[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, source, lang, n_ids, ids) of every row, in the order of ``docs``."""
+    """(doc_id, source, lang, position, n_ids, ids) of every row, range-sorted by training position; a
+    null or empty text has no ids."""
     ship(spark, likeness)
-    return piece_codec.encode(docs, keep=["doc_id", "source", "lang"]).select("doc_id", "source", "lang", "n_ids", "ids")
+    placed = curriculum.in_order(docs, keep=["doc_id", "source", "lang", "text"])
+    return piece_codec.encode(placed, keep=["doc_id", "source", "lang", "position"]).select(
+        "doc_id", "source", "lang", "position", "n_ids", "ids")
 
 
 STAGES = [("language ID", language_id), ("SimHash near-dedup", near_dedup), ("secret scans", secret_scan),
