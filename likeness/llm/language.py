@@ -6,8 +6,10 @@ other letters share 37 by their code point; so a sequence is a 24-bit hash, and
 at most 64**4 sequences however large the corpus is. Each order is stored as a sorted array
 of hashes with its values. The language with the lowest cross-entropy per sign wins; a text
 is rejected when it has no letter, or when its cross-entropy, plain and standardised by its
-length, is worse than what the training texts of that language show. Training texts are dealt
-to two halves by a hash of the text, and scored by the models of the half they are not in.
+length, is worse than what the training texts of that language show. Texts are dealt to two
+halves by a hash of the text. Models are trained of each half, and every text, of the training
+rows or not, is scored by those of the half it is not in: equal texts get equal results, and
+no text is scored by a model it helped to make.
 """
 
 from __future__ import annotations
@@ -178,15 +180,13 @@ def half_of(text: str = "text"):
 
 
 def model_sets(counts) -> list[Model]:
-    """The models of all training texts, of the first half and of the second, by language in each;
+    """The models of the training texts of the second half, then of the first, by language in each;
     a language without a text in a half has the model of all there."""
-    sets = [[], [], []]
+    sets = [[], []]
     for hashes, first, second in counts:
-        everything = Model(hashes, first + second)
-        sets[0].append(everything)
-        for k, n in ((1, first), (2, second)):
+        for k, n in ((0, second), (1, first)):
             some = n > 0
-            sets[k].append(Model(hashes[some], n[some]) if some.any() else everything)
+            sets[k].append(Model(hashes[some], n[some]) if some.any() else Model(hashes, first + second))
     return [m for s in sets for m in s]
 
 
@@ -211,12 +211,12 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text"):
     return names, [tuple(by[x][c].to_numpy() for c in ("hash", "n0", "n1")) for x in names]
 
 
-def scored(docs: DataFrame, trained, text: str = "text", keep=None, training=None) -> DataFrame:
+def scored(docs: DataFrame, trained, text: str = "text", keep=None) -> DataFrame:
     """``docs`` with ``lang_pred``, ``n_signs``, ``entropy`` (nats a sign) and ``score``.
 
     ``score`` is the winner's share when each language weighs exp(-entropy * min(n, 64)), from
     0 to 1; ties go to the smaller name. Null, empty and letterless texts: und, 0 signs, score 0.
-    Rows where ``training`` holds are scored by the models of the half they are not in.
+    Every row is scored by the models of the half its text is not in.
     """
     import uuid
     shipped, mark = docs.sparkSession.sparkContext.broadcast(trained), uuid.uuid4().hex
@@ -229,11 +229,11 @@ def scored(docs: DataFrame, trained, text: str = "text", keep=None, training=Non
         def kernel(texts):
             if scorer is None:
                 nothing = np.zeros(len(texts))
-                return [nothing.astype(np.int64)] + [pa.array(["und"] * len(texts)), nothing, nothing] * 3
+                return [nothing.astype(np.int64)] + [pa.array(["und"] * len(texts)), nothing, nothing] * 2
             n, letters, bits = scorer(*code_points(texts))
             known = letters > 0
             out = [np.where(known, n, 0)]
-            for own in np.split(bits, 3, axis=1):
+            for own in np.split(bits, 2, axis=1):
                 mean = own / np.maximum(n, 1)[:, None]
                 best = mean.argmin(axis=1)
                 low = mean[np.arange(len(n)), best]
@@ -243,14 +243,12 @@ def scored(docs: DataFrame, trained, text: str = "text", keep=None, training=Non
             return out
         return kernel
 
-    by = F.lit(0) if training is None else F.when(F.coalesce(training, F.lit(False)), 2 - half_of(text)).otherwise(0)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "n_signs", "entropy", "score")]
-    made = map_text(docs.withColumn("__by", by), make, "n_signs bigint, " + ", ".join(
-        f"__{k}_{f}" for k in range(3) for f in fields), text, [*kept, "__by"])
+    made = map_text(docs.withColumn("__half", half_of(text)), make, "n_signs bigint, " + ", ".join(
+        f"__{k}_{f}" for k in range(2) for f in fields), text, [*kept, "__half"])
 
     def chosen(name):
-        return F.when(F.col("__by") == 0, F.col(f"__0_{name}")).when(
-            F.col("__by") == 1, F.col(f"__1_{name}")).otherwise(F.col(f"__2_{name}")).alias(name)
+        return F.when(F.col("__half") == 1, F.col(f"__1_{name}")).otherwise(F.col(f"__0_{name}")).alias(name)
 
     return made.select(*[F.col(f"`{c}`") for c in kept], chosen("lang_pred"), "n_signs", chosen("entropy"), chosen("score"))
 
@@ -261,8 +259,7 @@ def calibrated(marks: DataFrame, slack: float = 4.0, share: float = 0.95):
     Per language: median entropy and, over the training rows it won rightly, the quantiles
     ``share`` of the entropy and of its deviation scaled by the root of the length. A row,
     of the training too, is rejected when it lies above ``slack`` times both: a few noisy
-    training rows do not move the quantiles, and none was scored by a model it helped to
-    make. Rows without a letter are rejected; a language won by no training row rejects
+    training rows do not move the quantiles. Rows without a letter are rejected; a language won by no training row rejects
     none of its rows.
     """
     mine = marks.where("__training AND __lang = lang_pred AND n_signs > 0")
@@ -270,15 +267,15 @@ def calibrated(marks: DataFrame, slack: float = 4.0, share: float = 0.95):
     def quantile(x, q):
         return F.percentile_approx(x, F.lit(q), F.lit(10_000))
 
-    middle = mine.groupBy("lang_pred").agg(quantile(F.col("entropy"), 0.5).alias("mean"),
-                                           quantile(F.col("entropy"), share).alias("high"))
-    z = (F.col("entropy") - F.col("mean")) * F.sqrt("n_signs")
+    middle = mine.groupBy("lang_pred").agg(quantile(F.col("entropy"), 0.5).alias("__mean"),
+                                           quantile(F.col("entropy"), share).alias("__high"))
+    z = (F.col("entropy") - F.col("__mean")) * F.sqrt("n_signs")
     worst = mine.join(F.broadcast(middle), "lang_pred").groupBy("lang_pred").agg(
-        F.max("mean").alias("mean"), F.max(F.col("mean") + F.lit(slack) * (F.col("high") - F.col("mean"))).alias("top"),
-        (F.lit(slack) * F.greatest(quantile(z, share), F.lit(1.0))).alias("most"))
+        F.max("__mean").alias("__mean"), F.max(F.col("__mean") + F.lit(slack) * (F.col("__high") - F.col("__mean"))).alias("__top"),
+        (F.lit(slack) * F.greatest(quantile(z, share), F.lit(1.0))).alias("__most"))
     return marks.join(F.broadcast(worst), "lang_pred", "left").withColumn(
         "rejected", (F.col("lang_pred") == "und") | F.coalesce(
-            (z > F.col("most")) & (F.col("entropy") > F.col("top")), F.lit(False))).drop("mean", "top", "most")
+            (z > F.col("__most")) & (F.col("entropy") > F.col("__top")), F.lit(False))).drop("__mean", "__top", "__most")
 
 
 def identify(docs: DataFrame, training, lang: str = "lang", text: str = "text", keep=None) -> DataFrame:
@@ -286,15 +283,14 @@ def identify(docs: DataFrame, training, lang: str = "lang", text: str = "text",
 
     ``training`` is the condition (a column) that marks the rows to learn from; of these, rows
     with a null language teach nothing. ``lang`` and ids are never inputs of a prediction.
-    With no training row everything is und and rejected. Repeated rows count as often as
+    Equal texts have equal results whatever their other columns hold. With no training row everything is und and rejected. Repeated rows count as often as
     they occur.
     """
     keep = [c for c in (docs.columns if keep is None else keep)
             if c not in ("lang_pred", "score", "rejected", "n_signs", "entropy")]
     trained = train(docs.where(training), lang, text)
     inner = docs.withColumn("__training", F.coalesce(training, F.lit(False))).withColumn("__lang", F.col(lang))
-    marks = materialise(scored(inner, trained, text, keep=[*keep, "__training", "__lang"],
-                               training=F.col("__training")), "languages")
+    marks = materialise(scored(inner, trained, text, keep=[*keep, "__training", "__lang"]), "languages")
     return calibrated(marks).select(*keep, "lang_pred", "score", "rejected")
 
 

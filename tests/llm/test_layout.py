@@ -76,7 +76,7 @@ def test_positions_follow_the_schedule(spark):
     for r in rows:
         assert 0 <= r["position"] <= 1
         of[r["source"]].append(r)
-    info = {r["source"]: (r["target"], r["tilt"]) for r in texts(mixed)}
+    info = {r["source"]: (r["target"], r["__tilt"]) for r in texts(mixed)}
     for s, mine in of.items():
         target, tilt = info[s]
         for t in (0.25, 0.5, 0.75):
@@ -163,7 +163,57 @@ def test_pipeline_stages(spark):
     assert len(coded) == mixed.count() and all(len(r["ids"]) == r["n_ids"] for r in coded)
 
 
+def test_order_outlives_the_write(spark, tmp_path):
+    """A mix that was written and read in another order: every row is placed, on the schedule of its source."""
+    docs = real_docs(spark).union(odd_docs(spark).withColumn("doc_id", F.col("doc_id") + 5000))
+    mixed = dict(corpus_pipeline.STAGES)["mixing sources to target weights"](spark, docs, SF)
+    mixed.repartition(7).write.parquet(f"{tmp_path}/mixed")
+    back = spark.read.parquet(f"{tmp_path}/mixed")
+    placed = curriculum.in_order(back)
+    placed.write.parquet(f"{tmp_path}/placed")
+    rows = texts(spark.read.parquet(f"{tmp_path}/placed").orderBy("position"))
+    strip = lambda made: sorted(str([r[c] for c in docs.columns]) for r in made)
+    assert strip(rows) == strip(texts(back)) and all(0 <= r["position"] <= 1 for r in rows)
+    again = texts(curriculum.in_order(back.repartition(3)))
+    key = lambda r: (str(r["doc_id"]), str(r["text"]), round(r["position"], 9))
+    assert sorted(map(key, again)) == sorted(map(key, rows))
+    tilts = {r["source"]: r["tilt"] for r in texts(curriculum.targets(back.groupBy("source").agg(
+        F.sum(curriculum.words_in(F.col("text"))).alias("source_size"))))}
+    of = defaultdict(list)
+    for r in rows:
+        of[r["source"]].append((r["position"], len((r["text"] or "").encode().split())))
+    for source, mine in of.items():
+        total, tilt = sum(n for _, n in mine), tilts[source]
+        for t in (0.25, 0.5, 0.75):
+            assert abs(sum(n for p, n in mine if p <= t) - total * ((1 + tilt) * t - tilt * t * t)) <= 2 * max(n for _, n in mine)
+    passes = defaultdict(list)
+    for r in rows:
+        passes[r["doc_id"]].append(r["position"])
+    assert any(len(p) > 1 and max(p) - min(p) > 0.1 for p in passes.values())
+    assert curriculum.in_order(no_docs(spark)).count() == 0
+
+
+def test_stages_take_clashing_columns(spark):
+    docs = real_docs(spark).union(odd_docs(spark).withColumn("doc_id", F.col("doc_id") + 5000))
+    for name in ("weight", "tilt", "mean", "top", "most", "size", "copies", "position", "kept", "id", "n", "rejected", "score"):
+        docs = docs.withColumn(name, F.lit(f"my {name}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert {"weight", "tilt", "mean", "top", "size"} <= set(docs.columns), name
+        row = docs.first()
+        assert all(row[c] == f"my {c}" for c in ("weight", "tilt", "mean", "top", "size")), name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
 def test_pipeline_runs_and_takes_no_rows(spark, tmp_path):
     no_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
-    assert corpus_pipeline.run(spark, SF).count() > 100
+    corpus_pipeline.run(spark, SF).write.parquet(f"{tmp_path}/out")
+    out = texts(spark.read.parquet(f"{tmp_path}/out").withColumn("file", F.input_file_name()))
+    assert len(out) > 100
+    files = defaultdict(list)
+    for r in out:
+        files[r["file"]].append(r["position"])
+    ranges = sorted((min(p), max(p)) for _, p in files.items())
+    assert all(p == sorted(p) for p in files.values()) and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))

@@ -326,3 +326,13 @@ def test_map_text_replaces_clashing_columns(spark):
     out = map_text(odd_docs(spark), make, "n_chars bigint")
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert all(r["n_chars"] == len(r["text"] or "") for r in texts(out))
+
+
+def test_equal_texts_have_equal_languages(spark):
+    """Whatever their ids say about training: lang_pred, score and rejected follow from the text."""
+    docs = real_docs(spark)
+    twins = docs.withColumn("doc_id", F.col("doc_id") + 100_000).withColumn("lang", F.lit(None).cast("string"))
+    twins = twins.withColumnRenamed("lang", "mean").withColumn("lang", F.col("mean")).select(*docs.columns)
+    out = texts(language.identify(docs.union(twins), ~language.held_out(), keep=["doc_id"]))
+    by = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in out}
+    assert len(by) == 2 * docs.count() and all(by[d] == by[d + 100_000] for d in by if d < 100_000)
