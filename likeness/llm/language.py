@@ -6,10 +6,10 @@ other letters share 37 by their code point; so a sequence is a 24-bit hash, and
 at most 64**4 sequences however large the corpus is. Each order is stored as a sorted array
 of hashes with its values. The language with the lowest cross-entropy per sign wins; a text
 is rejected when it has no letter, or when its cross-entropy, plain and standardised by its
-length, is worse than what the training texts of that language show. Texts are dealt to two
-halves by a hash of the text. Models are trained of each half, and every text, of the training
-rows or not, is scored by those of the half it is not in: equal texts get equal results, and
-no text is scored by a model it helped to make.
+length, is worse than what the training texts of that language show. Every text, of the training
+rows or not, is scored by the models of all training texts, so equal texts get equal results. What
+is worse is told by texts the models don't know: training texts are dealt to two halves by a
+hash of the text, and for this purpose alone scored by the models of the half they are not in.
 """
 
 from __future__ import annotations
@@ -180,13 +180,15 @@ def half_of(text: str = "text"):
 
 
 def model_sets(counts) -> list[Model]:
-    """The models of the training texts of the second half, then of the first, by language in each;
+    """The models of all training texts, of the second half, then of the first, by language in each;
     a language without a text in a half has the model of all there."""
-    sets = [[], []]
+    sets = [[], [], []]
     for hashes, first, second in counts:
-        for k, n in ((0, second), (1, first)):
+        everything = Model(hashes, first + second)
+        sets[0].append(everything)
+        for k, n in ((1, second), (2, first)):
             some = n > 0
-            sets[k].append(Model(hashes[some], n[some]) if some.any() else Model(hashes, first + second))
+            sets[k].append(Model(hashes[some], n[some]) if some.any() else everything)
     return [m for s in sets for m in s]
 
 
@@ -216,12 +218,10 @@ def scored(docs: DataFrame, trained, text: str = "text", keep=None) -> DataFrame
 
     ``score`` is the winner's share when each language weighs exp(-entropy * min(n, 64)), from
     0 to 1; ties go to the smaller name. Null, empty and letterless texts: und, 0 signs, score 0.
-    Every row is scored by the models of the half its text is not in.
+    ``__own_lang`` and ``__own_entropy`` are what the models of the half say that a row's text is not in.
     """
     import uuid
     shipped, mark = docs.sparkSession.sparkContext.broadcast(trained), uuid.uuid4().hex
-    fields = ("lang_pred string", "entropy double", "score double")
-
     def make():
         names = [*shipped.value[0], "und"]
         scorer = scorer_of(mark, shipped) if len(names) > 1 else None
@@ -229,11 +229,11 @@ def scored(docs: DataFrame, trained, text: str = "text", keep=None) -> DataFrame
         def kernel(texts):
             if scorer is None:
                 nothing = np.zeros(len(texts))
-                return [nothing.astype(np.int64)] + [pa.array(["und"] * len(texts)), nothing, nothing] * 2
+                return [nothing.astype(np.int64)] + [pa.array(["und"] * len(texts)), nothing, nothing] * 3
             n, letters, bits = scorer(*code_points(texts))
             known = letters > 0
             out = [np.where(known, n, 0)]
-            for own in np.split(bits, 2, axis=1):
+            for own in np.split(bits, 3, axis=1):
                 mean = own / np.maximum(n, 1)[:, None]
                 best = mean.argmin(axis=1)
                 low = mean[np.arange(len(n)), best]
@@ -244,25 +244,26 @@ def scored(docs: DataFrame, trained, text: str = "text", keep=None) -> DataFrame
         return kernel
 
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "n_signs", "entropy", "score")]
-    made = map_text(docs.withColumn("__half", half_of(text)), make, "n_signs bigint, " + ", ".join(
-        f"__{k}_{f}" for k in range(2) for f in fields), text, [*kept, "__half"])
-
-    def chosen(name):
-        return F.when(F.col("__half") == 1, F.col(f"__1_{name}")).otherwise(F.col(f"__0_{name}")).alias(name)
-
-    return made.select(*[F.col(f"`{c}`") for c in kept], chosen("lang_pred"), "n_signs", chosen("entropy"), chosen("score"))
+    made = map_text(docs.withColumn("__half", half_of(text)), make, "n_signs bigint, lang_pred string, entropy double, score double, " + ", ".join(
+        f"__{k}_lang string, __{k}_entropy double, __{k}_score double" for k in range(2)), text, [*kept, "__half"])
+    first = F.col("__half") == 0
+    return made.select(*[F.col(f"`{c}`") for c in kept], "lang_pred", "n_signs", "entropy", "score",
+                       *[F.when(first, F.col(f"__0_{c}")).otherwise(F.col(f"__1_{c}")).alias(f"__own_{c}") for c in ("lang", "entropy")])
 
 
-def calibrated(marks: DataFrame, slack: float = 4.0, share: float = 0.95):
-    """``marks`` (lang_pred, n_signs, entropy, __training, __lang) with ``rejected``.
+def calibrated(marks: DataFrame, slack: float = 5.0, share: float = 0.95):
+    """``marks`` (lang_pred, n_signs, entropy, __own_lang, __own_entropy, __training, __lang) with ``rejected``.
 
     Per language: median entropy and, over the training rows it won rightly, the quantiles
-    ``share`` of the entropy and of its deviation scaled by the root of the length. A row,
-    of the training too, is rejected when it lies above ``slack`` times both: a few noisy
-    training rows do not move the quantiles. Rows without a letter are rejected; a language won by no training row rejects
-    none of its rows.
+    ``share`` of the entropy and of its deviation scaled by the root of the length, all by the models
+    of the half that a row is not in. A row, of the training too, is rejected when by these models it
+    lies above ``slack`` times both: what a model has learnt by heart is no less odd. A few noisy
+    training rows do not move the quantiles. On the given tables the factor rejects less than one
+    row in a hundred. Rows without a letter are rejected; a language won by no training row
+    rejects none of its rows.
     """
-    mine = marks.where("__training AND __lang = lang_pred AND n_signs > 0")
+    mine = marks.where("__training AND __lang = __own_lang AND n_signs > 0").select(
+        F.col("__own_lang").alias("lang_pred"), F.col("__own_entropy").alias("entropy"), "n_signs")
 
     def quantile(x, q):
         return F.percentile_approx(x, F.lit(q), F.lit(10_000))
@@ -270,12 +271,13 @@ def calibrated(marks: DataFrame, slack: float = 4.0, share: float = 0.95):
     middle = mine.groupBy("lang_pred").agg(quantile(F.col("entropy"), 0.5).alias("__mean"),
                                            quantile(F.col("entropy"), share).alias("__high"))
     z = (F.col("entropy") - F.col("__mean")) * F.sqrt("n_signs")
-    worst = mine.join(F.broadcast(middle), "lang_pred").groupBy("lang_pred").agg(
+    worst = mine.join(F.broadcast(middle), "lang_pred").groupBy(F.col("lang_pred").alias("__own_lang")).agg(
         F.max("__mean").alias("__mean"), F.max(F.col("__mean") + F.lit(slack) * (F.col("__high") - F.col("__mean"))).alias("__top"),
         (F.lit(slack) * F.greatest(quantile(z, share), F.lit(1.0))).alias("__most"))
-    return marks.join(F.broadcast(worst), "lang_pred", "left").withColumn(
+    own = (F.col("__own_entropy") - F.col("__mean")) * F.sqrt("n_signs")
+    return marks.join(F.broadcast(worst), "__own_lang", "left").withColumn(
         "rejected", (F.col("lang_pred") == "und") | F.coalesce(
-            (z > F.col("__most")) & (F.col("entropy") > F.col("__top")), F.lit(False))).drop("__mean", "__top", "__most")
+            (own > F.col("__most")) & (F.col("__own_entropy") > F.col("__top")), F.lit(False)))
 
 
 def identify(docs: DataFrame, training, lang: str = "lang", text: str = "text", keep=None) -> DataFrame:
