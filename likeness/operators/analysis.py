@@ -159,3 +159,40 @@ def knn_graph(vectors: DataFrame, neighbours: int = 15, *, index: ListIndex | No
             if index else nearest(asked, vectors, neighbours, dim=dim, exclude_self=True, **sizes))
     return hits.select(F.col("query_id").alias("src"), "rank",
                        F.col("image_id").alias("dst"), F.col("score").alias("sim"))
+
+# Halvings of the bandwidth search.
+BANDWIDTH_STEPS = 40
+
+
+def fuzzy_weights(graph: DataFrame, steps: int = BANDWIDTH_STEPS) -> DataFrame:
+    """``a, b, weight`` for a < b: how strongly two images are neighbours, from a kNN graph.
+
+    graph: ``src, dst, sim``, at most some dozen edges a source. The distance is 1 - sim. Of every source the least
+    distance counts as none, and a bandwidth is searched by halving so that exp(-(distance - least) / bandwidth)
+    adds up to log2 of its edges (McInnes, Healy and Melville 2018); both directions of a pair
+    are joined as independent chances: p + q - p * q. Edges of an image to itself count for nothing; of
+    repeated edges the nearest counts. Sources with one edge give it weight 1.
+    """
+    edges = (graph.where("src <> dst").groupBy("src", "dst").agg(F.min(F.lit(1.0) - F.col("sim")).alias("distance")))
+    around = edges.groupBy("src").agg(F.min("distance").alias("least"), F.collect_list("distance").alias("distances"))
+    goal = F.log2(F.size("distances").cast("double"))
+
+    def total(width):
+        return F.aggregate(F.array_sort("distances"), F.lit(0.0), lambda sum_, d: sum_ + F.exp(-(d - F.col("least")) / width))
+
+    def halve(state, _):
+        middle = state["middle"]
+        wide = total(middle) > goal
+        low, high = F.when(wide, state["low"]).otherwise(middle), F.when(wide, middle).otherwise(state["high"])
+        # without an upper bound yet the bandwidth doubles
+        return F.struct(low.alias("low"), high.alias("high"),
+                        F.when(high < 0, middle * 2).otherwise((low + high) / 2).alias("middle"))
+
+    start = F.struct(F.lit(0.0).alias("low"), F.lit(-1.0).alias("high"), F.lit(1.0).alias("middle"))
+    width = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["middle"]
+    widths = around.select("src", "least", width.alias("width"))
+    one_way = edges.join(widths, "src").select(
+        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"),
+        F.exp(-(F.col("distance") - F.col("least")) / F.greatest("width", F.lit(1e-12))).alias("p"))
+    pairs = one_way.groupBy("a", "b").agg(F.sum("p").alias("sum"), F.product("p").alias("product"), F.count(F.lit(1)).alias("n"))
+    return pairs.select("a", "b", F.when(F.col("n") == 2, F.col("sum") - F.col("product")).otherwise(F.col("sum")).alias("weight"))

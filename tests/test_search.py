@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -561,3 +563,50 @@ def test_own_image_is_left_out_by_its_path(spark):
     hits = rows(find.find_similar(asked, held, known, 2, feature="hog").select("query_id", "rank", "image_id"), "query_id", "rank")
     assert [h[:2] for h in hits] == [(5, 1), (5, 2), (12, 1), (12, 2)]
     assert {h[2] for h in hits if h[0] == 12} == {12, 13} and hits[0][2] == 13
+
+
+def test_moments_of_batches_are_those_of_all(spark, monkeypatch):
+    """Stored moments continued by new batches give the axes of one fit; only the batch is read."""
+    from likeness.operators import moments
+    draw = np.random.default_rng(21)
+    vectors = {i: (draw.normal(size=5) * [3, 2, 1, 0.5, 0.1] + 4).astype(np.float32) for i in range(300)}
+    path, read = fresh_dir(spark, "moments"), []
+    count = moments.moments_of
+    monkeypatch.setattr(moments, "moments_of", lambda rows_, dim: read.append(rows_.count()) or count(rows_, dim))
+    for low, high in ((0, 10), (10, 250), (250, 300)):
+        state = moments.add_batch(spark, path, frame(spark, {i: vectors[i] for i in range(low, high)}))
+    assert read == [10, 240, 50] and state.n == 300
+    matrix = np.array([vectors[i] for i in range(300)], np.float64)
+    assert np.allclose(state.scatter / 299, np.cov(matrix.T)) and np.allclose(state.mean, matrix.mean(axis=0))
+    fitted, whole = moments.read_moments(spark, path)[1].axes(3), analysis.fit_pca(frame(spark, vectors), 3)
+    assert np.allclose(fitted.components, whole.components, atol=1e-6) and np.allclose(fitted.explained_ratio, whole.explained_ratio)
+    odd = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [float("nan")] * 5)], "image_id long, vector array<float>")
+    assert moments.add_batch(spark, path, odd).n == 300 and moments.read_moments(spark, path)[0] == 3
+    with pytest.raises(ValueError):
+        moments.add_batch(spark, fresh_dir(spark, "moments"), odd.limit(0))
+
+
+def test_fuzzy_weights(spark):
+    """Each source's own weights add up to log2 of its edges; both directions are joined as chances."""
+    draw = np.random.default_rng(22)
+    edges = [(s, int(d), float(draw.uniform(-0.5, 1))) for s in range(12) for d in draw.choice(12, 6, replace=False) if d != s]
+    edges += [(20, 21, 0.5), (3, 3, 1.0)]
+    got = {(r.a, r.b): r.weight for r in analysis.fuzzy_weights(spark.createDataFrame(edges, "src long, dst long, sim double")).collect()}
+    one = {}
+    for s in {e[0] for e in edges}:
+        mine = {d: 1 - sim for a, d, sim in edges if a == s and d != s}
+        if not mine:
+            continue
+        least, low, high, middle = min(mine.values()), 0.0, None, 1.0
+        for _ in range(analysis.BANDWIDTH_STEPS):
+            if sum(math.exp(-(d - least) / middle) for d in mine.values()) > math.log2(len(mine)):
+                high = middle
+            else:
+                low = middle
+            middle = middle * 2 if high is None else (low + high) / 2
+        one.update({(s, d): math.exp(-(x - least) / middle) for d, x in mine.items()})
+    want = {}
+    for (s, d), p in one.items():
+        q = one.get((d, s), 0.0)
+        want[min(s, d), max(s, d)] = p + q - p * q
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)

@@ -4,10 +4,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from likeness.functions import vectors as V
-from likeness.operators import analysis as A
+from likeness.operators import analysis as A, moments as M
 from likeness.session import fresh_dir
 from workload import inputs as I
-from workload.registry import ctes, query
+from workload.registry import ORACLE, ctes, query
 from workload.search_queries import CENTRES, EMBED, NPROBE, PROBED, _centred_index, ranked_sql, rounded
 
 
@@ -37,6 +37,20 @@ def covariance(spark, sf):
     return result.withColumns({c: F.round(c, 9) + 0.0 for c in ("mean_i", "mean_j", "cov")})
 
 
+@query("pca_incremental", ORACLE["covariance"])
+def pca_incremental(spark, sf):
+    """Moments stored of one batch of the vectors and continued by two others: those of all vectors."""
+    rows, path = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("vector"), "label"), fresh_dir(spark, "moments")
+    for batch in ("label < 3", "label BETWEEN 3 AND 5", "label > 5"):
+        M.add_batch(spark, path, rows.where(batch))
+    _, state = M.read_moments(spark, path)
+    i, j = np.triu_indices(len(state.mean))
+    cov = state.scatter[i, j] / (state.n - 1)
+    found = spark.createDataFrame(zip(i.tolist(), j.tolist(), state.mean[i].tolist(), state.mean[j].tolist(), cov.tolist()),
+                                  "i int, j int, mean_i double, mean_j double, cov double")
+    return found.withColumns({c: F.round(c, 9) + 0.0 for c in ("mean_i", "mean_j", "cov")})
+
+
 # The covariance matrix; what the axes must add up to follows from it.
 COVARIANCE = """
 WITH parts AS (
@@ -139,3 +153,27 @@ SELECT query_id AS src, "rank", image_id AS dst, round(score, 6) + 0.0 AS sim FR
 def knn_graph_ivf(spark, sf):
     """Through the lists around given centres: the same edges as in SQL."""
     return rounded(A.knn_graph(I.vectors(spark, sf), index=_centred_index(spark, sf), nprobe=NPROBE), "sim")
+
+
+FUZZY_STEPS = 40
+
+
+@query("fuzzy_graph", ctes(EMBED, ranked_sql("e", "e", 15, "q.image_id <> c.image_id")).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+edges AS (SELECT query_id AS src, image_id AS dst, 1 - score AS d FROM hits),
+around AS (SELECT src, min(d) AS least, log2(count(*)) AS goal FROM edges GROUP BY src),
+halving AS (
+  SELECT src, 0 AS step, 0::DOUBLE AS low, -1::DOUBLE AS high, 1::DOUBLE AS middle FROM around
+  UNION ALL
+  SELECT src, step + 1, CASE WHEN wide THEN low ELSE middle END, CASE WHEN wide THEN middle ELSE high END,
+         CASE WHEN NOT wide AND high < 0 THEN middle * 2
+              ELSE (CASE WHEN wide THEN low ELSE middle END + CASE WHEN wide THEN middle ELSE high END) / 2 END
+  FROM (SELECT h.src, step, low, high, middle, sum(exp(-(d - least) / middle)) > any_value(goal) AS wide
+        FROM halving h JOIN edges e ON e.src = h.src JOIN around a ON a.src = h.src
+        WHERE step < {FUZZY_STEPS} GROUP BY h.src, step, low, high, middle)),
+ways AS (
+  SELECT least(e.src, dst) AS a, greatest(e.src, dst) AS b, exp(-(d - least) / greatest(middle, 1e-12)) AS p
+  FROM edges e JOIN around r ON r.src = e.src JOIN halving h ON h.src = e.src AND step = {FUZZY_STEPS})
+SELECT a, b, round(CASE WHEN count(*) = 2 THEN sum(p) - product(p) ELSE sum(p) END, 5) + 0.0 AS weight FROM ways GROUP BY a, b""")
+def fuzzy_graph(spark, sf):
+    """Neighbour weights by a bandwidth of every image, both directions joined."""
+    return A.fuzzy_weights(A.knn_graph(I.vectors(spark, sf)), FUZZY_STEPS).withColumn("weight", F.round("weight", 5) + 0.0)
