@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -21,9 +22,8 @@ def fold(text):
     """Signs of a text, one by one: the slow form of ``language.signs``."""
     out, gap = [], True
     for c in text:
-        if c.isalpha():
-            low = ord(c.lower()[0])
-            out.append(low - 96 if 97 <= low <= 122 else 27 + low % 37)
+        if c.isalpha() or unicodedata.category(c)[0] == "M":
+            out.append(ord(c.lower()[0]))
             gap = False
         elif not gap:
             out.append(0)
@@ -31,18 +31,20 @@ def fold(text):
     return out
 
 
-def test_signs_and_sequences():
+def test_signs_and_sequences(monkeypatch):
     some = ["", " ab  c1é!", "ABC", "123", "日本 x", " "]
     sign, limits = language.signs(*code_points(pa.array(some, pa.large_string())))
     rows = [sign[a:b].tolist() for a, b in zip(limits[:-1], limits[1:])]
     assert rows == [fold(t) for t in some]
-    keys = language.sequences(sign, limits)
-    want = []
-    for row in rows:
-        for i in range(len(row)):
-            window = ([0] * 3 + row)[i:i + 4]
-            want.append(window[0] << 18 | window[1] << 12 | window[2] << 6 | window[3])
-    assert keys.tolist() == want
+    want = [([0] * 3 + row)[i:i + 4] for row in rows for i in range(len(row))]
+    monkeypatch.setattr(language, "PIECE", 3)  # long texts are worked through in pieces
+    pieces = list(language.sequences(sign, limits))
+    assert [r for row, _, _ in pieces for r in row] == [k for k, row in enumerate(rows) for _ in row]
+    assert [x for _, high, low in pieces for x in zip(high, low)] == [packed(*w) for w in want]
+
+
+def packed(a, b, c, d):
+    return a << 21 | b, c << 21 | d
 
 
 def test_model_is_a_distribution_and_equals_slow_form():
@@ -50,8 +52,8 @@ def test_model_is_a_distribution_and_equals_slow_form():
     text = "the cat sat on the mat and the dog ate the hat " * 3 + "zebra"
     row = fold(text)
     counts = Counter(tuple(([0] * 3 + row)[i:i + 4]) for i in range(len(row)))
-    keys = np.array([a << 18 | b << 12 | c << 6 | d for a, b, c, d in counts])
-    model = language.Model(keys, np.array(list(counts.values())))
+    high, low = np.array([packed(*g) for g in counts]).T
+    model = language.Model(high, low, np.array(list(counts.values())))
     tables = {4: counts}
     for k in (3, 2, 1):
         tables[k] = Counter(g[1:] for g in tables[k + 1])
@@ -69,22 +71,24 @@ def test_model_is_a_distribution_and_equals_slow_form():
             return slow(gram[1:])
         return max(table.get(gram, 0) - d, 0) / total + d * kinds / total * slow(gram[1:])
 
-    for context in ((0, 0, 20), (20, 8, 5), (5, 0, 3), (63, 63, 63)):
-        code = context[0] << 18 | context[1] << 12 | context[2] << 6
-        logs = model.log(np.arange(64) + code)
+    alphabet = [*sorted(set(row)), *range(0x4E00, 0x4E00 + 64 - len(set(row)))]
+    t, h, e, none = ord("t"), ord("h"), ord("e"), 0x4E01
+    for context in ((0, 0, t), (t, h, e), (e, 0, ord("c")), (none, none, none)):
+        high, low = np.array([packed(*context, s) for s in alphabet]).T
+        logs = model.log(high, low)
         assert math.isclose(np.exp(logs).sum(), 1, rel_tol=1e-9)
-        for s in (0, 1, 20, 63):
-            assert math.isclose(math.exp(logs[s]), slow((*context, s)), rel_tol=1e-9)
+        for s, got in zip(alphabet, logs):
+            assert math.isclose(math.exp(got), slow((*context, s)), rel_tol=1e-9)
 
 
 def test_counts_of_sequences_are_whole(spark, monkeypatch):
     monkeypatch.setattr(language, "FLUSH_ROWS", 1000)  # parts are merged and handed on early
     docs = real_docs(spark)
-    got = {(r["lang"], r["hash"]): r["n"] for r in texts(language.sequence_counts(docs))}
+    got = {(r["lang"], r["high"], r["low"]): r["n"] for r in texts(language.sequence_counts(docs))}
     want = Counter()
     for r in texts(docs):
         row = [0] * 3 + fold(r["text"])
-        want.update((r["lang"], row[i] << 18 | row[i + 1] << 12 | row[i + 2] << 6 | row[i + 3]) for i in range(len(row) - 3))
+        want.update((r["lang"], *packed(*row[i:i + 4])) for i in range(len(row) - 3))
     assert got == dict(want)
 
 
@@ -336,3 +340,31 @@ def test_equal_texts_have_equal_languages(spark):
     out = texts(language.identify(docs.union(twins), ~language.held_out(), keep=["doc_id"]))
     by = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in out}
     assert len(by) == 2 * docs.count() and all(by[d] == by[d + 100_000] for d in by if d < 100_000)
+
+
+def test_models_of_any_size_by_joins(spark, monkeypatch):
+    """Beyond a broadcast the models are joined: the same predictions, also of odd texts and columns."""
+    docs = odd_docs(spark).union(real_docs(spark).withColumn("doc_id", F.col("doc_id") + 100)).withColumn(
+        "n", F.lit(1)).withColumn("high", F.lit("x")).withColumn("p", F.lit(2.0))
+    rule = ~language.held_out()
+
+    def found():
+        rows = texts(language.identify(docs, rule))
+        return sorted(((r["doc_id"] or -1, r["text"] or "", r["lang_pred"], r["rejected"], round(r["score"], 9), r["n"],
+                        r["high"], r["p"]) for r in rows))
+
+    want = found()
+    monkeypatch.setattr(language, "BROADCAST_ROWS", 0)
+    assert found() == want and len(want) == docs.count()
+
+
+def test_languages_of_one_large_alphabet(spark):
+    """Two made languages of Han letters 37 code points apart, and two that differ by marks alone."""
+    draw = np.random.default_rng(5)
+    kinds = {"h1": [chr(0x4E00 + k) for k in range(37)], "h2": [chr(0x4E25 + k) for k in range(37)],
+             "d1": ["\u0915\u093f", "\u0916\u093f"], "d2": ["\u0915\u0941", "\u0916\u0941"]}
+    rows = [(n * 10 + k, "".join(draw.choice(letters, 40)), lang, None, 0)
+            for n in range(40) for k, (lang, letters) in enumerate(kinds.items())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = texts(language.identify(docs, ~language.held_out()))
+    assert all(r["lang"] == r["lang_pred"] for r in out)
