@@ -3,10 +3,12 @@
 Documents with equal texts are linked. Every document starts in the shard of its id's hash.
 In each round the linked documents of a text ask for the shard that holds most bytes of
 that text and still has room; a shard takes as many bytes as its quota leaves, decided by a
-hash of the text (of the document, where one text alone would fill the room). At last the
-documents are laid in one order, by label and text, and the order is cut into shards of
-equal bytes: labels only move by what their sizes were off, and a text is parted by a cut
-alone, so no text, however often it occurs, makes a shard larger than the others.
+hash of the text (of the document, where one text alone would fill the room). The quota counts
+linked documents only: those without a link cut nothing wherever they are, and even out the
+sizes at last. The shard of a document is its label, but for the surplus of a shard: in the order of
+linked documents first, what lies beyond an equal share of all bytes is laid in a line and fills
+up the shards that are short of theirs. So a text is parted only if it is too large for one
+shard, or if linked documents alone overfill one.
 """
 
 from __future__ import annotations
@@ -30,22 +32,18 @@ def share(*parts):
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / float(1 << 40)
 
 
-def propagate(rows: DataFrame, shards: int, rounds: int, slack: float) -> DataFrame:
-    """``rows`` (id, size, crc, twin, ...) with ``label``, after ``rounds`` of moves."""
+def propagate(rows: DataFrame, shards: int, rounds: int, quota: float) -> DataFrame:
+    """``rows`` (id, size, crc, twin) with ``alone`` (1 if no other row has its text) and ``label``, after
+    ``rounds`` of moves under a quota of bytes of linked rows."""
     labelled = rows.withColumn("label", F.pmod(F.xxhash64("id", "crc", F.lit(SEED_LABEL)), F.lit(shards)).cast("int"))
     # written, so that the join with a hot text's rows is of two plain shuffles, which Spark can split
     twins = materialise(rows.groupBy("twin").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("twin"), "twins")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    quota = total * (1 + slack) / shards
     linked = materialise(labelled.join(twins, "twin", "left_semi"), "linked")
     alone = labelled.join(twins, "twin", "left_anti")
-    # what unlinked documents weigh in each shard
-    fixed = materialise(alone.groupBy("label").agg(F.sum("size").alias("load")), "loads")
     for _ in range(rounds):
         held = linked.groupBy("twin", "label").agg(F.sum("size").alias("bytes"))
         held = materialise(held, "held")
-        loads = fixed.union(held.groupBy("label").agg(F.sum("bytes").alias("load")))
-        room = loads.groupBy("label").agg((F.lit(quota) - F.sum("load")).alias("room"))  # one row a shard
+        room = held.groupBy("label").agg((F.lit(quota) - F.sum("bytes")).alias("room"))  # one row a shard
         here = Window.partitionBy("twin")  # at most one row per shard
         most = held.join(F.broadcast(room), "label").withColumn(
             "best", F.max(F.struct(F.col("room") > 0, "bytes", (-F.col("label")).alias("low"))).over(here))
@@ -68,47 +66,80 @@ def propagate(rows: DataFrame, shards: int, rounds: int, slack: float) -> DataFr
             "label", F.when(share("id", "crc", "twin", F.lit(SEED_MOVE)) < F.col("p"), F.col("target")).otherwise(
                 F.col("label"))).select(*linked.columns)
         linked = materialise(linked, "linked")
-    return linked.select("id", "size", "crc", "twin", "label").union(alone.select("id", "size", "crc", "twin", "label"))
+    return linked.select("id", "size", "crc", "twin", F.lit(0).alias("alone"), "label").union(
+        alone.select("id", "size", "crc", "twin", F.lit(1), "label"))
 
 
-def cut_evenly(rows: DataFrame, shards: int) -> DataFrame:
-    """``rows`` with ``shard`` and ``slot`` from one order by (label, twin, id), cut at equal bytes.
+def in_line(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``end`` (sum of sizes up to the row) and ``nth`` (from 0) in the given order.
 
     The order is made by a range partitioning; running sums inside its parts are shifted by
     the sizes of the parts before, one number a part.
     """
-    spark = rows.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")) * 2, 16)
-    order = ["label", "twin", "id", "crc", "size"]
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2, 16)
     ranged = materialise(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ranged")
     sums = ranged.groupBy("part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
     shifts = materialise(sums.select("part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes0"),
                                      F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0")), "shifts")
-    total = sums.agg(F.sum("bytes")).first()[0] or 0
     inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.join(F.broadcast(shifts), "part").withColumn(
+    return ranged.join(F.broadcast(shifts), "part").withColumn(
         "end", F.col("bytes0") + F.sum("size").over(inside)).withColumn(
         "nth", F.col("n0") + F.count(F.lit(1)).over(inside) - 1)
-    middle = F.col("end") - F.col("size") / 2
-    cut = F.least(F.floor(middle * shards / F.lit(float(max(total, 1)))), F.lit(shards - 1)).cast("int")
-    placed = materialise(placed.withColumn("shard", cut).select("id", "size", "crc", "shard", "nth"), "placed")
-    firsts = placed.groupBy("shard").agg(F.min("nth").alias("first"))  # one row a shard
-    return placed.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("nth") - F.col("first"))
 
 
-def shards_of(docs: DataFrame, shards: int = 24, id_: str = "doc_id", text: str = "text", rounds: int = 4,
-              slack: float = 0.05) -> DataFrame:
+def even_out(rows: DataFrame, shards: int, quota: float) -> DataFrame:
+    """``rows`` with ``shard`` and ``slot``: the label, but for rows beyond ``quota`` bytes of a label.
+
+    These, in order of label, fill what the other shards are short of. All of it follows from one order of
+    the rows, in which a label's surplus is the tail of its rows, and from one row a label.
+    """
+    placed = materialise(in_line(rows, ["label", "alone", "twin", "id", "crc", "size"]), "placed")
+    firsts = placed.groupBy("label").agg(F.min("nth").alias("nth0"), F.min(F.col("end") - F.col("size")).alias("end0"))
+    # the middle of a row decides
+    stays = F.col("end") - F.col("end0") - F.col("size") / 2 <= quota
+    placed = placed.join(F.broadcast(firsts), "label").withColumn("stays", stays)
+    zero = F.lit(0).cast("long")
+    found = {r["label"]: r for r in placed.groupBy("label").agg(
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("stays"), F.col("size")).otherwise(zero)).alias("kept"),
+        F.count_if("stays").alias("n_kept")).collect()}  # one row a shard
+    per_shard, bytes_before, n_before, short = [], 0, 0, 0.0
+    for shard in range(shards):
+        bytes_, n, kept, n_kept = ([found[shard][c] for c in ("bytes", "n", "kept", "n_kept")] if shard in found else [0] * 4)
+        need = max(quota - kept, 0.0)
+        per_shard.append((shard, kept, n_kept, bytes_before, n_before, short, short + need))
+        bytes_before, n_before, short = bytes_before + bytes_ - kept, n_before + n - n_kept, short + need
+    labels = rows.sparkSession.createDataFrame(
+        per_shard, "label int, kept long, n_kept long, bytes_before long, n_before long, low double, high double")
+    # where a row lies among the surplus, on the scale of what is short
+    scale = short / bytes_before if bytes_before else 0.0
+    tops = F.array(*[F.lit(p[6]) for p in per_shard[:-1]])
+    at = (F.col("bytes_before") + F.col("end") - F.col("end0") - F.col("kept") - F.col("size") / 2) * scale
+    goes = F.size(F.filter(tops, lambda top: top <= F.col("at")))
+    placed = placed.join(F.broadcast(labels), "label").withColumn("at", at).withColumn(
+        "shard", F.when(F.col("stays"), F.col("label")).otherwise(goes)).withColumn(
+        "rank", F.col("nth") - F.col("nth0") + F.when(F.col("stays"), zero).otherwise(F.col("n_before") - F.col("n_kept")))
+    placed = materialise(placed.select("id", "size", "crc", "twin", "stays", "shard", "rank"), "even")
+    # rows that came are numbered after those that stayed
+    came = placed.where("NOT stays").groupBy("shard").agg(F.min("rank").alias("first"))  # one row a shard
+    stayed = labels.select(F.col("label").alias("shard"), "n_kept")
+    return placed.join(F.broadcast(stayed), "shard").join(F.broadcast(came), "shard", "left").withColumn(
+        "slot", F.when(F.col("stays"), F.col("rank")).otherwise(F.col("n_kept") + F.col("rank") - F.col("first")))
+
+
+def shards_of(docs: DataFrame, shards: int = 24, id_: str = "doc_id", text: str = "text",
+              rounds: int = 4) -> DataFrame:
     """(id, size, text_crc32, shard, slot) for every row of ``docs``.
 
     Shards have near equal bytes (a row counts its UTF-8 bytes plus 8): each is off by at
-    most one row's size at either end. Slots count the rows of a shard from 0. Null texts
+    most two rows' sizes. Slots count the rows of a shard from 0. Null texts
     count as empty, and all empty texts are one group; rows with null or repeated ids are
     rows like others. The result depends on the rows alone, not on how they are partitioned;
     among rows equal in all columns the slots are interchangeable.
     """
     rows = materialise(narrow(docs, id_, text), "narrow")
-    placed = cut_evenly(propagate(rows, shards, rounds, slack), shards)
+    quota = (rows.agg(F.sum("size")).first()[0] or 0) / shards
+    placed = even_out(propagate(rows, shards, rounds, quota), shards, quota)
     return placed.select(F.col("id").alias(id_), "size", F.col("crc").alias("text_crc32"), "shard", "slot")
 
 
