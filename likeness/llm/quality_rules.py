@@ -1,26 +1,27 @@
 """Quality rules: base counts, and a hashed n-gram likelihood ratio with a fixed threshold.
 
-Two multinomials over hashed four-byte sequences are counted: one over trusted documents
-(a bounded, documented sample of those labelled good) and one over the whole raw corpus. A
-text's score is the mean logarithm of their ratio over its sequences, so it does not depend
-on length. The threshold lies as far below a low quantile of the trusted documents' own scores
-as their median lies above it: every document from there on is kept, deterministically.
+Two multinomials over hashed four-byte sequences are counted: one over the trusted documents
+(all that are labelled good) and one over the whole raw corpus. A text's score is the mean logarithm of their ratio over its sequences, so it does not depend on
+length. The threshold lies as far below a low quantile of the trusted documents' own scores as
+their median lies above it, both exact: every document from there on is kept, deterministically.
 """
 
 from __future__ import annotations
 
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from likeness.llm.ranks import value_at
 from likeness.llm.text import map_text, raw_bytes, slices, small_batches, whole
-from likeness.session import materialise
+from likeness.session import BROADCAST_BYTES, materialise
 
 WIDTH, HASH_BITS = 4, 16
 BUCKETS = 1 << HASH_BITS
-# Trusted documents at most: those with the smallest hashes among the ones labelled good.
-TRUSTED_ROWS = 20_000
+# Bytes of a trusted id that is sent out, as measured; ids beyond BROADCAST_BYTES are joined.
+ID_BYTES = 72
 SMOOTH = 1.0
 QUANTILE = 0.002
 SYMBOLS = b"#*$%&|<>"
@@ -70,6 +71,19 @@ def sequence_counts(docs: DataFrame, trusted: str = "trusted", text: str = "text
         F.sum("target").alias("target"), F.sum("raw").alias("raw"))
 
 
+def counts_with(docs: DataFrame, good: DataFrame, sent: bool, id_: str = "doc_id", text: str = "text") -> DataFrame:
+    """``sequence_counts`` where the ids ``__t`` of ``good``, each once, are trusted; without ``sent`` only
+    the trusted texts are met by a join, the raw counts need none."""
+    met = F.col(id_) == F.col("__t")
+    if sent:
+        marked = docs.join(F.broadcast(good), met, "left").withColumn("__trusted", F.col("__t").isNotNull())
+        return sequence_counts(marked, "__trusted", text)
+    every = sequence_counts(docs.withColumn("__trusted", F.lit(False)), "__trusted", text)
+    own = sequence_counts(docs.join(good, met, "left_semi").withColumn("__trusted", F.lit(True)), "__trusted", text)
+    return every.union(own.withColumn("raw", F.lit(0).cast("bigint"))).groupBy("bucket").agg(
+        F.sum("target").alias("target"), F.sum("raw").alias("raw"))
+
+
 def ratios(counts: DataFrame) -> np.ndarray:
     """log(target share / raw share) of each bucket, smoothed; at most BUCKETS rows are gathered."""
     rows = counts.toPandas()
@@ -137,25 +151,24 @@ def apply_rules(docs: DataFrame, trusted_ids: DataFrame, id_: str = "doc_id", te
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ``score``,
     ``base_failed`` and ``kept``.
 
-    ``trusted_ids`` holds the ids (in a column named ``id_``) of documents labelled good, of which the
-    TRUSTED_ROWS with the smallest hashes are used. Null and empty texts have no words, score 0 and
+    ``trusted_ids`` holds the ids (in a column named ``id_``) of documents labelled good; all of them
+    are counted and set the threshold. Null and empty texts have no words, score 0 and
     fail the base rules. Without trusted documents the ratio is flat and only the base rules
     decide. Repeated rows stay, and count as often as they occur.
     """
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    chosen = materialise(trusted_ids.select(F.col(id_).alias("__t")).where("__t IS NOT NULL").distinct().orderBy(
-        F.xxhash64("__t"), "__t").limit(TRUSTED_ROWS), "trusted")
-    marked = docs.join(F.broadcast(chosen), F.col(id_) == F.col("__t"), "left").withColumn(
-        "__trusted", F.col("__t").isNotNull())
-    log_ratio = ratios(sequence_counts(marked, "__trusted", text))
-    scores = materialise(rated(marked, log_ratio, text, [*kept, "__trusted"]), "rated")
-    marks = scores.where("__trusted AND n_words > 0").agg(
-        F.percentile_approx("score", [QUANTILE, 0.5], 10_000).alias("marks")).first()["marks"]
-    edge = 2 * marks[0] - marks[1] if marks else float("-inf")
+    good = materialise(trusted_ids.select(F.col(id_).alias("__t")).where("__t IS NOT NULL").distinct(), "trusted")
+    sent = good.count() * ID_BYTES <= BROADCAST_BYTES
+    log_ratio = ratios(counts_with(docs, good, sent, id_, text))
+    scores = materialise(rated(docs.withColumn("__id", F.col(id_)), log_ratio, text, [*kept, "__id"]), "rated")
+    own = materialise(scores.where("n_words > 0").join(
+        F.broadcast(good) if sent else good, F.col("__id") == F.col("__t"), "left_semi").select("score"), "trusted_scores")
+    n = own.count()
+    edge = 2 * value_at(own, "score", math.ceil(QUANTILE * n)) - value_at(own, "score", math.ceil(n / 2)) if n else float("-inf")
     base = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return scores.withColumn("base_failed", base).withColumn(
-        "kept", ~base & (F.col("score") >= F.lit(edge))).drop("__trusted")
+        "kept", ~base & (F.col("score") >= F.lit(edge))).drop("__id")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from likeness.llm import language, quality_classifier, quality_rules, secrets
+from likeness.llm.ranks import value_at
 from likeness.llm.text import code_points, map_text
 from tests.llm.fixtures import SF, no_docs, odd_docs, real_docs, texts
 
@@ -165,6 +166,31 @@ def test_base_counts_and_ratio(spark):
     assert all(r["kept"] != r["base_failed"] for r in none)
 
 
+def test_all_trusted_documents_count(spark, monkeypatch):
+    """More trusted rows than any sample: where all rows are trusted, no sequence is likelier among them."""
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    assert quality_rules.apply_rules(docs, docs.select("doc_id")).where("score <> 0").count() == 0
+    labels = spark.read.parquet(f"{SF1}/labels.parquet").where("quality = 1").select("doc_id")
+    docs = spark.read.parquet(f"{SF1}/documents.parquet").select("doc_id", "text")
+    sent = sorted(texts(quality_rules.apply_rules(docs, labels, keep=["doc_id"])), key=lambda r: r["doc_id"])
+    monkeypatch.setattr(quality_rules, "BROADCAST_BYTES", 0)  # ids that are joined
+    joined = texts(quality_rules.apply_rules(docs, labels, keep=["doc_id"]))
+    assert sorted(joined, key=lambda r: r["doc_id"]) == sent
+    good = {r["doc_id"] for r in texts(labels)}
+    own = sorted(r["score"] for r in sent if r["doc_id"] in good and r["n_words"] > 0)
+    edge = 2 * own[math.ceil(0.002 * len(own)) - 1] - own[math.ceil(0.5 * len(own)) - 1]
+    assert all(r["kept"] == (not r["base_failed"] and r["score"] >= edge) for r in sent)
+
+
+def test_value_at_a_rank(spark):
+    draw = np.random.default_rng(3)
+    values = [*draw.normal(0, 1e-9, 500), *draw.normal(5, 1, 500), *[2.5] * 300, -1e300, 1e300]
+    rows = spark.createDataFrame([(float(x),) for x in values], "x double")
+    for rank in (1, 2, 250, 501, 800, 801, 1301, 1302):
+        assert value_at(rows, "x", rank) == sorted(values)[rank - 1]
+    assert value_at(rows.limit(1), "x", 1) == rows.first()["x"]
+
+
 def test_rules_keep_good_and_drop_bad(spark):
     docs = spark.read.parquet(f"{SF1}/documents.parquet")
     labels = spark.read.parquet(f"{SF1}/labels.parquet")
