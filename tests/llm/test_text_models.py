@@ -298,6 +298,28 @@ def test_threshold_is_recall_constrained(spark):
     assert (score[real] >= edge).mean() >= 0.9 and (score[~real] >= edge).mean() <= 0.01
 
 
+def test_all_findings_train_and_calibrate(spark, monkeypatch):
+    """More findings than any sample: the threshold is that of all calibration secrets, several shards train, reruns agree."""
+    def docs(n, text):
+        return spark.range(n).select(F.col("id").alias("doc_id"), text(F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    marked = docs(9_000, lambda h: F.concat(F.substring(h, 60, 4), F.lit(" key "), F.substring(h, 1, 40), F.lit(" at night")))
+    plain = docs(300, lambda h: F.concat(F.lit("we use the host mail7."), F.translate(
+        F.substring(h, 1, 12), "0123456789", "ghijklmnop"), F.lit(".example.com at night")))
+    findings = secrets.labelled(marked.union(plain))
+    monkeypatch.setattr(secrets, "EPOCHS", 12)
+    network, edge = secrets.train(findings)
+    rows = texts(findings.where("secret").select("window", F.pmod(F.xxhash64("window"), F.lit(2)).alias("half")).distinct())
+    calibrating = [bytes(r["window"]) for r in rows if r["half"] == 1]
+    score = np.sort(network.score(secrets.signs_of(calibrating)))
+    assert len(calibrating) > 4_000 and edge == score[int(0.05 * len(score))]
+    assert network.recall == (score >= edge).mean() >= secrets.RECALL and network.precision >= 0.9
+    again = secrets.train(findings.repartition(5))
+    assert again[1] == edge and np.array_equal(again[0].state(), network.state())
+    trained = [w for r in texts(secrets.in_shards(findings.where("secret").distinct().withColumn(
+        "h", F.xxhash64("window")), {True: len(rows), False: 1})[0]) for w in r["windows"]]
+    assert sorted(map(bytes, trained)) == sorted(bytes(r["window"]) for r in rows)
+
+
 def test_threshold_is_not_raised_by_unlabelled_keys(spark):
     """Keys that no fixed pattern marks are neither taught as non-secrets nor a floor of the threshold."""
     def docs(n, text):
