@@ -2,9 +2,10 @@
 
 Each source gets a target of words and a weight schedule over the training time 0 to 1. The
 integral of the schedule, scaled to the target, is the source's cumulative demand. The
-documents of a source are laid one after another in the order of a hash, each repeated as
-the target asks; where the demand reaches the middle of a document's words, there is its
-training position. The documents of all sources are then range-sorted by position.
+documents of a source are laid one after another in the order of a hash, in passes that follow
+each other; the time at which the demand reaches the middle of a document's words in a pass is a
+training position, and a document is taken as often as the demand reaches it by time 1. The
+documents of all sources are then range-sorted by position.
 """
 
 from __future__ import annotations
@@ -63,21 +64,25 @@ def demand_time(share, tilt):
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * share / (1 + tilt + root)))
 
 
+def reached(share, tilt):
+    """``demand_time``, or null where the demand ends before ``share`` of it."""
+    return F.when(share < 1, demand_time(share, tilt))
+
+
 def mixture(docs: DataFrame, id_: str = "doc_id", source: str = "source", text: str = "text",
             most_times: int = MOST_TIMES, keep=None) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``copies``, ``taken`` and ``position``.
+    """``docs`` with ``size``, ``source_size``, ``target``, ``copies``, ``taken``, ``position`` and ``positions``.
 
-    ``copies`` is how often a document is taken whole (0 to ``most_times``), ``taken`` its words
-    times copies, ``position`` the training position of its first copy (null if not taken). Every
-    document of a source is taken floor(target / size) times, and once more while the running
-    sum of the source's words, in hash order, stays within what is left of the target; so a
-    source misses its target by less than its largest document. Null and empty texts, or texts
+    ``positions`` are the times at which the demand of the source's schedule reaches the middle of a
+    document in each of up to ``most_times`` passes, ``copies`` is their number, ``taken`` the words
+    times copies, ``position`` the first of them (null if none). The demand at time 1 is the target, so
+    a source misses it by less than its largest document. Null and empty texts, or texts
     without words, have size 0 and are taken as often as the running sum says, at no cost. A
     null source is a source of its own, the last one. Rows with null or repeated ids are rows
     like others (rows equal in all columns are interchangeable). The result depends on the rows
     alone. ``keep`` names the columns handed on; columns of the new names are replaced.
     """
-    made = ("size", "source_size", "target", "copies", "taken", "position")
+    made = ("size", "source_size", "target", "copies", "taken", "position", "positions")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
     order = F.xxhash64(id_, text, F.lit(SEED_ORDER))
     sized = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(id_).alias("__id"),
@@ -109,28 +114,30 @@ def laid_out(sized: DataFrame, fine: DataFrame, kept: list[str], most_times: int
         Window.unboundedPreceding, Window.currentRow)
     run = rows.withColumn("__in", F.sum("size").over(inside)).join(shifts, ["__key", "__bucket"])
     end = F.col("__start") + F.col("__in")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
-    whole = F.least(F.floor(ratio), F.lit(most_times))
-    left = F.col("target") - whole * F.col("source_size")
     middle = end - F.col("size") / 2
-    copies = F.least(whole + F.when((whole < most_times) & (middle < left), 1).otherwise(0), F.lit(most_times))
-    share = F.when(F.col("source_size") > 0, middle / F.col("source_size")).otherwise(F.lit(0.5))
-    # passes over the source follow each other: the first one ends at share 1 / ratio of the demand
-    first = F.least(F.lit(1.0), share / F.greatest(ratio, F.lit(1e-12)))
-    return run.withColumn("copies", copies.cast("int")).select(
+    # a pass over the source begins where the one before it ended; a source without words has one, at its middle
+    passes = F.array(*[F.lit(k) for k in range(most_times)]).cast("array<int>")
+    shares = F.when(F.col("source_size") > 0, F.transform(
+        passes, lambda k: (middle + k * F.col("source_size")) / F.col("target"))).otherwise(
+        F.array(*[F.lit(0.5)][:most_times]).cast("array<double>"))
+    times = F.filter(F.transform(shares, lambda x: reached(x, F.col("__tilt"))), lambda t: t.isNotNull())
+    return run.withColumn("positions", times).withColumn("copies", F.size("positions")).select(
         *kept, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"),
-        F.when(F.col("copies") > 0, demand_time(first, F.col("__tilt"))).alias("position"),
-        F.when(F.col("copies") > 0, share).alias("__share"), ratio.alias("__ratio"), "__tilt")
+        F.get("positions", F.lit(0)).alias("position"), "positions", "__tilt")
+
+
+def range_sorted(rows: DataFrame, *columns: str, parts: int | None = None) -> DataFrame:
+    """``rows`` by ``columns``, nulls last, in parts that follow each other."""
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_last() for c in columns]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
 
 def ordered(mixed: DataFrame, columns: list[str], parts: int | None = None) -> DataFrame:
     """One row per copy taken, with ``columns`` and its ``position``, range-sorted by position."""
-    parts = parts or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = mixed.where("copies > 0").withColumn("__pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    share = F.least(F.lit(1.0), (F.col("__share") + F.col("__pass")) / F.greatest("__ratio", F.lit(1e-12)))
-    placed = copies.select(*columns, demand_time(share, F.col("__tilt")).alias("__position"), "__pass")
-    return placed.repartitionByRange(parts, "__position", "__pass", columns[0]).sortWithinPartitions(
-        "__position", "__pass", columns[0]).withColumnRenamed("__position", "position").drop("__pass")
+    placed = mixed.select(*columns, F.posexplode("positions").alias("__pass", "__position"))
+    return range_sorted(placed, "__position", "__pass", columns[0], parts=parts).withColumnRenamed(
+        "__position", "position").drop("__pass")
 
 
 def in_order(docs: DataFrame, id_: str = "doc_id", source: str = "source", text: str = "text", keep=None) -> DataFrame:
@@ -174,6 +181,8 @@ def in_order(docs: DataFrame, id_: str = "doc_id", source: str = "source", text:
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
+    """One row a document, range-sorted by its first training position; documents not taken come last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mixture(docs, keep=["doc_id"]).select(
-        "doc_id", "size", "source_size", "target", "taken", "copies", "position")
+    mixed = mixture(docs, keep=["doc_id"]).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "position", "positions")
+    return range_sorted(materialise(mixed, "mixed"), "position", "doc_id")

@@ -90,6 +90,30 @@ def test_positions_follow_the_schedule(spark):
     assert all(a[1] <= b[0] for a, b in zip(ends[:-1], ends[1:]))
 
 
+def test_op9_is_the_sorted_curriculum(spark, tmp_path):
+    """The query's written files follow each other by position, and its positions follow the schedules."""
+    from likeness.llm import curriculum as c
+    c.op9(spark, SF).write.parquet(f"{tmp_path}/out")
+    rows = texts(spark.read.parquet(f"{tmp_path}/out").withColumn("file", F.input_file_name()))
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in texts(real_docs(spark)))
+    files = defaultdict(list)
+    for r in rows:
+        files[r["file"]].append(2 if r["position"] is None else r["position"])
+    ranges = sorted((min(p), max(p)) for _, p in files.items())
+    assert all(p == sorted(p) for p in files.values()) and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    tilts = {r["source"]: r["__tilt"] for r in texts(c.mixture(real_docs(spark)))}
+    source = {r["doc_id"]: r["source"] for r in texts(real_docs(spark))}
+    of = defaultdict(list)
+    for r in rows:
+        assert r["taken"] == r["size"] * len(r["positions"]) and r["positions"] == sorted(r["positions"])
+        of[source[r["doc_id"]]].append(r)
+    for s, mine in of.items():
+        for t in (0.25, 0.5, 0.75, 1.0):
+            placed = sum(r["size"] for r in mine for p in r["positions"] if p <= t)
+            demand = mine[0]["target"] * ((1 + tilts[s]) * t - tilts[s] * t * t)
+            assert abs(placed - demand) <= 3 * max(r["size"] for r in mine)
+
+
 def check_shards(rows, n=24):
     slots, size = defaultdict(list), Counter()
     for r in rows:
