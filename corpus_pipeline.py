@@ -55,10 +55,13 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     null or empty text has no ids."""
     ship(spark, likeness)
     placed = curriculum.in_order(docs, keep=["doc_id", "source", "lang", "text"])
-    return piece_codec.encode(placed, keep=["doc_id", "source", "lang", "position"]).select(
+    return piece_codec.encode(placed, keep=["doc_id", "source", "lang", "position"], most=ENCODED_BYTES).select(
         "doc_id", "source", "lang", "position", "n_ids", "ids")
 
 
+# Bytes of text that a task of the last stage encodes at a time: executors also hold what the stages before it left.
+ENCODED_BYTES = 1 << 18
+
 STAGES = [("language ID", language_id), ("SimHash near-dedup", near_dedup), ("secret scans", secret_scan),
           ("mixing sources to target weights", mixing), ("SentencePiece encoding", encoding)]
 

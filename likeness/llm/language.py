@@ -25,14 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from likeness.llm.text import code_points, give_back, map_text, only, slices, small_batches, whole
+from likeness.llm.text import code_points, give_back, map_text, only, only_rows, slices, small_batches, whole
 from likeness.session import materialise
 
 ORDER, BITS = 4, 21
 SIGN = (1 << BITS) - 1
 # The least number of signs that a model spreads the chance of unknown ones over.
 SIGNS = 64
-FLUSH_ROWS = 1 << 21
+FLUSH_ROWS = 1 << 19
+# Bytes of text worked on at a time: their sequences and what sorts them take some 200 times as much.
+SLICE = 1 << 18
 # Signs of a text worked on at a time, and bytes of looked-up sequences that a worker keeps.
 PIECE, KEPT_BYTES = 1 << 20, 32 << 20
 # Sequences that are gathered and sent out (40 bytes each); more are joined.
@@ -93,6 +95,7 @@ def sequence_counts(docs: DataFrame, lang: str = "lang", text: str = "text") ->
 
     def run(batches):
         names, parts, size = {}, [], 0
+        only_rows()
 
         def merged():
             return each_once(*[np.concatenate(column) for column in zip(*parts)])
@@ -105,7 +108,7 @@ def sequence_counts(docs: DataFrame, lang: str = "lang", text: str = "text") ->
 
         for batch in batches:
             texts, langs = whole(batch.column(1)), batch.column(0).to_pylist()
-            for start, stop in slices(texts):
+            for start, stop in slices(texts, SLICE):
                 sign, limits = signs(*code_points(texts.slice(start, stop - start)))
                 own = np.array([names.setdefault(x, len(names)) for x in langs[start:stop]], np.int64)
                 for row, high, low in sequences(sign, limits):
@@ -122,6 +125,8 @@ def sequence_counts(docs: DataFrame, lang: str = "lang", text: str = "text") ->
             give_back()
         if parts:
             yield from rows()
+            parts = []
+            give_back()
 
     return source.mapInArrow(run, "lang string, high bigint, low bigint, n bigint").groupBy("lang", "high", "low").agg(
         F.sum("n").alias("n"))
@@ -268,7 +273,7 @@ def bits_by_lookup(docs: DataFrame, trained: Trained, text: str, keep) -> DataFr
             return [n, letters, pa.ListArray.from_arrays(ends, pa.array(bits.ravel()))]
         return kernel
 
-    return map_text(docs, make, "__n bigint, __letters bigint, __bits array<double>", text, keep)
+    return map_text(docs, make, "__n bigint, __letters bigint, __bits array<double>", text, keep, SLICE)
 
 
 def models_as_tables(trained: Trained):
@@ -318,9 +323,10 @@ def bits_by_join(docs: DataFrame, trained: Trained, text: str, keep) -> DataFram
     distinct = named.select("__t1", "__t2", F.col(text).cast("string").alias("text")).dropDuplicates(["__t1", "__t2"])
 
     def run(batches):
+        only_rows()
         for batch in batches:
             texts = whole(batch.column(2))
-            for start, stop in slices(texts):
+            for start, stop in slices(texts, SLICE):
                 sign, limits = signs(*code_points(texts.slice(start, stop - start)))
                 for row, high, low in sequences(sign, limits):
                     key = hashed(high, low) ^ (row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))

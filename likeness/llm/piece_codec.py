@@ -20,16 +20,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from likeness.llm import pieces
-from likeness.llm.text import code_points, map_text
+from likeness.llm.text import SLICE_BYTES, code_points, map_text
 from likeness.llm.token_counts import default_model
 
 
-def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=None, verify: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=None, verify: bool = False,
+           most: int = SLICE_BYTES) -> DataFrame:
     """``docs`` with ``ids`` (array of piece ids, as the library gives them) and ``n_ids``.
 
     With ``verify`` also ``round_trip``: the ids were decoded and gave the text back (with
     blanks for space marks). Null and empty texts have an empty array. Rows, repeated
-    ones included, map one to one; columns of these names are replaced.
+    ones included, map one to one; columns of these names are replaced. Tasks work on ``most`` bytes at a time.
     """
     def make():
         machine = pieces.machine(model or default_model())
@@ -43,7 +44,7 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=N
             return out
         return kernel
 
-    return map_text(docs, make, "ids array<int>, n_ids bigint" + ", round_trip boolean" * verify, text, keep)
+    return map_text(docs, make, "ids array<int>, n_ids bigint" + ", round_trip boolean" * verify, text, keep, most)
 
 
 def spell(machine, ids: np.ndarray, rows: np.ndarray) -> pa.Array:

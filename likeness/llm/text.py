@@ -50,6 +50,13 @@ def only(key, build):
     return _held[key]
 
 
+def only_rows() -> None:
+    """Called by tasks that need no model: what this worker process kept of other operators goes."""
+    if _held:
+        _held.clear()
+        give_back()
+
+
 def whole(column: pa.Array) -> pa.Array:
     """The texts as 64-bit strings that start at offset 0; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -95,11 +102,11 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES):
         start = stop
 
 
-def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) -> DataFrame:
+def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None, most: int = SLICE_BYTES) -> DataFrame:
     """``df`` with the columns of ``fields``, computed from its text column.
 
     ``make()`` runs once a task and gives ``kernel(texts) -> arrays``, one per field,
-    over slices of bounded size. Null texts are handed over as empty. ``keep`` names the
+    over slices of at most ``most`` bytes, or one text. Null texts are handed over as empty. ``keep`` names the
     columns to hand on (all by default); a column whose name is among ``fields`` is replaced.
     """
     small_batches(df.sparkSession)
@@ -117,13 +124,12 @@ def map_text(df: DataFrame, make, fields: str, text: str = "text", keep=None) ->
         out = to_arrow_schema(schema)
         _asked[0] = False
         kernel = make()
-        if not _asked[0] and _held:
-            _held.clear()
-            give_back()
+        if not _asked[0]:
+            only_rows()
         for batch in batches:
             columns = batch.columns
             texts = whole(columns[at])
-            for start, stop in slices(texts):
+            for start, stop in slices(texts, most):
                 made = kernel(texts.slice(start, stop - start))
                 assert len(made) == n_new
                 arrays = [c.slice(start, stop - start) for c in columns[:n_kept]]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import language, quality_classifier, quality_rules, secrets
 from likeness.llm.ranks import value_at
+from likeness.llm import text as text_module
 from likeness.llm.text import code_points, map_text
 from tests.llm.fixtures import SF, no_docs, odd_docs, real_docs, texts
 
@@ -416,3 +417,9 @@ def test_languages_of_one_large_alphabet(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     out = texts(language.identify(docs, ~language.held_out()))
     assert all(r["lang"] == r["lang_pred"] for r in out)
+
+
+def test_tasks_without_a_model_keep_none():
+    text_module.only(("some", "model"), lambda: np.zeros(1))
+    text_module.only_rows()
+    assert not text_module._held
