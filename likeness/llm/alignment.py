@@ -8,7 +8,9 @@ added over containers, are a pair's documents. The counts are joined to the post
 bits bring them back to the documents of the container.
 
 Texts are cut at blanks between letters, where both tokenizers begin anew, so a text of any
-length is encoded in short pieces.
+length is encoded in short pieces. Pieces are cut further, at all blanks after a character that
+is none, and of the words of many pieces each distinct one is encoded and aligned once; tokens,
+groups and links of a piece are those of its words.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from likeness.llm import bitmaps
-from likeness.llm.text import give_back, only, small_batches
+from likeness.llm.text import give_back, only, raw_bytes, small_batches
 from likeness.session import broadcast_if_small, materialise
 
 # Characters of a piece, of the pieces encoded at a time, and what a container may hold.
-PIECE, SLICE, CONTAINER_POSTINGS = 1 << 15, 1 << 20, 1 << 22
+PIECE, SLICE, CONTAINER_POSTINGS = 1 << 15, 1 << 22, 1 << 22
+LOT, DISTINCT = 256, 1 << 21  # distinct words encoded as one text; bytes of them at a time
 POSTING_ROWS = 1 << 14
 SECOND_BITS = 20  # bits of a pair that name the second id; the first has the rest
 SCORE_BYTES, SCORE_LIMIT = 64, 32 << 20
@@ -63,12 +66,15 @@ class Tokenizers:
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         spelt = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         assert len(pieces) <= 1 << SECOND_BITS
-        self.bodies = pa.array(bodies, pa.large_binary()), pa.array(spelt, pa.large_binary())
         # an id, and what follows it in the spelling of the groups
         self.spelling = pa.array([f"{i}{c}" for n, marks in ((len(bodies), ",|"), (len(pieces), ",;")) for c in marks for i in range(n)],
                                  pa.large_string())
         self.base = 2 * len(bodies), len(bodies), len(pieces)
-        self.splits = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.names = bodies, spelt
+        self.sizes = [np.array([len(x) for x in names], np.int64) for names in self.names]
+        begins = self.first.pre_tokenizer
+        self.splits = (not any(re.search("[^▁]▁", p) for p in pieces) and begins is not None
+                       and [w for w, _ in begins.pre_tokenize_str("a b")] == ["a", "Ġb"])
 
     def pieces(self, text: str, size: int):
         """``text`` in pieces that both encode as they would the whole; the blank at a cut is left out."""
@@ -81,38 +87,70 @@ class Tokenizers:
             start = cut.end()
         yield text[start:]
 
-    def encode(self, pieces: list[str]):
-        """(ids, limits of the pieces in them) by either tokenizer, each piece with a blank before it."""
-        found = ([e.ids for e in self.first.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)],
-                 self.second.encode(pieces, num_threads=1))
-        return [(np.fromiter(itertools.chain.from_iterable(f), np.int64, sum(map(len, f))),
-                 np.concatenate(([0], np.cumsum([len(x) for x in f])))) for f in found]
+    def words(self, pieces: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """(words, limits of the pieces in them): each piece in UTF-8 with a blank before it, cut before
+        the blanks that follow a word. Every word begins with a blank, and none is a blank alone."""
+        bodies = [b" " + p.encode("utf-8", "surrogatepass") for p in pieces]
+        limits = np.concatenate(([0], np.cumsum([len(x) for x in bodies], dtype=np.int64)))
+        body = b"".join(bodies)
+        data, begins = np.frombuffer(body, np.uint8), np.zeros(len(body), bool)
+        if self.splits:
+            blanks = np.flatnonzero(data == 0x20)
+            begins[blanks[closed(data, blanks)]] = True
+            begins[limits[1:] - 1] = False
+        begins[limits[:-1]] = True
+        starts = np.flatnonzero(begins)
+        offsets = np.append(starts, len(data))
+        return (pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)]),
+                np.searchsorted(offsets, limits))
+
+    def encode(self, parts: list[bytes]):
+        """(whether the tokens of both spell it, the ids of either) of every part, which begins with a blank."""
+        texts = [p.decode("utf-8", "surrogatepass") for p in parts]
+        first = self.first.encode_batch_fast(texts, add_special_tokens=False)
+        second = self.second.encode([t[1:] for t in texts], num_threads=1)
+        for part, found in zip(parts, zip((e.ids for e in first), second)):
+            yield all(b"".join(map(names.__getitem__, ids)) == part for names, ids in zip(self.names, found)), *found
+
+
+def closed(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a character that is no blank of any kind ends before the places ``at`` of UTF-8 ``data``.
+    Not said of all: beyond ASCII only of those whose lead byte no blank has."""
+    last, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    longer, middle = last >= 0x80, (two >= 0x80) & (two < 0xC0)
+    return ((last > 0x20) & (last < 0x7F) | longer & (two >= 0xC3) & (two < 0xE0)
+            | longer & middle & ((three == 0xE0) | (three >= 0xE4) & (three < 0xF0)))
 
 
 def spans(offsets: pa.Array) -> np.ndarray:
     return np.frombuffer(offsets.buffers()[1], np.int64)[offsets.offset:offsets.offset + len(offsets) + 1]
 
 
-def linked(both: Tokenizers, pieces: list[str]):
-    """(valid, counts (first, second, groups, links), spelt groups, link limits, pairs) of the pieces."""
-    (a, a_limits), (b, b_limits) = both.encode(pieces)
-    bodies = [table.take(pa.array(ids)) for table, ids in zip(both.bodies, (a, b))]
-    ends = [spans(x) - spans(x)[0] for x in bodies]
-    data = [memoryview(x.buffers()[2] or b"").cast("B") for x in bodies]
-    valid = np.zeros(len(pieces), bool)
-    for k, piece in enumerate(pieces):
-        want = b" " + piece.encode("utf-8", "surrogatepass")
-        valid[k] = all(d[e[m[k]]:e[m[k + 1]]] == want for d, e, m in zip(data, ends, (a_limits, b_limits)))
-    sizes = [np.diff(a_limits), np.diff(b_limits)]
-    kept = [np.repeat(valid, n) for n in sizes]
-    a, b = a[kept[0]], b[kept[1]]
-    a_end, b_end = (np.cumsum(np.diff(e)[k]) for e, k in zip(ends, kept))
-    a_limits, b_limits = (np.concatenate(([0], np.cumsum(n * valid))) for n in sizes)
-    piece_ends = np.concatenate(([0], a_end))[a_limits[1:]]
+def aligned(both: Tokenizers, words: pa.Array):
+    """(valid, counts (first, second, groups, links), spelt groups, link limits, pairs) of the words.
+
+    Words are encoded in lots that are one text; a lot whose tokens don't spell it, word by word."""
+    data, limits = raw_bytes(words)
+    lots = np.unique(np.concatenate([np.arange(0, len(words), LOT), np.flatnonzero(~closed(data, limits[1:])) + 1, [len(words)]]))
+
+    def found(lots):
+        parts = [data[limits[i]:limits[j]].tobytes() for i, j in lots]
+        return [(i, j, *ids) for (i, j), ids in zip(lots, both.encode(parts))]
+
+    tried = found(list(zip(lots[:-1].tolist(), lots[1:].tolist())))
+    good = [t for t in tried if t[2] or t[1] - t[0] == 1]
+    alone = [(k, k + 1) for i, j, fits, *_ in tried if not fits and j - i > 1 for k in range(i, j)]
+    if alone:
+        good = sorted(good + found(alone), key=lambda t: t[0])
+    valid = np.repeat(np.array([t[2] for t in good], bool), [t[1] - t[0] for t in good])
+    a, b = (np.fromiter(itertools.chain.from_iterable(t[k] for t in good if t[2]), np.int64) for k in (3, 4))
+    a_end, b_end = (np.cumsum(n[ids]) for n, ids in zip(both.sizes, (a, b)))
+    ends = np.cumsum(np.diff(limits) * valid)
+    a_limits, b_limits = (np.concatenate(([0], np.searchsorted(e, ends, "right"))) for e in (a_end, b_end))
     cut, times = np.unique(np.concatenate([a_end, b_end]), return_counts=True)
     common = cut[times == 2]
-    link_limits = np.concatenate(([0], np.searchsorted(cut, piece_ends, "right")))
-    groups = np.diff(np.concatenate(([0], np.searchsorted(common, piece_ends, "right"))))
+    link_limits = np.concatenate(([0], np.searchsorted(cut, ends, "right")))
+    groups = np.diff(np.concatenate(([0], np.searchsorted(common, ends, "right"))))
     pairs = (a[np.searchsorted(a_end, cut)] << SECOND_BITS) | b[np.searchsorted(b_end, cut)]
     # the tokens of each group, those of the first tokenizer before those of the second
     a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
@@ -123,9 +161,25 @@ def linked(both: Tokenizers, pieces: list[str]):
     spelt[np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")] = second + b + n_second * closes[1]
     spelling = both.spelling.take(pa.array(spelt))
     at = (spans(spelling) - spans(spelling)[0])[a_limits + b_limits]
+    text = pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(at), spelling.buffers()[2] or pa.py_buffer(b"")])
+    return valid, np.stack([np.diff(a_limits), np.diff(b_limits), groups, np.diff(link_limits)], axis=1), text, link_limits, pairs
+
+
+def linked(both: Tokenizers, coded: pa.DictionaryArray, limits: np.ndarray, slots: np.ndarray):
+    """(valid, counts (first, second, groups, links), spelt groups) of pieces of documents ``slots``, whose words
+    are ``coded``, then (keys, times) of the documents' pairs."""
+    word = coded.indices.to_numpy().astype(np.int64)
+    valid, counts, spelt, link_limits, pairs = aligned(both, coded.dictionary)
+    spelling = spelt.take(coded.indices)
+    at = (spans(spelling) - spans(spelling)[0])[limits]
     text = memoryview(spelling.buffers()[2] or b"").cast("B")
-    return (valid, np.stack([np.diff(a_limits), np.diff(b_limits), groups, np.diff(link_limits)], axis=1),
-            [text[low:high] for low, high in zip(at[:-1], at[1:])], link_limits, pairs)
+    keys, times = bitmaps.either((word << bitmaps.SLOT_BITS) | np.repeat(slots, np.diff(limits)), np.ones(len(word), np.int64))
+    owners = keys >> bitmaps.SLOT_BITS
+    n = np.diff(link_limits)[owners]
+    of = np.repeat(link_limits[owners] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    made = bitmaps.either((pairs[of] << bitmaps.SLOT_BITS) | np.repeat(keys & (bitmaps.SLOTS - 1), n), np.repeat(times, n))
+    return (np.logical_and.reduceat(valid[word], limits[:-1]), np.add.reduceat(counts[word], limits[:-1]),
+            [text[low:high] for low, high in zip(at[:-1], at[1:])], *made)
 
 
 class Container:
@@ -143,7 +197,14 @@ class Container:
 
     def add(self, both: Tokenizers, work: list[tuple[int, str]]):
         """Encode (document, piece) pairs; the pieces of a document come in order."""
-        valid, counts, spelt, limits, pairs = linked(both, [piece for _, piece in work])
+        words, limits = both.words([piece for _, piece in work])
+        coded = words.dictionary_encode()
+        if len(work) > 1 and spans(coded.dictionary)[-1] > DISTINCT:  # few words come again
+            half = len(work) // 2
+            del words, coded
+            self.add(both, work[:half])
+            return self.add(both, work[half:])
+        valid, counts, spelt, keys, times = linked(both, coded, limits, np.array([slot for slot, _ in work]))
         for k, (slot, _) in enumerate(work):
             self.counts[slot] += counts[k]
             self.failed[slot] |= not valid[k]
@@ -153,8 +214,6 @@ class Container:
                 else:
                     self.digests[slot].update(b";")
                     self.digests[slot].update(spelt[k][:-1])
-        slots = np.repeat(np.array([slot for slot, _ in work]), np.diff(limits))
-        keys, times = bitmaps.either((pairs << bitmaps.SLOT_BITS) | slots, np.ones(len(pairs), np.int64))
         self.keys.append(keys)
         self.times.append(times)
         self.size += len(keys)

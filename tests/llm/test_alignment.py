@@ -80,6 +80,54 @@ def test_scores_joined_by_a_shuffle(spark, monkeypatch):
     check(alignment.align(docs), docs)
 
 
+def gathered(both, bodies):
+    """A container of texts in short pieces, checked against the overlaps found token by token."""
+    made = alignment.Container()
+    for k, body in enumerate(bodies):
+        made.open(k)
+    made.add(both, [(k, piece) for k, body in enumerate(bodies) for piece in both.pieces(body, 60)])
+    made.merge()
+    want = [slow_links(t) for t in bodies]
+    assert [not f for f in made.failed] == [f is not None for f in want]
+    links = {(k, x << alignment.SECOND_BITS | y): n for k, f in enumerate(want) if f for (x, y), n in Counter(f[3]).items()}
+    keys, times = made.keys[0], made.times[0]
+    got = {(key & (bitmaps.SLOTS - 1), key >> bitmaps.SLOT_BITS): n for key, n in zip(keys.tolist(), times.tolist())}
+    assert {key: n for key, n in got.items() if not made.failed[key[0]]} == links
+    for counts, digest, found in zip(made.counts, made.digests, want):
+        if found:
+            assert counts.tolist() == [found[0], found[1], found[2], len(found[3])]
+            assert digest.hexdigest() == hashlib.sha256(found[4].encode()).hexdigest()
+
+
+def test_distinct_words_are_encoded_once():
+    both, read = alignment.Tokenizers(*alignment.default_models()), Counter()
+
+    class Counted:
+        def __init__(self, name):
+            self.name, self.model = name, getattr(both, name)
+
+        def __getattr__(self, called):
+            def run(given, **more):
+                read[self.name] += sum(map(len, given))
+                return getattr(self.model, called)(given, **more)
+            return run
+
+    words = ["the", "quick,", "brown", "fox's", "jumps.\nOver", "12", "été", "слово", "한국어"]
+    rng = np.random.default_rng(0)
+    bodies = [" ".join(rng.choice(words, 200)) for _ in range(30)]
+    both.first, both.second = Counted("first"), Counted("second")
+    gathered(both, bodies)
+    assert 0 < max(read.values()) < sum(map(len, bodies)) // 50
+
+
+def test_every_character_beside_a_blank(monkeypatch):
+    monkeypatch.setattr(alignment, "LOT", 7)
+    monkeypatch.setattr(alignment, "DISTINCT", 5000)
+    both = alignment.Tokenizers(*alignment.default_models())
+    chars = [*map(chr, range(0x3100)), "\u4e00", "\ua000", "\ud55c", "\ufeff", "\uffff", "\U0001d4b3", "\U0010ffff"]
+    gathered(both, [t for c in chars for t in (f"a{c} b{c}", f"{c}  {c} c ")] + HARD)
+
+
 def test_no_rows_and_the_query(spark):
     none = alignment.align(no_docs(spark))
     assert none.documents.count() == 0 and none.pairs.count() == 0
