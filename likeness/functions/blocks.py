@@ -8,6 +8,7 @@ PIECE_CELLS = 2_000_000
 # Scores equal to this many digits count as tied and are ordered by id.
 TIE_DIGITS = 12
 LAST_ID = np.iinfo(np.int64).max
+LOWEST = np.finfo(np.float32).min
 
 
 def dense(column, dim):
@@ -67,8 +68,16 @@ def thin_copies(units, ids, keep):
     return (units[~drop], ids[~drop]) if drop.any() else (units, ids)
 
 
+def few_true(marks):
+    """Places of the true cells of a matrix where few are, eight looked at together."""
+    flat = marks.ravel()
+    whole = len(flat) // 8 * 8
+    cells = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([cells[flat[cells]], whole + np.flatnonzero(flat[whole:])])
+
+
 class BestK:
-    """The k best (score, id) per query over all blocks seen so far.
+    """The k best (score, id) per query over all blocks seen so far, in no order.
 
     Ties are ordered by smaller id. A block is first scored in single precision.
     Only cells that can reach the list, given the rounding error of that product,
@@ -79,22 +88,24 @@ class BestK:
         self.k = k
         self.scores = np.full((count, k), -np.inf)
         self.ids = np.full((count, k), LAST_ID, dtype=np.int64)
+        # the last entry of each list: the lowest score, and of its ids the largest
+        self.worst, self.worst_id = np.full(count, -np.inf), np.full(count, LAST_ID, dtype=np.int64)
 
     def offer(self, queries, units, ids, rows=None, own=None):
         """``rows`` names the lists the given queries belong to; ``own`` holds for each
         of them an id that must not be offered. Rows must be distinct."""
-        if not len(units) or not len(queries):
+        if not len(units) or not len(queries) or not self.k:
             return
         rows = np.arange(len(queries)) if rows is None else rows
-        light = units.astype(np.float32)
-        step = max(1, PIECE_CELLS // len(units))
+        light = np.ascontiguousarray(units.T, np.float32)
+        step = max(1, PIECE_CELLS // (len(units) + self.k))
         for start in range(0, len(queries), step):
             part = slice(start, start + step)
             self._piece(queries[part], units, light, ids, rows[part],
                         None if own is None else own[part])
 
     def _piece(self, queries, units, light, ids, rows, own):
-        rough = queries.astype(np.float32) @ light.T
+        rough = queries.astype(np.float32) @ light
         if own is not None:
             order = np.argsort(ids, kind="stable")
             low = np.searchsorted(ids[order], own, "left")
@@ -103,12 +114,17 @@ class BestK:
                 rough[i, order[low[i]:high[i]]] = -np.inf
         # No product of two unit rows is further off than this.
         error = (units.shape[1] + 8) * 2.0 ** -23
-        worst, worst_id = self.scores[rows, -1], self.ids[rows, -1]
+        worst, worst_id = self.worst[rows], self.worst_id[rows]
         bound = worst - error
-        if rough.shape[1] > 4 * self.k and np.isneginf(worst).any():
-            kth = np.partition(rough, rough.shape[1] - self.k, axis=1)[:, -self.k]
-            bound = np.maximum(bound, kth - 2 * error)
-        near, col = np.nonzero((rough >= bound[:, None]) & (rough > -np.inf))
+        unfilled = np.flatnonzero(np.isneginf(worst))
+        if rough.shape[1] > 4 * self.k and len(unfilled):
+            kth = np.partition(rough[unfilled], rough.shape[1] - self.k, axis=1)[:, -self.k]
+            bound[unfilled] = kth - 2 * error
+        # a little lower in single precision; what must not be offered stays below all
+        with np.errstate(over="ignore"):
+            light_bound = np.nextafter(np.maximum(bound, LOWEST).astype(np.float32), np.float32(-np.inf))
+        light_bound = np.maximum(light_bound, LOWEST)[:, None]
+        near, col = np.divmod(few_true(rough >= light_bound), rough.shape[1])
         if not len(near):
             return
         if len(near) > rough.size // 20:
@@ -117,30 +133,51 @@ class BestK:
             value = np.einsum("ij,ij->i", queries[near], units[col])
         value, name = np.round(value, TIE_DIGITS), ids[col]
         better = (value > worst[near]) | ((value == worst[near]) & (name < worst_id[near]))
-        self._merge(rows, near[better], value[better], name[better])
+        if better.any():
+            self._merge(rows, near[better], value[better], name[better])
 
     def _merge(self, rows, lists, value, name):
-        """Put new entries for ``rows[lists]`` into their lists."""
-        touched = np.unique(lists)
-        held = self.scores[rows[touched]]
-        old_list, old_place = np.nonzero(held > -np.inf)
-        lists = np.concatenate([touched[old_list], lists])
-        value = np.concatenate([held[old_list, old_place], value])
-        name = np.concatenate([self.ids[rows[touched]][old_list, old_place], name])
-        order = np.lexsort((name, -value, lists))
-        first = np.searchsorted(lists[order], touched)
-        counts = np.diff(np.append(first, len(order)))
-        rank = np.arange(len(order)) - np.repeat(first, counts)
-        kept = rank < self.k
-        place, order = rank[kept], order[kept]
-        target = rows[lists[order]]
-        self.scores[target, place] = value[order]
-        self.ids[target, place] = name[order]
+        """Put new entries for ``rows[lists]`` into their lists; ``lists`` is sorted."""
+        touched, first, counts = np.unique(lists, return_index=True, return_counts=True)
+        target, width = rows[touched], int(counts.max())
+        scores = np.full((len(touched), self.k + width), -np.inf)
+        names = np.full(scores.shape, LAST_ID, dtype=np.int64)
+        scores[:, :self.k], names[:, :self.k] = self.scores[target], self.ids[target]
+        nth, place = np.repeat(np.arange(len(touched)), counts), self.k + np.arange(len(lists)) - np.repeat(first, counts)
+        scores[nth, place], names[nth, place] = value, name
+        # the k-th best score of each list; of the entries that have it, those of the smallest ids stay
+        worst = np.partition(scores, width, axis=1)[:, width]
+        kept, tied = scores > worst[:, None], scores == worst[:, None]
+        room = self.k - kept.sum(axis=1)
+        many = np.flatnonzero(tied.sum(axis=1) > room)
+        if len(many):
+            order = np.argsort(np.where(tied[many], names[many], LAST_ID), axis=1, kind="stable")
+            # entries that are not tied come last, with empty ones of the same id
+            order = np.take_along_axis(order, np.argsort(~np.take_along_axis(tied[many], order, 1), axis=1, kind="stable"), 1)
+            at = np.empty_like(order)
+            np.put_along_axis(at, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), 1)
+            tied[many] &= at < room[many, None]
+        kept |= tied
+        self.scores[target] = scores[kept].reshape(-1, self.k)
+        self.ids[target] = names[kept].reshape(-1, self.k)
+        self.worst[target] = worst
+        self.worst_id[target] = np.where(tied, names, np.iinfo(np.int64).min).max(axis=1)
+
+    def entries(self):
+        """(row, id, score) of all entries, by row."""
+        row, col = np.nonzero(self.scores > -np.inf)
+        return row, self.ids[row, col], self.scores[row, col]
 
     def batch(self, query_ids):
-        filled = self.scores > -np.inf
-        row, col = np.nonzero(filled)
+        row, ids, scores = self.entries()
         return pa.RecordBatch.from_arrays(
-            [pa.array(query_ids[row], pa.int64()), pa.array(self.ids[row, col], pa.int64()),
-             pa.array(self.scores[row, col], pa.float64())],
+            [pa.array(query_ids[row], pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())],
             names=["query_id", "image_id", "score"])
+
+
+def best_of_each(owner, ids, scores, k):
+    """(order, rank): the k best entries of every owner, by owner and from the best on, numbered from 1."""
+    order = np.lexsort((ids, -scores, owner))
+    owner = owner[order]
+    rank = np.arange(len(owner)) - np.searchsorted(owner, owner) + 1
+    return order[rank <= k], rank[rank <= k]

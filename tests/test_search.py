@@ -126,6 +126,61 @@ def test_blocks_fit_memory_and_tasks():
     assert 10 ** 6 / q <= 10 ** 5 and 10 ** 8 / c <= 10 ** 5 and q * c >= 64
 
 
+def plan_of(frame_):
+    return frame_._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_queries_copy_no_vector_per_block(spark):
+    """Blocks of queries read the corpus from its files: its rows are neither exploded nor exchanged, nor do hits meet again."""
+    vectors = corpus(700, copies=40)
+    hits = nearest(frame(spark, vectors, "query_id", 1), frame(spark, vectors, parts=1), 4, query_bytes=0, block_bytes=0)
+    assert "Generate" not in plan_of(hits) and "image_id" not in "".join(x for x in plan_of(hits).split("\n") if "Exchange" in x)
+    agree(hits, slow_top(vectors, vectors, 4))
+
+
+def test_lists_of_many_queries_copy_no_vector_per_block(spark):
+    """Queries of two lists, one of them with most rows, against the lists' stored rows; some lists are on one side only."""
+    vectors = corpus(600, copies=30)
+    place = {i: 3 if i % 5 else 8 for i in vectors}
+    lists = spark.createDataFrame([(i, place[i]) for i in vectors] + [(0, 77)], "query_id long, list_id long")
+    held = frame(spark, vectors).join(lists.where("list_id < 77").union(spark.createDataFrame([(5, 99)], "query_id long, list_id long"))
+                                      .withColumnRenamed("query_id", "image_id"), "image_id")
+    hits = nearest(frame(spark, vectors, "query_id"), held, 4, probes=lists, query_bytes=0, block_bytes=0, copies=2)
+    assert "Generate" not in plan_of(hits)
+    want = {}
+    for name in (3, 8):
+        some = {i: v for i, v in vectors.items() if place[i] == name}
+        want |= slow_top(some, some, 4)
+    agree(hits, want)
+
+
+def test_a_scan_hands_on_less_than_the_corpus_weighs(spark, monkeypatch):
+    from likeness.operators import nearest as module
+    vectors = frame(spark, corpus(300))
+    asked = vectors.withColumnRenamed("image_id", "query_id")
+    monkeypatch.setattr(module, "FEW_HITS", 10)
+    assert not module.scanned(asked, 300, 8, 5, vectors.count) and module.scanned(asked, 300, 8, 5, lambda: 10 ** 9)
+
+
+def test_best_lists_with_ties_equal_sorting():
+    """Lists filled by many blocks with tied scores and repeated ids hold what sorting everything gives."""
+    draw = np.random.default_rng(4)
+    units = np.round(draw.normal(size=(900, 3)) * 2)
+    units = units[np.abs(units).sum(axis=1) > 0]
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    ids, queries = draw.permutation(len(units)).astype(np.int64) - 400, units[:40]
+    from likeness.functions.blocks import BestK
+    for k in (1, 7, 60, 2000):
+        best = BestK(len(queries), k)
+        for start in range(0, len(units), 110):
+            best.offer(queries, units[start:start + 110], ids[start:start + 110], None, ids[:40])
+        row, got, scores = best.entries()
+        for q in range(len(queries)):
+            value = np.round(units @ queries[q], 12)
+            order = [i for i in np.lexsort((ids, -value)) if ids[i] != ids[q]][:k]
+            assert sorted(zip(-scores[row == q], got[row == q])) == sorted(zip(-value[order], ids[order]))
+
+
 # ---- indexes ---------------------------------------------------------------
 
 @pytest.fixture(scope="module")
