@@ -5,7 +5,8 @@
   cell's centres must fit a task, so the number of lists has no limit.
 * Lists are written as blocks of vectors, bucketed by list and part, in folders by group of
   lists. A search joins its probes to them without shuffling a vector, and reads the groups it
-  probes only. A list with many vectors is many parts, in as many buckets.
+  probes only. Where queries and their probes would outweigh the index, tasks with a block of queries
+  read its files instead. A list with many vectors is many parts, in as many buckets.
 * New vectors become a layer beside the base, removed ones a table of ids; a commit record
   names what counts (``sources.commits``). The record also holds a mark of the content, a sum of row
   hashes that an update moves by the rows it adds and removes. ``compact`` makes one layer of all.
@@ -14,6 +15,7 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -25,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from likeness.functions import vectors as V
 from likeness.functions.blocks import BestK, load_units, thin_copies
-from likeness.operators.nearest import QUERY_BYTES, best, common_dim, nearest
+from likeness.operators.nearest import MOST_BLOCK_ROWS, QUERY_BYTES, RANKED, asked_units, best, block_rows, common_dim, nearest, query_parts, ranked, scanned
 from likeness.operators.selection import first_n, sample_hash, uniform_sample
 from likeness.schemas import HITS
 from likeness.session import BROADCAST_BYTES, broadcast_if_small, materialise
 from likeness.sources.bucketed import read_bucketed, write_bucketed
 from likeness.sources.commits import CommitLog
+from likeness.sources.stored import Stored, folder, key_blocks
 
 # Bytes of vectors of one block, of one part of a list, of one bucket, about.
 BLOCK_BYTES, PART_BYTES, BUCKET_BYTES = 1 << 20, 256 << 20, 256 << 20
@@ -40,6 +43,8 @@ CELL_LISTS = 1 << 16
 TRAIN_ROWS, CELL_BYTES = 64, 256 << 20
 # Queries that meet a block at a time; rows a task gathers before it cuts them to k a query.
 ASK_ROWS, HELD_HITS = 256, 1 << 20
+# Rows of the index that blocks of queries may read for each (query, list) that would travel instead.
+READ_ROWS = 64
 # More removed rows than this are compacted away; more layers too.
 MOST_REMOVED, MOST_LAYERS = 1 << 20, 16
 
@@ -492,19 +497,26 @@ def search_lists(index: ListIndex, queries: DataFrame, k: int = 5, *, nprobe: in
                  exclude_self: bool = False, query_bytes: int = QUERY_BYTES, block_bytes: int | None = None) -> DataFrame:
     """``(query_id, rank, image_id, score)``: exact scores inside the probed lists; all lists probed equals exact search.
 
-    No vector of the index is shuffled. Few queries (their size is checked) are broadcast; of
-    many, those that probe a list travel to its parts in blocks of ASK_ROWS (or of ``block_bytes``)."""
+    No vector of the index is shuffled. Few queries (their size is checked) are broadcast; of many, blocks
+    read the lists they probe where that is less than what would travel, else those that probe a list
+    travel to its parts in blocks of ASK_ROWS (or of ``block_bytes``)."""
     if k <= 0:
         return nearest(queries, queries.withColumnRenamed("query_id", "image_id"), 0)
-    probes = materialise(probe(queries, index, nprobe, cells), "probes")
+    every = nprobe >= index.nlist and (index.tops is None or cells is None or cells >= len(index.tops))
+    probes = None if every else materialise(probe(queries, index, nprobe, cells), "probes")
     queries = queries.select("query_id", "vector").where(F.size("vector") == index.dim)
-    size = queries.count() * (8 * index.dim + 16 * min(nprobe, index.nlist))
+    asked, nprobe = queries.count(), min(nprobe, index.nlist)
+    few = scanned(queries, asked, index.dim, k, lambda: index.record["rows"], 0 if every else asked * nprobe, query_bytes)
+    parts = query_parts(index.spark, asked, block_rows(8 * index.dim, k))
+    if not few and (every or parts * index.record["rows"] <= READ_ROWS * asked * nprobe):
+        return _stream_lists(index, queries, probes, parts, k, exclude_self)
     hits = None
     for n, layer in enumerate(index.layers):
-        layer = pruned(layer, probes)
+        layer = layer if every else pruned(layer, probes)
         gone = index.spark.sparkContext.broadcast(index.gone(n))
-        if size <= query_bytes:
-            found = _scan_lists(index, layer, queries.toArrow(), probes.select("query_id", "list_id").toArrow(), k, exclude_self, gone)
+        if few:
+            named = None if every else probes.select("query_id", "list_id").toArrow()
+            found = _scan_lists(index, layer, queries.toArrow(), named, k, exclude_self, gone)
         else:
             rows = ASK_ROWS if block_bytes is None else max(1, block_bytes // (8 * index.dim))
             found = _join_lists(index, layer, queries, probes, k, exclude_self, gone, rows)
@@ -555,33 +567,101 @@ def _block(batch: pa.RecordBatch, row: int, dim: int, gone: np.ndarray, keep: in
     return thin_copies(_unit(matrix[alive]), ids[alive], keep)
 
 
-def _scan_lists(index, layer, asked: pa.Table, probes: pa.Table, k, exclude_self, gone) -> DataFrame:
+def _gathered(blocks, keep: int):
+    """(unit rows, ids) of stored blocks, small ones together."""
+    waiting, held = [], 0
+    for block in blocks:
+        waiting.append(block)
+        held += len(block[1])
+        if held >= MOST_BLOCK_ROWS:
+            yield thin_copies(*map(np.concatenate, zip(*waiting)), keep)
+            waiting, held = [], 0
+    if waiting:
+        yield thin_copies(*map(np.concatenate, zip(*waiting)), keep)
+
+
+def _scan_lists(index, layer, asked: pa.Table, probes: pa.Table | None, k, exclude_self, gone) -> DataFrame:
     units, rows = load_units(asked["vector"], index.dim, False)
     ids = asked["query_id"].to_numpy()[rows].astype(np.int64)
     order = np.argsort(ids)
-    ids, units = ids[order], units[order]
-    place = np.searchsorted(ids, probes["query_id"].to_numpy())
-    lists = probes["list_id"].to_numpy()
-    by = np.argsort(lists, kind="stable")
-    names, starts = np.unique(lists[by], return_index=True)
-    groups = dict(zip(names.tolist(), np.split(place[by], starts[1:]))) if len(names) else {}
-    shared, dim = index.spark.sparkContext.broadcast((ids, units, groups)), index.dim
+    ids, units, groups = ids[order], units[order], None
+    if probes is not None:
+        place = np.searchsorted(ids, probes["query_id"].to_numpy())
+        lists = probes["list_id"].to_numpy()
+        by = np.argsort(lists, kind="stable")
+        names, starts = np.unique(lists[by], return_index=True)
+        groups = dict(zip(names.tolist(), np.split(place[by], starts[1:]))) if len(names) else {}
+    shared, dim, spare = index.spark.sparkContext.broadcast((ids, units, groups)), index.dim, k + exclude_self
 
     def run(batches):
         ids, units, groups = shared.value
         found = BestK(len(ids), k)
+        if groups is None:
+            every = (_block(batch, row, dim, gone.value, spare) for batch in batches for row in range(batch.num_rows))
+            for block in _gathered(every, spare):
+                found.offer(units, *block, None, ids if exclude_self else None)
+            yield found.batch(ids)
+            return
         for batch in batches:
             lists = batch.column("list_id").to_pylist()
             for row, name in enumerate(lists):
                 asking = groups.get(name)
                 if asking is not None:
-                    found.offer(units[asking], *_block(batch, row, dim, gone.value, k + exclude_self), asking,
+                    found.offer(units[asking], *_block(batch, row, dim, gone.value, spare), asking,
                                 ids[asking] if exclude_self else None)
         yield found.batch(ids)
 
     return layer.select("list_id", "ids", "vectors").mapInArrow(run, HITS)
 
 
+def _stream_lists(index, queries, probes: DataFrame | None, parts: int, k, exclude_self) -> DataFrame:
+    """Every block of queries, dealt by id, reads the blocks of the lists it probes from the index's files: all
+    lists without ``probes``. No vector of the index travels, and a query leaves with its k hits only."""
+    spark, dim, spare, rows = index.spark, index.dim, k + exclude_self, block_rows(8 * index.dim, k)
+    if probes is not None:
+        queries = queries.join(probes.groupBy("query_id").agg(F.collect_set("list_id").alias("lists")), "query_id")
+    dealt = queries.repartition(parts, "query_id").sortWithinPartitions("query_id")
+    held = []
+    for n, layer in enumerate(index.record["layers"]):
+        files = folder(f"{index.path}/{layer['name']}")
+        groups = [re.search(r"/list_group=(\d+)/", f) for f in files.files]
+        held.append((files.location, [(f, g and int(g[1])) for f, g in zip(files.files, groups)], index.gone(n)))
+    every = probes is None
+    shared, group_lists = spark.sparkContext.broadcast(held), index.record["group_lists"]
+
+    def blocks(wanted):
+        """(list, unit rows, ids) of the stored blocks of ``wanted`` lists, or of all."""
+        groups = None if wanted is None else {name // group_lists for name in wanted}
+        for location, files, gone in shared.value:
+            some = tuple(f for f, g in files if groups is None or g is None or g in groups)
+            for batch in Stored(location, some).batches(["list_id", "ids", "vectors"], 8):
+                for row, name in enumerate(batch.column("list_id").to_pylist()):
+                    if wanted is None or name in wanted:
+                        yield name, *_block(batch, row, dim, gone, spare)
+
+    def run(batches):
+        for table in key_blocks(batches, "query_id", 2 * rows):
+            units, ids, kept = asked_units(table, dim)
+            found, own = BestK(len(ids), k), ids if exclude_self else None
+            if not len(ids):
+                continue
+            if every:
+                for block in _gathered((b[1:] for b in blocks(None)), spare):
+                    found.offer(units, *block, None, own)
+            else:
+                lists = table["lists"].combine_chunks().take(pa.array(kept))
+                names, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+                by = np.argsort(names, kind="stable")
+                wanted, starts = np.unique(names[by], return_index=True)
+                asking = dict(zip(wanted.tolist(), np.split(row[by], starts[1:])))
+                for name, *block in blocks(asking):
+                    some = asking[name]
+                    found.offer(units[some], *block, some, None if own is None else own[some])
+            yield ranked(found, ids, k)
+
+    return dealt.mapInArrow(run, RANKED)
+
+
 def _join_lists(index, layer, queries, probes, k, exclude_self, gone, rows) -> DataFrame:
     """The blocks of a list meet the queries that probe it, a block of queries at a time."""
     spark, dim = index.spark, index.dim

@@ -276,6 +276,23 @@ def test_lists_are_searched_without_a_shuffle(spark, index):
         assert "dynamicpruning" in path[-1]
 
 
+def written(spark, name):
+    from likeness.session import open_filesystem, shared_dir
+    import os
+    return {f for f in os.listdir(open_filesystem(shared_dir(spark))[1]) if f.startswith(name)}
+
+
+@pytest.mark.parametrize("options", [{}, {"query_bytes": 0}])
+def test_all_lists_probed_need_no_probes(spark, index, options):
+    """A full probe writes no table of (query, list) and moves no query per list."""
+    vectors, _, ivf = index
+    before = written(spark, "probes-")
+    hits = ann.search_ivf(ivf, frame(spark, vectors, "query_id"), 5, nprobe=12, **options)
+    assert "collect_list" not in plan_of(hits) and "vectors#" not in "".join(x for x in plan_of(hits).split("\n") if "Exchange" in x)
+    agree(hits, slow_top(vectors, vectors, 5))
+    assert written(spark, "probes-") == before
+
+
 def two_level(spark, vectors, monkeypatch, limit=None, **options):
     from likeness.operators import list_index as L
     if limit is not None:
