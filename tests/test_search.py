@@ -293,6 +293,22 @@ def test_all_lists_probed_need_no_probes(spark, index, options):
     assert written(spark, "probes-") == before
 
 
+def test_blocks_of_queries_read_all_layers(spark):
+    """A grown index, searched by many queries: removed rows are no hits, in whichever layer they lie."""
+    vectors = corpus(500, copies=60)
+    ivf = ann.build_ivf(frame(spark, {i: v for i, v in vectors.items() if i % 4}), fresh_dir(spark, "ivf"), nlist=9)
+    from likeness.operators import list_index as L
+    ivf = L.append(ivf, frame(spark, {i: v for i, v in vectors.items() if not i % 4}))
+    turned = {i: v[::-1].copy() for i, v in vectors.items() if i % 10 == 3}
+    gone = [i for i in vectors if i % 10 in (3, 6)]
+    ivf = L.replace(ivf, frame(spark, turned), spark.createDataFrame([(i,) for i in gone], "image_id long"))
+    final = {i: v for i, v in vectors.items() if i % 10 not in (3, 6)} | turned
+    for options in ({"nprobe": 9, "query_bytes": 0}, {"nprobe": 9}):
+        hits = ann.search_ivf(ivf, frame(spark, final, "query_id"), 5, **options)
+        assert not [x for x in plan_of(hits).split("\n") if "SortMergeJoin" in x]
+        agree(hits, slow_top(final, final, 5))
+
+
 def two_level(spark, vectors, monkeypatch, limit=None, **options):
     from likeness.operators import list_index as L
     if limit is not None:
