@@ -309,6 +309,19 @@ def test_blocks_of_queries_read_all_layers(spark):
         agree(hits, slow_top(final, final, 5))
 
 
+def test_blocks_of_queries_read_the_lists_they_probe(spark, index, monkeypatch):
+    """Many queries with some lists each: the same hits as when they travel to the lists, without a join of the vectors."""
+    vectors, _, ivf = index
+    from likeness.operators import list_index as L
+    asked = frame(spark, vectors, "query_id")
+    for options in ({"nprobe": 3}, {"nprobe": 2, "exclude_self": True}):
+        read = ann.search_ivf(ivf, asked, 4, query_bytes=0, **options)
+        assert "vectors#" not in plan_of(read) and "collect_list" not in plan_of(read)
+        with monkeypatch.context() as changed:
+            changed.setattr(L, "READ_ROWS", 0)
+            assert found(ann.search_ivf(ivf, asked, 4, query_bytes=0, **options)) == found(read)
+
+
 def two_level(spark, vectors, monkeypatch, limit=None, **options):
     from likeness.operators import list_index as L
     if limit is not None:
@@ -520,6 +533,46 @@ def test_combined_search(spark, weights):
             q: [i for i, _ in best] for q, best in plain.items()}
 
 
+def test_combined_search_of_many_queries_moves_no_candidates(spark):
+    """Both stages for a block of queries: nothing but the queries is exchanged and no candidates are written. Old colour
+    vectors are filled up, those of other lengths count as missing, and so does a shape that is missing."""
+    vectors = corpus(300)
+    data = [(int(i), v[:5 if i % 7 == 1 else 6 if i % 7 == 2 else 8].tolist(), None if i % 11 == 3 else v[8:].tolist()) for i, v in vectors.items()]
+    parts = spark.createDataFrame(data, "image_id long, hsv_vector array<float>, hog_vector array<float>")
+    asked = parts.withColumnRenamed("image_id", "query_id").join(
+        frame(spark, vectors, "query_id").withColumnRenamed("vector", "embedding"), "query_id")
+    before = written(spark, "candidates-")
+    options = {"weights": (2, 1, 1), "candidates": 40, "hsv_dim": 8, "legacy_dim": 6}
+    hits = fusion.combined_search(asked, frame(spark, vectors), parts, 5, **options)
+    assert "CoGroup" not in plan_of(hits) and "Window" not in plan_of(hits) and written(spark, "candidates-") == before
+    apart = fusion.combined_search(asked, frame(spark, vectors), parts, 5, **options, retrieve=lambda q, k: nearest(q, frame(spark, vectors), k))
+    names = ["query_id", "rank", "image_id", "score", "s_embed", "s_hsv", "s_hog"]
+    assert hits.columns == apart.columns == names and hits.dtypes == apart.dtypes
+    assert rows(hits, "query_id", "rank") == rows(apart, "query_id", "rank")
+
+
+def test_pair_cosine_equals_rows():
+    """Pairs of rows of several lengths, missing, zero and infinite ones."""
+    import pyarrow as pa
+    draw = np.random.default_rng(8)
+    lists = [draw.normal(size=n).tolist() for n in draw.choice([0, 3, 5], 60)]
+    lists[4], lists[9], lists[12], lists[20] = None, [0.0] * 3, [float("inf"), 1.0, 2.0], [None, 1.0, 2.0, 3.0, 4.0]
+    column = pa.array(lists, pa.list_(pa.float32()))
+    i, j = (x.ravel() for x in np.indices((60, 60)))
+    assert np.allclose(fusion.pair_cosine(column, column, i, j), fusion.row_cosine(column.take(pa.array(i)), column.take(pa.array(j))), equal_nan=True)
+
+
+def test_stored_tables_are_read_where_they_lie(spark):
+    """A table that is files below the shared folder isn't written again; one with expressions is."""
+    from likeness.session import materialise
+    from likeness.sources import stored as S
+    table = materialise(frame(spark, corpus(50)), "table")
+    held = S.stored(table, "again")
+    assert not written(spark, "again-") and sum(b.num_rows for b in held.batches(["vector", "image_id"], 7)) == 50
+    other = S.stored(table.where("image_id < 20"), "again")
+    assert len(written(spark, "again-")) == 1 and sum(b.num_rows for b in other.batches(["image_id"], 7)) == 20
+
+
 def test_combined_search_through_an_index(spark, index):
     vectors, table, ivf = index
     parts = features(spark, vectors)
