@@ -499,7 +499,7 @@ def search_lists(index: ListIndex, queries: DataFrame, k: int = 5, *, nprobe: in
 
     No vector of the index is shuffled. Few queries (their size is checked) are broadcast; of many, blocks
     read the lists they probe where that is less than what would travel, else those that probe a list
-    travel to its parts in blocks of ASK_ROWS (or of ``block_bytes``)."""
+    travel to its parts in blocks of ASK_ROWS (or of ``block_bytes``). A query id that repeats is asked once."""
     if k <= 0:
         return nearest(queries, queries.withColumnRenamed("query_id", "image_id"), 0)
     every = nprobe >= index.nlist and (index.tops is None or cells is None or cells >= len(index.tops))
@@ -585,7 +585,10 @@ def _scan_lists(index, layer, asked: pa.Table, probes: pa.Table | None, k, exclu
     ids = asked["query_id"].to_numpy()[rows].astype(np.int64)
     order = np.argsort(ids)
     ids, units, groups = ids[order], units[order], None
-    if probes is not None:
+    if probes is None:
+        ids, once = np.unique(ids, return_index=True)
+        units = units[once]
+    else:
         place = np.searchsorted(ids, probes["query_id"].to_numpy())
         lists = probes["list_id"].to_numpy()
         by = np.argsort(lists, kind="stable")
@@ -642,6 +645,8 @@ def _stream_lists(index, queries, probes: DataFrame | None, parts: int, k, exclu
     def run(batches):
         for table in key_blocks(batches, "query_id", 2 * rows):
             units, ids, kept = asked_units(table, dim)
+            ids, once = np.unique(ids, return_index=True)
+            units, kept = units[once], kept[once]
             found, own = BestK(len(ids), k), ids if exclude_self else None
             if not len(ids):
                 continue

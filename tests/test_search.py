@@ -293,6 +293,13 @@ def test_all_lists_probed_need_no_probes(spark, index, options):
     assert written(spark, "probes-") == before
 
 
+@pytest.mark.parametrize("options", [{"nprobe": 12}, {"nprobe": 12, "query_bytes": 0}, {"nprobe": 11}, {"nprobe": 11, "query_bytes": 0}])
+def test_a_repeated_query_is_asked_once(spark, index, options):
+    vectors, _, ivf = index
+    asked = frame(spark, {i: vectors[i] for i in range(0, 90, 7)}, "query_id")
+    assert found(ann.search_ivf(ivf, asked.union(asked), 5, **options)) == found(ann.search_ivf(ivf, asked, 5, **options))
+
+
 def test_blocks_of_queries_read_all_layers(spark):
     """A grown index, searched by many queries: removed rows are no hits, in whichever layer they lie."""
     vectors = corpus(500, copies=60)
