@@ -5,6 +5,8 @@ import pyarrow as pa
 
 # Score matrices are built in pieces of at most this many cells.
 PIECE_CELLS = 2_000_000
+# Pairs are scored in double precision so many at a time.
+PAIRS = 2048
 # Scores equal to this many digits count as tied and are ordered by id.
 TIE_DIGITS = 12
 LAST_ID = np.iinfo(np.int64).max
@@ -90,6 +92,7 @@ class BestK:
         self.ids = np.full((count, k), LAST_ID, dtype=np.int64)
         # the last entry of each list: the lowest score, and of its ids the largest
         self.worst, self.worst_id = np.full(count, -np.inf), np.full(count, LAST_ID, dtype=np.int64)
+        self.rough = np.empty(0, np.float32)  # one piece, kept as new memory costs more than the product
 
     def offer(self, queries, units, ids, rows=None, own=None):
         """``rows`` names the lists the given queries belong to; ``own`` holds for each
@@ -105,7 +108,10 @@ class BestK:
                         None if own is None else own[part])
 
     def _piece(self, queries, units, light, ids, rows, own):
-        rough = queries.astype(np.float32) @ light
+        cells = len(queries) * light.shape[1]
+        if cells > len(self.rough):
+            self.rough = np.empty(cells, np.float32)
+        rough = np.matmul(queries.astype(np.float32), light, out=self.rough[:cells].reshape(len(queries), -1))
         if own is not None:
             order = np.argsort(ids, kind="stable")
             low = np.searchsorted(ids[order], own, "left")
@@ -130,7 +136,10 @@ class BestK:
         if len(near) > rough.size // 20:
             value = (queries @ units.T)[near, col]
         else:
-            value = np.einsum("ij,ij->i", queries[near], units[col])
+            value = np.empty(len(near))
+            for start in range(0, len(near), PAIRS):
+                some = slice(start, start + PAIRS)
+                np.einsum("ij,ij->i", queries[near[some]], units[col[some]], out=value[some])
         value, name = np.round(value, TIE_DIGITS), ids[col]
         better = (value > worst[near]) | ((value == worst[near]) & (name < worst_id[near]))
         if better.any():
