@@ -558,6 +558,18 @@ def test_combined_search_of_many_queries_moves_no_candidates(spark):
     assert rows(hits, "query_id", "rank") == rows(apart, "query_id", "rank")
 
 
+def test_combined_search_without_embeddings_among_the_metrics(spark):
+    """They choose the candidates only; both stages run in one pass over the queries."""
+    vectors, skip = corpus(90), {5, 8}
+    parts = features(spark, vectors, skip)
+    asked = parts.withColumnRenamed("image_id", "query_id").join(
+        frame(spark, vectors, "query_id").withColumnRenamed("vector", "embedding"), "query_id")
+    hits = fusion.combined_search(asked, frame(spark, vectors), parts, 4, metrics=("hsv", "hog"), weights=(3, 1), candidates=15,
+                                  hsv_dim=8, legacy_dim=6)
+    assert "CoGroup" not in plan_of(hits) and "Window" not in plan_of(hits)
+    agree(hits, slow_combined(vectors, skip, 4, (0, 3, 1), 15))
+
+
 def test_pair_cosine_equals_rows():
     """Pairs of rows of several lengths, missing, zero and infinite ones."""
     import pyarrow as pa
