@@ -329,6 +329,21 @@ def test_blocks_of_queries_read_the_lists_they_probe(spark, index, monkeypatch):
             assert found(ann.search_ivf(ivf, asked, 4, query_bytes=0, **options)) == found(read)
 
 
+def test_given_centres_and_many_queries(spark):
+    """Lists around given centres, some probed: what comparing the lists' images gives, and no block of queries per list."""
+    vectors = {i: v for i, v in corpus(260).items() if np.isfinite(v).all() and np.abs(v).sum()}
+    centres = np.array([vectors[i] for i in list(vectors)[:6]], np.float64)
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    ivf = ann.build_ivf(frame(spark, vectors), fresh_dir(spark, "ivf"), centres=centres)
+    near = {i: np.argsort(-(centres @ np.asarray(v, np.float64)), kind="stable") for i, v in vectors.items()}
+    hits = ann.search_ann(frame(spark, vectors, "query_id"), ivf, 3, method="ivf", nprobe=2, query_bytes=0)
+    assert "collect_list" not in plan_of(hits)
+    want = {}
+    for q, v in vectors.items():
+        want |= slow_top({q: v}, {i: x for i, x in vectors.items() if near[i][0] in near[q][:2]}, 3)
+    agree(hits, want)
+
+
 def two_level(spark, vectors, monkeypatch, limit=None, **options):
     from likeness.operators import list_index as L
     if limit is not None:
