@@ -344,6 +344,14 @@ def test_given_centres_and_many_queries(spark):
     agree(hits, want)
 
 
+def test_knn_graph_through_lists_moves_no_vector_per_list(spark, index):
+    """The graph by some lists: blocks of images read the lists they probe, without a join of the vectors."""
+    vectors, table, ivf = index
+    edges = analysis.knn_graph(table, 4, index=ivf, nprobe=3, query_bytes=0)
+    assert "vectors#" not in plan_of(edges) and "collect_list" not in plan_of(edges)
+    assert rows(edges, "src", "rank") == rows(analysis.knn_graph(table, 4, index=ivf, nprobe=3), "src", "rank")
+
+
 def two_level(spark, vectors, monkeypatch, limit=None, **options):
     from likeness.operators import list_index as L
     if limit is not None:
