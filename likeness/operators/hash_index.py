lsh_scores: lists of many pairs are scored as products, pairs are no longer written out

Symptom: lsh_scores took 6.6 CPU seconds on 10,256 vectors and 115 on 51,282: a power of 1.76 of the input.
Evidence: 101 of the 115 seconds were Python time, nearly all in one stage, which wrote out every (query, image) pair of every list, sorted the pairs to drop repeats and gathered both vectors of each; small inputs avoided it by a full score matrix, which has a size limit.
Fix: a list with more than 1,024 pairs in a bucket is one single-precision product of its queries and images; a bound per query, raised as better pairs are found, lets only near pairs on to double precision, and those are cut to k a query when as many wait as are kept. Small lists are written out as before; the full matrix is gone. Products of list pairs stay quadratic where the number of lists is fixed, but are a small part now.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 1044 -> 420 s, shuffle 1.17 -> 1.17 GB, spill 0.00 -> 0.00 GB, read 0.51 -> 0.51 GB, longest task 85 -> 8 s, most memory of a task 243 -> 243 MB; at 6 GB of input CPU 2422 -> 1840 s, shuffle 9.74 -> 9.74 GB, spill 0.00 -> 0.00 GB, read 2.61 -> 2.61 GB, longest task 19 -> 13 s, most memory of a task 436 -> 436 MB; with hot keys, at 1 GB of input CPU 480 -> 270 s, shuffle 0.34 -> 0.34 GB, spill 0.00 -> 0.00 GB, read 0.27 -> 0.27 GB, longest task 19 -> 3 s, most memory of a task 109 -> 109 MB.

@@ -9,6 +9,7 @@ copied per table, and each is read once a search however many lists name it. A l
 very many queries share with very many images is compared as matrix blocks instead of pairs.
 """
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +28,12 @@ from likeness.sources.bucketed import read_bucketed, write_bucketed
 LIST_PAIRS = 1 << 22
 # Pairs scored at once, and gathered before they are cut to k a query.
 PIECE_PAIRS, HELD_PAIRS = 1 << 14, 1 << 21
-# A bucket whose pairs are more than a part of all its cells is scored as one product, if that is not too large.
-DENSE_CELLS, DENSE_SHARE = 1 << 27, 32
+# A list with more pairs than this in a bucket is scored as one product.
+PRODUCT_PAIRS = 1 << 10
+# Near pairs that wait before they are scored in double precision and cut to k a query.
+CUT_PAIRS = 1 << 18
+# More than a bound is off by as it becomes a single precision number.
+FLOAT_SLACK = 2.0 ** -22
 # Bytes of vectors of one bucket, about.
 BUCKET_BYTES = 64 * 1024 * 1024
 ENTRIES, VECTORS = "bucket int, list_id bigint, ids array<bigint>", "bucket int, image_id bigint, vector array<float>"
@@ -220,8 +225,17 @@ def _places(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(ids[at] == wanted, at, -1)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The different values in order."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[:len(values)]]
+
+
 def _best_pairs(lists: pa.Table, query_ids, queries, image_ids, images, k: int, exclude_self: bool) -> pa.Table:
-    """The k best images of every query over the pairs (asking, ids) of all lists, each pair counted once."""
+    """The k best images of every query over the pairs (asking, ids) of all lists, each pair counted once.
+
+    Pairs are scored in single precision, those of a list with many as one product of its queries and images.
+    Only pairs that can still be among the best, given the rounding of that, are scored in double precision."""
     sides = []
     for name, ids in (("asking", query_ids), ("ids", image_ids)):
         column = lists[name].combine_chunks()
@@ -229,58 +243,80 @@ def _best_pairs(lists: pa.Table, query_ids, queries, image_ids, images, k: int,
         sides.append((_places(ids, column.flatten().to_numpy(zero_copy_only=False)), size, np.concatenate(([0], np.cumsum(size)))))
     (asking, n_asking, a_limits), (held, n_held, h_limits) = sides
     light, width = [queries.astype(np.float32), images.astype(np.float32)], max(len(image_ids), 1)
-    cells, error = len(query_ids) * width, (queries.shape[1] + 8) * 2.0 ** -23 if len(queries) else 0.0
+    error = (queries.shape[1] + 8) * 2.0 ** -23 if len(queries) else 0.0
     n_pairs = n_asking * n_held
+    # what a pair of each query must reach in single precision, by the pairs seen so far; below -1 while all can
+    least = np.full(len(query_ids), -2, np.float32)
+
+    def products():
+        """Near pairs of the lists with many, as query place * width + image place."""
+        for row in np.flatnonzero(n_pairs > PRODUCT_PAIRS):
+            q, i = (_distinct(places[limits[row]:limits[row + 1]]) for places, limits in ((asking, a_limits), (held, h_limits)))
+            q, i = q[q >= 0], i[i >= 0]
+            step, those = max(1, HELD_PAIRS // max(len(i), 1)), light[1][i].T
+            for some in (q[start:start + step] for start in range(0, len(q), step)):
+                rough = light[0][some] @ those
+                if exclude_self:
+                    rough[query_ids[some][:, None] == image_ids[i]] = -np.inf
+                new = np.flatnonzero(least[some] == -2)
+                if len(i) > k and len(new):
+                    kth = np.partition(rough[new], len(i) - k, axis=1)[:, len(i) - k]
+                    least[some[new]] = np.maximum(kth - 2 * error - FLOAT_SLACK, -2)
+                row_of, column_of = np.nonzero(rough >= least[some][:, None])
+                yield some[row_of] * width + i[column_of]
 
     def listed():
-        """Pairs as query place * width + image place, some lists at a time; a pair of several lists repeats."""
-        ends, start = np.cumsum(n_pairs), 0
-        while start < lists.num_rows:
+        """Near pairs of the other lists, some lists at a time."""
+        rows = np.flatnonzero(n_pairs <= PRODUCT_PAIRS)
+        ends, start = np.cumsum(n_pairs[rows]), 0
+        while start < len(rows):
             stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + HELD_PAIRS, "right")))
-            size = n_pairs[start:stop]
-            row = np.repeat(np.arange(start, stop), size)
+            size = n_pairs[rows[start:stop]]
+            row = np.repeat(rows[start:stop], size)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
             q, i = asking[a_limits[row] + nth // n_held[row]], held[h_limits[row] + nth % n_held[row]]
             known = (q >= 0) & (i >= 0)
             if exclude_self:
                 known &= query_ids[q] != image_ids[i]
-            yield q[known] * width + i[known]
+            keys = _distinct(q[known] * width + i[known])
+            rough = scored(keys, *light)
+            near = rough >= least[keys // width]
+            keys, rough = keys[near], rough[near]
+            yield keys[_near_best(keys // width, rough, k, error)]
             start = stop
 
-    def exact(keys, rough):
-        """(keys, scores) of the pairs that can be among the best, given the rounding of single precision."""
-        keys = keys[_near_best(keys // width, rough, k, error)]
-        q, i = np.divmod(keys, width)
-        return keys, np.round(np.einsum("ij,ij->i", queries[q], images[i]), TIE_DIGITS)
+    def scored(keys, left, right):
+        scores = np.empty(len(keys), left.dtype)
+        for at in range(0, len(keys), PIECE_PAIRS):
+            q, i = np.divmod(keys[at:at + PIECE_PAIRS], width)
+            np.einsum("ij,ij->i", left[q], right[i], out=scores[at:at + PIECE_PAIRS])
+        return scores
 
     def cut(keys, scores):
-        keys, first = np.unique(keys, return_index=True)
-        order = np.lexsort((keys % width, -scores[first], keys // width))
-        owner = keys[order] // width
-        kept = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < k]
-        return keys[kept], scores[first][kept]
+        """The k best of every query, by key."""
+        order = np.argsort(keys, kind="stable")
+        keys, scores = keys[order], scores[order]
+        owner = keys // width
+        order = np.lexsort((-scores, owner))  # equal scores stay by key
+        kept = np.sort(order[np.arange(len(owner)) - np.searchsorted(owner, owner) < k])
+        return keys[kept], scores[kept]
 
     best_keys, best_scores = np.zeros(0, np.int64), np.zeros(0)
-    if cells <= DENSE_CELLS and cells <= DENSE_SHARE * n_pairs.sum():  # most cells are asked for: score them all
-        asked = np.zeros(cells, bool)
-        for keys in listed():
-            asked[keys] = True
-        step = max(1, HELD_PAIRS // width)
-        for start in range(0, len(query_ids), step):
-            rough = (light[0][start:start + step] @ light[1].T).ravel()
-            keys = np.flatnonzero(asked[start * width:(start + step) * width])
-            found = cut(*exact(keys + start * width, rough[keys]))
-            best_keys, best_scores = np.append(best_keys, found[0]), np.append(best_scores, found[1])
-    else:
-        for keys in listed():
-            keys = np.sort(keys)
-            keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
-            rough = np.empty(len(keys), np.float32)
-            for at in range(0, len(keys), PIECE_PAIRS):
-                q, i = np.divmod(keys[at:at + PIECE_PAIRS], width)
-                rough[at:at + PIECE_PAIRS] = np.einsum("ij,ij->i", light[0][q], light[1][i])
-            keys, scores = exact(keys, rough)
+    waiting, n_waiting = [], 0
+    for keys in itertools.chain(products(), listed(), [None]) if k > 0 else ():
+        if keys is not None:
+            waiting.append(keys)
+            n_waiting += len(keys)
+        # the more is kept, the more may wait: then a pair is sorted a few times only
+        if n_waiting and (keys is None or n_waiting > max(CUT_PAIRS, len(best_keys))):
+            keys = _distinct(np.concatenate(waiting))
+            keys = keys[_places(best_keys, keys) < 0]
+            scores = np.round(scored(keys, queries, images), TIE_DIGITS)
             best_keys, best_scores = cut(np.append(best_keys, keys), np.append(best_scores, scores))
+            names, starts, counts = np.unique(best_keys // width, return_index=True, return_counts=True)
+            full = counts == k
+            least[names[full]] = np.maximum(np.minimum.reduceat(best_scores, starts)[full] - error - FLOAT_SLACK, -2)
+            waiting, n_waiting = [], 0
     q, i = np.divmod(best_keys, width)
     return pa.table({"query_id": pa.array(query_ids[q], pa.int64()), "image_id": pa.array(image_ids[i], pa.int64()),
                      "score": pa.array(best_scores, pa.float64())})

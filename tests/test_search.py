@@ -250,6 +250,37 @@ def test_stored_hash_index(spark, index, monkeypatch):
         H.load_hash_index(spark, fresh_dir(spark, "nowhere"))
 
 
+@pytest.mark.parametrize("exclude_self", [False, True])
+@pytest.mark.parametrize("k", [0, 3, 40, 500])
+def test_lists_of_many_pairs_are_scored_as_products(monkeypatch, k, exclude_self):
+    """Large and small lists, repeated ids and ids that are not here: the k best of the distinct pairs, and only
+    the pairs of small lists are written out."""
+    import pyarrow as pa
+    from likeness.operators import hash_index as H
+    vectors = corpus(300, copies=40)
+    ids = np.array(list(vectors))
+    units = np.stack([v / np.linalg.norm(v) for v in vectors.values()]).astype(np.float64)
+    draw = np.random.default_rng(3)
+    lists = [(draw.choice(330, 200), draw.choice(330, 180)) for _ in range(6)] + [(draw.choice(300, 7), draw.choice(300, 9)) for _ in range(20)]
+    table = pa.table({"asking": [q.tolist() for q, _ in lists] + [[], [1]], "ids": [i.tolist() for _, i in lists] + [[2], []]},
+                     schema=pa.schema([("asking", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64()))]))
+    written, near_best = [], H._near_best
+    monkeypatch.setattr(H, "_near_best", lambda query, *rest: written.append(len(query)) or near_best(query, *rest))
+    out = H._best_pairs(table, ids, units, ids, units, k, exclude_self)
+    pairs = {(q, i) for asking, held in lists for q in asking.tolist() for i in held.tolist()
+             if q < 300 and i < 300 and not (exclude_self and q == i)}
+    score = np.round(units @ units.T, 12)
+    want = {}
+    for q, i in sorted(pairs, key=lambda p: (p[0], -score[p], p[1])):
+        want.setdefault(q, []).append(i)
+    got = {}
+    for row in sorted(out.to_pylist(), key=lambda r: (r["query_id"], -r["score"], r["image_id"])):
+        assert row["score"] == pytest.approx(score[row["query_id"], row["image_id"]], abs=1e-11)
+        got.setdefault(row["query_id"], []).append(row["image_id"])
+    assert got == {q: best[:k] for q, best in want.items() if k}
+    assert sum(written) <= 20 * 7 * 9 < len(pairs) // 10
+
+
 def above_scan(frame_, column):
     """The operators above the scan that reads ``column``, from the top of the plan."""
     path = []
