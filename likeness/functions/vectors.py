@@ -14,8 +14,10 @@ HSV_DIM = 176  # fixed value: hue/saturation bins plus 32 brightness bins
 HOG_DIM = 1764  # fixed value: 7 x 7 blocks, 4 cells, 9 orientations
 
 
-def doubles(vector: Column) -> Column:
-    return vector.cast("array<double>")
+def doubles(vector: Column, one: bool = False) -> Column:
+    """A vector in double precision, or, inside a lambda, ``one`` of its values: a long vector cast
+    as a whole is first held as that many objects."""
+    return vector.cast("double" if one else "array<double>")
 
 
 def squared_norm(vector: Column) -> Column:

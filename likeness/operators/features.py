@@ -16,7 +16,7 @@ from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from likeness.functions import pixels as X
-from likeness.schemas import FLOATS
+from likeness.schemas import FILLED_FLOATS, FLOATS
 from likeness.sources import images as source
 from likeness.sources.files import contents
 
@@ -53,7 +53,7 @@ def extract_files(files: DataFrame, extractors: dict, decode, step: int = STEP)
 def _extract(table, consumed, load_images, extractors, step, with_error):
     others = [c for c in table.columns if c != consumed]
     schema = T.StructType([table.schema[c] for c in others]
-                          + [T.StructField(name, FLOATS) for name in extractors]
+                          + [T.StructField(name, FILLED_FLOATS) for name in extractors]
                           + [T.StructField("error", T.StringType())] * with_error)
 
     def run(batches):
@@ -109,7 +109,8 @@ def with_nulls(vectors, rows, count):
     if vectors is not None:
         good = np.isfinite(vectors).all(axis=1)
         filled[np.asarray(rows)[good]] = True
-        flat, width = vectors[good].astype(np.float32).ravel(), vectors.shape[1]
+        kept = vectors if good.all() else vectors[good]
+        flat, width = kept.astype(np.float32, copy=False).ravel(), vectors.shape[1]
     ends = np.concatenate([[0], np.cumsum(filled * width)]).astype(np.int32)
     return pa.ListArray.from_arrays(ends, pa.array(flat), mask=pa.array(~filled, pa.bool_()))
 

@@ -3,6 +3,8 @@
 from pyspark.sql import types as T
 
 FLOATS = T.ArrayType(T.FloatType())
+# Without NULL among the values, which Spark then need not look for in each of them.
+FILLED_FLOATS = T.ArrayType(T.FloatType(), containsNull=False)
 
 CATALOGUE = T.StructType([
     T.StructField("image_id", T.LongType(), False),

@@ -257,7 +257,7 @@ planes AS (
 SELECT image_id, CAST(150528 AS INTEGER) AS dim, round(sum(z::DOUBLE) * 784, 3) + 0.0 AS total FROM planes GROUP BY image_id""")
 def model_inputs(spark, sf):
     rows = X.model_inputs(I.images(spark, sf))
-    total = F.aggregate(V.doubles(F.col("vector")), F.lit(0.0), lambda acc, x: acc + x)
+    total = F.aggregate(F.col("vector"), F.lit(0.0), lambda acc, x: acc + V.doubles(x, one=True))
     return rows.select("image_id", F.size("vector").alias("dim"), (F.round(total, 3) + 0.0).alias("total"))
 
 
